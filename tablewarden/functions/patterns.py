@@ -66,25 +66,16 @@ def coverage_regex(pattern: str) -> str:
     return "(?s)^(?:" + "|".join(ways) + ")$"
 
 
-def literal_folder(pattern: str) -> str:
-    """The longest leading folder of a pattern that holds no wildcard."""
-    head = re.split(r"[*?\[]", pattern, maxsplit=1)[0]
-    if head == pattern:
-        return pattern.rstrip("/")
-    return head.rsplit("/", 1)[0] if "/" in head else ""
+def rule_head(pattern: str) -> str:
+    """What every path covered by `rule_regex(pattern)` begins with, wildcards excluded."""
+    return re.split(r"[*?\[]", pattern.rstrip("/*"), maxsplit=1)[0]
 
 
-def matches(path: Column, regex: str) -> Column:
-    return path.rlike(regex)
+def coverage_head(pattern: str) -> str:
+    """The same for `coverage_regex`, whose subject is `/path/`."""
+    rooted = "/" + pattern.lstrip("/")
+    return re.split(r"[*?\[]", rooted.rstrip("/*"), maxsplit=1)[0]
 
 
-def folders_above(path: Column) -> Column:
-    """The path itself and every folder above it, the root as an empty string."""
-    parts = F.split(path, "/")
-    return F.array_union(
-        F.array(F.lit("")),
-        F.transform(
-            F.sequence(F.lit(1), F.size(parts)),
-            lambda n: F.array_join(F.slice(parts, 1, n), "/"),
-        ),
-    )
+def matches(path: Column, regex: str) -> Column:
+    return path.rlike(regex)

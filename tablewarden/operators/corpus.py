@@ -35,26 +35,32 @@ class LintRules:
 
 def lint_documents(df: DataFrame, rules: LintRules = LintRules(), path="path", text="text"):
     """One row per broken rule: no_heading, too_long, no_required_phrase, no_section:<name>."""
-    body = F.col(text)
-    rows = lines(body)
+    df = df.withColumns({"_lines": lines(F.col(text)), "_lower": F.lower(text)})
+    rows = F.col("_lines")
     heading = F.coalesce(F.startswith(F.get(rows, F.lit(0)), F.lit("# ")), F.lit(False))
-    lower = F.lower(body)
     phrase = F.lit(False)
     for p in rules.required_any:
-        phrase = phrase | F.contains(lower, F.lit(p))
+        phrase = phrase | F.contains("_lower", F.lit(p))
     found = [
         F.when(~heading, F.lit("no_heading")),
         F.when(F.size(rows) > rules.max_lines, F.lit("too_long")),
         F.when(~phrase, F.lit("no_required_phrase")),
     ]
-    headings = F.transform(
-        F.regexp_extract_all(body, F.lit(r"(?m)^## (.+)$"), F.lit(1)), lambda h: F.lower(strip(h))
+    df = df.withColumn(
+        "_headings",
+        F.transform(
+            F.filter(
+                F.split("_lower", "\n"),
+                lambda s: F.startswith(s, F.lit("## ")) & (F.length(s) > 3),
+            ),
+            lambda s: strip(F.substr(s, F.lit(4))),
+        ),
     )
     for pattern, names in rules.required_sections.items():
         for name in names:
             found.append(
                 F.when(
-                    F.col(path).cast("string").rlike(pattern) & ~F.array_contains(headings, name),
+                    F.col(path).cast("string").rlike(pattern) & ~F.array_contains("_headings", name),
                     F.lit(f"no_section:{name}"),
                 )
             )
@@ -100,8 +106,12 @@ def hardcoded_paths(df: DataFrame, text: str = "text", schemes=PATH_SCHEMES, pat
 
 @dataclass(frozen=True)
 class Rewrite:
-    """Replace `pattern`; raise `flag` on texts that match `when` (default: the pattern)."""
+    """Replace `pattern`; raise `flag` on texts that match `when` (default: the pattern).
+
+    Every match contains `token`, so texts without it skip the regex.
+    """
 
+    token: str
     pattern: str
     replacement: str
     flag: str | None = None
@@ -114,22 +124,27 @@ def job_rewrites(catalogs: tuple[str, ...]) -> list[Rewrite]:
     names = "|".join(quote(c) for c in catalogs)
     notebook = r"notebook_path:\s*/Workspace/(?:[^\s/]*/)*"
     return [
-        *[Rewrite(rf"(?m)^\s*{f}:.*$\n?", "") for f in WORKSPACE_FIELDS],
-        Rewrite(rf"(?i)(catalog:\s*)(?:{names})", "$1\\${var.catalog}", "catalog"),
+        *[Rewrite(f"{f}:", rf"(?m)^\s*{f}:.*$\n?", "") for f in WORKSPACE_FIELDS],
+        Rewrite(":", rf"(?i)(catalog:\s*)(?:{names})", "$1\\${var.catalog}", "catalog"),
         Rewrite(
+            "notebook_path:",
             notebook + rf"([^\s/]+\.(?:{suffix}))(\s|$)",
             "notebook_path: ./notebooks/$1$2",
             "notebook_path",
             when=r"notebook_path:\s*/Workspace/[^\s]+",
         ),
-        Rewrite(notebook + r"([^\s/]+)", "notebook_path: ./notebooks/$1.py"),
         Rewrite(
+            "/Workspace/", notebook + r"([^\s/]+)", "notebook_path: ./notebooks/$1.py"
+        ),
+        Rewrite(
+            "node_type_id:",
             r"(node_type_id:\s*)\S+",
             "$1\\${var.cluster_node_type_id}",
             "node_type_id",
             when=r"node_type_id:\s*\w+",
         ),
         Rewrite(
+            "num_workers:",
             r"(num_workers:\s*)\d+",
             "$1\\${var.cluster_num_workers}",
             "num_workers",
@@ -154,11 +169,14 @@ def rewrite_refs(
     raised = []
     for i, rule in enumerate(rules):
         step = {}
+        present = F.contains("rewritten", F.lit(rule.token))
         if rule.flag:
             raised.append(f"_flag_{i}")
             hit = F.rlike("rewritten", F.lit(rule.when or rule.pattern))
-            step[raised[-1]] = F.when(hit, F.lit(rule.flag))
-        step["rewritten"] = F.regexp_replace("rewritten", rule.pattern, rule.replacement)
+            step[raised[-1]] = F.when(present & hit, F.lit(rule.flag))
+        step["rewritten"] = F.when(
+            present, F.regexp_replace("rewritten", rule.pattern, rule.replacement)
+        ).otherwise(F.col("rewritten"))
         df = df.withColumns(step)
     flags = [F.col(f) for f in raised]
     for token, flag in (required or {}).items():

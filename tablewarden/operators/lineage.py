@@ -195,14 +195,14 @@ def _sections(text: Column) -> Column:
     parts = F.split(
         F.concat(F.lit("\n"), F.array_join(lines(text), "\n")), r"\n## (?=[^\n])", -1
     )
-    cut = F.filter(parts, lambda part, i: i > 0)
+    bodies = F.transform(
+        F.filter(parts, lambda part, i: i > 0), lambda part: F.split(part, "\n", -1)
+    )
     return F.transform(
-        cut,
-        lambda part: F.struct(
-            F.lower(strip(F.get(F.split(part, "\n", -1), F.lit(0)))).alias("name"),
-            F.slice(F.split(part, "\n", -1), F.lit(2), F.size(F.split(part, "\n", -1))).alias(
-                "body"
-            ),
+        bodies,
+        lambda rows: F.struct(
+            F.lower(strip(F.get(rows, F.lit(0)))).alias("name"),
+            F.slice(rows, F.lit(2), F.size(rows)).alias("body"),
         ),
     )
 

@@ -2,24 +2,25 @@
 
 Rules are (ord, pattern, owners). Up to `MAX_INLINE` of them become one CASE
 expression, evaluated where the paths are scanned: no join, no shuffle. Longer
-rule tables are joined on the folder a pattern starts in.
+rule tables are joined on what patterns literally begin with.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.patterns import (
+    coverage_head,
     coverage_regex,
-    folders_above,
-    literal_folder,
     matches,
+    rule_head,
     rule_regex,
 )
 from tablewarden.functions.text import extract_all, strip
@@ -88,18 +89,19 @@ def rule_number(path: Column, rules: list[Rule]) -> Column:
     return F.lit(None).cast("int") if cases is None else cases
 
 
-def has_explicit_rule(path: Column, rules: list[Rule]) -> Column:
-    """Some rule other than the catch-all covers the path."""
-    named = [r for r in rules if r.pattern != CATCH_ALL]
-    hits = [matches(path, rule_regex(r.pattern)) for r in named]
-    return reduce(lambda a, b: a | b, hits, F.lit(False))
+def _inline(rules: list[Rule] | DataFrame, max_inline: int) -> list[Rule] | None:
+    return rules if isinstance(rules, list) else collect_rules(rules, max_inline)
 
 
 def last_match(
-    df: DataFrame, path: str, rules: list[Rule] | DataFrame, default: str = "@platform-team"
+    df: DataFrame,
+    path: str,
+    rules: list[Rule] | DataFrame,
+    default: str = "@platform-team",
+    max_inline: int = MAX_INLINE,
 ) -> DataFrame:
     """Add `pattern` and `owners` of the last covering rule, `*` and the default without one."""
-    inline = rules if isinstance(rules, list) else collect_rules(rules)
+    inline = _inline(rules, max_inline)
     if inline is not None:
         if not inline:
             return df.withColumns(
@@ -118,8 +120,10 @@ def last_match(
             )
             .drop("_rule")
         )
-    winners = _winning_rule(df.select(path).distinct(), path, rules)
-    return df.join(winners, path, "left").withColumns(
+    winners = covering_rule(df, path, rules).join(
+        rules.select("ord", "pattern", "owners"), "ord"
+    )
+    return df.join(winners.drop("ord"), path, "left").withColumns(
         {
             "pattern": F.coalesce("pattern", F.lit(CATCH_ALL)),
             "owners": F.coalesce("owners", F.array(F.lit(default))),
@@ -128,53 +132,137 @@ def last_match(
 
 
 @F.pandas_udf(T.StringType())
-def folder_of(patterns: pd.Series) -> pd.Series:
-    return patterns.map(literal_folder)
+def _rule_heads(patterns: pd.Series) -> pd.Series:
+    return patterns.map(rule_head)
 
 
 @F.pandas_udf(T.StringType())
-def regex_of(patterns: pd.Series) -> pd.Series:
-    """Compiles rules, one call per rule; paths never pass through Python."""
+def _rule_regexes(patterns: pd.Series) -> pd.Series:
     return patterns.map(rule_regex)
 
 
-def _winning_rule(paths: DataFrame, path: str, rules: DataFrame) -> DataFrame:
-    """(path, pattern, owners) of the last covering rule, for rule tables of any length.
+@F.pandas_udf(T.StringType())
+def _coverage_heads(patterns: pd.Series) -> pd.Series:
+    return patterns.map(coverage_head)
+
+
+@F.pandas_udf(T.StringType())
+def _coverage_regexes(patterns: pd.Series) -> pd.Series:
+    return patterns.map(coverage_regex)
+
+
+@dataclass(frozen=True)
+class Matcher:
+    """How a pattern is compared with a path: inline, or compiled for a rule table.
+
+    The table functions run once per rule; paths never pass through Python.
+    """
+
+    subject: Callable[[Column], Column]
+    regex: Callable[[str], str]
+    heads: Callable[[str], Column]
+    regexes: Callable[[str], Column]
+
+
+LENIENT = Matcher(lambda path: path, rule_regex, _rule_heads, _rule_regexes)
+STRICT = Matcher(
+    lambda path: F.concat(F.lit("/"), F.regexp_replace(path, "^/+|/+$", ""), F.lit("/")),
+    coverage_regex,
+    _coverage_heads,
+    _coverage_regexes,
+)
+
+
+def covering_rule(
+    paths: DataFrame, path: str, rules: DataFrame, matcher: Matcher = LENIENT
+) -> DataFrame:
+    """(path, ord) of the last covering rule of each distinct path, for rule tables of any length.
 
-    A path meets only the rules that start in one of its folders. Rules that
-    start at the root meet every path, so both sides carry a salt there.
+    Of rules with the same pattern only the last can win. A covered path begins
+    with the pattern's literal head, so the two sides are equi-joined on path
+    beginnings of the lengths that heads have, and only those pairs are matched.
+    Patterns without a head meet every path; both sides carry a salt for them.
     """
-    compiled = rules.select(
-        "ord", folder_of("pattern").alias("folder"), regex_of("pattern").alias("regex")
+    compiled = (
+        rules.groupBy("pattern")
+        .agg(F.max("ord").alias("ord"))
+        .select(
+            "ord",
+            matcher.heads("pattern").alias("head"),
+            matcher.regexes("pattern").alias("regex"),
+        )
+    )
+    # Lengths of path beginnings: at most as many as the longest path has characters.
+    sizes = sorted(
+        r["n"] for r in compiled.select(F.length("head").alias("n")).distinct().collect()
+    )
+    bare = F.col("head") == ""
+    salted = compiled.withColumn(
+        "salt",
+        F.explode(
+            F.when(bare, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        ),
     )
-    salts = F.when(F.col("folder") == "", F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+    subject = F.col("_subject")
+    heads = F.filter(
+        F.array(
+            *[F.when(F.length(subject) >= n, F.left(subject, F.lit(n))) for n in sizes]
+        ),
+        lambda h: h.isNotNull(),
     )
-    salted = compiled.withColumn("salt", F.explode(salts))
-    met = (
-        paths.withColumn("folder", F.explode(folders_above(F.col(path))))
+    return (
+        paths.select(path)
+        .distinct()
+        .withColumn("_subject", matcher.subject(F.col(path)))
+        .withColumn("head", F.explode(heads))
         .withColumn(
             "salt",
-            F.when(
-                F.col("folder") == "", F.pmod(F.xxhash64(path), F.lit(SALTS)).cast("int")
-            ).otherwise(0),
+            F.when(bare, F.pmod(F.xxhash64(path), F.lit(SALTS)).cast("int")).otherwise(0),
         )
-        .join(salted.select("ord", "folder", "salt", "regex"), ["folder", "salt"])
-        .filter(F.rlike(F.col(path), F.col("regex")))
+        .join(salted, ["head", "salt"])
+        .filter(F.rlike(subject, F.col("regex")))
         .groupBy(path)
         .agg(F.max("ord").alias("ord"))
     )
-    return met.join(rules.select("ord", "pattern", "owners"), "ord").drop("ord")
 
 
-def uncovered(df: DataFrame, path: str, rules: list[Rule], matcher=coverage_regex) -> DataFrame:
+def has_explicit_rule(path: Column, rules: list[Rule], matcher: Matcher = LENIENT) -> Column:
+    """Some rule other than the catch-all covers the path."""
+    hits = [
+        matches(matcher.subject(path), matcher.regex(r.pattern))
+        for r in rules
+        if r.pattern != CATCH_ALL
+    ]
+    return reduce(lambda a, b: a | b, hits, F.lit(False))
+
+
+def flag_explicit(
+    df: DataFrame,
+    path: str,
+    rules: list[Rule] | DataFrame,
+    flag: str = "in_rules",
+    matcher: Matcher = LENIENT,
+    max_inline: int = MAX_INLINE,
+) -> DataFrame:
+    """Add whether some rule other than the catch-all covers the path."""
+    inline = _inline(rules, max_inline)
+    if inline is not None:
+        return df.withColumn(flag, has_explicit_rule(F.col(path), inline, matcher))
+    named = rules.filter(F.col("pattern") != CATCH_ALL)
+    covered = covering_rule(df, path, named, matcher).select(path, F.lit(True).alias(flag))
+    return df.join(covered, path, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def uncovered(
+    df: DataFrame,
+    path: str,
+    rules: list[Rule] | DataFrame,
+    matcher: Matcher = STRICT,
+    max_inline: int = MAX_INLINE,
+) -> DataFrame:
     """Rows whose path no rule but the catch-all covers."""
-    named = [r for r in rules if r.pattern != CATCH_ALL]
-    subject = F.concat(F.lit("/"), F.regexp_replace(path, "^/+|/+$", ""), F.lit("/"))
-    if matcher is not coverage_regex:
-        subject = F.col(path)
-    hits = [matches(subject, matcher(r.pattern)) for r in named]
-    return df.filter(~reduce(lambda a, b: a | b, hits, F.lit(False)))
+    flagged = flag_explicit(df, path, rules, "_covered", matcher, max_inline)
+    return flagged.filter("NOT _covered").drop("_covered")
 
 
 def mentions(corpus: DataFrame, pattern: str, path: str = "path", text: str = "text") -> DataFrame:
@@ -250,11 +338,16 @@ def inventory(sets: dict[str, DataFrame], key: str) -> DataFrame:
     )
 
 
-def specific_entries(rules: list[Rule]) -> list[str]:
-    """Patterns that name one folder inside a known section."""
-    inside = tuple(f"{s}/" for s in SECTIONS)
-    entries = [r.pattern.rstrip("/") for r in rules]
-    return [e for e in entries if e.startswith(inside) and not any(w in e for w in "*?")]
+def specific_entries(patterns: Column) -> Column:
+    """The folder a pattern names, when it has no wildcard and lies in a known section; else null."""
+    entry = F.regexp_replace(patterns, "/+$", "")
+    return F.when(entry.rlike(f"^(?:{'|'.join(SECTIONS)})/[^*?]*$"), entry)
+
+
+def _named_folders(spark: SparkSession, rules: list[Rule] | DataFrame) -> DataFrame:
+    if isinstance(rules, list):
+        rules = spark.createDataFrame([(r.pattern,) for r in rules], "pattern string")
+    return rules.select(specific_entries(F.col("pattern")).alias("path")).dropna()
 
 
 def actions(path: Column, exists: Column, ruled: Column, catalogued: Column, guided: Column):
@@ -273,12 +366,11 @@ def folder_status(
     on_disk: DataFrame,
     catalogue: DataFrame,
     guides: DataFrame,
-    rules: list[Rule],
+    rules: list[Rule] | DataFrame,
     default: str = "@platform-team",
 ) -> DataFrame:
     """One row per folder known to any source: flags, owner and actions. Each frame has `path`."""
-    spark = on_disk.sparkSession
-    named = spark.createDataFrame([(p,) for p in specific_entries(rules)], "path string")
+    named = _named_folders(on_disk.sparkSession, rules)
     known = inventory(
         {
             "folder_exists": on_disk,
@@ -288,12 +380,9 @@ def folder_status(
         },
         "path",
     ).drop("named_by_rule")
-    path = F.col("path")
-    owned = last_match(known, "path", rules, default)
-    return owned.withColumn("in_rules", has_explicit_rule(path, rules)).withColumn(
-        "actions",
-        actions(path, F.col("folder_exists"), F.col("in_rules"), F.col("in_catalogue"), F.col("has_guide")),
-    )
+    owned = flag_explicit(last_match(known, "path", rules, default), "path", rules)
+    flags = [F.col(c) for c in ("folder_exists", "in_rules", "in_catalogue", "has_guide")]
+    return owned.withColumn("actions", actions(F.col("path"), *flags))
 
 
 def _counts() -> list[Column]:

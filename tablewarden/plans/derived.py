@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewarden.sources.tables import spread
+
 _NAME = re.compile(r"\{(\w+)\}")
 
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
@@ -186,12 +188,22 @@ INPUTS = {
 }
 
 
+# Tables whose rows are long texts, and what tells their rows apart.
+TEXTS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or a derived input."""
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name), TEXTS[name])
+
+
+def frame(
+    spark: SparkSession, sf_dir: str, name: str, spread_texts: bool = False
+) -> DataFrame:
+    """A given table, or a derived input; `spread_texts` is for heavy work on each text."""
     if name not in INPUTS:
         return table(spark, sf_dir, name)
     text = INPUTS[name]
@@ -199,7 +211,8 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     views = {}
     for other in needed:
         views[other] = f"_{other}"
-        frame(spark, sf_dir, other).createOrReplaceTempView(views[other])
+        source = texts if spread_texts and other in TEXTS else frame
+        source(spark, sf_dir, other).createOrReplaceTempView(views[other])
     text = text.replace('"user"', "`user`").replace('"group"', "`group`")
     return spark.sql(_NAME.sub(lambda m: views[m.group(1)], text))
 

@@ -39,7 +39,7 @@ def where_is(spark, d):
 
 
 def manifest_nodes(spark, d):
-    found = parse_manifests(frame(spark, d, "manifests"))
+    found = parse_manifests(frame(spark, d, "manifests", spread_texts=True))
     return found.select(
         "node_id", "name", "package_name", "path",
         F.coalesce("access", F.lit("-")).alias("access"), "materialized",
@@ -50,7 +50,7 @@ def manifest_nodes(spark, d):
 
 
 def manifest_readers(spark, d):
-    found = manifest_edges(parse_manifests(frame(spark, d, "manifests")))
+    found = manifest_edges(parse_manifests(frame(spark, d, "manifests", spread_texts=True)))
     return found.groupBy("child_id").agg(F.count(F.lit(1)).alias("n_models"))
 
 
@@ -132,7 +132,7 @@ def map_lookup(spark, d):
 
 
 def markdown_sections(spark, d):
-    found = lineage.markdown_sections(frame(spark, d, "guides"))
+    found = lineage.markdown_sections(frame(spark, d, "guides", spread_texts=True))
     return found.select(
         "doc_id", "name", "owner", F.array_join("inputs", "; ").alias("inputs"),
         F.array_join("outputs", "; ").alias("outputs"), "schedule",
@@ -140,7 +140,7 @@ def markdown_sections(spark, d):
 
 
 def library_cards(spark, d):
-    cards = lineage.library_cards(frame(spark, d, "guides"))
+    cards = lineage.library_cards(frame(spark, d, "guides", spread_texts=True))
     found = lineage.keyword_search(cards, "SRC1", ["description"], ["provides"])
     return found.select(
         "doc_id", "owner", "description", F.array_join("provides", "; ").alias("provides")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewarden.functions.patterns import rule_regex
 from tablewarden.operators import rules
 from tablewarden.operators.rules import Rule
 from tablewarden.plans.derived import frame, table, with_inputs
@@ -45,30 +44,37 @@ def last_match(spark, d):
 
 
 def last_match_table(spark, d):
-    """As many rules as there are pages: joined on the folder each starts in, not inlined."""
+    """About as many rules as pages: joined on the folder each starts in, not inlined."""
     lines = rules.parse_rules(frame(spark, d, "rule_lines"), inline_comments=True)
     table_rules = lines.select("ord", F.regexp_replace("pattern", "^/", "").alias("pattern"), "owners")
     paths = frame(spark, d, "sites").select(
         "page_id", F.concat("lang", F.lit("/"), "label", F.lit("/"), "page_id").alias("path")
     )
-    found = rules.last_match(paths, "path", table_rules)
+    found = rules.last_match(paths, "path", table_rules, max_inline=20)
     return found.select("page_id", "pattern", F.array_join("owners", " ").alias("owners"))
 
 
 def has_explicit_rule(spark, d):
-    return folders(spark, d).select(
-        "page_id", rules.has_explicit_rule(F.col("path"), EXPLICIT).alias("explicit")
-    )
+    flagged = rules.flag_explicit(folders(spark, d), "path", EXPLICIT, "explicit")
+    return flagged.select("page_id", "explicit")
 
 
 def uncovered(spark, d):
-    return rules.uncovered(folders(spark, d), "path", EXPLICIT, rule_regex).select("page_id", "path")
+    return rules.uncovered(folders(spark, d), "path", EXPLICIT, rules.LENIENT).select("page_id", "path")
 
 
 def uncovered_strict(spark, d):
     return rules.uncovered(folders(spark, d), "path", EXPLICIT).select("page_id", "path")
 
 
+def uncovered_table(spark, d):
+    """The same with rules from a table, joined instead of inlined."""
+    rows = [(i, r.pattern, list(r.owners)) for i, r in enumerate(EXPLICIT)]
+    listed = spark.createDataFrame(rows, "ord int, pattern string, owners array<string>")
+    found = rules.uncovered(folders(spark, d), "path", listed, max_inline=1)
+    return found.select("page_id", "path")
+
+
 def _refs(spark, d):
     return rules.mentions(table(spark, d, "pages"), '<a href="/[^"]+"', "url", "html")
 
@@ -161,6 +167,7 @@ QUERIES = {
     "has_explicit_rule": has_explicit_rule,
     "uncovered": uncovered,
     "uncovered_strict": uncovered_strict,
+    "uncovered_table": uncovered_table,
     "reference_check": reference_check,
     "examples": examples,
     "stale_entries": stale_entries,
@@ -259,6 +266,9 @@ SQL = {
     "uncovered_strict": f"""{_F}
         SELECT f.page_id, f.path FROM folders f CROSS JOIN {_values(EXPLICIT)}
         GROUP BY f.page_id, f.path HAVING NOT bool_or({_STRICT})""",
+    "uncovered_table": f"""{_F}
+        SELECT f.page_id, f.path FROM folders f CROSS JOIN {_values(EXPLICIT)}
+        GROUP BY f.page_id, f.path HAVING NOT bool_or({_STRICT})""",
     "reference_check": f"""{with_inputs("sites")}, {_REFS}, used AS (
         SELECT name, COUNT(*) AS n_paths,
                array_to_string(list_sort(list(url))[1:3], ', ') AS examples

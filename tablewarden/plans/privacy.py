@@ -14,7 +14,7 @@ from tablewarden.functions.calendar import (
 )
 from tablewarden.operators import corpus, privacy
 from tablewarden.operators.privacy import SubjectLink
-from tablewarden.plans.derived import frame, table, with_inputs
+from tablewarden.plans.derived import frame, table, texts, with_inputs
 
 LINKS = {
     "customer": SubjectLink("c_custkey"),
@@ -85,7 +85,7 @@ def residency_scan(spark, d):
 
 
 def secret_scan(spark, d):
-    return corpus.secret_scan(table(spark, d, "documents"), "text", TOKEN, path="doc_id").withColumn(
+    return corpus.secret_scan(texts(spark, d, "documents"), "text", TOKEN, path="doc_id").withColumn(
         "n_matches", F.col("n_matches").cast("bigint")
     )
 

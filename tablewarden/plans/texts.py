@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tablewarden.context import shared_dir
 from tablewarden.operators import contract, corpus
-from tablewarden.plans.derived import frame, table, with_inputs
+from tablewarden.plans.derived import frame, table, texts, with_inputs
 from tablewarden.sources.documents import read_corpus
 from tablewarden.sources.export import export_with_header
+from tablewarden.sources.tables import spread
 
 LINT = corpus.LintRules(
     max_lines=10,
@@ -19,30 +20,30 @@ SCHEMES = ("https://", "http://", "mailto:", "<script", 'lang="fr"')
 
 
 def lint_documents(spark, d):
-    return corpus.lint_documents(frame(spark, d, "mails"), LINT)
+    return corpus.lint_documents(frame(spark, d, "mails", spread_texts=True), LINT)
 
 
 def lint_guides(spark, d):
     """Documents that do have a heading and sections."""
-    guides = frame(spark, d, "guides").withColumn("path", F.concat(F.lit("/apps/"), "doc_id"))
+    guides = frame(spark, d, "guides", spread_texts=True).withColumn("path", F.concat(F.lit("/apps/"), "doc_id"))
     return corpus.lint_documents(guides, LINT)
 
 
 def forbidden_lines(spark, d):
     found = corpus.forbidden_lines(
-        table(spark, d, "documents"), ("the", "License", "token"), ("MIT", " of "), "doc_id"
+        texts(spark, d, "documents"), ("the", "License", "token"), ("MIT", " of "), "doc_id"
     )
     return found.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
 def hardcoded_paths(spark, d):
-    pages = table(spark, d, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
+    pages = texts(spark, d, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
     return corpus.hardcoded_paths(pages, "text", SCHEMES, "page_id")
 
 
 def rewrite_refs(spark, d):
     found = corpus.rewrite_refs(
-        frame(spark, d, "jobs"),
+        spread(frame(spark, d, "jobs"), "path"),
         corpus.job_rewrites(("lake_dev", "lake_staging", "lake_prod")),
         required={"run_as:": "no_run_as"},
     )

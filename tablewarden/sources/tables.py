@@ -15,6 +15,18 @@ def read_table(spark: SparkSession, env: Env, name: str) -> DataFrame:
     return spark.read.parquet(env.path(name))
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a plain file scan over all cores, when its files give fewer pieces than cores.
+
+    Such an input is small by definition, and row-local text work is worth the
+    move. A scan with enough pieces is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
+
+
 def read_scope(spark: SparkSession, path: str) -> DataFrame:
     """The scope seed: CSV with a header, `user_email,cost_centre`."""
     return spark.read.schema(SCOPE_SCHEMA).csv(path, header=True)
