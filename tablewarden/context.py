@@ -90,14 +90,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_or_shuffled(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast `df` only after counting that it is small; else leave the join to Spark.
+def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
+    """Whether the frame has at most `max_rows` rows; the count stops right after."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    Meant for narrow key frames. The count stops at `max_rows` + 1.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+
+def small_or_shuffled(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast a narrow key frame only after counting that it is small; else leave it to Spark."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def bounded_values(df: DataFrame, column: str, max_rows: int = 1_000) -> list | None:

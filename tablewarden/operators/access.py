@@ -138,16 +138,18 @@ def authorise(requests: DataFrame, memberships: DataFrame, grants: DataFrame) ->
     asked = requests.groupBy("user", "securable", "privilege").agg(
         F.count(F.lit(1)).alias("n_requests")
     )
-    users = asked.select("user").distinct()
-    principals = (
-        memberships.join(users, "user", "left_semi")
-        .select("user", F.col("group").alias("principal"))
-        .unionByName(users.select("user", F.col("user").alias("principal")))
-        .distinct()
-    )
     held = grants.select(
         F.col("securable").alias("container"), "principal", F.explode("privileges").alias("privilege")
     ).distinct()
+    granted = small_or_shuffled(held.select("principal").distinct())
+    held = small_or_shuffled(held)
+    # Only principals that hold anything matter.
+    principals = (
+        memberships.select("user", F.col("group").alias("principal"))
+        .unionByName(asked.select("user", F.col("user").alias("principal")))
+        .join(granted, "principal", "left_semi")
+        .distinct()
+    )
     allowed = (
         asked.select("user", "securable", "privilege")
         .join(principals, "user")

@@ -36,14 +36,11 @@ def deploy_timeline(
     place = ["bundle", "target"]
     order = [ts] if sequence is None else [ts, sequence]
     placed = with_previous(audit, place, order, {"previous_sha": "git_sha"})
-    first = (
-        audit.groupBy(*place, "git_sha")
-        .agg(F.min(F.struct(*order)).alias("_first"))
-    )
+    first = audit.groupBy(*place, "git_sha").agg(F.min(F.struct(*order)).alias("_first"))
     seen_before = F.struct(*order) > F.col("_first")
-    return placed.join(first, [*place, "git_sha"]).withColumn(
-        "is_rollback",
-        F.coalesce(F.col("previous_sha") != F.col("git_sha"), F.lit(False)) & seen_before,
+    changed = F.col("previous_sha") != F.col("git_sha")
+    return placed.join(first, [*place, "git_sha"], "left").withColumn(
+        "is_rollback", F.coalesce(changed & seen_before, F.lit(False))
     ).drop("_first")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.context import small_or_shuffled
+from tablewarden.context import cut_lineage, is_small, small_or_shuffled
 from tablewarden.functions.calendar import business_days
 
 # The erasure limit and how long logs are kept.
@@ -32,24 +32,6 @@ class SubjectLink:
     parent_key: str | None = None
 
 
-def _subject_keys(
-    name: str, tables: dict[str, DataFrame], links: dict[str, SubjectLink], subjects: DataFrame
-) -> DataFrame:
-    """Distinct (key, subject_id): the values of the table's link column that belong to subjects."""
-    link = links[name]
-    if link.parent is None:
-        return subjects.select(F.col("subject_id").alias("_key"), "subject_id")
-    parent_link = links[link.parent]
-    above = _subject_keys(link.parent, tables, links, subjects)
-    return (
-        tables[link.parent]
-        .select(F.col(parent_link.column).alias("_key"), F.col(link.parent_key).alias("_child"))
-        .join(above, "_key")
-        .select(F.col("_child").alias("_key"), "subject_id")
-        .distinct()
-    )
-
-
 def _walk(links: dict[str, SubjectLink]) -> list[str]:
     """Tables with children before parents, so an interrupted erasure can be resumed."""
 
@@ -60,21 +42,47 @@ def _walk(links: dict[str, SubjectLink]) -> list[str]:
     return sorted(links, key=lambda n: (-depth(n), n))
 
 
+def _subject_keys(
+    tables: dict[str, DataFrame], links: dict[str, SubjectLink], subjects: DataFrame
+) -> dict[str, DataFrame]:
+    """Per table the distinct (_key, subject_id) its link column has for the subjects.
+
+    Subjects, and keys reached through a parent, are resolved once and kept in
+    the checkpoint folder: every table of the walk uses the same set, and its
+    size is known before it is broadcast.
+    """
+    who = cut_lineage(subjects.select("subject_id").dropna().distinct())
+    found: dict[str, DataFrame] = {}
+    for name in reversed(_walk(links)):
+        link = links[name]
+        if link.parent is None:
+            found[name] = who.select(F.col("subject_id").alias("_key"), "subject_id")
+            continue
+        parent = tables[link.parent].select(
+            F.col(links[link.parent].column).alias("_key"), F.col(link.parent_key).alias("_child")
+        )
+        found[name] = cut_lineage(
+            parent.join(small_or_shuffled(found[link.parent]), "_key")
+            .select(F.col("_child").alias("_key"), "subject_id")
+            .distinct()
+        )
+    return found
+
+
 def erase(
     tables: dict[str, DataFrame], subjects: DataFrame, links: dict[str, SubjectLink]
 ) -> dict[str, DataFrame]:
     """Each table without the rows of `subjects(subject_id)`, children first.
 
-    Subjects are broadcast only when counted to be few; the tables then need no
-    shuffle for the direct link.
+    Few keys are broadcast, so the tables are filtered where they are read;
+    otherwise both sides are shuffled by key.
     """
-    who = small_or_shuffled(subjects.select("subject_id").distinct())
+    keys = _subject_keys(tables, links, subjects)
     remaining = {}
     for name in _walk(links):
-        keys = _subject_keys(name, tables, links, who).select(
-            F.col("_key").alias(links[name].column)
-        )
-        remaining[name] = tables[name].join(keys, links[name].column, "left_anti")
+        column = links[name].column
+        gone = keys[name].select(F.col("_key").alias(column)).distinct()
+        remaining[name] = tables[name].join(small_or_shuffled(gone), column, "left_anti")
     return remaining
 
 
@@ -83,28 +91,27 @@ def erasure_audit(
 ) -> DataFrame:
     """Rows to remove per ticket, subject and table, zero included. `tickets(ticket, subject_id)`.
 
-    Rows are counted per link value before they meet the tickets, so a subject
-    who owns much of a table costs one row per task.
+    Few keys: rows are picked by a broadcast join and counted with partial sums.
+    Many keys: rows are first counted per link value, so that a subject who owns
+    much of a table costs one row per task in the shuffle.
     """
-    open_tickets = tickets.filter(F.coalesce("ticket", F.lit("")) != "").select(
-        "ticket", "subject_id"
+    accepted = cut_lineage(
+        tickets.filter(F.coalesce("ticket", F.lit("")) != "").select("ticket", "subject_id")
     )
-    who = small_or_shuffled(open_tickets.select("subject_id").distinct())
+    keys = _subject_keys(tables, links, accepted)
     counted = []
     for name in _walk(links):
-        column = links[name].column
-        per_key = (
-            tables[name]
-            .groupBy(F.col(column).alias("_key"))
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        counted.append(
-            _subject_keys(name, tables, links, who)
-            .join(per_key, "_key")
-            .select(F.lit(name).alias("table_name"), "subject_id", "_rows")
-        )
+        rows = tables[name].select(F.col(links[name].column).alias("_key"))
+        if is_small(keys[name]):
+            hits = rows.join(F.broadcast(keys[name]), "_key").withColumn(
+                "_rows", F.lit(1).cast("bigint")
+            )
+        else:
+            per_key = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+            hits = keys[name].join(per_key, "_key")
+        counted.append(hits.select(F.lit(name).alias("table_name"), "subject_id", "_rows"))
     asked = [
-        open_tickets.select(
+        accepted.select(
             F.lit(name).alias("table_name"), "subject_id", F.lit(0).cast("bigint").alias("_rows")
         )
         for name in links
@@ -114,7 +121,7 @@ def erasure_audit(
         .groupBy("table_name", "subject_id")
         .agg(F.sum("_rows").alias("rows_removed"))
     )
-    return open_tickets.join(removed, "subject_id").select(
+    return accepted.join(removed, "subject_id").select(
         "ticket", "table_name", "subject_id", "rows_removed"
     )
 
@@ -123,15 +130,17 @@ def subject_access(
     tables: dict[str, DataFrame], subjects: DataFrame, links: dict[str, SubjectLink]
 ) -> DataFrame:
     """Every row of the subjects, from every table, as JSON: (table_name, subject_id, record)."""
-    who = small_or_shuffled(subjects.select("subject_id").distinct())
+    keys = _subject_keys(tables, links, subjects)
     parts = []
     for name in _walk(links):
         df, column = tables[name], links[name].column
-        keys = _subject_keys(name, tables, links, who).withColumnRenamed("_key", column)
+        wanted = small_or_shuffled(keys[name].withColumnRenamed("_key", column))
         parts.append(
-            df.select(column, F.to_json(F.struct(*df.columns)).alias("record"))
-            .join(keys, column)
-            .select(F.lit(name).alias("table_name"), "subject_id", "record")
+            df.join(wanted, column).select(
+                F.lit(name).alias("table_name"),
+                "subject_id",
+                F.to_json(F.struct(*df.columns)).alias("record"),
+            )
         )
     return reduce(DataFrame.unionByName, parts)
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.context import cut_lineage, small_or_shuffled
+
 MONEY = T.DecimalType(18, 2)
 WIDE = T.DecimalType(38, 0)
 DEFAULT_TOLERANCE = 0.001
@@ -309,10 +311,11 @@ def diff_rows(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     Keys that repeat or are null cannot be paired; they are reported once with
     their counts and kept out of the join, which would multiply them.
     """
-    bad = duplicate_keys(legacy, new, key)
+    # Normally empty or short: found once, kept, and then of known size.
+    bad = cut_lineage(duplicate_keys(legacy, new, key))
     compared = [c for c in _common(legacy, new) if c not in key]
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    bad_keys = bad.filter(whole).select(*key)
+    bad_keys = small_or_shuffled(bad.filter(whole).select(*key))
 
     def clean(df: DataFrame, side: str) -> DataFrame:
         return (
