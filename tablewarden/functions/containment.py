@@ -8,7 +8,7 @@ all-against-all comparison in either case.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.context import bounded_values
@@ -30,20 +30,14 @@ def contained_words(
     lengths = wanted.select(F.length(word).alias("n")).distinct()
     # Distinct lengths of names: a handful, whatever the number of words.
     sizes = sorted(r["n"] for r in lengths.collect())
-    pieces = F.flatten(
-        F.array(
-            *[
-                F.when(
-                    F.length(text) >= n,
-                    F.transform(
-                        F.sequence(F.lit(1), F.length(text) - (n - 1)),
-                        lambda i, n=n: F.substring(F.col(text), i, F.lit(n)),
-                    ),
-                ).otherwise(F.array().cast("array<string>"))
-                for n in sizes
-            ]
-        )
-    )
-    return df.select(*kept, F.explode(F.array_distinct(pieces)).alias(word)).join(
-        wanted, word, "left_semi"
-    ).select(*kept, word)
+
+    def cut(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
+        return F.when(
+            F.length(text) >= n,
+            F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(n))),
+        ).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.flatten(F.array(*[cut(n) for n in sizes]))
+    candidates = df.select(*kept, F.explode(F.array_distinct(pieces)).alias(word))
+    return candidates.join(wanted, word, "left_semi").select(*kept, word)

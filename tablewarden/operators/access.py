@@ -60,7 +60,7 @@ def masked_view(
 
 def _restrict(df: DataFrame, rule: Column | DataFrame, column: str) -> DataFrame:
     if isinstance(rule, DataFrame):
-        return df.join(small_or_shuffled(rule), column, "left_semi")
+        return df.join(small_or_shuffled(rule), column, "left_semi").select(*df.columns)
     return df.filter(rule)
 
 

@@ -129,7 +129,8 @@ def external_sources(projects: DataFrame) -> DataFrame:
 def read_edges(projects: DataFrame) -> DataFrame:
     """The read matrix in long form: one row per consumer and internal producer it reads."""
     names = projects.select(F.col("name").alias("producer")).distinct()
-    return _declared_sources(projects).join(names, "producer", "left_semi")
+    reads = _declared_sources(projects).join(names, "producer", "left_semi")
+    return reads.select("consumer", "producer")
 
 
 def read_matrix(projects: DataFrame, producers: list[str] | None = None) -> DataFrame:

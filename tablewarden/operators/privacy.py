@@ -82,7 +82,8 @@ def erase(
     for name in _walk(links):
         column = links[name].column
         gone = keys[name].select(F.col("_key").alias(column)).distinct()
-        remaining[name] = tables[name].join(small_or_shuffled(gone), column, "left_anti")
+        kept = tables[name].join(small_or_shuffled(gone), column, "left_anti")
+        remaining[name] = kept.select(*tables[name].columns)
     return remaining
 
 

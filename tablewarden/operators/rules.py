@@ -123,11 +123,10 @@ def last_match(
     winners = covering_rule(df, path, rules).join(
         rules.select("ord", "pattern", "owners"), "ord"
     )
-    return df.join(winners.drop("ord"), path, "left").withColumns(
-        {
-            "pattern": F.coalesce("pattern", F.lit(CATCH_ALL)),
-            "owners": F.coalesce("owners", F.array(F.lit(default))),
-        }
+    return df.join(winners, path, "left").select(
+        *df.columns,
+        F.coalesce("pattern", F.lit(CATCH_ALL)).alias("pattern"),
+        F.coalesce("owners", F.array(F.lit(default))).alias("owners"),
     )
 
 
@@ -250,7 +249,9 @@ def flag_explicit(
         return df.withColumn(flag, has_explicit_rule(F.col(path), inline, matcher))
     named = rules.filter(F.col("pattern") != CATCH_ALL)
     covered = covering_rule(df, path, named, matcher).select(path, F.lit(True).alias(flag))
-    return df.join(covered, path, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return df.join(covered, path, "left").select(
+        *df.columns, F.coalesce(flag, F.lit(False)).alias(flag)
+    )
 
 
 def uncovered(

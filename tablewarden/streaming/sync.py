@@ -123,7 +123,8 @@ def apply_changes(changes: DataFrame, spec: SyncSpec) -> DataFrame:
 
 def propagate_deletes(copy: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The copy without rows whose key the source no longer has."""
-    return copy.join(source.select(*keys).distinct(), keys, "left_semi")
+    kept = copy.join(source.select(*keys).distinct(), keys, "left_semi")
+    return kept.select(*copy.columns)
 
 
 def sync_lag(
