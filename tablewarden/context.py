@@ -91,8 +91,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
-    """Whether the frame has at most `max_rows` rows; the count stops right after."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether the frame has at most `max_rows` rows. A plain count, so no task sees them all."""
+    return df.count() <= max_rows
 
 
 def small_or_shuffled(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -100,6 +100,22 @@ def small_or_shuffled(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, max_rows: int = 100_000
+) -> DataFrame:
+    """Join rows, whose keys may be very uneven, with a frame that has each key once.
+
+    The lookup is materialised first, which settles two things. Its size is
+    known: a small one is broadcast and the rows are not shuffled at all. And a
+    large one is read back as it is, so both inputs of the join are plain
+    shuffles, the form in which adaptive execution splits a skewed partition;
+    it would not below an aggregate. Columns keep the order of `facts`.
+    """
+    kept = small_or_shuffled(cut_lineage(lookup), max_rows)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in keys]
+    return facts.join(kept, keys, how).select(*facts.columns, *added)
+
+
 def bounded_values(df: DataFrame, column: str, max_rows: int = 1_000) -> list | None:
     """The distinct non-null values of a column, or None when there are too many to inline."""
     rows = (

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.context import bounded_values
+from tablewarden.context import bounded_values, cut_lineage, lookup_join
 
 
 def contained_words(
@@ -26,7 +26,7 @@ def contained_words(
         listed = F.array(*[F.lit(v) for v in values])
         found = F.filter(listed, lambda w: F.contains(F.col(text), w))
         return df.select(*kept, F.explode(found).alias(word))
-    wanted = words.select(word).filter(F.length(word) > 0).distinct()
+    wanted = cut_lineage(words.select(word).filter(F.length(word) > 0).distinct())
     lengths = wanted.select(F.length(word).alias("n")).distinct()
     # Distinct lengths of names: a handful, whatever the number of words.
     sizes = sorted(r["n"] for r in lengths.collect())
@@ -40,4 +40,4 @@ def contained_words(
 
     pieces = F.flatten(F.array(*[cut(n) for n in sizes]))
     candidates = df.select(*kept, F.explode(F.array_distinct(pieces)).alias(word))
-    return candidates.join(wanted, word, "left_semi").select(*kept, word)
+    return lookup_join(candidates, wanted, [word], "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.context import Caller, Env, small_or_shuffled
+from tablewarden.context import Caller, Env, cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.functions.masks import MASKS, REDACTED, ROW_FILTERS, Mask, mask_pii, scope_filter
 
 
@@ -60,7 +60,7 @@ def masked_view(
 
 def _restrict(df: DataFrame, rule: Column | DataFrame, column: str) -> DataFrame:
     if isinstance(rule, DataFrame):
-        return df.join(small_or_shuffled(rule), column, "left_semi").select(*df.columns)
+        return lookup_join(df, rule, [column], "left_semi")
     return df.filter(rule)
 
 
@@ -138,9 +138,13 @@ def authorise(requests: DataFrame, memberships: DataFrame, grants: DataFrame) ->
     asked = requests.groupBy("user", "securable", "privilege").agg(
         F.count(F.lit(1)).alias("n_requests")
     )
-    held = grants.select(
-        F.col("securable").alias("container"), "principal", F.explode("privileges").alias("privilege")
-    ).distinct()
+    held = cut_lineage(
+        grants.select(
+            F.col("securable").alias("container"),
+            "principal",
+            F.explode("privileges").alias("privilege"),
+        ).distinct()
+    )
     granted = small_or_shuffled(held.select("principal").distinct())
     held = small_or_shuffled(held)
     # Only principals that hold anything matter.
@@ -214,16 +218,13 @@ def access_review(grants: DataFrame, contract: DataFrame, principals: DataFrame)
         .withColumn("_pii", F.lit(True))
     )
     alive = principals.select("principal").distinct().withColumn("_alive", F.lit(True))
-    reviewed = (
-        grants.join(pii_tables, "securable", "left")
-        .join(alive, "principal", "left")
-        .select(
-            "securable",
-            "principal",
-            F.array_join(F.array_sort("privileges"), ",").alias("privileges"),
-            F.coalesce("_pii", F.lit(False)).alias("on_pii"),
-            F.col("securable").rlike(r"(^|\.)audit(\.|$)").alias("on_audit"),
-            F.isnull("_alive").alias("stale"),
-        )
+    marked = lookup_join(grants, pii_tables, ["securable"], "left")
+    reviewed = lookup_join(marked, alive, ["principal"], "left").select(
+        "securable",
+        "principal",
+        F.array_join(F.array_sort("privileges"), ",").alias("privileges"),
+        F.coalesce("_pii", F.lit(False)).alias("on_pii"),
+        F.col("securable").rlike(r"(^|\.)audit(\.|$)").alias("on_audit"),
+        F.isnull("_alive").alias("stale"),
     )
     return reviewed.filter("on_pii OR on_audit OR stale")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.context import lookup_join
 from tablewarden.operators.ordered import with_previous
 
 AUDIT_SCHEMA = T.StructType([T.StructField("ts", T.TimestampType())])
@@ -39,7 +40,7 @@ def deploy_timeline(
     first = audit.groupBy(*place, "git_sha").agg(F.min(F.struct(*order)).alias("_first"))
     seen_before = F.struct(*order) > F.col("_first")
     changed = F.col("previous_sha") != F.col("git_sha")
-    return placed.join(first, [*place, "git_sha"], "left").withColumn(
+    return lookup_join(placed, first, [*place, "git_sha"], "left").withColumn(
         "is_rollback", F.coalesce(changed & seen_before, F.lit(False))
     ).drop("_first")
 
@@ -56,9 +57,9 @@ def bake_violations(audit: DataFrame, hours: int = BAKE_HOURS, ts: str = "ts") -
         .agg(F.min(ts).alias("staged_at"))
     )
     ready = F.col("staged_at") + F.make_dt_interval(hours=F.lit(hours))
+    shipped = audit.filter("target = 'prod'")
     return (
-        audit.filter("target = 'prod'")
-        .join(staged, ["bundle", "git_sha"], "left")
+        lookup_join(shipped, staged, ["bundle", "git_sha"], "left")
         .withColumn(
             "reason",
             F.when(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.context import lookup_join
 from tablewarden.functions.vocabulary import (
     CLASSIFICATIONS,
     NEEDS_MASK,
@@ -176,11 +177,10 @@ def mask_coverage(contract: DataFrame, synced: DataFrame, masked_views: DataFram
 
     `synced(model)`; `masked_views(model, column)`.
     """
-    return (
-        contract.filter(
-            F.coalesce("pii", F.lit(False)) & ~F.coalesce("no_mask_required", F.lit(False))
-        )
-        .select("model", "column")
-        .join(synced.select("model"), "model", "left_semi")
-        .join(masked_views.select("model", "column"), ["model", "column"], "left_anti")
+    exposed = contract.filter(
+        F.coalesce("pii", F.lit(False)) & ~F.coalesce("no_mask_required", F.lit(False))
+    ).select("model", "column")
+    copied = lookup_join(exposed, synced.select("model").distinct(), ["model"], "left_semi")
+    return copied.join(
+        masked_views.select("model", "column").distinct(), ["model", "column"], "left_anti"
     )

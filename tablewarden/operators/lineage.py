@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewarden.context import cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.functions.containment import contained_words
 from tablewarden.functions.text import (
     lines,
@@ -44,9 +45,9 @@ def where_is(nodes: DataFrame, edges: DataFrame, name: str, strict: bool = False
     reads = hits.select(
         "node_id", F.lit("depends_on").alias("relation"), F.explode("depends_on").alias("other")
     )
-    read_by = (
-        edges.join(hits.select("node_id").distinct(), "node_id", "left_semi")
-        .select("node_id", F.lit("consumed_by").alias("relation"), F.col("child_id").alias("other"))
+    ids = hits.select("node_id").distinct()
+    read_by = lookup_join(edges, ids, ["node_id"], "left_semi").select(
+        "node_id", F.lit("consumed_by").alias("relation"), F.col("child_id").alias("other")
     )
     return about.unionByName(reads).unionByName(read_by).distinct()
 
@@ -101,9 +102,9 @@ def boundary_violations(edges: DataFrame, apps: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("package", package_name(F.col("foreign_app")))
     )
+    imports = edges.withColumn("package", F.get(F.split("module", r"\."), F.lit(0)))
     return (
-        edges.withColumn("package", F.get(F.split("module", r"\."), F.lit(0)))
-        .join(owners, "package")
+        imports.join(small_or_shuffled(cut_lineage(owners)), "package")
         .filter(F.col("app") != F.col("foreign_app"))
         .select("app", "module", "foreign_app")
     )

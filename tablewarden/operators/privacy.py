@@ -81,7 +81,7 @@ def erase(
     remaining = {}
     for name in _walk(links):
         column = links[name].column
-        gone = keys[name].select(F.col("_key").alias(column)).distinct()
+        gone = keys[name].select(F.col("_key").alias(column))
         kept = tables[name].join(small_or_shuffled(gone), column, "left_anti")
         remaining[name] = kept.select(*tables[name].columns)
     return remaining

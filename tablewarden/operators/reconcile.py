@@ -305,6 +305,23 @@ def verdict(checks: DataFrame) -> DataFrame:
     )
 
 
+HEAVY_SHARE = 10_000
+
+
+def _by_weight(bad: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Repeated keys as (heavy, light).
+
+    Heavy keys hold more than 1/10,000 of the repeated rows each, so there are
+    fewer than 10,000 of them and broadcasting them is safe; what they leave to
+    a shuffle has no hot key.
+    """
+    rows = F.col("n_legacy") + F.col("n_new")
+    total = bad.agg(F.sum(rows).alias("n")).first()["n"] or 0
+    limit = total // HEAVY_SHARE
+    heavy = bad.filter(rows > limit).select(*key)
+    return heavy, small_or_shuffled(bad.filter(rows <= limit).select(*key))
+
+
 def diff_rows(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Differences by key: only_legacy, only_new, changed (with column names), bad_key.
 
@@ -315,12 +332,13 @@ def diff_rows(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     bad = cut_lineage(duplicate_keys(legacy, new, key))
     compared = [c for c in _common(legacy, new) if c not in key]
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    bad_keys = small_or_shuffled(bad.filter(whole).select(*key))
+    heavy, light = _by_weight(bad.filter(whole), key)
 
     def clean(df: DataFrame, side: str) -> DataFrame:
         return (
             df.filter(whole)
-            .join(bad_keys, key, "left_anti")
+            .join(F.broadcast(heavy), key, "left_anti")
+            .join(light, key, "left_anti")
             .select(
                 *key,
                 F.lit(True).alias(f"_{side}"),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.context import cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.functions.patterns import (
     coverage_head,
     coverage_regex,
@@ -120,10 +121,9 @@ def last_match(
             )
             .drop("_rule")
         )
-    winners = covering_rule(df, path, rules).join(
-        rules.select("ord", "pattern", "owners"), "ord"
-    )
-    return df.join(winners, path, "left").select(
+    winners = covering_rule(df, path, rules)
+    named = lookup_join(winners, rules.select("ord", "pattern", "owners"), ["ord"], "left")
+    return lookup_join(df, named.drop("ord"), [path], "left").select(
         *df.columns,
         F.coalesce("pattern", F.lit(CATCH_ALL)).alias("pattern"),
         F.coalesce("owners", F.array(F.lit(default))).alias("owners"),
@@ -182,7 +182,7 @@ def covering_rule(
     beginnings of the lengths that heads have, and only those pairs are matched.
     Patterns without a head meet every path; both sides carry a salt for them.
     """
-    compiled = (
+    compiled = cut_lineage(
         rules.groupBy("pattern")
         .agg(F.max("ord").alias("ord"))
         .select(
@@ -218,7 +218,7 @@ def covering_rule(
             "salt",
             F.when(bare, F.pmod(F.xxhash64(path), F.lit(SALTS)).cast("int")).otherwise(0),
         )
-        .join(salted, ["head", "salt"])
+        .join(small_or_shuffled(salted), ["head", "salt"])
         .filter(F.rlike(subject, F.col("regex")))
         .groupBy(path)
         .agg(F.max("ord").alias("ord"))
@@ -249,8 +249,8 @@ def flag_explicit(
         return df.withColumn(flag, has_explicit_rule(F.col(path), inline, matcher))
     named = rules.filter(F.col("pattern") != CATCH_ALL)
     covered = covering_rule(df, path, named, matcher).select(path, F.lit(True).alias(flag))
-    return df.join(covered, path, "left").select(
-        *df.columns, F.coalesce(flag, F.lit(False)).alias(flag)
+    return lookup_join(df, covered, [path], "left").withColumn(
+        flag, F.coalesce(flag, F.lit(False))
     )
 
 
@@ -321,7 +321,8 @@ def reference_check(
 
 def stale(entries: DataFrame, actual: DataFrame, key: str, source: str, reason: str) -> DataFrame:
     """Entries that name nothing real."""
-    return entries.select(key).distinct().join(actual.select(key), key, "left_anti").select(
+    real = actual.select(key).distinct()
+    return entries.select(key).distinct().join(real, key, "left_anti").select(
         F.lit(source).alias("source"), F.col(key).alias("entry"), F.lit(reason).alias("reason")
     )
 
@@ -376,7 +377,7 @@ def folder_status(
         {
             "folder_exists": on_disk,
             "in_catalogue": catalogue,
-            "has_guide": guides.join(on_disk.select("path").distinct(), "path", "left_semi"),
+            "has_guide": guides.select("path").distinct().join(on_disk.select("path").distinct(), "path", "left_semi"),
             "named_by_rule": named,
         },
         "path",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.context import SyncSpec
+from tablewarden.context import SyncSpec, lookup_join
 from tablewarden.operators.ordered import latest_by_key
 
 # How far a copy may fall behind, in seconds.
@@ -123,8 +123,7 @@ def apply_changes(changes: DataFrame, spec: SyncSpec) -> DataFrame:
 
 def propagate_deletes(copy: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The copy without rows whose key the source no longer has."""
-    kept = copy.join(source.select(*keys).distinct(), keys, "left_semi")
-    return kept.select(*copy.columns)
+    return lookup_join(copy, source.select(*keys).distinct(), keys, "left_semi")
 
 
 def sync_lag(
