@@ -184,6 +184,11 @@ def governed_read(
     return apply_masks(df, caller, env)
 
 
+def sample_lookup(df: DataFrame, *columns: str) -> DataFrame:
+    """One row of some columns, to see what a caller gets shown."""
+    return df.select(*columns).limit(1)
+
+
 def dlp_gate(df: DataFrame, mode: str = "redact", levels=("Restricted", "Confidential")) -> DataFrame:
     """Redact columns tagged with one of `levels` before export, or refuse the export."""
     tagged = [f.name for f in df.schema.fields if f.metadata.get("classification") in levels]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.context import Caller, Env
 from tablewarden.functions.masks import register_masks
+from tablewarden.jobs import TAGS
 from tablewarden.operators import access, contract
 from tablewarden.operators.marts import build_customer_360
 from tablewarden.plans.derived import frame, table, with_inputs
@@ -32,17 +33,6 @@ EVENT_GRANTS = [
     ("lake", "HOUSEHOLD", ["SELECT"]),
     ("lake.silver.error", "u7", ["MODIFY"]),
 ]
-TAGS = {
-    "email": {
-        "pii": True,
-        "classification": "Restricted",
-        "sensitivity": "Sensitive-High",
-        "retention_days": 2555,
-        "mask_function": "security.mask_pii",
-    },
-    "segment": {"pii": False, "classification": "Restricted", "no_mask_required": True},
-    "lifetime_value": {"pii": False, "classification": "Official-Closed"},
-}
 C360 = """c360 AS (
     SELECT c_custkey AS customer_id, c_name AS email, c_mktsegment AS segment,
            CAST(COALESCE(spent, 0) AS DECIMAL(18,2)) AS lifetime_value
@@ -194,8 +184,15 @@ def dlp_redact(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def sample_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """`SELECT .. LIMIT 1` as an analyst: the usual look at whether a mask works."""
+    one = access.sample_lookup(governed(spark, d, ANALYST), "email")
+    return one.withColumn("caller", F.lit("analyst"))
+
+
 QUERIES = {
     "governed_read": governed_read,
+    "sample_lookup": sample_lookup,
     "governed_read_callers": governed_read_callers,
     "mask_pii": mask_pii,
     "apply_masks": apply_masks,
@@ -222,6 +219,7 @@ SQL = {
                COUNT(*) FILTER (WHERE email = 'REDACTED') AS n_redacted,
                CAST(SUM(lifetime_value) AS DECIMAL(18,2)) AS lifetime_value
         FROM seen GROUP BY caller, segment""",
+    "sample_lookup": "SELECT 'REDACTED' AS email, 'analyst' AS caller FROM customer LIMIT 1",
     "mask_pii": "SELECT c_custkey, 'REDACTED' AS c_name, c_mktsegment FROM customer",
     "apply_masks": f"""WITH {C360}
         SELECT customer_id, 'REDACTED' AS email, segment, TRUE AS value_hidden FROM c360""",

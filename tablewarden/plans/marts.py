@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewarden import jobs
+from tablewarden.context import Env, shared_dir
 from tablewarden.operators import marts
 from tablewarden.plans.access import C360
 from tablewarden.plans.derived import table
@@ -34,10 +36,22 @@ def budget_variance(spark, d):
     return marts.budget_variance(actuals, budget)
 
 
-QUERIES = {"customer_360": customer_360, "budget_variance": budget_variance}
+def nightly_run(spark, d):
+    """The pipeline unit: reads one environment, writes the tagged shadow table of another."""
+    written = jobs.run(spark, Env("prod", base=d), Env("dev", base=shared_dir(spark)))
+    masked = [f.name for f in written.schema.fields if f.metadata.get("mask_function")]
+    return written.withColumn("masked_columns", F.lit(",".join(masked)))
+
+
+QUERIES = {
+    "customer_360": customer_360,
+    "nightly_run": nightly_run,
+    "budget_variance": budget_variance,
+}
 
 SQL = {
     "customer_360": f"WITH {C360} SELECT * FROM c360",
+    "nightly_run": f"WITH {C360} SELECT *, 'email' AS masked_columns FROM c360",
     "budget_variance": """WITH entries AS (
             SELECT o_orderpriority AS cost_centre, strftime(l_shipdate, '%Y-%m') AS period,
                    CAST(l_extendedprice AS DECIMAL(18,2)) AS actual,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.context import Env
 from tablewarden.operators.audit import AUDIT_SCHEMA
@@ -57,15 +58,28 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def dump_csv(df: DataFrame, out: str, date: str, name: str) -> str:
-    """`<out>/<date>/<name>.csv`, a folder of part files with a header each."""
+def in_order(df: DataFrame, *by: str) -> DataFrame:
+    """Rows sorted by `by`, then by the other sortable columns, so a report repeats exactly.
+
+    The sort is a range partitioning: part files follow one another in order.
+    """
+    sortable = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in by and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    return df.orderBy(*by, *sortable)
+
+
+def dump_csv(df: DataFrame, out: str, date: str, name: str, *by: str) -> str:
+    """`<out>/<date>/<name>.csv`, a folder of sorted part files with a header each."""
     path = f"{out}/{date}/{name}.csv"
-    df.write.mode("overwrite").csv(path, header=True)
+    in_order(df, *by).write.mode("overwrite").csv(path, header=True)
     return path
 
 
-def report_json(df: DataFrame) -> DataFrame:
-    """Each row as one JSON text; nulls are kept."""
-    return df.select(
+def report_json(df: DataFrame, *by: str) -> DataFrame:
+    """Each row as one JSON text, in order; nulls are kept."""
+    return in_order(df, *by).select(
         F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.text import audit_key
 from tablewarden.operators import audit, ordered
-from tablewarden.sources.tables import append_audit, dump_csv, read_audit, read_scope, report_json
+from tablewarden.sources.tables import append_audit, dump_csv, in_order, read_audit, read_scope, report_json
 
 T0 = dt.datetime(2024, 5, 1, 12)
 
@@ -87,6 +87,8 @@ def test_dump_scope_and_json(spark, tmp_path, rows):
     df = spark.createDataFrame([("a", 'q"x,y'), ("b", None)], "user_email string, cost_centre string")
     path = dump_csv(df, str(tmp_path), "2024-01-01", "scope")
     assert path.endswith("/2024-01-01/scope.csv")
+    assert [r.user_email for r in in_order(df, "cost_centre").collect()] == ["b", "a"]
+    assert [r.user_email for r in in_order(df).collect()] == ["a", "b"]
     (tmp_path / "seed.csv").write_text("user_email,cost_centre\nalice@x,FINANCE\n")
     assert rows(read_scope(spark, str(tmp_path / "seed.csv"))) == [("alice@x", "FINANCE")]
     assert rows(report_json(df)) == [

@@ -24,7 +24,7 @@ def test_lines_are_those_of_splitlines(spark, text):
 
 
 def test_text_helpers(spark):
-    df = spark.createDataFrame([("cdo.silver.t (core) (x)", "apps/a/b.py", "  a b\t\n")], "a string, p string, s string")
+    df = spark.createDataFrame([("lake.silver.t (core) (x)", "apps/a/b.py", "  a b\t\n")], "a string, p string, s string")
     got = df.select(
         source_label(F.col("a")), source_label(F.col("p")), path_segment(F.col("p"), 1),
         path_segment(F.col("p"), 9), strip(F.col("s")), extract_all(F.col("p"), "[a-z]+"),
