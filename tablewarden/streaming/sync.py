@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.context import SyncSpec, lookup_join
+from tablewarden.context import SyncSpec, cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.operators.ordered import latest_by_key
 
 # How far a copy may fall behind, in seconds.
@@ -46,24 +46,33 @@ def _folders(spark: SparkSession, parent: str, key: str) -> list[int]:
     return sorted(found)
 
 
-def _all_versions(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> DataFrame | None:
+def _with_tombstones(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> DataFrame:
+    """The newest row per key, deleted keys included.
+
+    Only snapshot rows whose key has changed since are compared with the
+    changes. The keys that changed are counted first; a moderate number is
+    broadcast, so that the snapshot itself is filtered where it is read.
+    """
+    keys, order = list(spec.primary_key_columns), list(spec.order_columns)
     snapshots = _folders(spark, f"{spec.target}/{SNAPSHOTS}", "upto")
     upto = snapshots[-1] if snapshots else -1
-    paths = [
+    later = [
         f"{spec.target}/{CHANGES}/batch_id={n}"
         for n in _folders(spark, f"{spec.target}/{CHANGES}", "batch_id")
         if n > upto
     ]
-    if snapshots:
-        paths.append(f"{spec.target}/{SNAPSHOTS}/upto={upto}")
-    return spark.read.schema(schema).parquet(*paths) if paths else None
-
-
-def _with_tombstones(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> DataFrame:
-    versions = _all_versions(spark, spec, schema)
-    if versions is None:
-        return spark.createDataFrame([], schema)
-    return latest_by_key(versions, list(spec.primary_key_columns), list(spec.order_columns))
+    reader = spark.read.schema(schema)
+    changes = latest_by_key(reader.parquet(*later), keys, order) if later else None
+    if not snapshots:
+        return spark.createDataFrame([], schema) if changes is None else changes
+    snapshot = reader.parquet(f"{spec.target}/{SNAPSHOTS}/upto={upto}")
+    if changes is None:
+        return snapshot
+    changed = small_or_shuffled(cut_lineage(changes.select(*keys)))
+    columns = snapshot.columns
+    touched = snapshot.join(changed, keys, "left_semi").select(*columns)
+    untouched = snapshot.join(changed, keys, "left_anti").select(*columns)
+    return untouched.unionByName(latest_by_key(touched.unionByName(changes), keys, order))
 
 
 def read_copy(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> DataFrame:
