@@ -17,6 +17,7 @@ FORBIDDEN = ("databricks bundle deploy", "uv run pytest", "sbt clean")
 ALLOW_MARKERS = ("make ", "<!-- raw-ok -->")
 PATH_SCHEMES = ("dbfs:/", "s3://", "abfss://", "/Workspace/Users/")
 WORKSPACE_FIELDS = ("job_id", "creator_user_name", "created_time", "run_as_user_name")
+NOTEBOOK_PATH = r"notebook_path:\s*(/Workspace/[^\s]+)"
 NOTEBOOK_SUFFIXES = ("py", "ipynb", "sql", "r", "scala")
 
 # How private keys begin.
@@ -124,17 +125,17 @@ def job_rewrites(catalogs: tuple[str, ...]) -> list[Rewrite]:
     names = "|".join(quote(c) for c in catalogs)
     notebook = r"notebook_path:\s*/Workspace/(?:[^\s/]*/)*"
     return [
-        *[Rewrite(f"{f}:", rf"(?m)^\s*{f}:.*$\n?", "") for f in WORKSPACE_FIELDS],
+        *[Rewrite(f"{f}:", rf"(?dm)^\s*{f}:.*$\n?", "") for f in WORKSPACE_FIELDS],
         Rewrite(":", rf"(?i)(catalog:\s*)(?:{names})", "$1\\${var.catalog}", "catalog"),
         Rewrite(
             "notebook_path:",
             notebook + rf"([^\s/]+\.(?:{suffix}))(\s|$)",
             "notebook_path: ./notebooks/$1$2",
             "notebook_path",
-            when=r"notebook_path:\s*/Workspace/[^\s]+",
+            when=NOTEBOOK_PATH,
         ),
         Rewrite(
-            "/Workspace/", notebook + r"([^\s/]+)", "notebook_path: ./notebooks/$1.py"
+            "/Workspace/", notebook + r"([^\s/]+)/*", "notebook_path: ./notebooks/$1.py"
         ),
         Rewrite(
             "node_type_id:",
@@ -158,9 +159,13 @@ def rewrite_refs(
     text: str = "text",
     required: dict[str, str] | None = None,
     schemes=PATH_SCHEMES,
+    collect: dict[str, str] | None = None,
 ) -> DataFrame:
     """Apply the rewrites in order; adds `rewritten` and `flags`.
 
+    `collect` maps a new column to a regex whose first group is gathered from
+    the text as it was, such as the notebooks still to be fetched.
+
     `required` maps token -> flag raised when the rewritten text lacks it. A
     scheme left in the rewritten text raises `path:<scheme>`.
     """
@@ -183,8 +188,12 @@ def rewrite_refs(
         flags.append(F.when(~F.contains("rewritten", F.lit(token)), F.lit(flag)))
     for scheme in schemes:
         flags.append(F.when(F.contains("rewritten", F.lit(scheme)), F.lit(f"path:{scheme}")))
+    gathered = [
+        F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)).alias(name)
+        for name, pattern in (collect or {}).items()
+    ]
     return df.withColumn("flags", F.array_compact(F.array(*flags))).select(
-        *kept, "rewritten", "flags"
+        *kept, "rewritten", "flags", *gathered
     )
 
 

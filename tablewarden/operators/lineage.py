@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.context import cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.functions.containment import contained_words
+from tablewarden.functions.patterns import quote
 from tablewarden.functions.text import (
     lines,
     package_name,
@@ -52,6 +53,14 @@ def where_is(nodes: DataFrame, edges: DataFrame, name: str, strict: bool = False
     return about.unionByName(reads).unionByName(read_by).distinct()
 
 
+def file_hits(paths: DataFrame, name: str) -> DataFrame:
+    """(project, path) of model files called `<name>.sql` below a project's models folder."""
+    pattern = rf"^dbt/([^/]+)/models/(?:.*/)?{quote(name)}\.sql$"
+    path = F.col("path")
+    hits = paths.filter(F.endswith(path, F.lit(f"/{name}.sql")) & path.rlike(pattern))
+    return hits.select(F.regexp_extract(path, pattern, 1).alias("project"), "path").distinct()
+
+
 def consumers_by_text(catalogue: DataFrame, name: str, text: str = "text", prefix: str = "apps/"):
     """Backquoted `apps/..` tokens on lines that mention the name."""
     mentioning = F.filter(

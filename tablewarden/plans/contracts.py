@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,28 +39,32 @@ def contract_warnings(spark, d):
 def contract_source(spark, d):
     """Contracts written out as JSON files' text, read back as rows, checked."""
     r = rows(spark, d)
-    meta = [
-        F.when(F.col("has_pii"), F.struct(F.lit("pii").alias("key"), F.col("pii").cast("string").alias("value"))),
-        F.struct(F.lit("classification").alias("key"), F.col("classification").alias("value")),
-        F.when(F.col("has_sensitivity"), F.struct(F.lit("sensitivity").alias("key"), F.col("sensitivity").alias("value"))),
-        F.when(F.col("has_retention"), F.struct(F.lit("retention_days").alias("key"), F.col("retention_days").cast("string").alias("value"))),
-        F.when(F.col("has_mask"), F.struct(F.lit("mask_function").alias("key"), F.col("mask_function").alias("value"))),
-        F.struct(F.lit("no_mask_required").alias("key"), F.col("no_mask_required").cast("string").alias("value")),
-    ]
-    file = F.struct(
+
+    def entry(key: str, shown) -> Column:
+        """`"key": value` as JSON text; a null value stays in."""
+        return F.concat(F.lit(f'"{key}": '), F.coalesce(shown, F.lit("null")))
+
+    def quoted(name: str) -> Column:
+        return F.concat(F.lit('"'), F.col(name), F.lit('"'))
+
+    tags = F.array_compact(
         F.array(
-            F.struct(
-                F.col("model").alias("name"),
-                F.array(
-                    F.struct(
-                        F.col("column").alias("name"),
-                        F.map_from_entries(F.array_compact(F.array(*meta))).alias("meta"),
-                    )
-                ).alias("columns"),
-            )
-        ).alias("models")
+            F.when(F.col("has_pii"), entry("pii", F.col("pii").cast("string"))),
+            entry("classification", quoted("classification")),
+            F.when(F.col("has_sensitivity"), entry("sensitivity", quoted("sensitivity"))),
+            F.when(
+                F.col("has_retention"), entry("retention_days", F.col("retention_days").cast("string"))
+            ),
+            F.when(F.col("has_mask"), entry("mask_function", quoted("mask_function"))),
+            entry("no_mask_required", F.col("no_mask_required").cast("string")),
+        )
+    )
+    texts = r.select(
+        F.concat(
+            F.lit('{"models": [{"name": "'), "model", F.lit('", "columns": [{"name": "'), "column",
+            F.lit('", "meta": {'), F.array_join(tags, ", "), F.lit("}}]}]}"),
+        ).alias("text")
     )
-    texts = r.select(F.to_json(file, {"ignoreNullFields": "false"}).alias("text"))
     found = contract.contract_violations(contract_table(texts))
     return found.groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
 

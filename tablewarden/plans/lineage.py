@@ -38,6 +38,13 @@ def where_is(spark, d):
     return lineage.where_is(nodes(spark, d), edges(spark, d), "ththan")
 
 
+def file_hits(spark, d):
+    files = frame(spark, d, "sites").select(
+        F.concat(F.lit("dbt/"), "lang", F.lit("/models/"), "kind", F.lit("/"), "label", F.lit(".sql")).alias("path")
+    )
+    return lineage.file_hits(files, "ththan")
+
+
 def manifest_nodes(spark, d):
     found = parse_manifests(frame(spark, d, "manifests", spread_texts=True))
     return found.select(
@@ -149,6 +156,7 @@ def library_cards(spark, d):
 
 QUERIES = {
     "where_is": where_is,
+    "file_hits": file_hits,
     "manifest_nodes": manifest_nodes,
     "manifest_readers": manifest_readers,
     "consumers_by_text": consumers_by_text,
@@ -183,6 +191,9 @@ SQL = {
         UNION
         SELECT 'page.' || page_id, 'consumed_by', 'doc.' || source
         FROM hits JOIN documents ON doc_id = page_id""",
+    "file_hits": f"""{_S}
+        SELECT DISTINCT lang AS project, 'dbt/' || lang || '/models/' || kind || '/ththan.sql' AS path
+        FROM sites WHERE label = 'ththan'""",
     "manifest_nodes": """
         SELECT 'model.' || doc_id AS node_id, source AS name, lang AS package_name,
                'models/' || doc_id || '.sql' AS path,

@@ -46,8 +46,12 @@ def rewrite_refs(spark, d):
         spread(frame(spark, d, "jobs"), "path"),
         corpus.job_rewrites(("lake_dev", "lake_staging", "lake_prod")),
         required={"run_as:": "no_run_as"},
+        collect={"notebooks": corpus.NOTEBOOK_PATH},
+    )
+    return found.select(
+        "path", "rewritten", F.array_join("flags", ",").alias("flags"),
+        F.array_join("notebooks", ",").alias("notebooks"),
     )
-    return found.select("path", "rewritten", F.array_join("flags", ",").alias("flags"))
 
 
 def corpus_files(spark, d):
@@ -138,7 +142,9 @@ SQL = {
                CASE WHEN o_orderstatus IN ('F', 'O') THEN 'catalog,' ELSE '' END ||
                'notebook_path,node_type_id,num_workers' ||
                CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE ',no_run_as' END ||
-               CASE WHEN o_orderpriority = '5-LOW' THEN ',path:s3://' ELSE '' END AS flags
+               CASE WHEN o_orderpriority = '5-LOW' THEN ',path:s3://' ELSE '' END AS flags,
+               '/Workspace/Users/u' || o_custkey || '/load_' || o_orderkey ||
+               CASE WHEN o_totalprice > 200000 THEN '.sql' ELSE '' END AS notebooks
         FROM orders""",
     "corpus_files": """SELECT source, COUNT(*) AS n_texts, CAST(SUM(length(text)) AS BIGINT) AS n_chars
         FROM documents WHERE source <> 'src3' GROUP BY source""",

@@ -17,7 +17,7 @@ NODE = (
 MANIFEST = f"nodes map<string, {NODE}>, child_map map<string, array<string>>"
 CONTRACT_FILE = (
     "models array<struct<name: string, columns: array<struct<name: string, data_type: string, "
-    "meta: map<string, string>>>, "
+    "meta: variant>>, "
     "config: struct<contract: struct<enforced: boolean>, "
     "row_filter: struct<function: string, on_columns: array<string>>>>>"
 )
@@ -64,14 +64,11 @@ def manifest_edges(nodes: DataFrame) -> DataFrame:
     return nodes.select("node_id", F.explode("consumed_by").alias("child_id"))
 
 
-def _declared(meta: Column, key: str) -> Column:
-    return F.coalesce(F.map_contains_key(meta, F.lit(key)), F.lit(False))
-
-
 def contract_table(df: DataFrame, text: str = "text") -> DataFrame:
     """Exported contracts (JSON, one file per row) to one row per model and column.
 
-    Read as a map, so a key declared as null can be told from a missing key.
+    Tags are read as variants, which tell a missing key from a null, and a
+    number from a text that looks like one.
     """
     models = df.select(F.from_json(F.col(text), CONTRACT_FILE).alias("f")).select(
         F.explode("f.models").alias("m")
@@ -79,26 +76,36 @@ def contract_table(df: DataFrame, text: str = "text") -> DataFrame:
     columns = models.select(F.col("m.name").alias("model"), F.explode("m.columns").alias("c"))
     meta = F.col("c.meta")
 
-    def value(key: str) -> Column:
-        return F.try_element_at(meta, F.lit(key))
+    def declared(key: str) -> Column:
+        return F.variant_get(meta, f"$.{key}", "variant").isNotNull()
+
+    def value(key: str, kind: str) -> Column:
+        return F.try_variant_get(meta, f"$.{key}", kind)
 
-    whole_number = F.when(value("retention_days").rlike("^-?[0-9]+$"), value("retention_days"))
+    def kind_of(key: str) -> Column:
+        return F.schema_of_variant(F.variant_get(meta, f"$.{key}", "variant"))
+
+    waived = (
+        F.when(kind_of("no_mask_required") == "BOOLEAN", value("no_mask_required", "boolean"))
+        .when(kind_of("no_mask_required") == "STRING", value("no_mask_required", "string") != "")
+        .otherwise(F.coalesce(value("no_mask_required", "double") != 0, F.lit(False)))
+    )
     return columns.select(
         "model",
         F.col("c.name").alias("column"),
         F.col("c.data_type").alias("data_type"),
-        _declared(meta, "pii").alias("has_pii"),
-        value("pii").try_cast("boolean").alias("pii"),
-        value("classification").alias("classification"),
-        _declared(meta, "sensitivity").alias("has_sensitivity"),
-        value("sensitivity").alias("sensitivity"),
-        _declared(meta, "retention_days").alias("has_retention"),
-        whole_number.try_cast("int").alias("retention_days"),
-        _declared(meta, "mask_function").alias("has_mask"),
-        value("mask_function").alias("mask_function"),
-        F.coalesce(value("no_mask_required").try_cast("boolean"), F.lit(False)).alias(
-            "no_mask_required"
+        declared("pii").alias("has_pii"),
+        value("pii", "boolean").alias("pii"),
+        value("classification", "string").alias("classification"),
+        declared("sensitivity").alias("has_sensitivity"),
+        value("sensitivity", "string").alias("sensitivity"),
+        declared("retention_days").alias("has_retention"),
+        F.when(kind_of("retention_days") == "BIGINT", value("retention_days", "int")).alias(
+            "retention_days"
         ),
+        declared("mask_function").alias("has_mask"),
+        value("mask_function", "string").alias("mask_function"),
+        waived.alias("no_mask_required"),
     )
 
 

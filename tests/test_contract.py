@@ -99,7 +99,13 @@ def test_contract_files_tell_null_from_absent(spark, rows):
         {"name": "a", "meta": {"pii": true, "classification": "Restricted", "sensitivity": null,
                                "retention_days": 10, "mask_function": null}},
         {"name": "b", "meta": {"pii": true, "pii_class": "contact", "purpose": "x"}},
-        {"name": "d"}]}]}"""
+        {"name": "d"},
+        {"name": "e", "meta": {"pii": null, "classification": "Restricted", "sensitivity": "NA",
+                               "retention_days": "30", "no_mask_required": "reviewed"}},
+        {"name": "f", "meta": {"pii": false, "classification": "Confidential", "sensitivity": "NA",
+                               "retention_days": true, "no_mask_required": false}},
+        {"name": "g", "meta": {"pii": false, "classification": 5, "sensitivity": "NA",
+                               "retention_days": 30.0, "no_mask_required": 1}}]}]}"""
     files = spark.createDataFrame([(text,), ("not json",), ("[1]",)], "text string")
     found = c.contract_violations(contract_table(files)).select("column", "violation")
     assert rows(found) == [
@@ -111,6 +117,11 @@ def test_contract_files_tell_null_from_absent(spark, rows):
         ("d", "missing pii"),
         ("d", "missing retention_days"),
         ("d", "missing sensitivity"),
+        ("e", "retention_days must be a positive integer"),
+        ("f", "missing mask_function"),
+        ("f", "retention_days must be a positive integer"),
+        ("g", "invalid classification"),
+        ("g", "retention_days must be a positive integer"),
     ]
     assert rows(c.list_row_filters(contract_models(files))) == [("m", "f", "a")]
 

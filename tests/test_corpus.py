@@ -47,7 +47,8 @@ def test_rewrite(spark):
     )
     found = corpus.rewrite_refs(
         texts(spark, text, "run_as: x\ndata: s3://b"), corpus.job_rewrites(("lake_dev", "lake_prod")),
-        required={"run_as:": "no_run_as"}).orderBy("path").collect()
+        required={"run_as:": "no_run_as"}, collect={"notebooks": corpus.NOTEBOOK_PATH}).orderBy("path").collect()
+    assert [f.notebooks for f in found] == [["/Workspace/Users/me/run", "/Workspace/a/b/two.sql"], []]
     assert found[0].rewritten == (
         "job:\n  Catalog: ${var.catalog}\n  notebook_path: ./notebooks/run.py\n"
         "  notebook_path: ./notebooks/two.sql\n  node_type_id: ${var.cluster_node_type_id}\n"

@@ -50,6 +50,13 @@ def test_manifests(spark, rows):
         lineage.where_is(nodes, edges, "zzz", strict=True)
 
 
+def test_file_hits(spark, rows):
+    paths = ["dbt/core/models/a/b.sql", "dbt/core/models/b.sql", "dbt/core/models/xb.sql", "dbt/core/b.sql",
+             "apps/core/models/b.sql", "dbt/fin/models/b.sql.bak"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    assert rows(lineage.file_hits(df, "b")) == [("core", paths[0]), ("core", paths[1])]
+
+
 def test_consumers_by_text(spark, rows):
     text = "| p | `apps/one` | reads fct | `apps/two` |\n| q | `apps/three` | none |\nfct without"
     df = spark.createDataFrame([(text,)], "text string")
