@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,27 +69,34 @@ class SyncSpec:
             raise ValueError(f"unknown scheduling policy {self.scheduling_policy!r}")
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 
-    Taken from `spark.checkpoint.dir`. Only a local session, which is its own
+    Below `spark.checkpoint.dir`. Only a local session, which is its own
     cluster, may fall back to a folder on this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        unique = spark.sql("SELECT uuid() AS u").first()["u"]
-        return f"{root.rstrip('/')}/run-{unique}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_root(spark.sparkContext.applicationId)
+    return f"{root.rstrip('/')}/run-{uuid.uuid4()}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the reliable checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Materialise `df` as a table in the shared folder and read it back.
+
+    It survives the loss of executors. Columns can be pruned when it is read,
+    and its rows are counted from file footers.
+    """
+    path = f"{shared_dir(df.sparkSession)}/frame"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:

@@ -8,7 +8,7 @@ all-against-all comparison in either case.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.context import bounded_values, cut_lineage, lookup_join
@@ -19,6 +19,7 @@ def contained_words(
 ) -> DataFrame:
     """`df` without its text, one row per word of `words` that the text contains."""
     kept = [c for c in df.columns if c != text]
+    words = words.select(word).filter(F.length(word) > 0)
     values = bounded_values(words, word, max_literals)
     if values is not None:
         if not values:
@@ -26,18 +27,17 @@ def contained_words(
         listed = F.array(*[F.lit(v) for v in values])
         found = F.filter(listed, lambda w: F.contains(F.col(text), w))
         return df.select(*kept, F.explode(found).alias(word))
-    wanted = cut_lineage(words.select(word).filter(F.length(word) > 0).distinct())
-    lengths = wanted.select(F.length(word).alias("n")).distinct()
+    wanted = cut_lineage(words.distinct())
     # Distinct lengths of names: a handful, whatever the number of words.
+    lengths = wanted.select(F.length(word).alias("n")).distinct()
     sizes = sorted(r["n"] for r in lengths.collect())
-
-    def cut(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-        return F.when(
-            F.length(text) >= n,
-            F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(n))),
-        ).otherwise(F.array().cast("array<string>"))
-
-    pieces = F.flatten(F.array(*[cut(n) for n in sizes]))
-    candidates = df.select(*kept, F.explode(F.array_distinct(pieces)).alias(word))
+    if not sizes:
+        return df.select(*kept, F.lit(None).cast("string").alias(word)).filter(F.lit(False))
+    starts = F.sequence(F.lit(1), F.length(text) - F.col("_n") + 1)
+    pieces = F.transform(starts, lambda i: F.substring(F.col(text), i, F.col("_n")))
+    candidates = (
+        df.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sizes])))
+        .filter(F.length(text) >= F.col("_n"))
+        .select(*kept, F.explode(F.array_distinct(pieces)).alias(word))
+    )
     return lookup_join(candidates, wanted, [word], "left_semi")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.context import lookup_join
-from tablewarden.operators.ordered import with_previous
+from tablewarden.operators.ordered import GROUP_ROWS, previous_over_pieces, split_by_weight
 
 AUDIT_SCHEMA = T.StructType([T.StructField("ts", T.TimestampType())])
 for _name in (
@@ -27,22 +27,39 @@ BAKE_HOURS = 24
 
 
 def deploy_timeline(
-    audit: DataFrame, ts: str = "ts", sequence: str | None = None
+    audit: DataFrame, ts: str = "ts", sequence: str | None = None, max_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Each deploy with the sha it replaced and whether it rolled back.
 
     A rollback deploys a sha that this bundle and target had before, right after
-    a different one. `sequence` breaks ties of `ts`.
+    a different one. `sequence` breaks ties of `ts`. Timelines of moderate
+    length take one shuffle, which serves both windows; longer ones are cut into
+    pieces and look up when their sha was first deployed.
     """
     place = ["bundle", "target"]
     order = [ts] if sequence is None else [ts, sequence]
-    placed = with_previous(audit, place, order, {"previous_sha": "git_sha"})
-    first = audit.groupBy(*place, "git_sha").agg(F.min(F.struct(*order)).alias("_first"))
-    seen_before = F.struct(*order) > F.col("_first")
+    light, heavy = split_by_weight(audit, place, max_rows)
+    line = Window.partitionBy(*place).orderBy(*order)
+    same_sha = Window.partitionBy(*place, "git_sha").orderBy(*order)
+    placed = light.withColumns(
+        {
+            "previous_sha": F.lag("git_sha").over(line),
+            "_seen": F.row_number().over(same_sha) > 1,
+        }
+    )
+    if heavy is not None:
+        long = previous_over_pieces(heavy, place, order, {"previous_sha": "git_sha"})
+        first = heavy.groupBy(*place, "git_sha").agg(F.min(F.struct(*order)).alias("_first"))
+        seen = F.struct(*order) > F.col("_first")
+        placed = placed.unionByName(
+            lookup_join(long, first, [*place, "git_sha"], "left")
+            .withColumn("_seen", seen)
+            .drop("_first")
+        )
     changed = F.col("previous_sha") != F.col("git_sha")
-    return lookup_join(placed, first, [*place, "git_sha"], "left").withColumn(
-        "is_rollback", F.coalesce(changed & seen_before, F.lit(False))
-    ).drop("_first")
+    return placed.withColumn(
+        "is_rollback", F.coalesce(changed & F.col("_seen"), F.lit(False))
+    ).drop("_seen")
 
 
 def rollbacks(timeline: DataFrame) -> DataFrame:

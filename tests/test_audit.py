@@ -21,23 +21,26 @@ def flags(df):
     return {r.id: (r.previous_sha, r.is_rollback) for r in df.collect()}
 
 
-def test_rollback_is_an_older_sha_after_another(spark):
+@pytest.mark.parametrize("limit", [2, 1_000_000])
+def test_rollback_is_an_older_sha_after_another(spark, limit):
     df = log(spark, (0, "x", "prod", "A"), (1, "x", "prod", "B"), (2, "x", "prod", "A"), (3, "x", "prod", "A"),
              (0, "x", "dev", "A"), (4, "x", "prod", None), (5, "x", "prod", "C"))
-    assert flags(audit.deploy_timeline(df, sequence="id")) == {
+    assert flags(audit.deploy_timeline(df, sequence="id", max_rows=limit)) == {
         0: (None, False), 1: ("A", False), 2: ("B", True), 3: ("A", False), 4: (None, False),
         5: ("A", False), 6: (None, False)}
     assert audit.rollbacks(audit.deploy_timeline(df, sequence="id")).count() == 1
 
 
+@pytest.mark.parametrize("max_rows", [0, 100, 1_000_000])
 @pytest.mark.parametrize("hot", [0, 2000])
-def test_previous_row_over_partition_seams(spark, hot):
+def test_previous_row_over_partition_seams(spark, hot, max_rows):
     """One key owns nearly everything, with equal timestamps; compared with a plain loop."""
     entries = [("k", i // 50, i, (i * 7919) % 13) for i in range(hot)]
     entries += [(f"c{i % 40}", i // 40, 10_000 + i, i % 5) for i in range(400)]
     entries += [(None, 1, 99_999, 1), (None, 2, 100_000, 2)]
     df = spark.createDataFrame(entries, "k string, ts int, id int, v int").repartition(7)
-    got = {r.id: r.before for r in ordered.with_previous(df, ["k"], ["ts", "id"], {"before": "v"}).collect()}
+    got = {r.id: r.before for r in ordered.with_previous(
+        df, ["k"], ["ts", "id"], {"before": "v"}, max_rows).collect()}
     want, last = {}, {}
     for k, ts, i, v in sorted(entries, key=lambda e: (e[1], e[2])):
         want[i], last[k] = last.get(k), v

@@ -50,13 +50,14 @@ def test_large_lookup_splits_the_hot_key(uneven, small_pieces, how):
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-def test_timeline_of_one_hot_bundle(spark):
+@pytest.mark.parametrize("limit", [5_000, 1_000_000])
+def test_timeline_of_one_hot_bundle(spark, limit):
     log = spark.range(0, 30_000, 1, 6).select(
         "id", F.timestamp_seconds(F.col("id") / 100).alias("ts"),
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 50)).alias("bundle"),
         F.lit("prod").alias("target"), F.concat(F.lit("s"), F.col("id") * 31 % 97 % 11).alias("git_sha"),
     )
-    got = audit.deploy_timeline(log, sequence="id")
+    got = audit.deploy_timeline(log, sequence="id", max_rows=limit)
     want, last, seen = {}, {}, set()
     for r in sorted(log.collect(), key=lambda r: (r.ts, r.id)):
         before = last.get(r.bundle)
