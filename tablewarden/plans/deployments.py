@@ -16,7 +16,15 @@ def log(spark, d):
 
 
 def deploy_timeline(spark, d):
-    line = audit.deploy_timeline(log(spark, d), sequence="event_id")
+    return _shown(audit.deploy_timeline(log(spark, d), sequence="event_id"))
+
+
+def deploy_timeline_pieces(spark, d):
+    """The same with every longer timeline cut into pieces, as a hot bundle's would be."""
+    return _shown(audit.deploy_timeline(log(spark, d), sequence="event_id", max_rows=15))
+
+
+def _shown(line):
     return line.select(
         "event_id", "bundle", "target", "git_sha",
         F.coalesce("previous_sha", F.lit("")).alias("previous_sha"), "is_rollback",
@@ -76,6 +84,7 @@ def access_dump(spark, d):
 
 QUERIES = {
     "deploy_timeline": deploy_timeline,
+    "deploy_timeline_pieces": deploy_timeline_pieces,
     "rollbacks": rollbacks,
     "bake_violations": bake_violations,
     "sod_violations": sod_violations,
@@ -91,11 +100,14 @@ _LINE = """line AS (
            ROW_NUMBER() OVER (PARTITION BY bundle, target, git_sha ORDER BY ts, event_id) AS nth
     FROM deploys)"""
 
-SQL = {
-    "deploy_timeline": f"""{_D}, {_LINE}
+_TIMELINE = f"""{_D}, {_LINE}
         SELECT event_id, bundle, target, git_sha, COALESCE(previous, '') AS previous_sha,
                COALESCE(previous <> git_sha AND nth > 1, FALSE) AS is_rollback
-        FROM line""",
+        FROM line"""
+
+SQL = {
+    "deploy_timeline": _TIMELINE,
+    "deploy_timeline_pieces": _TIMELINE,
     "rollbacks": f"""{_D}, {_LINE}
         SELECT bundle, target, COUNT(*) AS n_rollbacks FROM line
         WHERE previous <> git_sha AND nth > 1 GROUP BY bundle, target""",
