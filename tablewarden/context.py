@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass, field
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +90,28 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/run-{uuid.uuid4()}"
 
 
+@cache
+def _shipped(application: str) -> str:
+    """This package as a zip file in the driver's temporary folder."""
+    package = Path(__file__).resolve().parent
+    archive = f"{tempfile.mkdtemp(prefix='tablewarden-')}/tablewarden.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    return archive
+
+
+_sent: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for functions that run there; once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _sent:
+        spark.sparkContext.addPyFile(_shipped(application))
+        _sent.add(application)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` as a table in the shared folder and read it back.
 

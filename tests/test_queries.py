@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as registered
 from compare import connect, expected, mismatch
+from tablewarden import plans
 from tablewarden.context import Env, SyncSpec, shared_dir
 from tablewarden.operators import marts
 from tablewarden.plans.derived import table
@@ -22,14 +23,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(plans.all_queries()))
 def test_query_equals_sql(spark, con, name):
     names, rows = expected(con, registered.oracle_sql()[name])
     assert mismatch(registered.queries()[name](spark, SF), names, rows) is None
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(plans.all_queries()) == set(plans.all_sql())
 
 
 def test_entry(spark):
