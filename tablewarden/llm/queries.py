@@ -4,21 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewarden.llm import quality, sharding
+import public_tokenizers
+from tablewarden.llm import (
+    langid, merkle, packing, quality, sharding, token_files, toxicity, word_table,
+)
 from tablewarden.llm.tables import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path, end_id=2)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=0)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return word_table.encode_and_decode(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_token_files": op4_token_files,
+    "op6_language_id": op6_language_id,
+    "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_word_table": op10_word_table,
 }
 
 SQL: dict[str, str] = {}

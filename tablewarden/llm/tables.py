@@ -18,14 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_batches(
     df: DataFrame,
-    schema: T.StructType,
+    ddl: str,
     make: Callable[[], Callable[[pa.RecordBatch], dict | None]],
 ) -> DataFrame:
     """Run `make()` once in each task, and what it returns on each Arrow batch.
 
-    The inner function gives the columns of `schema` by name, as lists or arrays.
+    The inner function gives the columns that `ddl` names, as lists or arrays.
     """
     ship_package(df.sparkSession)
+    schema = T.StructType.fromDDL(ddl)
     arrow = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
