@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from tablewarden.llm import (
-    langid, merkle, packing, quality, sharding, token_files, toxicity, word_table,
+    langid, merkle, ngram_join, packing, passages, quality, sharding, token_files, toxicity,
+    word_table,
 )
 from tablewarden.llm.tables import table
 
@@ -16,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), path, end_id=2)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn(docs))
@@ -50,8 +59,10 @@ def op10_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_ngram_join": op2_ngram_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
