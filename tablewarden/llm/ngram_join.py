@@ -20,7 +20,7 @@ from tablewarden.llm.words import groups, scan, sequence_hash, shingle_hashes, s
 WIDTH = 5
 PERCENT = 75
 #: A shingle is frequent if the batches that hold it twice or more hold it so often together.
-FREQUENT = 32
+FREQUENT = 8
 #: So many frequent shingles at most are set apart, the most frequent (8 MB).
 MAX_FREQUENT = 1_000_000
 #: Ids of copies are broadcast up to this number (16 MB), else joined by a shuffle.
@@ -137,8 +137,7 @@ def _items_of(docs: DataFrame, holders: DataFrame):
         )
         texts = docs.join(ids, docs.doc_id.eqNullSafe(ids.h), "left_semi").select("text")
         found = map_batches(texts, "node long, items binary", make)
-        return found.join(small_or_shuffled(nodes, MAX_BROADCAST_IDS), "node", "left_semi") \
-            .dropDuplicates(["node"])
+        return found.join(small_or_shuffled(nodes, MAX_BROADCAST_IDS), "node", "left_semi")
 
     return items_of
 
@@ -171,7 +170,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         MAX_BROADCAST_IDS,
     )
     linked = link_lists(
-        _postings(docs, frequent, copies), _items_of(docs, holders), PERCENT
+        _postings(docs, frequent, copies), _items_of(docs, holders), PERCENT, prefixes=True
     )
     grouped = cut_lineage(
         holders.join(linked, holders.key == linked.node, "left")

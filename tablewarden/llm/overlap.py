@@ -149,9 +149,26 @@ def _block_links(pools: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("pool", "i", "j").applyInPandas(search, "a long, b long")
 
 
-def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75) -> DataFrame:
+def _shared_enough(n: Column, m: Column, c: Column, percent: int) -> Column:
+    """Whether c common items of two prefixes leave room for the overlap that is needed.
+
+    All common items up to the end of the prefix that ends first are counted, and
+    what follows it in that set cannot be more than its rest.
+    """
+    def rest(x: Column) -> Column:
+        return F.ceil(x * percent / 100) - 1
+
+    least = F.ceil(percent * (n + m) / (100 + percent))
+    return c + F.greatest(rest(n), rest(m)) >= least
+
+
+def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75, prefixes: bool = False,
+               short_list: int = SHORT_LIST) -> DataFrame:
     """(g, node, n) memberships in inverted lists -> (node, component) by links.
 
+    With `prefixes`, the lists hold the first items of each set in a common order,
+    and candidates must share as many as similar sets do (T-occurrence).
+
     Two nodes are linked when they share a list and their sets have a Jaccard of
     `percent` or more; n is the size of a node's set. Repeated memberships do no
     harm. The components are exact for all pairs that share a list.
@@ -164,17 +181,21 @@ def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75) -> Data
             F.min(F.struct("node", "n")).over(whole).alias("pivot"),
         ).where("df > 1")
     )
-    stars = cut_lineage(
+    stars = (
         shared.where("node <> pivot.node").where(_sizes_allow(F.col("n"), F.col("pivot.n"), percent))
-        .select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
+        .groupBy(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+        .agg(F.first("pivot.n").alias("an"), F.first("n").alias("bn"), F.count("*").alias("common"))
     )
+    if prefixes:
+        stars = stars.where(_shared_enough(F.col("an"), F.col("bn"), F.col("common"), percent))
+    stars = cut_lineage(stars.select("a", "b"))
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     links = cut_lineage(verified(stars, cut_lineage(items_of(cut_lineage(ends))), percent))
     labels = connected_components(links)
 
     # Lists whose members are not yet all connected, beyond the pairs tried above.
     open_members = (
-        shared.where("df > 2").join(labels, "node", "left")
+        shared.join(labels, "node", "left")
         .withColumn("c", F.coalesce("component", "node")).drop("component")
     )
     open_lists = (
@@ -183,17 +204,22 @@ def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75) -> Data
     )
     rest = cut_lineage(open_members.join(open_lists, "g", "left_semi"))
 
-    short = rest.where(F.col("df") <= SHORT_LIST)
+    # A pair that also meets in a long list is left to the blocks, which see whole sets.
+    short = rest.where(F.col("df") <= short_list)
     x = short.select("g", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-    y = short.select("g", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"),
-                     F.col("pivot.node").alias("p"))
+    y = short.select("g", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
     pairs = (
-        x.join(y, "g").where("a < b and ac <> bc and a <> p")
-        .where(_sizes_allow(F.col("an"), F.col("bn"), percent)).select("a", "b").distinct()
+        x.join(y, "g").where("a < b and ac <> bc")
+        .where(_sizes_allow(F.col("an"), F.col("bn"), percent))
+        .groupBy("a", "b")
+        .agg(F.first("an").alias("an"), F.first("bn").alias("bn"), F.count("*").alias("common"))
     )
-    pairs = cut_lineage(pairs)
+    if prefixes:
+        pairs = pairs.where(_shared_enough(F.col("an"), F.col("bn"), F.col("common"), percent))
+    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = cut_lineage(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))
 
-    long = rest.where(F.col("df") > SHORT_LIST)
+    long = rest.where(F.col("df") > short_list)
     pool_of = connected_components(
         long.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
     )

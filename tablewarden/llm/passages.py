@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.context import cut_lineage, small_or_shuffled
+from tablewarden.context import cut_lineage, is_small
 from tablewarden.llm.overlap import link_lists
 from tablewarden.llm.tables import map_batches, texts_of
 from tablewarden.llm.words import groups, mix, powers, scan, shingle_hashes
@@ -32,6 +32,11 @@ BANDS = 2
 #: loses up to a paragraph at either end, where the text around it decides.
 MIN_RUN_WORDS = 16
 MIN_PARAGRAPH_WORDS = RADIUS
+#: Lists of more members than this are searched in blocks. Where a passage begins and ends,
+#: each of its copies has a paragraph of its own, so these lists are as long as it is frequent.
+SHORT_LIST = 8
+#: Numbers that are broadcast together at most (16 MB).
+MAX_BROADCAST_VALUES = 2_000_000
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -63,17 +68,27 @@ class Paragraphs:
     bands: np.ndarray  # a column for each band
 
 
-def paragraphs(hashes: np.ndarray) -> Paragraphs:
+def paragraph_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, numbers of words and identities of the paragraphs."""
     starts = paragraph_starts(hashes)
     n = len(hashes)
     sizes = np.diff(starts, append=n)
     if n == 0:
-        return Paragraphs(starts, sizes, np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
+        return starts, sizes, np.zeros(0, np.uint64)
     position = np.arange(n) - np.repeat(starts, sizes)
     keys = mix(
         np.add.reduceat(mix(hashes) * powers(int(sizes.max()) + 1)[position], starts)
         + sizes.astype(np.uint64)
     )
+    return starts, sizes, keys
+
+
+def paragraphs(hashes: np.ndarray) -> Paragraphs:
+    starts, sizes, keys = paragraph_keys(hashes)
+    n = len(hashes)
+    if n == 0:
+        return Paragraphs(starts, sizes, keys, np.zeros((0, BANDS), np.uint64))
+    position = np.arange(n) - np.repeat(starts, sizes)
     shingles = np.full(n, _TOP)
     if n >= WIDTH:
         whole = shingle_hashes(hashes, WIDTH)
@@ -126,31 +141,34 @@ def _items_of(docs: DataFrame, holders: DataFrame):
     """For `link_lists`: the shingles of the asked paragraphs, from one document that has each."""
 
     def items_of(nodes: DataFrame) -> DataFrame:
-        asked = nodes.join(holders, nodes.node == holders.key).select("node", "holder")
-        ids = small_or_shuffled(cut_lineage(asked.select("holder").distinct()), 1_000_000)
-        texts = docs.join(ids, docs.doc_id == ids.holder, "left_semi").select("text")
+        asked = cut_lineage(
+            nodes.join(holders, nodes.node == holders.key).select("node", "holder")
+        )
+        by_holder = asked.groupBy("holder").agg(F.collect_list("node").alias("nodes"))
+        if is_small(asked, MAX_BROADCAST_VALUES):
+            by_holder = F.broadcast(by_holder)
+        texts = docs.join(by_holder, docs.doc_id == by_holder.holder).select("text", "nodes")
 
         def make():
             def step(batch):
                 out: dict[str, list] = {"node": [], "items": []}
                 texts = texts_of(batch)
+                wanted = batch.column(batch.schema.get_field_index("nodes"))
                 for begin, end in groups(texts):
                     words = scan(texts[begin:end], fold=True)
-                    for i, j in words.slices():
+                    for k, (i, j) in enumerate(words.slices(), begin):
                         hashes = words.hashes[i:j]
-                        found = paragraphs(hashes)
-                        use = np.flatnonzero(found.sizes >= MIN_PARAGRAPH_WORDS)
-                        out["node"] += _signed(found.keys[use])
-                        out["items"] += [
-                            shingles_of(hashes, found.starts[p], found.sizes[p]).astype("<u8").tobytes()
-                            for p in use.tolist()
-                        ]
+                        starts, sizes, keys = paragraph_keys(hashes)
+                        keys, first = np.unique(keys.view(np.int64), return_index=True)
+                        ours = np.isin(keys, wanted[k].values.to_numpy(zero_copy_only=False))
+                        out["node"] += keys[ours].tolist()
+                        for p in first[ours].tolist():
+                            items = shingles_of(hashes, starts[p], sizes[p])
+                            out["items"].append(items.astype("<u8").tobytes())
                 return out
             return step
 
-        found = map_batches(texts, "node long, items binary", make)
-        return found.join(small_or_shuffled(nodes, 1_000_000), "node", "left_semi") \
-            .dropDuplicates(["node"])
+        return map_batches(texts, "node long, items binary", make)
 
     return items_of
 
@@ -169,7 +187,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
         F.col("key").alias("node"), "n",
     )
     holders = nodes.select("key", F.col("low").alias("holder"))
-    linked = link_lists(members, _items_of(docs, holders), PERCENT)
+    linked = link_lists(members, _items_of(docs, holders), PERCENT, short_list=SHORT_LIST)
     single = nodes.join(linked, nodes.key == linked.node, "left_anti").where("low < high") \
         .select("key", F.col("key").alias("component"), F.col("low").alias("first"))
     joined = linked.join(nodes, linked.node == nodes.key).select("key", "component", "low", "high")
@@ -201,9 +219,10 @@ def _cut(text: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """`docs` as a struct, with the places of repeated paragraphs; null if there are none."""
-    places = repeated_paragraphs(docs).groupBy(F.col("doc_id").alias("i")).agg(
-        F.collect_set("place").alias("places")
-    )
+    repeated = cut_lineage(repeated_paragraphs(docs).select("doc_id", "place"))
+    places = repeated.groupBy(F.col("doc_id").alias("i")).agg(F.collect_set("place").alias("places"))
+    if is_small(repeated, MAX_BROADCAST_VALUES):
+        places = F.broadcast(places)
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
                         "doc_id", "text")
     return whole.join(places, whole.doc_id == places.i, "left").select("doc", "doc_id", "text", "places")
