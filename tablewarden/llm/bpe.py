@@ -22,6 +22,7 @@ GROUP_BYTES = 2 << 20
 
 #: A Latin word, perhaps with one closing mark: the mark is always a token of its own.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)")
+_LETTERS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: White space as the byte-level pattern sees it.
 _WIDE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WS = rf"\t-\r {_WIDE}"
@@ -46,6 +47,25 @@ def encode_many(path: str, texts: Sequence[str]) -> list[bytes]:
     return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
 
+@lru_cache(maxsize=4)
+def _plain_tokenizer(path: str):
+    """The same model for single lower-case Latin words, which need no normalising or splitting."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    found.normalizer = None
+    found.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return found
+
+
+def encode_plain(path: str, words: Sequence[str]) -> list[bytes]:
+    """As `encode_many`, for words of lower-case Latin letters, perhaps after a space."""
+    found = _plain_tokenizer(path).encode_batch_fast(list(words), add_special_tokens=False)
+    return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+
 def special_tokens(path: str) -> list[str]:
     return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
 
@@ -58,16 +78,21 @@ class Remembered:
         self.ids: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def add(self, words: Iterable[str]) -> None:
-        """`words` follow a space if `space` says so, which is not a part of them."""
+    def trim(self) -> None:
+        """Forget all if it is too much. To be called before asking what is missing."""
         if len(self.ids) > MAX_REMEMBERED:
             self.ids.clear()
         if len(self.parts) > MAX_REMEMBERED:
             self.parts.clear()
+
+    def add(self, words: Iterable[str]) -> None:
+        """`words` follow a space if `space` says so, which is not a part of them."""
         split = {w: m.groups() if (m := _PLAIN.fullmatch(w)) else (w, "") for w in words}
         missing = {core for core, _ in split.values()} - self.parts.keys()
         marks = {f"\0{m}" for _, m in split.values() if m} - self.parts.keys()
-        asked = list(missing)
+        plain = [w for w in missing if w == w.lower() and _LETTERS.fullmatch(w)]
+        self.parts.update(zip(plain, encode_plain(self.path, [self.space + w for w in plain])))
+        asked = list(missing.difference(plain))
         self.parts.update(zip(asked, encode_many(self.path, [self.space + w for w in asked])))
         asked = list(marks)
         self.parts.update(zip(asked, encode_many(self.path, [m[1:] for m in asked])))
@@ -95,6 +120,8 @@ class ByteLevelEncoder:
     def _group(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         split, words = {}, set()
+        self.after.trim()
+        self.first.trim()
         for i, text in enumerate(texts):
             if text and not self.is_odd(text):
                 first, *rest = text.split(" ")
@@ -108,8 +135,7 @@ class ByteLevelEncoder:
                      if dirty.isdisjoint(x[1])}
         split = {i: x for i, x in split.items() if x[0] and x[0] == x[0].strip(" \t\n\v\f\r")}
         words = {w for _, rest in split.values() for w in rest} if dirty else words
-        self.after.add(w for w in words - self.after.ids.keys())
-        missing = words - self.after.ids.keys()
+        self.after.add(words - self.after.ids.keys())
         self.first.add({x[0] for x in split.values()} - self.first.ids.keys())
         known = self.after.ids.__getitem__
         for i, (first, rest) in split.items():
@@ -142,6 +168,7 @@ class WordEncoder:
             for i, t in enumerate(texts) if not any(m in t for m in self.marks)
         }
         words = {w for x in split.values() for w in x}
+        self.known.trim()
         self.known.add(words - self.known.ids.keys())
         known = self.known.ids.__getitem__
         for i, x in split.items():

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.context import cut_lineage
 from tablewarden.llm.bpe import (
-    ByteLevelEncoder, byte_pieces, chunks, encode_many, split_marks,
+    ByteLevelEncoder, byte_pieces, chunks, encode_many, split_marks, tokenizer,
 )
 from tablewarden.llm.tables import map_batches, texts_of
 from tablewarden.llm.words import groups
@@ -140,20 +140,25 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     )
     del head
 
+    width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
+
+    def narrow(ids: bytes) -> bytes:
+        return np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
+
     def make(rare_only: bool):
         def begin():
             splitter = Splitter(path)
             known = dict(zip(*shared.value))
-            compressor = zstandard.ZstdCompressor(level=1)
+            compressor = zstandard.ZstdCompressor(level=3)
             whole: dict[str, bytes | None] = {}
 
             def lookup(word: str) -> bytes | None:
                 """Ids of a word if all of it is frequent."""
-                if len(whole) > _REMEMBERED:
-                    whole.clear()
                 ids = [known.get(e) for e in splitter.entries(word, False)]
-                whole[word] = None if None in ids else b"".join(ids)
-                return whole[word]
+                found = None if None in ids else b"".join(ids)
+                if len(whole) <= _REMEMBERED:
+                    whole[word] = found
+                return found
 
             def one(text: bytes) -> tuple[bytes, list[int], list[str]]:
                 words, odd = splitter.words(text.decode())
@@ -178,10 +183,12 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 texts = texts_of(batch)
                 doc_id = batch.column(batch.schema.get_field_index("doc_id"))
                 rows = {"doc_id": doc_id, "h": [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]}
+                if len(whole) > _REMEMBERED:
+                    whole.clear()
                 done = [one(t) for t in texts]
                 if rare_only:
                     return rows | {"rare": [d[2] for d in done]}
-                return rows | {"known": [compressor.compress(d[0]) for d in done],
+                return rows | {"known": [compressor.compress(narrow(d[0])) for d in done],
                                "gaps": [np.array(d[1], dtype="<u4").tobytes() for d in done]}
             return step
         return begin
@@ -213,12 +220,14 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     """
     encoded = encode_documents(docs, path)
 
+    width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
+
     def make():
         pieces = byte_pieces(path)
         decompressor = zstandard.ZstdDecompressor()
 
         def assemble(known: bytes, gaps: bytes, found: list[dict] | None) -> bytes:
-            ids = decompressor.decompress(known)
+            ids = np.frombuffer(decompressor.decompress(known), f"<u{width}").astype("<u4").tobytes()
             places = np.frombuffer(gaps, "<u4").tolist()
             if not places:
                 return ids

@@ -59,6 +59,16 @@ BYTE_ENCODER, WORD_ENCODER = ByteLevelEncoder(BYTES), WordEncoder(WORDS)
 SPLITTER = word_table.Splitter(BYTES)
 
 
+def test_forgetting_words_changes_nothing(monkeypatch):
+    monkeypatch.setattr("tablewarden.llm.bpe.MAX_REMEMBERED", 3)
+    texts = [f"Some word{'x' * k}, und älter {k} again\nand éa again".encode() for k in range(9)]
+    for path, kind in ((BYTES, ByteLevelEncoder), (WORDS, WordEncoder)):
+        encoder, found = kind(path), tokenizer(path)
+        for t in [*texts, *texts]:
+            want = raw(found.encode(t.decode(), add_special_tokens=False).ids)
+            assert encoder([t]) == [want]
+
+
 def test_pieces_decode_as_the_tokenizer():
     found, pieces = tokenizer(BYTES), byte_pieces(BYTES)
     for ids in ([50256, 0, 220, 447], [447, 247, 198], list(range(256))):
