@@ -1,0 +1,173 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tablewarden.context import cut_lineage
+from tablewarden.llm import langid, ngram_join, overlap, passages, toxicity
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    k = min(5, len(words))
+    return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if words else frozenset()
+
+
+def brute_components(rows):
+    sets = [(d, shingles(t)) for d, t in rows]
+    parent = list(range(len(sets)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (_, x) in enumerate(sets):
+        for j, (_, y) in enumerate(sets[:i]):
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(sets):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(((d, len(s), least.get(find(i))) for i, (d, s) in enumerate(sets)), key=str)
+
+
+def near_copies(n, seed=3):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block,short", [(256, 64), (16, 4)])
+def test_join_equals_brute_force(spark, awkward, monkeypatch, block, short):
+    monkeypatch.setattr(overlap, "BLOCK_SETS", block)
+    monkeypatch.setattr(overlap.link_lists, "__defaults__", (75, False, short))
+    rows = near_copies(90) + [(r.doc_id and r.doc_id + 1000, r.text) for r in awkward.collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, ngram_join.join_documents(docs).collect()), key=str)
+    assert got == brute_components(rows)
+
+
+def test_join_on_given_tables(small):
+    rows = [tuple(r) for r in small.select("doc_id", "text").collect()]
+    got = sorted(map(tuple, ngram_join.join_documents(small).collect()), key=str)
+    assert got == brute_components(rows)
+
+
+def test_divide_skip_finds_what_connects():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.choice(300, 120)).astype(np.uint64) for _ in range(5)]
+    sets += [np.unique(np.concatenate([s[6:], rng.choice(10**6, 4).astype(np.uint64)])) for s in sets]
+    links = overlap.divide_skip(sets, np.arange(10), 75)
+    assert sorted(links) == [(i, i + 5) for i in range(5)]
+    assert overlap.divide_skip(sets, np.zeros(10), 75) == []
+    assert sorted(overlap.divide_skip(sets, np.arange(10), 75, 5)) == [(i, i + 5) for i in range(5)]
+
+
+def test_drop_near_copies_keeps_one(awkward, no_rows):
+    left = ngram_join.drop_near_copies(awkward)
+    assert left.columns == awkward.columns
+    ids = sorted(r.doc_id or -1 for r in left.collect())
+    assert ids == [-1, 1, 2, 3, 4, 5, 7, 8, 9, 20]
+    assert ngram_join.drop_near_copies(no_rows).count() == 0
+
+
+def test_passages_are_cut_wherever_they_stand(spark, no_rows):
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(9000)}" for _ in range(n))
+    passage = words(70)
+    rows = [(i, f"{words(80 + i)} {passage} {words(60)}") for i in range(40)]
+    rows += [(100 + i, words(150)) for i in range(40)] + [(None, passage), (200, None), (201, "")]
+    docs = spark.createDataFrame(
+        [(d, t, len(t or "")) for d, t in rows], "doc_id long, text string, n_chars long"
+    ).repartition(4)
+    found = {r.doc_id: r for r in passages.find_repeats(docs).collect()}
+    assert set(found) == set(range(1, 40))
+    middle = " ".join(passage.split()[20:50])
+    texts = dict(rows)
+    for d, r in found.items():
+        assert middle not in r.text and r.text.startswith(texts[d][:200])
+        assert sum(r.lengths) >= 0.4 * len(passage)
+        whole = texts[d]
+        for start, length in reversed(list(zip(r.starts, r.lengths))):
+            whole = whole[:start] + whole[start + length :]
+        assert whole.split() == r.text.split()
+    left = {r.doc_id: r for r in passages.remove_repeats(docs).collect()}
+    assert len(left) == len(rows) and left[0].text == texts[0] and left[None].text == passage
+    assert all(left[d].text == r.text and left[d].n_chars == len(r.text) for d, r in found.items())
+    assert passages.find_repeats(no_rows).count() == passages.remove_repeats(no_rows).count() == 0
+
+
+def test_near_paragraphs_collide(spark):
+    rng = np.random.default_rng(2)
+    hashes = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    starts, sizes, keys = passages.paragraph_keys(hashes)
+    shifted = np.concatenate([rng.integers(0, 2**63, 17, dtype=np.uint64), hashes])
+    assert len(set(keys.tolist()) & set(passages.paragraph_keys(shifted)[2].tolist())) >= len(keys) - 3
+    assert starts[0] == 0 and sizes.sum() == 400 and len(keys) == len(starts)
+
+
+def test_toxicity(spark, awkward, no_rows):
+    rng = random.Random(7)
+    plain = lambda: " ".join(f"word{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(40))
+    rows, labels = [], []
+    for i in range(900):
+        bad = i % 6 == 0
+        rows.append((i, plain() + (" blarg " if bad else " ") + plain()))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert " blarg " in lexicon.entries
+    truth = dict(labels)
+    got = toxicity.score_toxicity(docs, lexicon).where("held_out").collect()
+    assert all(r.predicted == truth[r.doc_id] and 0 <= r.score <= 1 for r in got) and len(got) > 100
+    tricks = ["you b1arg", "you bl4rg", "you blаrg", "you blärg", "blargest", "you barg", "b l a r g"]
+    scores = toxicity.score_toxicity(
+        spark.createDataFrame(list(enumerate(tricks)), "doc_id long, text string"), lexicon
+    ).collect()
+    assert [r.n_matches > 0 for r in sorted(scores)] == [False, True, True, True, False, False, False]
+    assert toxicity.score_toxicity(awkward, lexicon).count() == awkward.count()
+    empty = toxicity.learn(no_rows, no_rows.select("doc_id", F.lit(1).alias("toxic")))
+    assert {r.score for r in toxicity.score_toxicity(awkward, empty).collect()} == {0.5}
+
+
+def test_exception_phrases_excuse():
+    lexicon = toxicity.Lexicon({" dumb ": 3.0}, frozenset({" dumb bell "}), (-1.0, 1.0, 0.0, 0.0))
+    found = lexicon.automaton()
+    assert toxicity.matches(found, toxicity.fold("a dumb bell")) == []
+    assert toxicity.matches(found, toxicity.fold("a DUMB, dumb bell")) == [(" dumb ", 3.0)]
+
+
+def test_language(spark, small, awkward, no_rows):
+    model = langid.learn(small)
+    got = langid.identify(small, model).join(small.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.9
+    found = {r.doc_id: r for r in langid.identify(awkward, model).collect()}
+    assert all(found[i].lang_pred == "und" and found[i].rejected for i in (1, 2, 3, 20))
+    assert found[4].lang_pred in model.languages and 0 <= found[4].score <= 1
+    assert langid.filter_languages(awkward, model).columns == awkward.columns
+    none = langid.learn(no_rows)
+    assert {r.lang_pred for r in langid.identify(awkward, none).collect()} == {"und"}
+    assert langid.filter_languages(no_rows, none).count() == 0
+
+
+def test_pipeline(spark, awkward, small):
+    docs = small
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = cut_lineage(stage(spark, docs, "/root/testdata/sf0.001"))
+        assert docs.columns == small.columns and 0 < docs.count() <= before
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
