@@ -36,6 +36,12 @@ def add_business_days(start: Column, days: int, holidays: list[dt.date] | None =
     days_off = sorted({h for h in holidays or [] if h.weekday() < 5})
     if days_off:
         reach = days * 2 + 7 + len(days_off) * 3
+        if days == 0:  # the last open day up to `start`, as without holidays
+            open_days = F.filter(
+                F.sequence(F.date_sub(start, reach), start),
+                lambda d: (F.weekday(d) < 5) & ~d.isin(days_off),
+            )
+            return F.element_at(open_days, -1)
         ahead = F.sequence(F.date_add(start, 1), F.date_add(start, reach))
         closed = F.array(*[F.lit(h) for h in days_off])
         open_days = F.filter(

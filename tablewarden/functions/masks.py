@@ -32,19 +32,23 @@ MASKS: dict[str, Mask] = {"security.mask_pii": mask_pii}
 
 
 def scope_filter(
-    caller: Caller, env: Env, scope: DataFrame, column: str, team: str
+    caller: Caller, env: Env, scope: DataFrame, column: str, team: str,
+    scope_column: str | None = None,
 ) -> Column | DataFrame:
     """What the caller may see of `column`.
 
     Readers see everything, a member of `team` the values the scope table gives
     them, everybody else nothing. Returns a predicate, or a key frame to
-    semi-join with when the caller's scope is too long to inline.
+    semi-join with when the caller's scope is too long to inline. The scope table
+    names the value `scope_column`, or as the table does.
     """
     if caller.member_of(env.readers):
         return F.lit(True)
     if not caller.member_of(env.group(team)):
         return F.lit(False)
-    mine = scope.filter(F.col("user_email") == caller.user).select(column)
+    mine = scope.filter(F.col("user_email") == caller.user).select(
+        F.col(scope_column or column).alias(column)
+    )
     values = bounded_values(mine, column)
     if values is None:
         return mine.distinct()
@@ -52,7 +56,8 @@ def scope_filter(
 
 
 def filter_by_cost_centre(caller: Caller, env: Env, scope: DataFrame, column: str):
-    return scope_filter(caller, env, scope, column, team="finance_team")
+    """The value is passed by place: a table may name its cost centre as it likes."""
+    return scope_filter(caller, env, scope, column, "finance_team", scope_column="cost_centre")
 
 
 RowFilter = Callable[[Caller, Env, DataFrame, str], Column | DataFrame]

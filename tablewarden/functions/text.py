@@ -42,7 +42,7 @@ def audit_key(target: Column, ts: Column, bundle: Column, sha: Column) -> Column
     return F.concat(
         target,
         F.lit("/"),
-        F.substring(ts.cast("string"), 1, 10),
+        F.to_date(F.to_utc_timestamp(ts, F.current_timezone())).cast("string"),
         F.lit("/"),
         bundle,
         F.lit("-"),

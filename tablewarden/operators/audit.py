@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.context import lookup_join
+from tablewarden.context import cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.operators.ordered import GROUP_ROWS, previous_over_pieces, split_by_weight
 
 AUDIT_SCHEMA = T.StructType([T.StructField("ts", T.TimestampType())])
@@ -32,29 +34,33 @@ def deploy_timeline(
     """Each deploy with the sha it replaced and whether it rolled back.
 
     A rollback deploys a sha that this bundle and target had before, right after
-    a different one. `sequence` breaks ties of `ts`. Timelines of moderate
-    length take one shuffle, which serves both windows; longer ones are cut into
-    pieces and look up when their sha was first deployed.
+    a different one. `sequence` breaks ties of `ts`, and the sha those that are
+    left. A sha was had before if its first deploy has a lower order; null places
+    and shas count as values. Timelines of moderate length take one shuffle;
+    longer ones are cut into pieces and look up when their sha was first
+    deployed, by the same definition.
     """
     place = ["bundle", "target"]
-    order = [ts] if sequence is None else [ts, sequence]
+    order = [ts, "git_sha"] if sequence is None else [ts, sequence, "git_sha"]
+    at = F.struct(*order)
     light, heavy = split_by_weight(audit, place, max_rows)
     line = Window.partitionBy(*place).orderBy(*order)
-    same_sha = Window.partitionBy(*place, "git_sha").orderBy(*order)
+    same_sha = Window.partitionBy(*place, "git_sha")
     placed = light.withColumns(
         {
             "previous_sha": F.lag("git_sha").over(line),
-            "_seen": F.row_number().over(same_sha) > 1,
+            "_seen": at > F.min(at).over(same_sha),
         }
     )
     if heavy is not None:
         long = previous_over_pieces(heavy, place, order, {"previous_sha": "git_sha"})
-        first = heavy.groupBy(*place, "git_sha").agg(F.min(F.struct(*order)).alias("_first"))
-        seen = F.struct(*order) > F.col("_first")
+        keys = [*place, "git_sha"]
+        first = heavy.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(at).alias("_first"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
         placed = placed.unionByName(
-            lookup_join(long, first, [*place, "git_sha"], "left")
-            .withColumn("_seen", seen)
-            .drop("_first")
+            long.join(small_or_shuffled(cut_lineage(first)), same, "left")
+            .withColumn("_seen", at > F.col("_first"))
+            .drop("_first", *[f"_{k}" for k in keys])
         )
     changed = F.col("previous_sha") != F.col("git_sha")
     return placed.withColumn(

@@ -18,8 +18,8 @@ ERASURE_LIMIT_DAYS = 15
 LOG_RETENTION_YEARS = {"system_access": 7, "data_lineage": 2}
 PINNED_REGION = "ap-southeast-1"
 REGION_TOKEN = (
-    r"(?:us|eu|ap|sa|ca|me|af|il|mx)(?:-gov)?-"
-    r"(?:north|south|east|west|central)(?:east|west)?-[0-9]"
+    r"(?<![A-Za-z0-9])(?:us|eu|ap|sa|ca|me|af|il|mx|cn)(?:-gov)?-"
+    r"(?:north|south|east|west|central)(?:east|west)?-[0-9]+(?![A-Za-z0-9])"
 )
 
 

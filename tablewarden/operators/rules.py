@@ -31,11 +31,11 @@ MAX_INLINE = 200
 CATCH_ALL = "*"
 SALTS = 32
 
-# What to do about a folder, in report order.
-CREATE_FOLDER = "folder missing: create it or drop its entry"
-ASSIGN_OWNER = "no owner: add an explicit rule"
-ADD_TO_CATALOGUE = "not in catalogue: declare inputs and outputs"
-ADD_GUIDE = "no guide: write owner, inputs, outputs, schedule, rules"
+# What to do about a folder, in report order.
+CREATE_FOLDER = "create_folder"
+ASSIGN_OWNER = "assign_owner"
+ADD_TO_CATALOGUE = "add_to_catalogue"
+ADD_GUIDE = "add_guide"
 SECTIONS = ("apps", "libs", "dbt")
 
 

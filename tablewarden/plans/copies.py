@@ -177,9 +177,9 @@ SQL = {
             FROM events),
         lag AS (SELECT *, CAST(floor(epoch(source_ts - copy_ts)) AS BIGINT) AS lag_seconds
                 FROM newest)
-        SELECT source_ts, copy_ts, lag_seconds, lag_seconds > 300 AS alert, 'TRIGGERED' AS policy
+        SELECT source_ts, copy_ts, lag_seconds, epoch(source_ts - copy_ts) > 300 AS alert, 'TRIGGERED' AS policy
         FROM lag
-        UNION ALL SELECT source_ts, copy_ts, lag_seconds, lag_seconds > 30, 'CONTINUOUS' FROM lag""",
+        UNION ALL SELECT source_ts, copy_ts, lag_seconds, epoch(source_ts - copy_ts) > 30, 'CONTINUOUS' FROM lag""",
     "merge_last_writer": _merged("eb IS NULL OR ta >= tb"),
     "merge_source_wins": _merged("ea IS NOT NULL"),
     "merge_target_wins": _merged("eb IS NULL"),

@@ -16,18 +16,6 @@ def read_table(spark: SparkSession, env: Env, name: str) -> DataFrame:
     return spark.read.parquet(env.path(name))
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a plain file scan over all cores, when its files give fewer pieces than cores.
-
-    Such an input is small by definition, and row-local text work is worth the
-    move. A scan with enough pieces is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)
-
-
 def read_scope(spark: SparkSession, path: str) -> DataFrame:
     """The scope seed: CSV with a header, `user_email,cost_centre`."""
     return spark.read.schema(SCOPE_SCHEMA).csv(path, header=True)
@@ -45,12 +33,12 @@ def shadow_write(df: DataFrame, env: Env, name: str) -> str:
 
 
 def append_audit(df: DataFrame, path: str) -> None:
-    """Append-only JSON below target/date. Records carry every audit field.
+    """Append-only JSON below target/date (in UTC). Records carry every audit field.
 
     Rebalanced by folder: few files each, and a busy day is split over tasks.
     """
     records = df.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT_SCHEMA.fields])
-    dated = records.withColumn("date", F.col("ts").cast("date"))
+    dated = records.withColumn("date", F.to_date(F.to_utc_timestamp("ts", F.current_timezone())))
     dated.hint("rebalance", F.col("target"), F.col("date")).write.mode("append").partitionBy(
         "target", "date"
     ).json(path)

@@ -146,14 +146,14 @@ def sync_lag(
         copy.select(F.lit(None).alias("s"), F.col(copy_ts).alias("c"))
     )
     newest = tagged.agg(F.max("s").alias("source_ts"), F.max("c").alias("copy_ts"))
-    lag: Column = F.timestamp_diff("SECOND", F.col("copy_ts"), F.col("source_ts"))
+    lag: Column = F.timestamp_diff("MICROSECOND", F.col("copy_ts"), F.col("source_ts"))
     behind = F.coalesce(F.greatest(lag, F.lit(0)), F.lit(0)).cast("bigint")
     return newest.select(
         "source_ts",
         "copy_ts",
-        behind.alias("lag_seconds"),
+        F.floor(behind / 1_000_000).alias("lag_seconds"),
         (
-            (behind > MAX_LAG_SECONDS[policy])
+            (behind > MAX_LAG_SECONDS[policy] * 1_000_000)
             | (F.isnull("copy_ts") & F.isnotnull("source_ts"))
         ).alias("alert"),
     )

@@ -11,8 +11,7 @@ from compare import connect, expected, mismatch
 from tablewarden import plans
 from tablewarden.context import Env, SyncSpec, shared_dir
 from tablewarden.operators import marts
-from tablewarden.plans.derived import table
-from tablewarden.sources.tables import read_table, shadow_write, spread
+from tablewarden.sources.tables import read_table, shadow_write
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
@@ -60,13 +59,6 @@ def test_shared_dir_follows_the_session(spark):
     assert first.startswith(root) and first != second
 
 
-def test_spread_only_moves_scans_with_few_pieces(spark):
-    scan = table(spark, SF, "documents")
-    assert spread(scan, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide, "id") is wide
-
-
 def test_budget_variance_keeps_one_sided_pairs(spark, rows):
     schema = "cost_centre string, period string, amount double"
     actual = spark.createDataFrame([("A", "p1", 1.1), ("A", "p1", 2.2), ("B", "p1", 5.0)], schema)
