@@ -17,7 +17,7 @@ import numpy as np
 
 from tablewarden.llm.words import groups
 
-MAX_REMEMBERED = 400_000
+MAX_REMEMBERED = 200_000
 GROUP_BYTES = 2 << 20
 
 #: A Latin word, perhaps with one closing mark: the mark is always a token of its own.
