@@ -1,7 +1,9 @@
 """Token ids of whole texts, with each distinct word of a batch encoded once.
 
 Both tokenizers cut a text into pieces that never depend on what stands beyond a
-space, so a text may be encoded word by word. Words are remembered up to a bound.
+space, so a text may be encoded word by word. Words are remembered up to a bound, by a
+64-bit hash; two words of one hash in one task would be confused (one chance in 10**7 for
+a task of a million distinct words).
 Texts in which this does not hold (special tokens spelled out, white space other
 than single ASCII characters around words) are given to the tokenizer whole.
 """
@@ -10,23 +12,27 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-from tablewarden.llm.words import groups
+from tablewarden.llm.words import SPACE, Words, groups, scan
 
-MAX_REMEMBERED = 200_000
+MAX_REMEMBERED = 1_000_000
 GROUP_BYTES = 2 << 20
 
 #: A Latin word, perhaps with one closing mark: the mark is always a token of its own.
-_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)")
-_LETTERS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)")
+_LETTERS = re.compile(r" ?[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: White space as the byte-level pattern sees it.
 _WIDE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WS = rf"\t-\r {_WIDE}"
 _WIDE_SPACE = re.compile(f"[{_WIDE}]")
+_WIDE_BYTES = re.compile(
+    rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+)
 _CHUNK = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 
 
@@ -60,10 +66,23 @@ def _plain_tokenizer(path: str):
     return found
 
 
-def encode_plain(path: str, words: Sequence[str]) -> list[bytes]:
-    """As `encode_many`, for words of lower-case Latin letters, perhaps after a space."""
-    found = _plain_tokenizer(path).encode_batch_fast(list(words), add_special_tokens=False)
-    return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+def _ids_of(found, words: list[str]) -> list[list[int]]:
+    return [e.ids for e in found.encode_batch_fast(words, add_special_tokens=False)]
+
+
+def encode_words(path: str, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ids of single words, perhaps after a space, and all ids in a row."""
+    split = [m.groups() if (m := _PLAIN.fullmatch(w)) else (w, "") for w in words]
+    cores = dict.fromkeys(core for core, _ in split)
+    plain = [c for c in cores if _LETTERS.fullmatch(c)]
+    parts = dict(zip(plain, _ids_of(_plain_tokenizer(path), plain)))
+    other = [c for c in cores if c not in parts]
+    parts.update(zip(other, _ids_of(tokenizer(path), other)))
+    marks = list({m for _, m in split if m})
+    ends = dict(zip(marks, _ids_of(tokenizer(path), marks))) | {"": []}
+    sizes = [len(parts[c]) + len(ends[m]) for c, m in split]
+    ids = chain.from_iterable(x for c, m in split for x in (parts[c], ends[m]))
+    return np.array(sizes, dtype=np.int64), np.fromiter(ids, dtype="<u4", count=sum(sizes))
 
 
 def special_tokens(path: str) -> list[str]:
@@ -71,115 +90,120 @@ def special_tokens(path: str) -> list[str]:
 
 
 class Remembered:
-    """Words -> ids. Fills in what is missing with one call of the tokenizer."""
-
-    def __init__(self, path: str, space: str):
-        self.path, self.space = path, space
-        self.ids: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def trim(self) -> None:
-        """Forget all if it is too much. To be called before asking what is missing."""
-        if len(self.ids) > MAX_REMEMBERED:
-            self.ids.clear()
-        if len(self.parts) > MAX_REMEMBERED:
-            self.parts.clear()
-
-    def add(self, words: Iterable[str]) -> None:
-        """`words` follow a space if `space` says so, which is not a part of them."""
-        split = {w: m.groups() if (m := _PLAIN.fullmatch(w)) else (w, "") for w in words}
-        missing = {core for core, _ in split.values()} - self.parts.keys()
-        marks = {f"\0{m}" for _, m in split.values() if m} - self.parts.keys()
-        plain = [w for w in missing if w == w.lower() and _LETTERS.fullmatch(w)]
-        self.parts.update(zip(plain, encode_plain(self.path, [self.space + w for w in plain])))
-        asked = list(missing.difference(plain))
-        self.parts.update(zip(asked, encode_many(self.path, [self.space + w for w in asked])))
-        asked = list(marks)
-        self.parts.update(zip(asked, encode_many(self.path, [m[1:] for m in asked])))
-        for word, (core, mark) in split.items():
-            self.ids[word] = self.parts[core] + (self.parts[f"\0{mark}"] if mark else b"")
-
-
-class ByteLevelEncoder:
-    """Texts -> ids for a byte-level tokenizer, in which a space belongs to the word after it."""
+    """Hashes of words -> ids, held in arrays: some forty bytes a word."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def places(self, hashes: np.ndarray, words_at: Callable[[np.ndarray], list[str]]) -> np.ndarray:
+        """Where each of the distinct `hashes`, ascending, stands; `words_at` spells those not yet known."""
+        if len(self.hashes) > MAX_REMEMBERED or len(self.ids) > 8 * MAX_REMEMBERED:
+            self._forget()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), dtype=bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            sizes, ids = encode_words(self.path, words_at(missing))
+            starts = len(self.ids) + np.cumsum(sizes) - sizes
+            self.ids = np.concatenate([self.ids, ids])
+            self.hashes = np.insert(self.hashes, at[missing], hashes[missing])
+            self.starts = np.insert(self.starts, at[missing], starts)
+            self.sizes = np.insert(self.sizes, at[missing], sizes)
+            at = np.searchsorted(self.hashes, hashes)
+        return at
+
+
+class _Encoder:
+    """Texts -> ids. Words are found, told apart and put together by arrays."""
+
+    fold = only_spaces = False
 
     def __init__(self, path: str):
         self.path = path
-        self.after, self.first = Remembered(path, " "), Remembered(path, "")
         self.special = special_tokens(path)
+        self.known = Remembered(path)
 
-    def is_odd(self, text: str) -> bool:
-        return bool(_WIDE_SPACE.search(text)) or any(s in text for s in self.special)
+    def _whole(self, texts: Sequence[bytes], words: Words) -> np.ndarray:
+        """Which texts cannot be encoded word by word."""
+        raise NotImplementedError
 
     def __call__(self, texts: Sequence[bytes]) -> list[bytes]:
         out: list[bytes] = []
         for begin, end in groups(texts, GROUP_BYTES):
-            out += self._group([t.decode() for t in texts[begin:end]])
+            out += self._group(texts[begin:end])
         return out
 
-    def _group(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        split, words = {}, set()
-        self.after.trim()
-        self.first.trim()
-        for i, text in enumerate(texts):
-            if text and not self.is_odd(text):
-                first, *rest = text.split(" ")
-                split[i] = first, rest
-                words.update(rest)
-        missing = words - self.after.ids.keys()
-        # Empty, or with white space at an end: two spaces or a line break beside a space.
-        dirty = {w for w in missing if w != w.strip(" \t\n\v\f\r") or not w}
-        if dirty:
-            split = {i: x for i, x in split.items()
-                     if dirty.isdisjoint(x[1])}
-        split = {i: x for i, x in split.items() if x[0] and x[0] == x[0].strip(" \t\n\v\f\r")}
-        words = {w for _, rest in split.values() for w in rest} if dirty else words
-        self.after.add(words - self.after.ids.keys())
-        self.first.add({x[0] for x in split.values()} - self.first.ids.keys())
-        known = self.after.ids.__getitem__
-        for i, (first, rest) in split.items():
-            out[i] = self.first.ids[first] + b"".join(map(known, rest))
-        whole = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(whole, encode_many(self.path, [texts[i] for i in whole])):
-            out[i] = ids
+    def _group(self, texts: Sequence[bytes]) -> list[bytes]:
+        words = scan(texts, self.fold, self.only_spaces)
+        data = words.data.lower() if self.fold else words.data
+        counts = np.diff(words.bounds)
+        whole = self._whole(texts, words)
+        first = np.zeros(len(words.hashes), dtype=bool)
+        if self.only_spaces:  # the first word of a text is the one without a space before it
+            first[words.bounds[:-1][counts > 0]] = True
+        hashes = np.where(first, ~words.hashes, words.hashes)
+        use = np.flatnonzero(np.repeat(~whole, counts))
+        distinct, sample, inverse = np.unique(hashes[use], return_index=True, return_inverse=True)
+
+        def words_at(missing: np.ndarray) -> list[str]:
+            at = use[sample[missing]]
+            begins = words.starts[at] - (self.only_spaces & ~first[at])
+            return [data[i:j].decode() for i, j in zip(begins.tolist(), words.ends[at].tolist())]
+
+        at = self.known.places(distinct, words_at)[inverse]
+        sizes = self.known.sizes[at]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.known.ids[np.repeat(self.known.starts[at] - stops[:-1], sizes) + np.arange(stops[-1])]
+        cuts = stops[np.concatenate([[0], np.cumsum(np.where(whole, 0, counts))])].tolist()
+        out = [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
+        odd = np.flatnonzero(whole).tolist()
+        for i, found in zip(odd, encode_many(self.path, [texts[i].decode() for i in odd])):
+            out[i] = found
         return out
 
 
-class WordEncoder:
-    """Texts -> ids for a tokenizer that lowers case and drops white space."""
+class ByteLevelEncoder(_Encoder):
+    """Texts -> ids for a byte-level tokenizer, in which a space belongs to the word after it."""
 
-    def __init__(self, path: str):
-        self.path = path
-        self.known = Remembered(path, "")
-        self.marks = tuple({s[:2].encode() for s in special_tokens(path)})
+    only_spaces = True
 
-    def __call__(self, texts: Sequence[bytes]) -> list[bytes]:
-        out: list[bytes] = []
-        for begin, end in groups(texts, GROUP_BYTES):
-            out += self._group(texts[begin:end])
-        return out
+    def is_odd(self, text: str) -> bool:
+        return bool(_WIDE_SPACE.search(text)) or any(s in text for s in self.special)
 
-    def _group(self, texts: Sequence[bytes]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        # bytes.lower and bytes.split know ASCII alone, which is safe for any text.
-        split = {
-            i: t.lower().decode().translate(_TO_SPACE).split(" ")
-            for i, t in enumerate(texts) if not any(m in t for m in self.marks)
-        }
-        words = {w for x in split.values() for w in x}
-        self.known.trim()
-        self.known.add(words - self.known.ids.keys())
-        known = self.known.ids.__getitem__
-        for i, x in split.items():
-            out[i] = b"".join(map(known, x))
-        whole = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(whole, encode_many(self.path, [texts[i].decode() for i in whole])):
-            out[i] = ids
-        return out
+    def _whole(self, texts: Sequence[bytes], words: Words) -> np.ndarray:
+        special = [s.encode() for s in self.special]
+        found = np.fromiter(
+            (bool(_WIDE_BYTES.search(t)) or any(s in t for s in special) for t in texts),
+            dtype=bool, count=len(texts),
+        )
+        # White space at an end of a text, or beside a space.
+        raw = np.frombuffer(words.data, dtype=np.uint8)
+        met = np.flatnonzero((raw[:-1] == 32) & SPACE[raw[1:]] | SPACE[raw[:-1]] & (raw[1:] == 32))
+        for at in (met, met + 1):
+            text = np.searchsorted(words.offsets, at, side="right") - 1
+            ours = (text >= 0) & (text < len(texts))
+            # The space that joins two texts belongs to neither.
+            ours[ours] = at[ours] < words.offsets[text[ours] + 1] - 1
+            found[text[ours]] = True
+        return found
+
+
+class WordEncoder(_Encoder):
+    """Texts -> ids for a tokenizer that lowers case and drops white space."""
 
+    fold = True
 
-_TO_SPACE = str.maketrans("\t\n\v\f\r", "     ")
+    def _whole(self, texts: Sequence[bytes], words: Words) -> np.ndarray:
+        marks = {s[:2].encode() for s in self.special}
+        return np.fromiter((any(m in t for m in marks) for t in texts), dtype=bool, count=len(texts))
 
 
 def chunks(text: str, odd: bool) -> list[str]:
@@ -189,8 +213,7 @@ def chunks(text: str, odd: bool) -> list[str]:
 
 def split_marks(chunk: str) -> tuple[str, ...]:
     """A word and its closing mark apart, where the tokenizer parts them anyway."""
-    bare = chunk[1:] if chunk[:1] == " " else chunk
-    if (m := _PLAIN.fullmatch(bare)) and m[2]:
+    if (m := _PLAIN.fullmatch(chunk)) and m[2]:
         return chunk[:-1], m[2]
     return (chunk,)
 

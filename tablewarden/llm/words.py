@@ -31,6 +31,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
 _BYTE[SPACE] = 0
 _BYTE_FOLDED = _BYTE[_LOWER]
+_BYTE_KEPT = mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
+_BYTE_KEPT[32] = 0
 _powers = np.ones(1, dtype=np.uint64)
 
 
@@ -59,14 +61,17 @@ class Words:
         return zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist())
 
 
-def scan(texts: Sequence[bytes], fold: bool) -> Words:
-    """Find and hash all words; with `fold`, A-Z count as a-z in the hash."""
-    data = b"\n" + b"\n".join(texts) + b"\n"
+def scan(texts: Sequence[bytes], fold: bool, only_spaces: bool = False) -> Words:
+    """Find and hash all words; with `fold`, A-Z count as a-z in the hash.
+
+    With `only_spaces`, nothing but a space parts words, and other white space counts in the hash.
+    """
+    data = b" " + b" ".join(texts) + b" "
     raw = np.frombuffer(data, dtype=np.uint8)
-    space = SPACE[raw]
+    space = raw == 32 if only_spaces else SPACE[raw]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]
-    table = _BYTE_FOLDED if fold else _BYTE
+    table = _BYTE_KEPT if only_spaces else _BYTE_FOLDED if fold else _BYTE
     hashes = np.empty(len(starts), dtype=np.uint64)
     for i in range(0, len(starts), _WORDS_AT_ONCE):
         s, e = starts[i : i + _WORDS_AT_ONCE], ends[i : i + _WORDS_AT_ONCE]
