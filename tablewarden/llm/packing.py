@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tablewarden.context import cut_lineage, ship_package, small_or_shuffled
-from tablewarden.llm.bpe import ByteLevelEncoder
+from tablewarden.llm.bpe import ByteLevelEncoder, tokenizer
 from tablewarden.llm.order import pieces_of, split_points
 from tablewarden.llm.tables import map_batches, pa_schema, texts_of
 
@@ -100,17 +100,21 @@ def pack_documents(
     if docs.sparkSession is None or length < 1:
         raise ValueError("sequences need a length")
     points = split_points(docs)
+    width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
 
     def encoder():
         encode = ByteLevelEncoder(path)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype=f"<u{width}").tobytes()
 
         def step(batch):
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            arrays = [a + end for a in encode(texts_of(batch))]
+            arrays = [
+                np.frombuffer(a, "<u4").astype(f"<u{width}").tobytes() + end
+                for a in encode(texts_of(batch))
+            ]
             return {
                 "doc_id": ids, "source": batch.column(batch.schema.get_field_index("source")),
-                "piece": pieces_of(ids, points), "n": [len(a) // 4 for a in arrays], "ids": arrays,
+                "piece": pieces_of(ids, points), "n": [len(a) // width for a in arrays], "ids": arrays,
             }
         return step
 
@@ -153,10 +157,10 @@ def pack_documents(
         .repartition("piece").sortWithinPartitions("piece", "queue", "doc_id", "ids")
     )
     ship_package(docs.sparkSession)
-    return placed.mapInArrow(_placer(schedule, length), T.StructType.fromDDL(PIECES))
+    return placed.mapInArrow(_placer(schedule, length, width), T.StructType.fromDDL(PIECES))
 
 
-def _placer(schedule: Schedule, length: int):
+def _placer(schedule: Schedule, length: int, width: int):
     schema = pa_schema(T.StructType.fromDDL(PIECES))
     names = [f.name for f in schema]
 
@@ -167,12 +171,13 @@ def _placer(schedule: Schedule, length: int):
             for piece, queue, base, doc_id, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 if (piece, queue) != group:
                     group, taken = (piece, queue), base
+                ids = np.frombuffer(ids, f"<u{width}").astype("<u4")
                 for place, t, size in schedule.runs(queue, taken, n):
                     while size:
                         offset = place % length
                         part = min(size, length - offset)
                         start = t - taken
-                        crc = zlib.crc32(ids[4 * start : 4 * (start + part)])
+                        crc = zlib.crc32(ids[start : start + part])
                         out.append((doc_id, start, part, crc, n, place // length, offset))
                         place, t, size = place + part, t + part, size - part
                 taken += n
