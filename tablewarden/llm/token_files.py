@@ -53,9 +53,15 @@ def _with_end(encode: Encoder, texts: Sequence[bytes], end_id: int) -> list[byte
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:
     """A dictionary from a bounded sample of whole documents; empty if they are too few or too short."""
+    usable = docs.where(F.octet_length("text") <= TRAINING_TEXT_BYTES).select("doc_id", "text")
+    # Ids are chosen without the texts, so that no task sends a thousand texts to the driver.
+    chosen = (
+        usable.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(TRAINING_ROWS)
+    )
     sample = (
-        docs.where(F.octet_length("text") <= TRAINING_TEXT_BYTES).select("doc_id", "text")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS).collect()
+        usable.join(F.broadcast(chosen), "doc_id", "left_semi")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(TRAINING_ROWS).collect()
     )
     encoded = _with_end(WordEncoder(path), [r.text.encode() for r in sample], end_id)
     arrays = [_packed(ids, width) for ids in encoded]
