@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import ahocorasick
@@ -32,6 +32,10 @@ MIN_DOCUMENTS = 4  # an entry stands in so many toxic documents at least
 MIN_LIFT = 4.0  # and in so many times as many toxic as other documents, by rate
 PREFIXES = (3, 4, 5, 6)
 MAX_ENTRIES = 20_000
+#: The sample is spread over so many files, for its texts are read several times.
+TRAINING_PARTS = 32
+MAX_REMEMBERED = 200_000
+MAX_REMEMBERED_LENGTH = 64
 
 # Letters of other scripts and signs that look like a Latin letter.
 LOOKALIKES = {
@@ -78,12 +82,50 @@ class _Bases(dict):
 _letters, _bases = _Letters(), _Bases()
 
 
-def fold(text: str) -> str:
-    """Lower-case words between single spaces, with a space before and after."""
-    plain = text.lower() if text.isascii() else text.translate(_letters)
+def _fold_token(token: str) -> str:
+    plain = token.lower() if token.isascii() else token.translate(_letters)
     if not plain.isalpha():
         plain = _MIXED.sub(lambda m: m.group().translate(_STANDS_FOR), plain)
-    return f" {_SPACES.sub(' ', plain).strip()} "
+        plain = _SPACES.sub(" ", plain).strip()
+    return plain
+
+
+def _bare_word(word: str) -> str:
+    return word if word.isascii() else word.translate(_bases)
+
+
+class _Remembered(dict):
+    """Word -> what `work` makes of it; a bounded number of short words is remembered."""
+
+    def __init__(self, work: Callable[[str], str]):
+        super().__init__()
+        self._work = work
+
+    def __missing__(self, word: str) -> str:
+        found = self._work(word)
+        if len(word) <= MAX_REMEMBERED_LENGTH:
+            if len(self) >= MAX_REMEMBERED:
+                self.clear()
+            self[word] = found
+        return found
+
+
+_folded, _bared = _Remembered(_fold_token), _Remembered(_bare_word)
+
+
+def fold(text: str) -> str:
+    """Lower-case words between single spaces, with a space before and after.
+
+    What a sign stands for depends on its neighbours up to the next white space,
+    so each token is folded by itself.
+    """
+    return f" {' '.join(filter(None, map(_folded.__getitem__, text.split())))} "
+
+
+def without_accents(folded: str) -> str:
+    if folded.isascii():
+        return folded
+    return " ".join(map(_bared.__getitem__, folded.split(" ")))
 
 
 @dataclass(frozen=True)
@@ -111,7 +153,7 @@ def matches(automaton: ahocorasick.Automaton, folded: str) -> list[tuple[str, fl
         return []
     places: dict[int, tuple[str, float]] = {}
     excused: list[tuple[int, int]] = []
-    bare = folded if folded.isascii() else folded.translate(_bases)
+    bare = without_accents(folded)
     for text in (folded,) if bare == folded else (folded, bare):
         for end, (entry, weight) in automaton.iter(text):
             begin = end - len(entry) + 1
@@ -164,7 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     rows = cut_lineage(
         docs.where("text is not null").select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
-        .withColumn("h", F.xxhash64("text"))
+        .withColumn("h", F.xxhash64("text")).repartition(TRAINING_PARTS, "h")
         .dropDuplicates(["h", "toxic"]).select("text", "toxic")
     )
 
