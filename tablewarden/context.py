@@ -119,7 +119,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and its rows are counted from file footers.
     """
     path = f"{shared_dir(df.sparkSession)}/frame"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
