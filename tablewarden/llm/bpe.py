@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -29,10 +30,11 @@ _LETTERS = re.compile(r" ?[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: White space as the byte-level pattern sees it.
 _WIDE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WS = rf"\t-\r {_WIDE}"
-_WIDE_SPACE = re.compile(f"[{_WIDE}]")
 _WIDE_BYTES = re.compile(
     rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 _CHUNK = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 
 
@@ -66,23 +68,49 @@ def _plain_tokenizer(path: str):
     return found
 
 
-def _ids_of(found, words: list[str]) -> list[list[int]]:
-    return [e.ids for e in found.encode_batch_fast(words, add_special_tokens=False)]
+def take_runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `values` at `starts`, in a row, and where each begins there; the last is the end."""
+    stops = np.concatenate([[0], np.cumsum(sizes)])
+    return values[np.repeat(starts - stops[:-1], sizes) + np.arange(stops[-1])], stops
+
+
+def _apart(found, words: list[str]) -> tuple[list[int], list[int]]:
+    """The numbers of ids of the words, and their ids, each word encoded as a text."""
+    ids = [e.ids for e in found.encode_batch_fast(words, add_special_tokens=False)]
+    return [len(i) for i in ids], list(chain.from_iterable(ids))
+
+
+def _by_lines(found, words: list[str], line: int) -> tuple[list[int], list[int]]:
+    """The same for words of letters, many in one text: a line feed between them is one id."""
+    if not words:
+        return [], []
+    texts = ["\n".join(words[k : k + 500]) + "\n" for k in range(0, len(words), 500)]
+    encoded = found.encode_batch_fast(texts, add_special_tokens=False)
+    ids = np.concatenate([np.array(e.ids, dtype=np.int64) for e in encoded])
+    return (np.diff(np.flatnonzero(ids == line), prepend=-1) - 1).tolist(), ids[ids != line].tolist()
 
 
 def encode_words(path: str, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of ids of single words, perhaps after a space, and all ids in a row."""
-    split = [m.groups() if (m := _PLAIN.fullmatch(w)) else (w, "") for w in words]
-    cores = dict.fromkeys(core for core, _ in split)
-    plain = [c for c in cores if _LETTERS.fullmatch(c)]
-    parts = dict(zip(plain, _ids_of(_plain_tokenizer(path), plain)))
-    other = [c for c in cores if c not in parts]
-    parts.update(zip(other, _ids_of(tokenizer(path), other)))
-    marks = list({m for _, m in split if m})
-    ends = dict(zip(marks, _ids_of(tokenizer(path), marks))) | {"": []}
-    sizes = [len(parts[c]) + len(ends[m]) for c, m in split]
-    ids = chain.from_iterable(x for c, m in split for x in (parts[c], ends[m]))
-    return np.array(sizes, dtype=np.int64), np.fromiter(ids, dtype="<u4", count=sum(sizes))
+    found = tokenizer(path)
+    line = found.encode("\n", add_special_tokens=False).ids
+    # A Latin word and its closing mark are encoded apart.
+    split = [[p for p in m.groups() if p] if (m := _PLAIN.fullmatch(w)) else [w] for w in words]
+    parts = list(dict.fromkeys(chain.from_iterable(split)))
+    if len(line) == 1:
+        plain = [p for p in parts if (m := _PLAIN.fullmatch(p)) and not m[2]]
+        done = _by_lines(found, plain, line[0])
+    else:
+        plain = [p for p in parts if _LETTERS.fullmatch(p)]
+        done = _apart(_plain_tokenizer(path), plain)
+    known = set(plain)
+    other = [p for p in parts if p not in known]
+    sizes, ids = (np.array(a + b, dtype=np.int64) for a, b in zip(done, _apart(found, other)))
+    place = {p: k for k, p in enumerate(chain(plain, other))}
+    at = np.fromiter((place[p] for ps in split for p in ps), dtype=np.int64)
+    ids, stops = take_runs(ids, (np.cumsum(sizes) - sizes)[at], sizes[at])
+    bounds = np.cumsum(np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
+    return np.diff(stops[bounds], prepend=0), ids.astype("<u4")
 
 
 def special_tokens(path: str) -> list[str]:
@@ -121,10 +149,22 @@ class Remembered:
         return at
 
 
+@dataclass
+class Split:
+    """Words of a group of texts."""
+
+    whole: np.ndarray  # texts that cannot be encoded word by word; they have no words here
+    hashes: np.ndarray  # of the distinct words, ascending
+    words_at: Callable[[np.ndarray], list[str]]  # spells the words at these places of `hashes`
+    order: np.ndarray  # all words of the texts in a row, as places in `hashes`
+    bounds: np.ndarray  # text k has order[bounds[k] : bounds[k + 1]]
+
+
 class _Encoder:
     """Texts -> ids. Words are found, told apart and put together by arrays."""
 
     fold = only_spaces = False
+    cuts = None
 
     def __init__(self, path: str):
         self.path = path
@@ -141,13 +181,15 @@ class _Encoder:
             out += self._group(texts[begin:end])
         return out
 
-    def _group(self, texts: Sequence[bytes]) -> list[bytes]:
-        words = scan(texts, self.fold, self.only_spaces)
+    def split(self, texts: Sequence[bytes]) -> Split:
+        """The distinct words of the texts, without those texts that must be encoded whole."""
+        words = scan(texts, self.fold, self.only_spaces, self.cuts)
         data = words.data.lower() if self.fold else words.data
         counts = np.diff(words.bounds)
         whole = self._whole(texts, words)
         first = np.zeros(len(words.hashes), dtype=bool)
-        if self.only_spaces:  # the first word of a text is the one without a space before it
+        if self.only_spaces:  # words without a space of their text before them
+            first = np.frombuffer(data, dtype=np.uint8)[words.starts - 1] != 32
             first[words.bounds[:-1][counts > 0]] = True
         hashes = np.where(first, ~words.hashes, words.hashes)
         use = np.flatnonzero(np.repeat(~whole, counts))
@@ -158,13 +200,16 @@ class _Encoder:
             begins = words.starts[at] - (self.only_spaces & ~first[at])
             return [data[i:j].decode() for i, j in zip(begins.tolist(), words.ends[at].tolist())]
 
-        at = self.known.places(distinct, words_at)[inverse]
-        sizes = self.known.sizes[at]
-        stops = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.known.ids[np.repeat(self.known.starts[at] - stops[:-1], sizes) + np.arange(stops[-1])]
-        cuts = stops[np.concatenate([[0], np.cumsum(np.where(whole, 0, counts))])].tolist()
+        bounds = np.concatenate([[0], np.cumsum(np.where(whole, 0, counts))])
+        return Split(whole, distinct, words_at, inverse, bounds)
+
+    def _group(self, texts: Sequence[bytes]) -> list[bytes]:
+        split = self.split(texts)
+        at = self.known.places(split.hashes, split.words_at)[split.order]
+        ids, stops = take_runs(self.known.ids, self.known.starts[at], self.known.sizes[at])
+        cuts = stops[split.bounds].tolist()
         out = [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
-        odd = np.flatnonzero(whole).tolist()
+        odd = np.flatnonzero(split.whole).tolist()
         for i, found in zip(odd, encode_many(self.path, [texts[i].decode() for i in odd])):
             out[i] = found
         return out
@@ -175,8 +220,20 @@ class ByteLevelEncoder(_Encoder):
 
     only_spaces = True
 
-    def is_odd(self, text: str) -> bool:
-        return bool(_WIDE_SPACE.search(text)) or any(s in text for s in self.special)
+    @staticmethod
+    def cuts(raw: np.ndarray) -> np.ndarray:
+        """Bytes before which a piece begins whatever follows, though no space stands there.
+
+        A run of letters ends before any other ASCII character; a single line feed
+        is a piece, and the line after it begins a new one.
+        """
+        back, back2 = np.roll(raw, 1), np.roll(raw, 2)
+        # The second byte of a letter from U+00C0 to U+024F, but for two signs.
+        accented = (back2 >= 0xC3) & (back2 <= 0xC9) & (back >= 0x80)
+        accented &= ~((back2 == 0xC3) & ((back == 0x97) | (back == 0xB7)))
+        ends = (_LETTER[back] | accented) & (raw < 0x80) & ~_LETTER[raw]
+        line = (back == 10) & ~SPACE[back2] & ~SPACE[raw]
+        return ends | line
 
     def _whole(self, texts: Sequence[bytes], words: Words) -> np.ndarray:
         special = [s.encode() for s in self.special]
@@ -206,16 +263,10 @@ class WordEncoder(_Encoder):
         return np.fromiter((any(m in t for m in marks) for t in texts), dtype=bool, count=len(texts))
 
 
-def chunks(text: str, odd: bool) -> list[str]:
+def chunks(text: str) -> list[str]:
     """Words of a text for a byte-level tokenizer; put together they are the text."""
-    return [text] if odd else _CHUNK.findall(text)
-
-
-def split_marks(chunk: str) -> tuple[str, ...]:
-    """A word and its closing mark apart, where the tokenizer parts them anyway."""
-    if (m := _PLAIN.fullmatch(chunk)) and m[2]:
-        return chunk[:-1], m[2]
-    return (chunk,)
+    found = ((c, _PLAIN.fullmatch(c)) for c in _CHUNK.findall(text))
+    return [part for c, m in found for part in (m.groups() if m else (c,)) if part]
 
 
 def byte_pieces(path: str) -> list[bytes]:

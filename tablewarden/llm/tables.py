@@ -19,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_batches(
     df: DataFrame,
     ddl: str,
-    make: Callable[[], Callable[[pa.RecordBatch], dict | None]],
+    make: Callable[[], Callable[[pa.RecordBatch], dict | Iterator[dict]]],
 ) -> DataFrame:
     """Run `make()` once in each task, and what it returns on each Arrow batch.
 
-    The inner function gives the columns that `ddl` names, as lists or arrays.
+    The inner function gives the columns that `ddl` names, as lists or arrays, at
+    once or part by part.
     """
     ship_package(df.sparkSession)
     schema = T.StructType.fromDDL(ddl)
@@ -32,8 +33,8 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            columns = step(batch)
-            if columns is not None:
+            found = step(batch)
+            for columns in [found] if isinstance(found, dict) else found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
                 )

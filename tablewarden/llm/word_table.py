@@ -2,18 +2,26 @@
 
 Words are split and counted on the executors. The table of distinct words gets
 its ids in one pass over distinct words. The most frequent words, of bounded
-number and size, are broadcast and looked up where the text is; occurrences of
-the others are joined with the table by word and return to their document by
-position. So frequent words are never shuffled, and no word is a hot key.
-Decoding joins ids with the table of pieces, which is as large as the vocabulary.
+number and size, are broadcast and looked up where the text is. The other words
+leave gaps in a document's ids; each is asked for once a document, joined with the
+table by word, and put back by position. So frequent words are never shuffled, and
+no word is a hot key. Decoding joins ids with the table of pieces, which is as
+large as the vocabulary.
+
+Among the words of one batch, and in the broadcast part of the table, words are told
+apart by 64-bit hashes (see `words`); the table itself is keyed by the words.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import re
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -21,100 +29,92 @@ from pyspark.sql import functions as F
 
 from tablewarden.context import cut_lineage
 from tablewarden.llm.bpe import (
-    ByteLevelEncoder, byte_pieces, chunks, encode_many, split_marks, tokenizer,
+    ByteLevelEncoder, Split, byte_pieces, chunks, encode_words, special_tokens, take_runs,
+    tokenizer,
 )
 from tablewarden.llm.tables import map_batches, texts_of
-from tablewarden.llm.words import groups
+from tablewarden.llm.words import groups, scan
 
 #: Words that are broadcast: so many at most, each of so many bytes at most (16 MB together).
 HEAD_WORDS = 500_000
 HEAD_WORD_BYTES = 32
-_GROUP_BYTES = 2 << 20
-_REMEMBERED = 300_000
+#: Bytes of text whose words are counted together, and looked up together.
+COUNT_BYTES = 8 << 20
+LOOKUP_BYTES = 2 << 20
 
 
-def _split(text: str, odd: bool) -> list[str]:
-    """Words as written with a space before them, if there is one. Closing marks still on."""
-    if odd:
-        return [text]
-    first, *rest = text.split(" ")
-    if first and all(rest):
-        return [first, *(" " + w for w in rest)]
-    return chunks(text, False)
-
-
-def _parts(word: str, odd: bool) -> tuple[str, ...]:
-    """A word of `_split` as entries of the table."""
-    if odd:
-        return (word,)
-    if word[:1].isspace() and len(word) == 1 or not any(c.isspace() for c in word[1:]):
-        return split_marks(word)
-    return tuple(p for c in chunks(word, False) for p in split_marks(c))
+def word_keys(words: Sequence[str]) -> np.ndarray:
+    """The hash by which a split text names each word."""
+    cores = [w.removeprefix(" ").encode() for w in words]
+    plain = np.array([bool(c) and b" " not in c for c in cores], dtype=bool)
+    keys = np.array([xxhash.xxh64_intdigest(w.encode()) for w in words], dtype=np.uint64)
+    if plain.any():
+        hashes = scan([c for c, p in zip(cores, plain) if p], False, only_spaces=True).hashes
+        spaced = np.array([w.startswith(" ") for w, p in zip(words, plain) if p], dtype=bool)
+        keys[plain] = np.where(spaced, hashes, ~hashes)
+    return keys
 
 
 class Splitter:
-    """Texts -> lists of words, and words -> entries of the table."""
+    """Texts -> words that a byte-level tokenizer encodes apart from each other."""
 
     def __init__(self, path: str):
         self._encoder = ByteLevelEncoder(path)
-        self._entries: dict[str, tuple[str, ...]] = {}
-
-    def words(self, text: str) -> tuple[list[str], bool]:
-        if not text:
-            return [], False
-        special = any(s in text for s in self._encoder.special)
-        if special:
-            return [text], True
-        if self._encoder.is_odd(text) or "  " in text or _spaces_meet(text):
-            return chunks(text, False), False
-        return _split(text, False), False
-
-    def entries(self, word: str, odd: bool) -> tuple[str, ...]:
-        found = self._entries.get(word)
-        if found is None or odd:
-            if len(self._entries) > _REMEMBERED:
-                self._entries.clear()
-            found = _parts(word, odd)
-            if not odd:
-                self._entries[word] = found
-        return found
-
-
-def _spaces_meet(text: str) -> bool:
-    """Whether a space stands beside other white space or at an end; then words are cut by pattern."""
-    if text[0].isspace() or text[-1].isspace():
-        return True
-    return any(pair in text for pair in (" \n", "\n ", " \t", "\t ", " \r", "\r ", " \v", "\v ", " \f", "\f "))
+        longest_first = sorted(special_tokens(path), key=len, reverse=True)
+        self._special = re.compile("|".join(map(re.escape, longest_first)) or "(?!)")
+
+    def pieces(self, text: str) -> list[str]:
+        """Words of a text with uncommon white space or special tokens in it."""
+        out, last = [], 0
+        for m in self._special.finditer(text):
+            out += [*chunks(text[last : m.start()]), m[0]]
+            last = m.end()
+        return out + chunks(text[last:])
+
+    def __call__(self, texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, Split]]:
+        """Groups of the texts: which texts, and their words."""
+        split = self._encoder.split(texts)
+        plain, odd = np.flatnonzero(~split.whole), np.flatnonzero(split.whole)
+        if len(plain):
+            bounds = np.concatenate([split.bounds[plain], split.bounds[-1:]])
+            yield plain, Split(split.whole[plain], split.hashes, split.words_at, split.order, bounds)
+        if len(odd):
+            yield odd, self._odd([texts[i].decode() for i in odd.tolist()])
+
+    def _odd(self, texts: list[str]) -> Split:
+        lists = [self.pieces(t) for t in texts]
+        words = list(dict.fromkeys(chain.from_iterable(lists)))
+        keys = word_keys(words)
+        order = np.argsort(keys)
+        rank = dict(zip([words[i] for i in order.tolist()], range(len(words))))
+        every = np.fromiter((rank[w] for ws in lists for w in ws), dtype=np.int64)
+        bounds = np.array([0, *accumulate(map(len, lists))])
+        return Split(np.zeros(len(texts), dtype=bool), keys[order],
+                     lambda at: [words[i] for i in order[at].tolist()], every, bounds)
 
 
 def distinct_words(docs: DataFrame, path: str) -> DataFrame:
-    """word, n and ids of every distinct word of the texts."""
+    """word, n and ids of every distinct word of the texts; an id has `id_bytes(path)` bytes."""
+    width = id_bytes(path)
 
     def count():
         splitter = Splitter(path)
 
         def step(batch):
-            counts: dict[str, int] = {}
             texts = texts_of(batch)
-            for begin, end in groups(texts, _GROUP_BYTES):
-                plain: Counter[str] = Counter()
-                for text in texts[begin:end]:
-                    words, odd = splitter.words(text.decode())
-                    if odd:
-                        counts[words[0]] = counts.get(words[0], 0) + 1
-                    else:
-                        plain.update(words)
-                for word, n in plain.items():
-                    for entry in splitter.entries(word, False):
-                        counts[entry] = counts.get(entry, 0) + n
-            return {"word": list(counts), "n": list(counts.values())}
+            for begin, end in groups(texts, COUNT_BYTES):
+                for _, split in splitter(texts[begin:end]):
+                    n = np.bincount(split.order, minlength=len(split.hashes))
+                    yield {"word": split.words_at(np.arange(len(n))), "n": n}
         return step
 
     def encode():
         def step(batch):
             words = [w.decode() for w in texts_of(batch, "word")]
-            return {"word": words, "n": batch.column(batch.schema.get_field_index("n")),
-                    "ids": encode_many(path, words)}
+            sizes, ids = encode_words(path, words)
+            ids = ids.astype(f"<u{width}")
+            ids = [ids[i:j].tobytes() for i, j in _spans(np.cumsum(sizes))]
+            return {"word": words, "n": batch.column(batch.schema.get_field_index("n")), "ids": ids}
         return step
 
     counted = map_batches(docs.select("text"), "word string, n long", count)
@@ -122,94 +122,157 @@ def distinct_words(docs: DataFrame, path: str) -> DataFrame:
     return cut_lineage(map_batches(once, "word string, n long, ids binary", encode))
 
 
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, known, gaps and found of every document, for `assemble`.
+@dataclass
+class Head:
+    """Frequent words by hash, ascending, and their ids in a row."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table, width: int) -> Head:
+        keys = word_keys(table.column("word").to_pylist())
+        ids = table.column("ids").to_pylist()
+        sizes = np.array([len(i) // width for i in ids], dtype=np.int64)
+        order = np.argsort(keys)
+        starts = np.cumsum(sizes) - sizes
+        return cls(keys[order], starts[order], sizes[order], np.frombuffer(b"".join(ids), f"<u{width}"))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key would stand, and whether it does."""
+        at = np.searchsorted(self.keys, keys)
+        hit = np.zeros(len(keys), dtype=bool)
+        inside = at < len(self.keys)
+        hit[inside] = self.keys[at[inside]] == keys[inside]
+        return at, hit
+
 
-    `known` are the ids of frequent words, `gaps` the places in it where rarer
-    words belong, `found` their ids by position.
+def id_bytes(path: str) -> int:
+    """Two bytes hold an id of a vocabulary of up to 65,536 pieces."""
+    return 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
+
+
+def encode_with_gaps(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, known, gaps, n_rare and found of every document, for `_assembler`.
+
+    `known` are the ids of frequent words. `gaps` holds the steps between the places
+    in it where rarer words belong and then, for each place, which word it is;
+    `found` are the ids of the `n_rare` different ones.
     """
-    spark = docs.sparkSession
+    width = id_bytes(path)
     table = distinct_words(docs, path)
     # Bounded by HEAD_WORDS and HEAD_WORD_BYTES, whatever the corpus holds.
-    head = (
+    head = Head.of(
         table.where(F.octet_length("word") <= HEAD_WORD_BYTES)
-        .orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word", "ids").toArrow()
-    )
-    shared = spark.sparkContext.broadcast(
-        (head.column("word").to_pylist(), head.column("ids").to_pylist())
+        .orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word", "ids").toArrow(),
+        width,
     )
+    shared = docs.sparkSession.sparkContext.broadcast(head)
     del head
 
-    width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
-
-    def narrow(ids: bytes) -> bytes:
-        return np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
-
-    def make(rare_only: bool):
+    def make(asking: bool):
         def begin():
-            splitter = Splitter(path)
-            known = dict(zip(*shared.value))
-            compressor = zstandard.ZstdCompressor(level=3)
-            whole: dict[str, bytes | None] = {}
-
-            def lookup(word: str) -> bytes | None:
-                """Ids of a word if all of it is frequent."""
-                ids = [known.get(e) for e in splitter.entries(word, False)]
-                found = None if None in ids else b"".join(ids)
-                if len(whole) <= _REMEMBERED:
-                    whole[word] = found
-                return found
-
-            def one(text: bytes) -> tuple[bytes, list[int], list[str]]:
-                words, odd = splitter.words(text.decode())
-                out, gaps, rare, size = [], [], [], 0
-                for word in words:
-                    ids = None if odd else whole[word] if word in whole else lookup(word)
-                    if ids is not None:
-                        out.append(ids)
-                        size += len(ids)
-                        continue
-                    for entry in splitter.entries(word, odd):
-                        ids = known.get(entry)
-                        if ids is None:
-                            gaps.append(size // 4)
-                            rare.append(entry)
-                        else:
-                            out.append(ids)
-                            size += len(ids)
-                return b"".join(out), gaps, rare
+            splitter, head = Splitter(path), shared.value
+            compress = zstandard.ZstdCompressor(level=3).compress
+
+            def look_up(keys: list[bytes], doc_ids: list, split: Split) -> dict:
+                at, hit = head.find(split.hashes)
+                gaps = np.flatnonzero(~hit[split.order])
+                gap_bounds = np.searchsorted(gaps, split.bounds)
+                document = np.repeat(np.arange(len(keys)), np.diff(gap_bounds))
+                # The different rare words of each document.
+                pairs, which = np.unique(
+                    document * len(hit) + split.order[gaps], return_inverse=True
+                )
+                firsts = np.searchsorted(pairs, np.arange(len(keys) + 1) * len(hit))
+                if asking:
+                    words = split.words_at(pairs - np.repeat(np.arange(len(keys)), np.diff(firsts)) * len(hit))
+                    asked = [(k, words[i:j]) for k, (i, j) in zip(keys, _spans(firsts[1:])) if i < j]
+                    return {"key": [k for k, _ in asked], "rare": [w for _, w in asked]}
+                starts, sizes = (np.zeros(len(hit), dtype=np.int64) for _ in range(2))
+                starts[hit], sizes[hit] = head.starts[at[hit]], head.sizes[at[hit]]
+                ids, stops = take_runs(head.ids, starts[split.order], sizes[split.order])
+                ends = stops[split.bounds]
+                places, which = stops[gaps] - ends[document], which - firsts[document]
+                return {
+                    "key": keys, "doc_id": doc_ids, "n_rare": np.diff(firsts),
+                    "known": [compress(ids[i:j].tobytes()) for i, j in _spans(ends[1:])],
+                    "gaps": [
+                        np.concatenate([np.diff(places[i:j], prepend=0), which[i:j]]).astype("<u4").tobytes()
+                        for i, j in _spans(gap_bounds[1:])
+                    ],
+                }
 
             def step(batch):
                 texts = texts_of(batch)
-                doc_id = batch.column(batch.schema.get_field_index("doc_id"))
-                rows = {"doc_id": doc_id, "h": [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]}
-                if len(whole) > _REMEMBERED:
-                    whole.clear()
-                done = [one(t) for t in texts]
-                if rare_only:
-                    return rows | {"rare": [d[2] for d in done]}
-                return rows | {"known": [compressor.compress(narrow(d[0])) for d in done],
-                               "gaps": [np.array(d[1], dtype="<u4").tobytes() for d in done]}
+                doc_ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+                for begin, end in groups(texts, LOOKUP_BYTES):
+                    for rows, split in splitter(texts[begin:end]):
+                        at = [begin + i for i in rows.tolist()]
+                        keys = [_key(doc_ids[i], texts[i]) for i in at]
+                        yield look_up(keys, [doc_ids[i] for i in at], split)
             return step
         return begin
 
     source = docs.select("doc_id", "text")
-    rare = map_batches(source, "doc_id long, h long, rare array<string>", make(True))
-    # Rows with the same id and text have the same rare words; the finish needs them once.
-    asked = rare.select("doc_id", "h", F.posexplode("rare").alias("k", "word"))
+    # Rows with the same id and text ask for the same words; they are answered once.
+    asked = map_batches(source, "key binary, rare array<string>", make(True))
     found = (
-        asked.join(table.select("word", "ids"), "word")
-        .groupBy("doc_id", "h").agg(F.collect_set(F.struct("k", "ids")).alias("found"))
-        .select(F.coalesce("doc_id", F.lit(-1)).alias("key"), F.col("h").alias("hash"),
-                F.col("doc_id").isNull().alias("no_id"), "found")
+        asked.select("key", F.posexplode("rare").alias("k", "word"))
+        .join(table.select("word", "ids"), "word")
+        .groupBy("key").agg(F.collect_set(F.struct("k", "ids")).alias("found"))
+    )
+    known = map_batches(
+        source, "key binary, doc_id long, n_rare int, known binary, gaps binary", make(False)
     )
-    texts = map_batches(source, "doc_id long, h long, known binary, gaps binary", make(False))
-    return texts.join(
-        found,
-        (F.coalesce(texts.doc_id, F.lit(-1)) == found.key) & (texts.h == found.hash)
-        & (texts.doc_id.isNull() == found.no_id),
-        "left",
-    ).select("doc_id", "known", "gaps", "found")
+    return known.join(found, "key", "left").drop("key")
+
+
+def _key(doc_id: int | None, text: bytes) -> bytes:
+    name = b"" if doc_id is None else str(doc_id).encode()
+    return xxhash.xxh3_128_digest(name + b"\0" + text)
+
+
+def _assembler(path: str):
+    """Rows of `encode_with_gaps` -> ids of the document."""
+    width = id_bytes(path)
+    expand = zstandard.ZstdDecompressor().decompress
+
+    def assemble(known: bytes, gaps: bytes, n_rare: int, found: list[dict] | None) -> np.ndarray:
+        ids = np.frombuffer(expand(known), f"<u{width}").astype("<u4")
+        parts = [f["ids"] for f in sorted(found or [], key=lambda f: f["k"])]
+        if len(parts) != n_rare:
+            raise ValueError("the table lacks words of a document")
+        if not parts:
+            return ids
+        steps, which = np.frombuffer(gaps, "<u4").astype(np.int64).reshape(2, -1)
+        sizes = np.array([len(p) // width for p in parts], dtype=np.int64)
+        rare = np.frombuffer(b"".join(parts), f"<u{width}")
+        filled, _ = take_runs(rare, (np.cumsum(sizes) - sizes)[which], sizes[which])
+        return np.insert(ids, np.repeat(np.cumsum(steps), sizes[which]), filled)
+
+    return lambda batch: (
+        assemble(*row) for row in zip(*(
+            batch.column(batch.schema.get_field_index(c)).to_pylist()
+            for c in ("known", "gaps", "n_rare", "found")
+        ))
+    )
+
+
+def encode_documents(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id and ids (little-endian unsigned 32-bit integers) of every document."""
+
+    def make():
+        assembled = _assembler(path)
+
+        def step(batch):
+            return {"doc_id": batch.column(batch.schema.get_field_index("doc_id")),
+                    "ids": [ids.tobytes() for ids in assembled(batch)]}
+        return step
+
+    return map_batches(encode_with_gaps(docs, path), "doc_id long, ids binary", make)
 
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
@@ -218,42 +281,32 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     Null and empty texts have no tokens. Rows with the same id and text get equal
     results of their own.
     """
-    encoded = encode_documents(docs, path)
-
-    width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
 
     def make():
+        assembled = _assembler(path)
         pieces = byte_pieces(path)
-        decompressor = zstandard.ZstdDecompressor()
-
-        def assemble(known: bytes, gaps: bytes, found: list[dict] | None) -> bytes:
-            ids = np.frombuffer(decompressor.decompress(known), f"<u{width}").astype("<u4").tobytes()
-            places = np.frombuffer(gaps, "<u4").tolist()
-            if not places:
-                return ids
-            rare = {f["k"]: f["ids"] for f in found}
-            out, last = [], 0
-            for k, place in enumerate(places):
-                out += (ids[4 * last : 4 * place], rare[k])
-                last = place
-            out.append(ids[4 * last :])
-            return b"".join(out)
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        table = np.frombuffer(b"".join(pieces), dtype=np.uint8)
 
         def step(batch):
-            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist()
-                       for c in ("known", "gaps", "found")]
             out = {"doc_id": batch.column(batch.schema.get_field_index("doc_id")),
                    "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            for row in zip(*columns):
-                ids = assemble(*row)
-                text = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-                text = text.decode("utf-8", "replace").encode()
-                out["n_tokens"].append(len(ids) // 4)
+            for ids in assembled(batch):
+                text, _ = take_runs(table, starts[ids], sizes[ids])
+                text = text.tobytes().decode("utf-8", "replace").encode()
+                out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(text).hexdigest())
             return out
         return step
 
     return map_batches(
-        encoded, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make
+        encode_with_gaps(docs, path),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make,
     )
+
+
+def _spans(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    stops = ends.tolist()
+    return zip([0, *stops], stops)

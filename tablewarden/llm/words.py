@@ -6,7 +6,7 @@ arrays that hold a few megabytes of text, never per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,16 +61,23 @@ class Words:
         return zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist())
 
 
-def scan(texts: Sequence[bytes], fold: bool, only_spaces: bool = False) -> Words:
+def scan(
+    texts: Sequence[bytes], fold: bool, only_spaces: bool = False,
+    cuts: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> Words:
     """Find and hash all words; with `fold`, A-Z count as a-z in the hash.
 
     With `only_spaces`, nothing but a space parts words, and other white space counts in the hash.
+    `cuts` says before which bytes a word begins besides, without white space between.
     """
     data = b" " + b" ".join(texts) + b" "
     raw = np.frombuffer(data, dtype=np.uint8)
     space = raw == 32 if only_spaces else SPACE[raw]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]
+    if cuts is not None:
+        inner = np.flatnonzero(cuts(raw) & ~space & ~np.concatenate([[True], space[:-1]]))
+        starts, ends = (np.sort(np.concatenate([x, inner]), kind="stable") for x in (starts, ends))
     table = _BYTE_KEPT if only_spaces else _BYTE_FOLDED if fold else _BYTE
     hashes = np.empty(len(starts), dtype=np.uint64)
     for i in range(0, len(starts), _WORDS_AT_ONCE):

@@ -47,9 +47,10 @@ def test_encoders_equal_the_tokenizers(texts):
 @settings(max_examples=400, deadline=None)
 @given(TEXT)
 def test_words_of_the_table_equal_the_tokenizer(text):
-    words, odd = SPLITTER.words(text)
-    entries = [e for w in words for e in SPLITTER.entries(w, odd)]
+    ((_, split),) = SPLITTER([text.encode()])
+    entries = split.words_at(split.order)
     assert "".join(entries) == text
+    assert word_table.word_keys(entries).tolist() == split.hashes[split.order].tolist()
     found = tokenizer(BYTES)
     got = [i for e in entries for i in found.encode(e, add_special_tokens=False).ids]
     assert got == found.encode(text, add_special_tokens=False).ids
