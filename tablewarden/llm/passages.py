@@ -1,12 +1,14 @@
-"""Passages that several documents share, found as paragraphs with MinHash bands.
-
-Passages may begin and end anywhere in a line, so paragraphs are not lines. They
-are runs of words cut where the words themselves say so: at a word whose hash is
-the least within a few words to both sides. A passage of fifty words holds whole
-paragraphs of that kind wherever it stands. Equal paragraphs are one node. Others
-meet in bands of MinHash values; those that collide are tested by exact Jaccard,
-and linked paragraphs form components. The first document of a component keeps
-its paragraphs; in the others, runs of such paragraphs are cut out.
+"""Passages that several documents share, found by seeds and followed word by word.
+
+Passages may begin and end anywhere in a line, so paragraphs are not lines. Texts
+are cut where the words themselves say so, at two levels. Fragments of about eleven
+words end at a word whose hash is the least within a few words to both sides; a
+fragment that an earlier document holds too is a seed. From the ends of each run of
+seeds the words are compared with those around the first holder's fragment, up to
+the true ends of the passage and across a differing word or two. Paragraphs of some
+fifty words meet in bands of MinHash values; those that collide are tested by exact
+Jaccard, and linked paragraphs form components, of which the first document keeps
+its paragraphs. This also finds copies that differ in more than the words show.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablewarden.context import cut_lineage, is_small
 from tablewarden.llm.overlap import link_lists
@@ -26,51 +29,62 @@ WIDTH = 5
 PERCENT = 75
 RADIUS = 5
 MAX_WORDS = 64
-#: Bands of one row each: recall 0.94 at a Jaccard of 0.75, 0.99 at 0.9, 1 for equal paragraphs.
-BANDS = 2
-#: A run of repeated paragraphs is cut if it has so many words. A passage of over fifty words
-#: loses up to a paragraph at either end, where the text around it decides.
+#: Bands of two rows: recall 0.9987 at a Jaccard of 0.75, 1 for equal paragraphs.
+BANDS = 8
+ROWS = 2
+#: A paragraph begins at three words whose hash is the least within so many words to both sides.
+PARAGRAPH_RADIUS = 25
+PARAGRAPH_WIDTH = 3
+MAX_PARAGRAPH_WORDS = 128
+#: A repeated run of words is cut if it has so many.
 MIN_RUN_WORDS = 16
 MIN_PARAGRAPH_WORDS = RADIUS
-#: Lists of more members than this are searched in blocks. Where a passage begins and ends,
-#: each of its copies has a paragraph of its own, so these lists are as long as it is frequent.
+#: Words around a holder's fragment that are compared. No fragment is longer, so what lies
+#: farther off belongs to another seed.
+CONTEXT = MAX_WORDS
+#: Up to so many words differ, are missing or are added at once between words that agree.
+MAX_GAP = 2
+#: So many words must agree after a difference.
+AGREE = 4
+#: Lists of more members than this are searched in blocks.
 SHORT_LIST = 8
 #: Numbers that are broadcast together at most (16 MB).
 MAX_BROADCAST_VALUES = 2_000_000
-_SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+_BACK, _ON = 0, 1
+_GAPS = sorted(((i, j) for i in range(MAX_GAP + 1) for j in range(MAX_GAP + 1) if i or j),
+               key=lambda x: (max(x), x != (1, 1)))
 
 
-def paragraph_starts(hashes: np.ndarray) -> np.ndarray:
-    """The first word of each paragraph. A cut depends on the words within RADIUS alone."""
-    n = len(hashes)
+def _starts(values: np.ndarray, radius: int, longest: int) -> np.ndarray:
+    """Where a value is the least within `radius` to both sides; no run is longer than `longest`."""
+    n = len(values)
     if n == 0:
         return np.zeros(0, dtype=np.int64)
-    padded = np.concatenate([np.full(RADIUS, _TOP), hashes, np.full(RADIUS, _TOP)])
-    least = np.ones(n, dtype=bool)
-    for k in range(1, RADIUS + 1):
-        least &= hashes < padded[RADIUS - k : RADIUS - k + n]
-        least &= hashes <= padded[RADIUS + k : RADIUS + k + n]
-    starts = np.flatnonzero(least)
+    around = np.concatenate([np.full(radius, _TOP), values, np.full(radius + 1, _TOP)])
+    width = 1
+    while width < radius:  # the least of `radius` values, by doubling
+        step = min(width, radius - width)
+        around = np.minimum(around[:-step], around[step:])
+        width += step
+    starts = np.flatnonzero(
+        (values < around[:n]) & (values <= around[radius + 1 : radius + 1 + n])
+    )
     if not len(starts) or starts[0]:
         starts = np.concatenate([[0], starts])
     sizes = np.diff(starts, append=n)
-    if sizes.max() > MAX_WORDS:  # words that repeat give no cut
-        starts = np.concatenate([np.arange(s, s + size, MAX_WORDS) for s, size in zip(starts, sizes)])
+    if sizes.max() > longest:  # words that repeat give no cut
+        starts = np.concatenate([np.arange(s, s + size, longest) for s, size in zip(starts, sizes)])
     return starts
 
 
-@dataclass
-class Paragraphs:
-    starts: np.ndarray
-    sizes: np.ndarray
-    keys: np.ndarray
-    bands: np.ndarray  # a column for each band
+def paragraph_starts(hashes: np.ndarray) -> np.ndarray:
+    """The first word of each fragment. A cut depends on the words within RADIUS alone."""
+    return _starts(hashes, RADIUS, MAX_WORDS)
 
 
-def paragraph_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, numbers of words and identities of the paragraphs."""
-    starts = paragraph_starts(hashes)
+def _keys(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(hashes)
     sizes = np.diff(starts, append=n)
     if n == 0:
@@ -83,20 +97,43 @@ def paragraph_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return starts, sizes, keys
 
 
+def paragraph_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, numbers of words and identities of the fragments."""
+    return _keys(hashes, paragraph_starts(hashes))
+
+
+def long_paragraph_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, numbers of words and identities of the paragraphs."""
+    values = np.full(len(hashes), _TOP)
+    if len(hashes) >= PARAGRAPH_WIDTH:
+        whole = shingle_hashes(hashes, PARAGRAPH_WIDTH)
+        values[: len(whole)] = whole
+    return _keys(hashes, _starts(values, PARAGRAPH_RADIUS, MAX_PARAGRAPH_WORDS))
+
+
+@dataclass
+class Paragraphs:
+    starts: np.ndarray
+    sizes: np.ndarray
+    keys: np.ndarray
+    bands: np.ndarray  # a column for each band
+
+
 def paragraphs(hashes: np.ndarray) -> Paragraphs:
-    starts, sizes, keys = paragraph_keys(hashes)
+    starts, sizes, keys = long_paragraph_keys(hashes)
     n = len(hashes)
-    if n == 0:
-        return Paragraphs(starts, sizes, keys, np.zeros((0, BANDS), np.uint64))
+    if n < WIDTH:
+        return Paragraphs(starts, sizes, keys, np.zeros((len(starts), BANDS), np.uint64))
     position = np.arange(n) - np.repeat(starts, sizes)
     shingles = np.full(n, _TOP)
-    if n >= WIDTH:
-        whole = shingle_hashes(hashes, WIDTH)
-        inside = (position + WIDTH <= np.repeat(sizes, sizes))[: len(whole)]
-        shingles[: len(whole)][inside] = whole[inside]
+    whole = shingle_hashes(hashes, WIDTH)
+    inside = (position + WIDTH <= np.repeat(sizes, sizes))[: len(whole)]
+    shingles[: len(whole)][inside] = whole[inside]
+    least = [np.minimum.reduceat(np.where(shingles == _TOP, _TOP, mix(shingles ^ s)), starts)
+             for s in _SEEDS]
     bands = np.stack(
-        [np.minimum.reduceat(np.where(shingles == _TOP, _TOP, mix(shingles ^ s)), starts) for s in _SEEDS],
-        axis=1,
+        [shingle_hashes(np.stack(least[k : k + ROWS], axis=1).ravel(), ROWS)[::ROWS]
+         for k in range(0, BANDS * ROWS, ROWS)], axis=1,
     )
     return Paragraphs(starts, sizes, keys, bands)
 
@@ -105,26 +142,67 @@ def shingles_of(hashes: np.ndarray, start: int, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(hashes[start : start + size], WIDTH))
 
 
+def follow(ours: np.ndarray, theirs: np.ndarray) -> int:
+    """How many of our words from the first on agree with theirs, but for gaps of a word or two."""
+    i = j = 0
+    while True:
+        m = min(len(ours) - i, len(theirs) - j)
+        differ = np.flatnonzero(ours[i : i + m] != theirs[j : j + m])
+        run = int(differ[0]) if len(differ) else m
+        i, j = i + run, j + run
+        if run == m:
+            return i
+        for a, b in _GAPS:
+            x, y = ours[i + a : i + a + AGREE], theirs[j + b : j + b + AGREE]
+            if len(x) == AGREE and np.array_equal(x, y):
+                i, j = i + a, j + b
+                break
+        else:
+            return i
+
+
 def _signed(values: np.ndarray) -> list[int]:
     return values.view(np.int64).tolist()
 
 
+def _fragments(docs: DataFrame) -> DataFrame:
+    """doc_id, place and key of each fragment of enough words."""
+
+    def make():
+        def step(batch):
+            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+            texts = texts_of(batch)
+            out: dict[str, list] = {"doc_id": [], "place": [], "key": []}
+            for begin, end in groups(texts):
+                words = scan(texts[begin:end], fold=True)
+                for doc_id, (i, j) in zip(ids[begin:end], words.slices()):
+                    _, sizes, keys = paragraph_keys(words.hashes[i:j])
+                    use = np.flatnonzero(sizes >= MIN_PARAGRAPH_WORDS)
+                    out["doc_id"] += [doc_id] * len(use)
+                    out["place"] += use.tolist()
+                    out["key"] += _signed(keys[use])
+            return out
+        return step
+
+    source = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    return cut_lineage(map_batches(source, "doc_id long, place int, key long", make))
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, place, key, n (shingles) and band values of each paragraph of enough words."""
+    """doc_id, key, n (shingles) and band values of each paragraph of enough words."""
 
     def make():
         def step(batch):
             ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
             texts = texts_of(batch)
-            out: dict[str, list] = {"doc_id": [], "place": [], "key": [], "n": [],
+            out: dict[str, list] = {"doc_id": [], "key": [], "n": [],
                                     **{f"b{k}": [] for k in range(BANDS)}}
             for begin, end in groups(texts):
                 words = scan(texts[begin:end], fold=True)
                 for doc_id, (i, j) in zip(ids[begin:end], words.slices()):
                     found = paragraphs(words.hashes[i:j])
-                    use = np.flatnonzero(found.sizes >= MIN_PARAGRAPH_WORDS)
+                    use = np.flatnonzero(found.sizes >= MIN_RUN_WORDS)
                     out["doc_id"] += [doc_id] * len(use)
-                    out["place"] += use.tolist()
                     out["key"] += _signed(found.keys[use])
                     out["n"] += (found.sizes[use] - WIDTH + 1).tolist()
                     for k in range(BANDS):
@@ -132,7 +210,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             return out
         return step
 
-    ddl = "doc_id long, place int, key long, n long, " + ", ".join(f"b{k} long" for k in range(BANDS))
+    ddl = "doc_id long, key long, n long, " + ", ".join(f"b{k} long" for k in range(BANDS))
     source = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     return cut_lineage(map_batches(source, ddl, make))
 
@@ -158,7 +236,7 @@ def _items_of(docs: DataFrame, holders: DataFrame):
                     words = scan(texts[begin:end], fold=True)
                     for k, (i, j) in enumerate(words.slices(), begin):
                         hashes = words.hashes[i:j]
-                        starts, sizes, keys = paragraph_keys(hashes)
+                        starts, sizes, keys = long_paragraph_keys(hashes)
                         keys, first = np.unique(keys.view(np.int64), return_index=True)
                         ours = np.isin(keys, wanted[k].values.to_numpy(zero_copy_only=False))
                         out["node"] += keys[ours].tolist()
@@ -173,8 +251,22 @@ def _items_of(docs: DataFrame, holders: DataFrame):
     return items_of
 
 
+def repeated_fragments(docs: DataFrame) -> DataFrame:
+    """doc_id, place, key, holder of the fragments that an earlier document, the holder, has too."""
+    found = _fragments(docs)
+    shared = cut_lineage(
+        found.groupBy("key").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("high"))
+        .where("holder < high").select("key", "holder")
+    )
+    return found.join(shared, "key").where("doc_id > holder") \
+        .select("doc_id", "place", "key", "holder").distinct()
+
+
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, place, component of the paragraphs that an earlier document holds too."""
+    """doc_id, key of the paragraphs of which an earlier document holds another form.
+
+    Equal paragraphs need no link: their fragments are seeds.
+    """
     found = _occurrences(docs)
     nodes = cut_lineage(
         found.groupBy("key").agg(
@@ -188,27 +280,116 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     )
     holders = nodes.select("key", F.col("low").alias("holder"))
     linked = link_lists(members, _items_of(docs, holders), PERCENT, short_list=SHORT_LIST)
-    single = nodes.join(linked, nodes.key == linked.node, "left_anti").where("low < high") \
-        .select("key", F.col("key").alias("component"), F.col("low").alias("first"))
     joined = linked.join(nodes, linked.node == nodes.key).select("key", "component", "low", "high")
     spread = joined.groupBy("component").agg(F.min("low").alias("first"), F.max("high").alias("last")) \
         .where("first < last").select("component", "first")
-    many = joined.join(spread, "component").select("key", "component", "first")
-    repeated = cut_lineage(single.unionByName(many))
-    return found.join(repeated, "key").where("doc_id > first").select("doc_id", "place", "component")
-
-
-def _cut(text: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-         repeated: list[int]) -> tuple[bytes, list[tuple[int, int]]]:
-    """The text without its runs of repeated paragraphs, and the byte ranges cut out."""
-    first = paragraph_starts(hashes)
-    sizes = np.diff(first, append=len(hashes))
-    places = np.array(sorted(set(repeated)), dtype=np.int64)
-    spans = []
-    for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-        if sizes[run].sum() >= MIN_RUN_WORDS:
-            a, b = first[run[0]], first[run[-1]] + sizes[run[-1]] - 1
-            spans.append((int(starts[a]), int(ends[b])))
+    many = cut_lineage(joined.join(spread, "component").select("key", "first"))
+    return found.join(many, "key").where("doc_id > first").select("doc_id", "key").distinct()
+
+
+def _run_ends(seeds: DataFrame) -> DataFrame:
+    """doc_id, key, holder, side where a run of seeds begins (_BACK) or ends (_ON).
+
+    The fragment next to the outermost counts too if its holder is another one: the
+    outermost may be a phrase that its first holder has in other company.
+    """
+    own = Window.partitionBy("doc_id").orderBy("place", "key")
+    before = {f"{name}{k}": F.lag(name, k).over(own) for k in (1, 2) for name in ("place", "holder")}
+    after = {f"next_{name}{k}": F.lead(name, k).over(own) for k in (1, 2) for name in ("place", "holder")}
+    rows = seeds.withColumns(before | after)
+
+    def outer(prefix: str, sign: int) -> Column:
+        def beside(k: int):
+            return F.coalesce(F.col(f"{prefix}place{k}") == F.col("place") + sign * k, F.lit(False))
+        return ~beside(1) | (~beside(2) & (F.col(f"{prefix}holder1") != F.col("holder")))
+
+    sides = F.array(F.when(outer("", -1), F.lit(_BACK)), F.when(outer("next_", 1), F.lit(_ON)))
+    return rows.select("doc_id", "key", "holder", F.explode(F.array_compact(sides)).alias("side")) \
+        .distinct()
+
+
+def _contexts(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """key, side, words: 32 bits of each word beside the first holder's fragment, outwards."""
+    asked = cut_lineage(ends.select("holder", "key", "side").distinct())
+    by_holder = asked.groupBy("holder").agg(
+        F.collect_list(F.when(F.col("side") == _BACK, F.col("key"))).alias("back"),
+        F.collect_list(F.when(F.col("side") == _ON, F.col("key"))).alias("on"),
+    )
+    if is_small(asked, MAX_BROADCAST_VALUES):
+        by_holder = F.broadcast(by_holder)
+    texts = docs.join(by_holder, docs.doc_id == by_holder.holder).select("text", "back", "on")
+
+    def make():
+        def step(batch):
+            out: dict[str, list] = {"key": [], "side": [], "words": []}
+            texts = texts_of(batch)
+            wanted = [batch.column(batch.schema.get_field_index(c)) for c in ("back", "on")]
+            for begin, end in groups(texts):
+                words = scan(texts[begin:end], fold=True)
+                for k, (i, j) in enumerate(words.slices(), begin):
+                    hashes = words.hashes[i:j]
+                    starts, sizes, keys = paragraph_keys(hashes)
+                    use = np.flatnonzero(sizes >= MIN_PARAGRAPH_WORDS)
+                    keys, first = np.unique(keys[use].view(np.int64), return_index=True)
+                    for side, lists in enumerate(wanted):
+                        ours = np.isin(keys, lists[k].values.to_numpy(zero_copy_only=False))
+                        for key, p in zip(keys[ours].tolist(), use[first[ours]].tolist()):
+                            out["key"].append(key)
+                            out["side"].append(side)
+                            out["words"].append(_beside(hashes, starts[p], sizes[p], side, CONTEXT)
+                                                .astype("<u4").tobytes())
+            return out
+        return step
+
+    # Rows that share the holder's id may give several.
+    return map_batches(texts, "key long, side int, words binary", make) \
+        .groupBy("key", "side").agg(F.max("words").alias("words"))
+
+
+def _beside(hashes: np.ndarray, start: int, size: int, side: int, most: int) -> np.ndarray:
+    """The words after a fragment, or those before it from the last to the first."""
+    if side == _ON:
+        return hashes[start + size : start + size + most].astype(np.uint32)
+    return hashes[max(0, start - most) : start][::-1].astype(np.uint32)
+
+
+def _covered(hashes: np.ndarray, seeds: np.ndarray, near: np.ndarray,
+             ends: list[tuple[int, int, bytes]]) -> np.ndarray:
+    """Which words an earlier document holds, by seeds, paragraphs and what stands beside seeds."""
+    starts, sizes, keys = paragraph_keys(hashes)
+    keys = keys.view(np.int64)
+    fragments = np.isin(keys, seeds) & (sizes >= MIN_PARAGRAPH_WORDS)
+    covered = np.repeat(fragments, sizes)
+    if len(near):
+        # The outermost words of a paragraph are decided by what stands beside seeds.
+        first, lengths, ours = long_paragraph_keys(hashes)
+        for p in np.flatnonzero(np.isin(ours.view(np.int64), near)).tolist():
+            inside = np.flatnonzero(covered[first[p] : first[p] + lengths[p]])
+            if len(inside):
+                covered[first[p] + inside[0] : first[p] + inside[-1] + 1] = True
+            else:
+                covered[first[p] : first[p] + lengths[p]] = True
+    places: dict[int, list[int]] = {}
+    for p in np.flatnonzero(fragments).tolist():
+        places.setdefault(int(keys[p]), []).append(p)
+    for key, side, words in ends:
+        theirs = np.frombuffer(words, "<u4")
+        for p in places.get(key, ()):
+            a, size = int(starts[p]), int(sizes[p])
+            more = follow(_beside(hashes, a, size, side, len(theirs) + CONTEXT), theirs)
+            if side == _ON:
+                covered[a + size : a + size + more] = True
+            else:
+                covered[a - more : a] = True
+    return covered
+
+
+def _cut(text: bytes, starts: np.ndarray, ends: np.ndarray,
+         covered: np.ndarray) -> tuple[bytes, list[tuple[int, int]]]:
+    """The text without its long enough runs of covered words, and the byte ranges cut out."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    spans = [(int(starts[a]), int(ends[b - 1])) for a, b in zip(edges[::2], edges[1::2])
+             if b - a >= MIN_RUN_WORDS]
     kept, last = [], 0
     for a, b in spans:
         kept.append(text[last:a].rstrip(b" ") if text[b : b + 1] in (b" ", b"") else text[last:a])
@@ -218,33 +399,58 @@ def _cut(text: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 
 
 def _with_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` as a struct, with the places of repeated paragraphs; null if there are none."""
-    repeated = cut_lineage(repeated_paragraphs(docs).select("doc_id", "place"))
-    places = repeated.groupBy(F.col("doc_id").alias("i")).agg(F.collect_set("place").alias("places"))
-    if is_small(repeated, MAX_BROADCAST_VALUES):
-        places = F.broadcast(places)
+    """`docs` as a struct, with what an earlier document holds too; seeds are null if nothing."""
+    seeds = cut_lineage(repeated_fragments(docs))
+    ends = cut_lineage(_run_ends(seeds))
+    beside = ends.join(cut_lineage(_contexts(docs, ends)), ["key", "side"]) \
+        .select("doc_id", F.struct("key", "side", "words").alias("end"))
+    near = repeated_paragraphs(docs)
+    nothing = {"seed": F.lit(None).cast("long"), "near": F.lit(None).cast("long"),
+               "end": F.lit(None).cast("struct<key:long,side:int,words:binary>")}
+
+    def only(rows: DataFrame, name: str, value: str) -> DataFrame:
+        return rows.select("doc_id", *(F.col(value).alias(n) if n == name else v.alias(n)
+                                       for n, v in nothing.items()))
+
+    marks = cut_lineage(
+        only(seeds, "seed", "key").unionByName(only(near, "near", "key"))
+        .unionByName(only(beside, "end", "end"))
+    )
+    found = marks.groupBy(F.col("doc_id").alias("i")).agg(
+        F.collect_set("seed").alias("seeds"), F.collect_set("near").alias("near"),
+        F.collect_list("end").alias("ends"),
+    )
+    # A run's end weighs as much as the words beside it.
+    if is_small(marks, MAX_BROADCAST_VALUES // CONTEXT):
+        found = F.broadcast(found)
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
                         "doc_id", "text")
-    return whole.join(places, whole.doc_id == places.i, "left").select("doc", "doc_id", "text", "places")
+    return whole.join(found, whole.doc_id == found.i, "left") \
+        .select("doc", "doc_id", "text", "seeds", "near", "ends")
 
 
 def _cutter():
     def step(batch):
         texts = texts_of(batch)
-        places = batch.column(batch.schema.get_field_index("places")).to_pylist()
+        seeds, near, further = (batch.column(batch.schema.get_field_index(c))
+                                for c in ("seeds", "near", "ends"))
         out = {"cut": [None] * len(texts), "starts": [None] * len(texts), "lengths": [None] * len(texts)}
-        use = [i for i, p in enumerate(places) if p]
+        use = np.flatnonzero(seeds.is_valid().to_numpy(zero_copy_only=False)).tolist()
         some = [texts[i] for i in use]
         for begin, end in groups(some):
             words = scan(some[begin:end], fold=True)
             for k, (i, j) in enumerate(words.slices(), begin):
-                at = words.offsets[k - begin]
-                text, spans = _cut(some[k], words.hashes[i:j], words.starts[i:j] - at,
-                                   words.ends[i:j] - at, places[use[k]])
+                at, row = words.offsets[k - begin], use[k]
+                covered = _covered(
+                    words.hashes[i:j], seeds[row].values.to_numpy(zero_copy_only=False),
+                    near[row].values.to_numpy(zero_copy_only=False),
+                    [(e["key"], e["side"], e["words"]) for e in further[row].as_py()],
+                )
+                text, spans = _cut(some[k], words.starts[i:j] - at, words.ends[i:j] - at, covered)
                 if spans:
-                    out["cut"][use[k]] = text.decode()
-                    out["starts"][use[k]] = [len(some[k][:a].decode()) for a, _ in spans]
-                    out["lengths"][use[k]] = [len(some[k][a:b].decode()) for a, b in spans]
+                    out["cut"][row] = text.decode()
+                    out["starts"][row] = [len(some[k][:a].decode()) for a, _ in spans]
+                    out["lengths"][row] = [len(some[k][a:b].decode()) for a, b in spans]
         return out
     return step
 
@@ -264,7 +470,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
             return {"doc_id": batch.column(batch.schema.get_field_index("doc_id"))} | cut(batch)
         return step
 
-    rows = _with_repeats(docs).where("places is not null").select("doc_id", "text", "places")
+    rows = _with_repeats(docs).where("seeds is not null").select("doc_id", "text", "seeds", "near", "ends")
     found = map_batches(
         rows, "doc_id long, cut string, starts array<long>, lengths array<long>", make
     )
@@ -284,7 +490,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             return {"doc": batch.column(batch.schema.get_field_index("doc")), "cut": cut(batch)["cut"]}
         return step
 
-    rows = _with_repeats(docs).select("doc", "text", "places")
+    rows = _with_repeats(docs).select("doc", "text", "seeds", "near", "ends")
     found = map_batches(rows, f"doc {rows.schema['doc'].dataType.simpleString()}, cut string", make)
     changed = {"text": F.coalesce("cut", "doc.text"),
                "n_chars": F.when(F.col("cut").isNull(), F.col("doc.n_chars"))

@@ -118,6 +118,33 @@ def test_near_paragraphs_collide(spark):
     assert starts[0] == 0 and sizes.sum() == 400 and len(keys) == len(starts)
 
 
+@pytest.mark.parametrize("changes", [0, 1])
+def test_passages_go_to_their_ends(spark, changes):
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(9000)}" for _ in range(n)]
+    rows, shares, strangers = [], {}, {}
+    for k in range(51, 81):
+        passage = words(k)
+        rows.append((k, " ".join(words(70) + passage + words(40))))
+        other = list(passage)
+        for _ in range(changes):
+            other[rng.randrange(8, k - 8)] = "changed"
+        before, after = words(60), words(50)
+        rows.append((1000 + k, " ".join(before + other + after)))
+        strangers[1000 + k] = (before, other, after)
+    docs = spark.createDataFrame(
+        [(d, t, len(t)) for d, t in rows], "doc_id long, text string, n_chars long"
+    ).repartition(3)
+    found = {r.doc_id: r.text.split() for r in passages.find_repeats(docs).collect()}
+    assert set(found) <= set(strangers)
+    for d, (before, passage, after) in strangers.items():
+        left = found.get(d, before + passage + after)
+        assert left[:55] == before[:55] and left[-45:] == after[-45:]
+        shares[d] = (len(before) + len(passage) + len(after) - len(left)) / len(passage)
+    assert np.mean([s > 0.98 for s in shares.values()]) >= 0.96
+    assert np.mean(list(shares.values())) >= 0.97
+
+
 def test_toxicity(spark, awkward, no_rows):
     rng = random.Random(7)
     plain = lambda: " ".join(f"word{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(40))
