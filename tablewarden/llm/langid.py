@@ -4,12 +4,15 @@ A text is a vector of hashed character n-grams (one to three letters, within
 words), weighted by log counts and inverse document frequency and brought to
 length one. Each language has several centroids, found by clustering the vectors
 of its training documents. The language of the centroid with the largest cosine
-is taken. A text whose cosine is below what nearly all training documents of that
-language reach is rejected as too far from everything known.
+is taken. A text whose cosine is below what nearly all documents of that language
+reach is rejected as too far from everything known. What they reach is measured on
+training documents that are left out of the clustering, and for a language of few
+documents also on what those of other languages reach if only as few are clustered.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +34,9 @@ DIMENSIONS = 1 << 13
 REJECT_QUANTILE = 0.002
 #: Rejection starts at this share of the cosine that the quantile gives.
 REJECT_SHARE = 0.8
+FOLDS = 5
+#: Below so many distinct training documents the quantile of a language is not its own alone.
+FEW = 256
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _letter = np.zeros(0x110000, dtype=np.uint32)
@@ -102,6 +108,52 @@ def _clustered(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def _left_out(counts: np.ndarray, train: np.ndarray, others: np.ndarray, n_others: int) -> np.ndarray:
+    """Cosines of the rows outside `train` to centroids of those inside.
+
+    Rows left out do not count in the document frequencies either; `others` is how
+    many of `n_others` documents of other languages have each n-gram.
+    """
+    present = others + (counts[train] > 0).sum(axis=0)
+    x = vectors(counts, _idf(present, n_others + int(train.sum())))
+    return (x[~train] @ _clustered(x[train], CENTROIDS).T).max(axis=1)
+
+
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _idf(present: np.ndarray, n: int) -> np.ndarray:
+    return (np.log((1 + n) / (1 + present)) + 1).astype(np.float32)
+
+
+def _reach(counts: np.ndarray, others: np.ndarray, n_others: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Cosines of distinct documents left out in turn, and by k of those left out if 2^k are clustered."""
+    n = len(counts)
+    own = [np.zeros(0)]
+    if n > 1:
+        fold = np.arange(n) % min(FOLDS, n)
+        own = [_left_out(counts, fold != f, others, n_others) for f in range(min(FOLDS, n))]
+    few = {}
+    for k in range(FEW.bit_length() - 1):
+        if 1 << k < n:
+            few[k] = _left_out(counts, np.arange(n) < 1 << k, others, n_others)
+    return np.concatenate(own), few
+
+
+def _floors(sizes: list[int], reached: list[tuple[np.ndarray, dict[int, np.ndarray]]]) -> np.ndarray:
+    """By language, the least cosine that is accepted; 0 where nothing could be measured."""
+    floor = []
+    for n, (own, _) in zip(sizes, reached):
+        measured = [own]
+        if n < FEW:
+            measured += [few[n.bit_length() - 1] for _, few in reached if n.bit_length() - 1 in few]
+        floor.append(REJECT_SHARE * min(
+            (float(np.quantile(x, REJECT_QUANTILE)) for x in measured if len(x)), default=0.0
+        ))
+    return np.array(floor)
+
+
 def learn(docs: DataFrame, max_rows: int = MAX_ROWS_PER_LANGUAGE) -> Model:
     """Centroids from documents that are not held out and have a language.
 
@@ -144,15 +196,17 @@ def learn(docs: DataFrame, max_rows: int = MAX_ROWS_PER_LANGUAGE) -> Model:
     rows = map_batches(
         sample.select("lang", "text"), "lang string, slots binary, counts binary", count
     ).collect()
+    # In an order of their own, so that the documents left out do not depend on the tasks.
     rows = [
-        (r.lang, np.frombuffer(r.slots, np.int32), np.frombuffer(r.counts, np.float32)) for r in rows
+        (r.lang, np.frombuffer(r.slots, np.int32), np.frombuffer(r.counts, np.float32))
+        for r in sorted(rows, key=lambda r: (r.lang, _digest(r.slots + r.counts), r.slots, r.counts))
     ]
     languages = tuple(sorted({lang for lang, _, _ in rows}))
     present = np.zeros(DIMENSIONS)
     for _, slots, _ in rows:
         present[slots] += 1
-    idf = (np.log((1 + len(rows)) / (1 + present)) + 1).astype(np.float32)
-    centroids, owner, floor = [], [], []
+    idf = _idf(present, len(rows))
+    centroids, owner, sizes, reached = [], [], [], []
     for number, lang in enumerate(languages):
         own = [r[1:] for r in rows if r[0] == lang]
         counts = np.zeros((len(own), DIMENSIONS), dtype=np.float32)
@@ -162,9 +216,13 @@ def learn(docs: DataFrame, max_rows: int = MAX_ROWS_PER_LANGUAGE) -> Model:
         centres = _clustered(x, CENTROIDS)
         centroids.append(centres)
         owner += [number] * len(centres)
-        floor.append(REJECT_SHARE * float(np.quantile((x @ centres.T).max(axis=1), REJECT_QUANTILE)))
+        # Copies of a document would vouch for each other.
+        _, first = np.unique([_digest(s.tobytes() + v.tobytes()) for s, v in own], return_index=True)
+        distinct = counts[np.sort(first)]
+        sizes.append(len(distinct))
+        reached.append(_reach(distinct, present - (counts > 0).sum(axis=0), len(rows) - len(own)))
     return Model(languages, idf, np.concatenate(centroids).astype(np.float32), np.array(owner),
-                 np.array(floor))
+                 _floors(sizes, reached))
 
 
 def _nearest(model: Model, texts: list[bytes]) -> tuple[list, list, list, list]:

@@ -190,6 +190,19 @@ def test_language(spark, small, awkward, no_rows):
     assert langid.filter_languages(no_rows, none).count() == 0
 
 
+@pytest.mark.parametrize("count", [1, 4, 8])
+def test_rare_language_is_not_rejected(spark, small, count):
+    docs = small.where("size(split(text, ' ')) >= 50").cache()
+    rare = "fr"
+    known = docs.where(~langid.held_out() & (F.col("lang") == rare)).orderBy("doc_id").limit(count)
+    model = langid.learn(docs.where(F.col("lang") != rare).unionByName(known))
+    got = langid.identify(docs.where(F.col("lang") == rare).join(known, "doc_id", "left_anti"), model)
+    got = [r.rejected for r in got.collect()]
+    assert len(got) > 10 and np.mean(got) <= 0.1
+    far = spark.createDataFrame([(1, "жшщ ыъэ юяф цчх " * 30)], "doc_id long, text string")
+    assert langid.identify(far, model).first().rejected
+
+
 def test_pipeline(spark, awkward, small):
     docs = small
     for _, stage in corpus_pipeline.STAGES[:-1]:
