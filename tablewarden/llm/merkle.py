@@ -1,7 +1,9 @@
 """Merkle trees over the sections and paragraphs of a text.
 
 A paragraph is a line. Its leaves are runs of words that end where the words
-themselves say so, so that an edit changes only the leaves it touches. A section
+themselves say so, so that an edit changes only the leaves it touches. Long runs
+without a space are cut in the same way at a few code points. No leaf is longer
+than a bound counted from the cut before it, whatever its words are. A section
 is a run of paragraphs, ended in the same way. Each node is a hash of its
 children, the root one of the sections: equal roots mean equal texts, and where
 roots differ, the branches that differ lead to the edit.
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +30,13 @@ from tablewarden.llm.tables import map_batches, pa_schema
 
 LEAF_WORDS = 8  # on average
 SECTION_PARAGRAPHS = 8
-_WORD = re.compile(r" *[^ ]+ *")
+LONGEST_LEAF_WORDS = 16
+#: Longer words, with their spaces, are cut at code points.
+LONG_WORD = 48
+LEAF_CODES = 32  # on average
+LONGEST_LEAF_CODES = 64
+CODE_WINDOW = 4
+_WORD = re.compile(r" *[^ ]+ *| +")
 
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -48,6 +57,33 @@ class Tree:
     leaves: list[bytes]
 
 
+def _ends_leaf(text: str, one_in: int) -> bool:
+    return zlib.crc32(text.encode()) % one_in == 0
+
+
+def _leaf_ends(line: str) -> Iterator[int]:
+    """Where the leaves of a line end, but for the last."""
+    count = 0  # words since the last cut
+    for m in _WORD.finditer(line):
+        begin, end = m.span()
+        if end - begin <= LONG_WORD:
+            count += 1
+            # A word ends a leaf by its own letters, whatever stands around it.
+            if count == LONGEST_LEAF_WORDS or _ends_leaf(m[0].strip(" "), LEAF_WORDS):
+                yield end
+                count = 0
+            continue
+        if count:
+            yield begin
+        last = begin
+        for k in range(begin + CODE_WINDOW, end):
+            if k - last == LONGEST_LEAF_CODES or _ends_leaf(line[k - CODE_WINDOW : k], LEAF_CODES):
+                yield k
+                last = k
+        yield end
+        count = 0
+
+
 def build(text: str) -> Tree:
     """The tree of a text. The empty text has one empty paragraph."""
     sections: list[bytes] = []
@@ -57,12 +93,9 @@ def build(text: str) -> Tree:
     for line in text.split("\n"):
         own: list[bytes] = []
         begin = 0
-        # A word ends a leaf by its own bytes, whatever stands around it.
-        for m in _WORD.finditer(line):
-            word = m[0].strip(" ")
-            if len(word) * 7 % LEAF_WORDS == ord(word[-1]) % LEAF_WORDS:
-                own.append(_digest(line[begin : m.end()].encode()))
-                begin = m.end()
+        for end in _leaf_ends(line):
+            own.append(_digest(line[begin:end].encode()))
+            begin = end
         if begin < len(line) or not own:
             own.append(_digest(line[begin:].encode()))
         leaves += own

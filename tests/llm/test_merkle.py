@@ -37,6 +37,19 @@ def test_trees_locate_edits():
     assert merkle.build("").root == merkle.build("").root and merkle.first_difference(a, a) is None
 
 
+@pytest.mark.parametrize("text", [
+    "word " * 400, "a " * 800, " ".join(f"w{i * 7919 % 1000:03}!!" for i in range(400)),
+    " ".join(f"{i * 7919 % 1000}$$$" for i in range(400)), "x" * 3000, " " * 3000,
+    "".join(chr(0x4E00 + i * i * 7919 % 3001) for i in range(2000)),
+    "".join(chr(0x0E01 + i * i * 31 % 46) for i in range(2000)),
+])
+def test_leaves_of_any_text_are_short(text):
+    following = " ".join(f"other{i * i % 977}" for i in range(400))
+    a, b = merkle.build(text), merkle.build(merkle.edited(text, following))
+    assert 0.55 <= merkle.likeness(a, b) <= 0.9
+    assert len(a.leaves) >= len(text) / (17 * merkle.LONG_WORD)
+
+
 def test_no_rows_and_one_row(spark, no_rows):
     assert merkle.fingerprint_documents(no_rows).count() == 0
     one = merkle.fingerprint_documents(spark.createDataFrame([(1, "a b c d")], "doc_id long, text string"))
