@@ -2,11 +2,16 @@
 
 Each document is measured by itself. Failures are then counted by host, the
 rates are shrunk towards what hosts are like on the whole, and a host whose
-shrunk rate of any rule is too high takes its documents with it.
+shrunk rate of any rule is too high takes its documents with it. Below that, a
+document that fails a rule goes unless its host fails the rule less than hosts do
+on the whole.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,24 +138,35 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     return tall.join(F.broadcast(prior), "rule").select(
         "host", "rule", "n", "failed",
         ((F.col("failed") + F.col("mean") * weight) / (F.col("n") + weight)).alias("rate"),
+        F.col("mean").alias("prior"),
     )
 
 
 def host_verdicts(measured: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """host -> host_rejected: whether the shrunk rate of any rule is above the limit."""
+    """host -> host_rejected: whether the shrunk rate of any rule is above the limit,
+    and for each rule whether its shrunk rate is not below the prior.
+    """
+    # A host that is like the prior must not fall to either side by rounding.
+    bad = F.col("rate") * (1 + 1e-9) >= F.col("prior")
     return host_rates(measured, host).groupBy("host").agg(
-        (F.max("rate") > limit).alias("host_rejected")
+        (F.max("rate") > limit).alias("host_rejected"),
+        *(F.max((F.col("rule") == rule) & bad).alias(f"bad_{rule}") for rule in RULES),
     )
 
 
 def with_verdicts(facts: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """Materialised `measured` rows with base_failed, host_rejected and kept."""
+    """Materialised `measured` rows with base_failed, host_rejected and kept.
+
+    host_rejected is the host's verdict on the document: all of a host beyond the limit
+    go, else those that fail a rule in which the host is not better than the prior.
+    """
     verdicts = small_or_shuffled(cut_lineage(host_verdicts(facts, host, limit)))
     joined = facts.join(verdicts, facts[host].eqNullSafe(verdicts.host), "left")
     return joined.select(
         *(facts[c] for c in facts.columns),
         (F.col("f_short") | F.col("f_repeats")).alias("base_failed"),
-        F.col("host_rejected"),
+        reduce(or_, (F.col(f"f_{rule}") & F.col(f"bad_{rule}") for rule in RULES),
+               F.col("host_rejected")).alias("host_rejected"),
     ).withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
 
 

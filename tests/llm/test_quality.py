@@ -51,6 +51,22 @@ def test_verdict_joins_hosts_back(spark):
     assert rates["tiny", "short"] < 1  # one failure out of one is shrunk
 
 
+def test_failing_documents_go_where_hosts_fail_too(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    symbols = " ".join(f"#{i}$" for i in range(60))
+    lines = "\n".join([" ".join(f"l{i}w{k}" for k in range(6)) for i in range(20)] + ["x"] * 12)
+    rows = [(i, symbols if i < 14 else good, "worse") for i in range(20)]
+    rows += [(100 + i, symbols if i < 1 else good, "better") for i in range(20)]
+    rows += [(200 + i, lines if i < 10 else good, "lines") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality.score_quality(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    gone = {i for i, r in got.items() if not r.kept}
+    assert gone == {*range(14), *range(200, 210)}  # the good documents of both hosts stay
+    one = docs.where("source = 'worse'")
+    assert {r.doc_id for r in quality.score_quality(one).collect() if not r.kept} == {*range(14)}
+
+
 def test_filter_keeps_columns_and_rows(awkward, no_rows):
     kept = quality.filter_quality(awkward)
     assert kept.columns == awkward.columns
