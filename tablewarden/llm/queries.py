@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from tablewarden.llm import (
-    langid, merkle, ngram_join, packing, passages, quality, sharding, token_files, toxicity,
-    word_table,
+    langid, merkle, naming, ngram_join, packing, passages, quality, sharding, token_files,
+    toxicity, word_table,
 )
 from tablewarden.llm.tables import table
 
@@ -57,6 +57,10 @@ def op10_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_table.encode_and_decode(table(spark, sf_dir, "documents"), path)
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return naming.find_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_join": op2_ngram_join,
@@ -68,6 +72,20 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_word_table": op10_word_table,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_exact_dedup": f"""
+        WITH folded AS (
+            SELECT doc_id, translate(coalesce(text, ''), '{naming.UPPER}', '{naming.LOWER}') AS body
+            FROM documents
+        )
+        SELECT doc_id,
+               max(doc_id) OVER same AS keep_id,
+               count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept,
+               sha256(body) AS text_sha256
+        FROM folded WINDOW same AS (PARTITION BY body)
+    """,
+}
