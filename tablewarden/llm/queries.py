@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from tablewarden.llm import (
-    langid, merkle, naming, ngram_join, packing, passages, quality, sharding, token_files,
-    toxicity, word_table,
+    langid, merkle, naming, ngram_join, packing, passages, phrases, quality, sharding,
+    token_files, toxicity, word_table,
 )
 from tablewarden.llm.tables import table
 
@@ -57,6 +57,10 @@ def op10_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_table.encode_and_decode(table(spark, sf_dir, "documents"), path)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.find_copies(table(spark, sf_dir, "documents"))
 
@@ -72,10 +76,58 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_word_table": op10_word_table,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op12_phrase_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), '{naming.UPPER}', '{naming.LOWER}'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), worded AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') AS w
+            FROM pieces
+        ), starts AS (
+            SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(size)
+        ), counted AS (
+            SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, size, count(*) AS f
+            FROM starts GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang
+        ), frequent AS (
+            SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= 30
+        ), cuts AS (
+            SELECT lang, phrase, f AS a, k, array_to_string(w[1 : k], ' ') AS first_part,
+                   array_to_string(w[k + 1 : size], ' ') AS rest
+            FROM frequent, (VALUES (1), (2), (3)) AS cut(k) WHERE k < size
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+                   (2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f))::BIGINT AS score
+            FROM cuts c
+            JOIN frequent x ON x.lang = c.lang AND x.phrase = c.first_part
+            JOIN frequent y ON y.lang = c.lang AND y.phrase = c.rest
+        ), weakest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inside AS (
+            SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(f) AS longer
+            FROM (SELECT *, unnest(range(1, size - m + 2)) AS i
+                  FROM frequent, (VALUES (2), (3)) AS part(m) WHERE m < size)
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT s.lang, s.phrase, a, l, r, score,
+                   row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+            FROM weakest s LEFT JOIN inside USING (lang, phrase)
+            WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
     "op13_exact_dedup": f"""
         WITH folded AS (
             SELECT doc_id, translate(coalesce(text, ''), '{naming.UPPER}', '{naming.LOWER}') AS body
