@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from tablewarden.llm import (
     langid, merkle, naming, ngram_join, packing, passages, phrases, quality, sharding,
-    token_files, toxicity, word_table,
+    token_files, toxicity, turns, word_table,
 )
 from tablewarden.llm.tables import table
 
@@ -57,6 +57,10 @@ def op10_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_table.encode_and_decode(table(spark, sf_dir, "documents"), path)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine_phrases(table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_word_table": op10_word_table,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_exact_dedup": op13_exact_dedup,
 }
