@@ -1,71 +1,75 @@
 """Keyed copies kept up to date by Structured Streaming.
 
 Parquet has no MERGE, and rewriting a large target for every batch would not
-scale. A target is therefore a folder of net changes: each micro-batch writes
-its newest row per key to `changes/batch_id=<n>`, replacing that folder when the
-batch is replayed. Readers take the newest row per key over the last snapshot
-and the changes after it; deletes stay as tombstones, so an older insert that
-arrives late cannot bring a row back. `compact` writes the next snapshot to a
-new folder, never to one being read.
+scale. A target is therefore a listed table of net changes: each micro-batch writes
+its newest row per key as one part and then puts a line for it in the list
+(`sources.listed`), named by the query's id and the batch. A replayed batch finds its
+line and does nothing; a query with a fresh checkpoint has another id, so its batches
+are never taken for those of an earlier one. Readers take the newest row per key over
+all parts; deletes stay as tombstones, so an older insert that arrives late cannot bring
+a row back, and a change that is there twice counts once. `compact` folds parts into a
+snapshot: a new part that replaces the lines it has read, and no others.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tablewarden.context import SyncSpec, cut_lineage, lookup_join, small_or_shuffled
 from tablewarden.operators.ordered import latest_by_key
+from tablewarden.sources import listed
+from tablewarden.sources.listed import Entry
 
 # How far a copy may fall behind, in seconds.
 MAX_LAG_SECONDS = {"TRIGGERED": 300, "CONTINUOUS": 30}
 
 CHANGES, SNAPSHOTS = "changes", "snapshots"
+#: A standing query folds its parts when there are so many, so that a read opens few folders.
+COMPACT_AFTER = 20
 
 
-def write_changes(batch: DataFrame, batch_id: int, spec: SyncSpec) -> None:
-    """The sink of every sync: the batch's newest row per key, in the batch's own folder."""
-    newest = latest_by_key(batch, list(spec.primary_key_columns), list(spec.order_columns))
-    newest.write.mode("overwrite").parquet(f"{spec.target}/{CHANGES}/batch_id={batch_id}")
-
+def write_changes(batch: DataFrame, batch_id: int, spec: SyncSpec, run: str | None = None) -> None:
+    """The sink of every sync: the batch's newest row per key, as a part of its own.
 
-def _folders(spark: SparkSession, parent: str, key: str) -> list[int]:
-    """Numbers n of finished `<key>=<n>` folders below `parent`, through the cluster's file system."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(parent)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(f"{key}=") and fs.exists(done):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+    `run` names the query that counts the batches; without it the batch is new in any case.
+    """
+    spark = batch.sparkSession
+    name = f"{run or uuid.uuid4()}-{batch_id}"
+    if listed.is_committed(spark, spec.target, name):
+        return
+    part = listed.new_part(CHANGES, name)
+    newest = latest_by_key(batch, list(spec.primary_key_columns), list(spec.order_columns))
+    newest.write.parquet(f"{spec.target}/{part}")
+    listed.commit(spark, spec.target, Entry(name, (part,)))
 
 
-def _with_tombstones(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> DataFrame:
-    """The newest row per key, deleted keys included.
+def _newest(
+    spark: SparkSession, spec: SyncSpec, schema: T.StructType, entries: list[Entry]
+) -> DataFrame:
+    """The newest row per key over some parts, deleted keys included.
 
     Only snapshot rows whose key has changed since are compared with the
     changes. The keys that changed are counted first; a moderate number is
-    broadcast, so that the snapshot itself is filtered where it is read.
+    broadcast, so that the snapshot itself is filtered where it is read. Of two
+    snapshots, made at the same time, the older is read like changes.
     """
     keys, order = list(spec.primary_key_columns), list(spec.order_columns)
-    snapshots = _folders(spark, f"{spec.target}/{SNAPSHOTS}", "upto")
-    upto = snapshots[-1] if snapshots else -1
-    later = [
-        f"{spec.target}/{CHANGES}/batch_id={n}"
-        for n in _folders(spark, f"{spec.target}/{CHANGES}", "batch_id")
-        if n > upto
-    ]
+    base = [e for e in entries if e.snapshot][-1:]
+    later = listed.paths_of(spec.target, [e for e in entries if e not in base])
     reader = spark.read.schema(schema)
     changes = latest_by_key(reader.parquet(*later), keys, order) if later else None
-    if not snapshots:
+    unchanged = listed.paths_of(spec.target, base)
+    if not unchanged:
         return spark.createDataFrame([], schema) if changes is None else changes
-    snapshot = reader.parquet(f"{spec.target}/{SNAPSHOTS}/upto={upto}")
+    snapshot = reader.parquet(*unchanged)
     if changes is None:
         return snapshot
     changed = small_or_shuffled(cut_lineage(changes.select(*keys)))
@@ -77,26 +81,44 @@ def _with_tombstones(spark: SparkSession, spec: SyncSpec, schema: T.StructType)
 
 def read_copy(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> DataFrame:
     """The current rows of the copy, deleted keys left out."""
-    rows = _with_tombstones(spark, spec, schema)
+    rows = _newest(spark, spec, schema, listed.live_entries(spark, spec.target))
     if spec.op_column is None:
         return rows
     return rows.filter(~F.col(spec.op_column).eqNullSafe(F.lit(spec.delete_value)))
 
 
-def compact(spark: SparkSession, spec: SyncSpec, schema: T.StructType) -> None:
-    """Fold all finished batches into a new snapshot; tombstones are kept."""
-    batches = _folders(spark, f"{spec.target}/{CHANGES}", "batch_id")
-    done = _folders(spark, f"{spec.target}/{SNAPSHOTS}", "upto")
-    if not batches or (done and done[-1] >= batches[-1]):
-        return
-    _with_tombstones(spark, spec, schema).write.mode("overwrite").parquet(
-        f"{spec.target}/{SNAPSHOTS}/upto={batches[-1]}"
-    )
+def compact(spark: SparkSession, spec: SyncSpec, schema: T.StructType, at_least: int = 1) -> bool:
+    """Fold all parts into a new snapshot if there are `at_least` so many of changes.
+
+    Tombstones are kept. A batch that is committed meanwhile is not folded, and stays.
+    """
+    before = listed.all_entries(spark, spec.target)
+    folded = {name for e in before for name in e.folds}
+    live = [e for e in before if e.name not in folded]
+    if sum(not e.snapshot for e in live) < at_least:
+        return False
+    part = listed.new_part(SNAPSHOTS)
+    _newest(spark, spec, schema, live).write.parquet(f"{spec.target}/{part}")
+    listed.commit(spark, spec.target, Entry(
+        f"snapshot-{uuid.uuid4()}", (part,), True, tuple(e.name for e in before)))
+    return True
 
 
-def _start(stream: DataFrame, spec: SyncSpec, checkpoint: str, **trigger):
+def _query_id(batch: DataFrame) -> str | None:
+    """The id that a query keeps in its checkpoint over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _start(stream: DataFrame, spec: SyncSpec, checkpoint: str, compact_after: int | None, **trigger):
+    schema = stream.schema
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        write_changes(batch, batch_id, spec, _query_id(batch))
+        if compact_after is not None:
+            compact(batch.sparkSession, spec, schema, compact_after)
+
     return (
-        stream.writeStream.foreachBatch(lambda df, n: write_changes(df, n, spec))
+        stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -104,22 +126,79 @@ def _start(stream: DataFrame, spec: SyncSpec, checkpoint: str, **trigger):
 
 
 def read_changes(
-    spark: SparkSession, spec: SyncSpec, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    spec: SyncSpec,
+    schema: T.StructType,
+    files_per_batch: int | None = None,
+    arrived: str | None = None,
 ) -> DataFrame:
+    """The change log as a stream; `arrived` adds when a row's file came, for the lag alert."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(spec.source)
+    log = reader.parquet(spec.source)
+    if arrived:
+        log = log.select(*schema.names, F.col("_metadata.file_modification_time").alias(arrived))
+    return log
 
 
 def sync_triggered(stream: DataFrame, spec: SyncSpec, checkpoint: str) -> None:
     """Bring the copy up to date and stop: the first run takes everything, later runs what is new."""
-    _start(stream, spec, checkpoint, availableNow=True).awaitTermination()
+    _start(stream, spec, checkpoint, None, availableNow=True).awaitTermination()
+
 
+class LagAlert(StreamingQueryListener):
+    """Calls `alert(query_id, batch_id, lag_seconds)` when a batch was readable too late.
 
-def sync_continuous(stream: DataFrame, spec: SyncSpec, checkpoint: str, every: str = "10 seconds"):
-    """Keep the copy up to date until the returned query is stopped."""
-    return _start(stream, spec, checkpoint, processingTime=every)
+    The lag of a batch is the time from the arrival of its first row to its commit. It is
+    taken from figures that Spark reports while the query runs; nothing is read for it.
+    """
+
+    def __init__(self, name: str, limit_seconds: float, alert: Callable[[str, int, float], None]):
+        self.name, self.limit, self.alert = name, limit_seconds, alert
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        seen = (progress.observedMetrics or {}).get(self.name)
+        first = seen["first"] if seen is not None else None
+        if first is None:
+            return
+        begun = dt.datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00")).timestamp()
+        lag = begun + progress.batchDuration / 1000 - first
+        if lag > self.limit:
+            self.alert(str(progress.id), progress.batchId, lag)
+
+
+def sync_continuous(
+    stream: DataFrame,
+    spec: SyncSpec,
+    checkpoint: str,
+    every: str = "10 seconds",
+    compact_after: int = COMPACT_AFTER,
+    arrived: str | None = None,
+    on_lag: Callable[[str, int, float], None] | None = None,
+    max_lag: float = MAX_LAG_SECONDS["CONTINUOUS"],
+) -> StreamingQuery:
+    """Keep the copy up to date, and readable, until the returned query is stopped.
+
+    Parts are folded when there are `compact_after` of them. With `arrived`, the column of
+    `read_changes`, `on_lag` is called for a batch that comes later than `max_lag` seconds.
+    """
+    if arrived is not None:
+        name = f"sync-{uuid.uuid4()}"
+        stream = stream.observe(name, F.min(F.col(arrived).cast("double")).alias("first")).drop(arrived)
+        if on_lag is not None:
+            stream.sparkSession.streams.addListener(LagAlert(name, max_lag, on_lag))
+    return _start(stream, spec, checkpoint, compact_after, processingTime=every)
 
 
 def apply_changes(changes: DataFrame, spec: SyncSpec) -> DataFrame:

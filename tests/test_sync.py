@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablewarden.context import SyncSpec
+from tablewarden.sources import listed
 from tablewarden.streaming import sync
 
 SCHEMA = "key bigint, seq bigint, op string, payload string"
@@ -54,16 +56,19 @@ def test_older_insert_does_not_bring_a_deleted_row_back(spark, tmp_path):
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     s, batch = spec(tmp_path), changes(spark, (1, 1, "insert", "a"), (2, 1, "insert", "b"))
     for _ in range(3):
-        sync.write_changes(batch, 0, s)
+        sync.write_changes(batch, 0, s, "query")
+    assert state(sync.read_copy(spark, s, batch.schema)) == [(1, "a"), (2, "b")]
+    assert len(list((tmp_path / "copy" / "changes").iterdir())) == 1
+    sync.write_changes(batch, 0, s)  # by nobody known: kept, and seen once
+    assert len(listed.live_entries(spark, s.target)) == 2
     assert state(sync.read_copy(spark, s, batch.schema)) == [(1, "a"), (2, "b")]
-    assert [p.name for p in (tmp_path / "copy" / "changes").iterdir()] == ["batch_id=0"]
 
 
 def test_unfinished_batch_is_not_read(spark, tmp_path):
     s, batch = spec(tmp_path), changes(spark, (1, 1, "insert", "a"))
     sync.write_changes(batch, 0, s)
-    sync.write_changes(changes(spark, (1, 2, "insert", "half")), 1, s)
-    (tmp_path / "copy" / "changes" / "batch_id=1" / "_SUCCESS").unlink()
+    sync.write_changes(changes(spark, (1, 2, "insert", "half")), 1, s, "query")
+    (tmp_path / "copy" / "commits" / "query-1.json").unlink()  # written, but died before the commit
     assert state(sync.read_copy(spark, s, batch.schema)) == [(1, "a")]
 
 
@@ -99,6 +104,121 @@ def test_lost_checkpoint_replays_to_the_same_state(spark, tmp_path):
         assert state(sync.read_copy(spark, s, schema)) == [(2, "b")]
 
 
+@pytest.mark.parametrize("compacted", [False, True])
+def test_fresh_checkpoint_loses_no_later_rows(spark, tmp_path, compacted):
+    """Batch numbers begin again with a new checkpoint; rows of either query count."""
+    s, schema = spec(tmp_path), changes(spark).schema
+    for n in range(3):
+        changes(spark, (n, 1, "insert", f"a{n}")).write.mode("append").parquet(s.source)
+    sync.sync_triggered(sync.read_changes(spark, s, schema, 1), s, str(tmp_path / "one"))
+    if compacted:
+        assert sync.compact(spark, s, schema)
+    changes(spark, (1, 2, "delete", None), (7, 1, "insert", "b7")).write.mode("append").parquet(s.source)
+    sync.sync_triggered(sync.read_changes(spark, s, schema), s, str(tmp_path / "two"))
+    assert state(sync.read_copy(spark, s, schema)) == [(0, "a0"), (2, "a2"), (7, "b7")]
+
+
+def test_same_checkpoint_commits_a_batch_once(spark, tmp_path):
+    s, schema = spec(tmp_path), changes(spark).schema
+    changes(spark, (1, 1, "insert", "a")).write.parquet(s.source)
+    sync.sync_triggered(sync.read_changes(spark, s, schema), s, str(tmp_path / "cp"))
+    [entry] = listed.live_entries(spark, s.target)
+    # The batch is written and listed, but the query dies before it notes that in its checkpoint.
+    (tmp_path / "cp" / "commits" / "0").unlink()
+    (tmp_path / "cp" / "commits" / ".0.crc").unlink(missing_ok=True)
+    sync.sync_triggered(sync.read_changes(spark, s, schema), s, str(tmp_path / "cp"))
+    assert listed.live_entries(spark, s.target) == [entry]
+    assert len(list((tmp_path / "copy" / "changes").iterdir())) == 1
+
+
+def test_success_markers_do_not_matter(spark, tmp_path):
+    s, schema = spec(tmp_path), changes(spark).schema
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        sync.write_changes(changes(spark, (1, 1, "insert", "a"), (2, 1, "insert", "b")), 0, s)
+        sync.compact(spark, s, schema)
+        sync.write_changes(changes(spark, (2, 2, "delete", None)), 1, s)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert not list((tmp_path / "copy").rglob("_SUCCESS"))
+    assert state(sync.read_copy(spark, s, schema)) == [(1, "a")]
+
+
+def test_batch_committed_during_compaction_stays(spark, tmp_path, monkeypatch):
+    s, schema = spec(tmp_path), changes(spark).schema
+    sync.write_changes(changes(spark, (1, 1, "insert", "a")), 0, s)
+    commit = listed.commit
+
+    def late(session, root, entry):
+        monkeypatch.setattr(listed, "commit", commit)
+        sync.write_changes(changes(spark, (2, 1, "insert", "b")), 1, s)
+        commit(session, root, entry)
+
+    monkeypatch.setattr(listed, "commit", late)
+    sync.compact(spark, s, schema)
+    assert state(sync.read_copy(spark, s, schema)) == [(1, "a"), (2, "b")]
+
+
+def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    s, schema = spec(tmp_path), changes(spark).schema
+    sync.write_changes(changes(spark, (1, 1, "insert", "a"), (2, 1, "insert", "b")), 0, s)
+    sync.write_changes(changes(spark, (1, 2, "update", "c")), 1, s)
+    before = listed.all_entries(spark, s.target)
+    sync.compact(spark, s, schema)
+    monkeypatch.setattr(listed, "all_entries", lambda *_: before)
+    sync.compact(spark, s, schema)
+    monkeypatch.undo()
+    assert sum(e.snapshot for e in listed.live_entries(spark, s.target)) == 2
+    sync.write_changes(changes(spark, (2, 2, "delete", None)), 2, s)
+    assert state(sync.read_copy(spark, s, schema)) == [(1, "c")]
+    sync.compact(spark, s, schema)
+    assert len(listed.live_entries(spark, s.target)) == 1
+    assert state(sync.read_copy(spark, s, schema)) == [(1, "c")]
+
+
+def test_superseded_parts_go(spark, tmp_path):
+    s, schema = spec(tmp_path), changes(spark).schema
+    for n in range(3):
+        sync.write_changes(changes(spark, (n, 1, "insert", f"p{n}")), n, s)
+    sync.compact(spark, s, schema)
+    sync.write_changes(changes(spark, (5, 1, "insert", "p5")), 3, s)
+    assert listed.drop_superseded(spark, s.target, keep_seconds=3_600) == 0
+    assert listed.drop_superseded(spark, s.target, keep_seconds=0) == 3
+    assert len(list((tmp_path / "copy" / "changes").iterdir())) == 1
+    (tmp_path / "copy" / "changes" / "died-1").mkdir()
+    assert listed.drop_unlisted(spark, s.target, (sync.CHANGES, sync.SNAPSHOTS), 3_600) == 0
+    assert listed.drop_unlisted(spark, s.target, (sync.CHANGES, sync.SNAPSHOTS), 0) == 1
+    assert state(sync.read_copy(spark, s, schema)) == [(0, "p0"), (1, "p1"), (2, "p2"), (5, "p5")]
+
+
+def test_continuous_copy_stays_readable_and_tells_of_lag(spark, tmp_path):
+    """Many batches, few folders; an alert from the running query."""
+    s, schema = spec(tmp_path, scheduling_policy="CONTINUOUS"), changes(spark).schema
+    for n in range(10):
+        changes(spark, (n, 1, "insert", f"p{n}")).coalesce(1).write.mode("append").parquet(s.source)
+    late = []
+    stream = sync.read_changes(spark, s, schema, 1, arrived="_arrived")
+    query = sync.sync_continuous(
+        stream, s, str(tmp_path / "cp"), "0 seconds", compact_after=3, arrived="_arrived",
+        on_lag=lambda *what: late.append(what), max_lag=0.0)
+    most = 0
+    try:
+        while query.lastProgress is None or query.lastProgress.batchId < 9:
+            most = max(most, len(listed.live_entries(spark, s.target)))
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    assert most <= 4 and len(listed.live_entries(spark, s.target)) <= 4
+    assert state(sync.read_copy(spark, s, schema)) == [(n, f"p{n}") for n in range(10)]
+    for _ in range(50):
+        if len(late) >= 10:
+            break
+        time.sleep(0.2)
+    assert {batch for _, batch, _ in late} == set(range(10))
+    assert all(lag > 0 for *_, lag in late)
+
+
 def test_continuous(spark, tmp_path):
     s, schema = spec(tmp_path, scheduling_policy="CONTINUOUS"), changes(spark).schema
     changes(spark, (1, 1, "insert", "a")).write.parquet(s.source)
