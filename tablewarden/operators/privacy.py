@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -43,15 +44,18 @@ def _walk(links: dict[str, SubjectLink]) -> list[str]:
 
 
 def _subject_keys(
-    tables: dict[str, DataFrame], links: dict[str, SubjectLink], subjects: DataFrame
+    tables: dict[str, DataFrame],
+    links: dict[str, SubjectLink],
+    subjects: DataFrame,
+    save: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> dict[str, DataFrame]:
     """Per table the distinct (_key, subject_id) its link column has for the subjects.
 
-    Subjects, and keys reached through a parent, are resolved once and kept in
-    the checkpoint folder: every table of the walk uses the same set, and its
-    size is known before it is broadcast.
+    Subjects, and keys reached through a parent, are resolved once and kept by
+    `save`, else in the checkpoint folder: every table of the walk uses the same
+    set, and its size is known before it is broadcast.
     """
-    who = cut_lineage(subjects.select("subject_id").dropna().distinct())
+    who = save(subjects.select("subject_id").dropna().distinct())
     found: dict[str, DataFrame] = {}
     for name in reversed(_walk(links)):
         link = links[name]
@@ -61,7 +65,7 @@ def _subject_keys(
         parent = tables[link.parent].select(
             F.col(links[link.parent].column).alias("_key"), F.col(link.parent_key).alias("_child")
         )
-        found[name] = cut_lineage(
+        found[name] = save(
             parent.join(small_or_shuffled(found[link.parent]), "_key")
             .select(F.col("_child").alias("_key"), "subject_id")
             .distinct()
@@ -88,18 +92,23 @@ def erase(
 
 
 def erasure_audit(
-    tables: dict[str, DataFrame], tickets: DataFrame, links: dict[str, SubjectLink]
+    tables: dict[str, DataFrame],
+    tickets: DataFrame,
+    links: dict[str, SubjectLink],
+    save: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> DataFrame:
     """Rows to remove per ticket, subject and table, zero included. `tickets(ticket, subject_id)`.
 
+    A ticket without a subject has its rows too, with nothing to remove.
+
     Few keys: rows are picked by a broadcast join and counted with partial sums.
     Many keys: rows are first counted per link value, so that a subject who owns
     much of a table costs one row per task in the shuffle.
     """
-    accepted = cut_lineage(
+    accepted = save(
         tickets.filter(F.coalesce("ticket", F.lit("")) != "").select("ticket", "subject_id")
     )
-    keys = _subject_keys(tables, links, accepted)
+    keys = _subject_keys(tables, links, accepted, save)
     counted = []
     for name in _walk(links):
         rows = tables[name].select(F.col(links[name].column).alias("_key"))
@@ -122,9 +131,9 @@ def erasure_audit(
         .groupBy("table_name", "subject_id")
         .agg(F.sum("_rows").alias("rows_removed"))
     )
-    return accepted.join(removed, "subject_id").select(
-        "ticket", "table_name", "subject_id", "rows_removed"
-    )
+    return accepted.join(
+        removed.withColumnRenamed("subject_id", "_who"), F.col("subject_id").eqNullSafe(F.col("_who"))
+    ).select("ticket", "table_name", "subject_id", "rows_removed")
 
 
 def subject_access(

@@ -58,13 +58,27 @@ def sync_compacted(spark, d):
     return _shown(sync.read_copy(spark, spec, events.schema))
 
 
+def sync_retriggered(spark, d):
+    """A compacted copy whose checkpoint is lost: the sync runs again from the beginning."""
+    root = shared_dir(spark)
+    spec = spec_for(spark, d, f"{root}/copy")
+    events = table(spark, d, "events")
+    sync.write_changes(events.filter("value < 50"), 0, spec, "first query")
+    sync.compact(spark, spec, events.schema)
+    for n in range(2):
+        stream = sync.read_changes(spark, spec, events.schema)
+        sync.sync_triggered(stream, spec, f"{root}/checkpoint-{n}")
+    return _shown(sync.read_copy(spark, spec, events.schema))
+
+
 def sync_continuous(spark, d):
     """A standing query, stopped once it has caught up."""
     root = shared_dir(spark)
     spec = spec_for(spark, d, f"{root}/copy")
     schema = table(spark, d, "events").schema
     query = sync.sync_continuous(
-        sync.read_changes(spark, spec, schema), spec, f"{root}/checkpoint", "1 second"
+        sync.read_changes(spark, spec, schema, arrived="_arrived"), spec, f"{root}/checkpoint",
+        "1 second", compact_after=1, arrived="_arrived",
     )
     query.processAllAvailable()
     query.stop()
@@ -130,6 +144,7 @@ QUERIES = {
     "apply_changes": apply_changes,
     "sync_triggered": sync_triggered,
     "sync_compacted": sync_compacted,
+    "sync_retriggered": sync_retriggered,
     "sync_continuous": sync_continuous,
     "ingest_dedup": ingest_dedup,
     "delete_propagation": delete_propagation,
@@ -167,6 +182,7 @@ SQL = {
     "apply_changes": _LIVE,
     "sync_triggered": _LIVE,
     "sync_compacted": _LIVE,
+    "sync_retriggered": _LIVE,
     "sync_continuous": _LIVE,
     "ingest_dedup": "SELECT DISTINCT user_id, event_type, value FROM events",
     "delete_propagation": """SELECT o_orderkey, o_custkey AS c_custkey FROM orders

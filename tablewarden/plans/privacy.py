@@ -12,9 +12,12 @@ from tablewarden.functions.calendar import (
     next_review_date,
     retention_due_date,
 )
-from tablewarden.operators import corpus, privacy
+from tablewarden.context import SyncSpec, shared_dir
+from tablewarden.operators import corpus, erasure, privacy
+from tablewarden.operators.erasure import Stored
 from tablewarden.operators.privacy import SubjectLink
 from tablewarden.plans.derived import frame, table, texts, with_inputs
+from tablewarden.streaming import sync
 
 LINKS = {
     "customer": SubjectLink("c_custkey"),
@@ -44,6 +47,50 @@ def erasure_audit(spark, d):
     return privacy.erasure_audit(tables(spark, d), frame(spark, d, "tickets"), LINKS)
 
 
+def stored_tables(spark, d, root):
+    """The tables as files that may be changed; orders lie in partitions."""
+    stored = {}
+    for name, df in tables(spark, d).items():
+        by = ("o_orderstatus",) if name == "orders" else ()
+        stored[name] = Stored(f"{root}/{name}", df.schema, by)
+        df.write.partitionBy(*by).parquet(f"{root}/{name}") if by else df.write.parquet(f"{root}/{name}")
+    return stored
+
+
+def erase_stored(spark, d):
+    """Orders after the files with a subject were rewritten in place."""
+    root = shared_dir(spark)
+    stored = stored_tables(spark, d, root)
+    erasure.erase_stored(spark, stored, frame(spark, d, "tickets"), LINKS, f"{root}/audit")
+    return stored["orders"].read(spark).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+def erasure_log(spark, d):
+    """The audit of that erasure as appended; one ticket names nobody."""
+    root = shared_dir(spark)
+    nobody = spark.range(1).select(F.lit("T-none").alias("ticket"), F.lit(None).cast("long").alias("subject_id"))
+    asked = frame(spark, d, "tickets").unionByName(nobody)
+    at = F.lit("2001-12-31 12:00:00")
+    erasure.erase_stored(spark, stored_tables(spark, d, root), asked, LINKS, f"{root}/audit", at)
+    log = erasure.read_erasures(spark, f"{root}/audit")
+    return log.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def erase_copy(spark, d):
+    """A synced copy, partly compacted, from which the subjects are erased; then read back."""
+    root = shared_dir(spark)
+    events = table(spark, d, "events")
+    spec = SyncSpec(f"{d}/events*.parquet", f"{root}/copy", ("user_id",), ("ts", "event_id"),
+                    op_column="event_type", delete_value="error")
+    sync.write_changes(events.filter("value < 50"), 0, spec)
+    sync.compact(spark, spec, events.schema)
+    sync.sync_triggered(sync.read_changes(spark, spec, events.schema), spec, f"{root}/checkpoint")
+    copy = {"events": Stored(spec.target, events.schema, is_listed=True)}
+    erasure.erase_stored(spark, copy, frame(spark, d, "tickets"), {"events": SubjectLink("user_id")},
+                         f"{root}/audit")
+    return sync.read_copy(spark, spec, events.schema).select("user_id", "event_id", "event_type", "value")
+
+
 def erasure_overdue(spark, d):
     late = privacy.erasure_overdue(frame(spark, d, "cases"), AS_OF)
     return late.select("ticket", "opened", "business_days")
@@ -107,6 +154,9 @@ QUERIES = {
     "erase_orders": erase_orders,
     "erase_lineitem": erase_lineitem,
     "erasure_audit": erasure_audit,
+    "erase_stored": erase_stored,
+    "erasure_log": erasure_log,
+    "erase_copy": erase_copy,
     "erasure_overdue": erasure_overdue,
     "subject_access": subject_access,
     "retention_due": retention_due,
@@ -133,6 +183,24 @@ SQL = {
         CROSS JOIN (VALUES ('customer'), ('orders'), ('lineitem')) n(table_name)
         LEFT JOIN hits h ON h.subject_id = t.subject_id AND h.table_name = n.table_name
         GROUP BY ALL""",
+    "erase_stored": f"""{_T} SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+        WHERE o_custkey NOT IN (SELECT subject_id FROM tickets)""",
+    "erasure_log": f"""{_T}, asked AS (
+        SELECT ticket, subject_id FROM tickets UNION ALL SELECT 'T-none', NULL), hits AS (
+        SELECT 'customer' AS table_name, c_custkey AS subject_id FROM customer
+        UNION ALL SELECT 'orders', o_custkey FROM orders
+        UNION ALL SELECT 'lineitem', o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+        SELECT t.ticket, n.table_name, CAST(t.subject_id AS VARCHAR) AS subject_id,
+               COUNT(h.subject_id) AS rows_removed, '2001-12-31 12:00:00' AS ts
+        FROM asked t
+        CROSS JOIN (VALUES ('customer'), ('orders'), ('lineitem')) n(table_name)
+        LEFT JOIN hits h ON h.subject_id = t.subject_id AND h.table_name = n.table_name
+        GROUP BY ALL""",
+    "erase_copy": f"""{_T}, newest AS (
+        SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id)
+        SELECT e.user_id, e.event_id, e.event_type, e.value
+        FROM newest n JOIN events e ON e.event_id = n.event_id
+        WHERE e.event_type <> 'error' AND e.user_id NOT IN (SELECT subject_id FROM tickets)""",
     "erasure_overdue": with_inputs("cases")
     + """, weekdays AS (
             SELECT day, SUM(CASE WHEN isodow(day) < 6 THEN 1 ELSE 0 END) OVER (ORDER BY day) AS n
