@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.context import cut_lineage, small_or_shuffled
+from tablewarden.operators.digest import differing_rows
 
 MONEY = T.DecimalType(18, 2)
 WIDE = T.DecimalType(38, 0)
@@ -92,10 +93,16 @@ def _profile_checks(
     kinds: Iterable[str],
 ) -> DataFrame:
     kinds = set(kinds)
+    usable = [m for m in metrics if _is_number(legacy, m) and _is_number(new, m)]
+    unusable = [m for m in metrics if m not in usable] if "metric" in kinds else []
+    metrics = usable
 
     def columns(df: DataFrame):
         out = [F.isnull(c).alias(f"null_{i}") for i, c in enumerate(null_columns)]
-        out += [F.col(m).cast(MONEY).alias(f"metric_{i}") for i, m in enumerate(metrics)]
+        for i, m in enumerate(metrics):
+            money = F.col(m).try_cast(MONEY)
+            out.append(money.alias(f"metric_{i}"))
+            out.append((F.isnull(money) & F.isnotnull(m)).alias(f"lost_{i}"))
         if key and "key_hash" in kinds:
             out.append(key_hash(key).cast(WIDE).alias("key_hash"))
         if key and "not_null" in kinds:
@@ -155,6 +162,7 @@ def _profile_checks(
             aggregates += _sides(
                 f"n_{i}", lambda side, i=i: F.count(F.when(side, F.col(f"metric_{i}")))
             )
+            aggregates.append(F.count_if(F.col(f"lost_{i}")).alias(f"lost_{i}"))
             sums = [F.coalesce(F.col(f"sum_{i}_{s}"), F.lit(0)) for s in ("legacy", "new")]
             means = [
                 F.round(
@@ -170,11 +178,20 @@ def _profile_checks(
             ]
             for kind, pair in (("sum", sums), ("avg", means)):
                 delta = _relative(*pair)
-                checks.append(_check(f"metric_{kind}", name, *pair, delta, delta <= tol.metric))
+                passed = (delta <= tol.metric) & (F.col(f"lost_{i}") == 0)
+                checks.append(_check(f"metric_{kind}", name, *pair, delta, passed))
+    none = F.lit(None)
+    for name in unusable:
+        for kind in ("sum", "avg"):
+            checks.append(_check(f"metric_{kind}", name, none, none, F.lit(1.0), F.lit(False)))
     profile = _both(legacy, new, columns).agg(*aggregates)
     return profile.select(F.inline(F.array(*checks)))
 
 
+def _is_number(df: DataFrame, name: str) -> bool:
+    return name in df.columns and isinstance(df.schema[name].dataType, T.NumericType)
+
+
 def check_row_count(legacy: DataFrame, new: DataFrame, tolerance: float = DEFAULT_TOLERANCE):
     return _profile_checks(
         legacy, new, None, [], [], Tolerances(row_count=tolerance), ["row_count"]
@@ -202,7 +219,11 @@ def check_null_rates(legacy: DataFrame, new: DataFrame, tolerance: float = DEFAU
 def check_metrics(
     legacy: DataFrame, new: DataFrame, metrics: list[str], tolerance: float = DEFAULT_TOLERANCE
 ) -> DataFrame:
-    """Relative difference of sum and mean, as decimal(18,2)."""
+    """Relative difference of sum and mean, as decimal(18,2).
+
+    A metric that a side lacks or holds as text fails, and so does one with a value too
+    large for that type.
+    """
     return _profile_checks(
         legacy, new, None, [], metrics, Tolerances(metric=tolerance), ["metric"]
     )
@@ -235,6 +256,21 @@ def key_hash_histogram(
     )
 
 
+def check_key_histogram(
+    legacy: DataFrame, new: DataFrame, key: list[str], buckets: int = 64
+) -> DataFrame:
+    """Number of filled key-hash buckets on each side, as a check row; delta counts those that differ."""
+    bad = key_hash_histogram(legacy, new, key, buckets).agg(
+        F.count_if(F.col("n_legacy") > 0).alias("filled_legacy"),
+        F.count_if(F.col("n_new") > 0).alias("filled_new"),
+        F.count_if(~F.col("passed")).alias("unequal"),
+    )
+    unequal = F.col("unequal")
+    row = _check("key_hist", ",".join(key), F.col("filled_legacy"), F.col("filled_new"),
+                 unequal.cast("double"), unequal == 0)
+    return bad.select(F.inline(F.array(row)))
+
+
 def duplicate_keys(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Keys that are null or occur more than once on a side, with the counts of both sides.
 
@@ -293,7 +329,8 @@ def reconcile(
         tolerances,
         ["row_count", "key_hash", "not_null", "null_rate", "metric"],
     )
-    return schema_rows.unionByName(profile).unionByName(check_unique_keys(legacy, new, key))
+    checks = [profile, check_key_histogram(legacy, new, key), check_unique_keys(legacy, new, key)]
+    return reduce(DataFrame.unionByName, checks, schema_rows)
 
 
 def verdict(checks: DataFrame) -> DataFrame:
@@ -322,16 +359,57 @@ def _by_weight(bad: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     return heavy, small_or_shuffled(bad.filter(rows <= limit).select(*key))
 
 
-def diff_rows(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Differences by key: only_legacy, only_new, changed (with column names), bad_key.
+def _aligned(legacy: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with their common columns; those of different types as text."""
+    common = _common(legacy, new)
+    retyped = {c for c in common if legacy.schema[c].dataType != new.schema[c].dataType}
+
+    def columns(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).cast("string").alias(c) if c in retyped else F.col(c) for c in common])
 
-    Keys that repeat or are null cannot be paired; they are reported once with
-    their counts and kept out of the join, which would multiply them.
+    return columns(legacy), columns(new), common
+
+
+def _schema_rows(legacy: DataFrame, new: DataFrame, key: list[str], like: T.StructType) -> DataFrame:
+    """Columns that only one side has, or that changed their type, in the form of a diff."""
+    rows = []
+    for row in check_schema(legacy, new).filter("not passed").collect():
+        status = ("column_added" if row.legacy_type is None
+                  else "column_dropped" if row.new_type is None else "column_retyped")
+        rows.append((*[None] * len(key), status, row.column, 0, 0))
+    return legacy.sparkSession.createDataFrame(rows, like)
+
+
+def diff_rows(
+    legacy: DataFrame, new: DataFrame, key: list[str], report_repeated: bool = True
+) -> DataFrame:
+    """Differences by key: only_legacy, only_new, changed (with column names), bad_key; and by
+    column: column_added, column_dropped, column_retyped, with a null key.
+
+    Digests find the buckets of keys in which the sides differ; only their rows are moved
+    and compared. Keys that repeat or are null cannot be paired; they are reported once
+    with their counts and kept out of the join, which would multiply them. To find those
+    that repeat alike on both sides costs a count for each key; without `report_repeated`
+    they are reported only where the sides differ. A retyped column is compared as text.
     """
-    # Normally empty or short: found once, kept, and then of known size.
-    bad = cut_lineage(duplicate_keys(legacy, new, key))
-    compared = [c for c in _common(legacy, new) if c not in key]
+    left, right, common = _aligned(legacy, new)
+    compared = [c for c in common if c not in key]
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    keys = [left.schema[k] for k in key]
+    shape = T.StructType([T.StructField(f.name, f.dataType) for f in keys])
+    for name, kind in (("status", "string"), ("columns", "string"), ("n_legacy", "long"), ("n_new", "long")):
+        shape = shape.add(name, kind)
+    schema_rows = _schema_rows(legacy, new, key, shape)
+
+    def unpaired(bad: DataFrame) -> DataFrame:
+        return bad.select(*key, F.lit("bad_key").alias("status"), F.lit("").alias("columns"),
+                          "n_legacy", "n_new")
+
+    parts = differing_rows(left, right, key, compared)
+    if parts is None:
+        return schema_rows.unionByName(unpaired(duplicate_keys(left, right, key))) if report_repeated else schema_rows
+    # Normally empty or short: found once, kept, and then of known size.
+    bad = cut_lineage(duplicate_keys(*((left, right) if report_repeated else parts), key))
     heavy, light = _by_weight(bad.filter(whole), key)
 
     def clean(df: DataFrame, side: str) -> DataFrame:
@@ -354,7 +432,7 @@ def diff_rows(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
             ]
         )
     )
-    paired = clean(legacy, "legacy").join(clean(new, "new"), key, "full_outer")
+    paired = clean(parts[0], "legacy").join(clean(parts[1], "new"), key, "full_outer")
     status = (
         F.when(F.isnull("_new"), F.lit("only_legacy"))
         .when(F.isnull("_legacy"), F.lit("only_new"))
@@ -367,14 +445,7 @@ def diff_rows(legacy: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
         F.when(F.col("_legacy"), 1).otherwise(0).cast("bigint").alias("n_legacy"),
         F.when(F.col("_new"), 1).otherwise(0).cast("bigint").alias("n_new"),
     ).filter(F.col("status").isNotNull())
-    unpaired = bad.select(
-        *key,
-        F.lit("bad_key").alias("status"),
-        F.lit("").alias("columns"),
-        "n_legacy",
-        "n_new",
-    )
-    return differences.unionByName(unpaired)
+    return differences.unionByName(unpaired(bad)).unionByName(schema_rows)
 
 
 def cutover_ready(

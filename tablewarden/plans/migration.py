@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tablewarden.context import Env, shared_dir
 from tablewarden.operators import reconcile as r
 from tablewarden.plans.derived import frame, table, with_inputs
@@ -62,6 +64,14 @@ def diff_rows_repeated(spark, d):
     return r.diff_rows(items, moved, ["l_orderkey", "l_linenumber"])
 
 
+def diff_columns(spark, d):
+    """A migrated copy with a column added, one dropped and one retyped; retyped values as text."""
+    old = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    new = frame(spark, d, "new_orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string"), "o_orderpriority", F.lit(1).alias("o_batch"))
+    return r.diff_rows(old, new, KEY)
+
+
 def cutover_ready(spark, d):
     return r.cutover_ready(frame(spark, d, "daily_diff"), by=("pair",))
 
@@ -91,6 +101,7 @@ QUERIES = {
     "recon_duplicates": recon_duplicates,
     "diff_rows": diff_rows,
     "diff_rows_repeated": diff_rows_repeated,
+    "diff_columns": diff_columns,
     "cutover_ready": cutover_ready,
     "cutover_ready_fast": cutover_ready_fast,
     "shadow_write": shadow,
@@ -195,9 +206,15 @@ _KEYS = " UNION ALL ".join(
         ),
     )
 )
+_HIST = _line("key_hist", "o_orderkey", "a", "b", "CAST(unequal AS DOUBLE)", "unequal = 0", f"""(
+    SELECT COUNT(*) FILTER (WHERE l > 0) AS a, COUNT(*) FILTER (WHERE n > 0) AS b,
+           COUNT(*) FILTER (WHERE l <> n) AS unequal
+    FROM (SELECT bucket, SUM(l) AS l, SUM(n) AS n
+          FROM (SELECT {_HASH} % 64 AS bucket, 1 AS l, 0 AS n FROM orders
+                UNION ALL SELECT {_HASH} % 64, 0, 1 FROM new_orders) GROUP BY bucket))""")
 _INPUTS = with_inputs("new_orders")
 _CHECKS = f"""checks AS ({_SCHEMA} UNION ALL {_ROW_COUNT} UNION ALL {_KEY_HASH}
-    UNION ALL {_NULL_RATES} UNION ALL {_METRICS} UNION ALL {_KEYS})"""
+    UNION ALL {_NULL_RATES} UNION ALL {_METRICS} UNION ALL {_KEYS} UNION ALL {_HIST})"""
 _ISLANDS = """
     SELECT {by} MIN(day) AS first_day, MAX(day) AS last_day, COUNT(*) AS n_days,
            COUNT(*) >= {days} AS ready
@@ -256,6 +273,16 @@ SQL = {
                CASE WHEN n_legacy > 1 THEN 'bad_key' ELSE 'only_legacy' END AS status,
                '' AS columns, n_legacy, n_new
         FROM per_key WHERE n_legacy > 1 OR n_new = 0""",
+    "diff_columns": f"""{_INPUTS}
+        SELECT COALESCE(o.o_orderkey, n.o_orderkey) AS o_orderkey,
+               CASE WHEN n.o_orderkey IS NULL THEN 'only_legacy' ELSE 'changed' END AS status,
+               CASE WHEN n.o_orderkey IS NULL THEN '' ELSE 'o_orderpriority' END AS columns,
+               CAST(1 AS BIGINT) AS n_legacy, CAST(n.o_orderkey IS NOT NULL AS BIGINT) AS n_new
+        FROM orders o LEFT JOIN new_orders n ON o.o_orderkey = n.o_orderkey
+        WHERE n.o_orderkey IS NULL OR o.o_orderpriority IS DISTINCT FROM n.o_orderpriority
+        UNION ALL SELECT NULL, status, columns, 0, 0
+        FROM (VALUES ('column_added', 'o_batch'), ('column_dropped', 'o_orderstatus'),
+                     ('column_retyped', 'o_custkey')) AS c(status, columns)""",
     "cutover_ready": with_inputs("daily_diff")
     + _ISLANDS.format(by="pair,", days=7, part="PARTITION BY pair"),
     "cutover_ready_fast": with_inputs("daily_diff") + _ISLANDS.format(by="", days=3, part=""),

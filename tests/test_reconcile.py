@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tablewarden.operators import quality
+from tablewarden.operators import digest, quality
 from tablewarden.operators import reconcile as r
 
 KEY, METRICS = ["id"], ["amount"]
@@ -35,7 +35,7 @@ def test_identical(legacy):
 def test_one_row_lost_is_inside_the_tolerance_but_changes_the_keys(legacy):
     lost = legacy.filter("id <> 7")
     assert r.check_row_count(legacy, lost).first().passed
-    assert reconcile(legacy, lost) == ["key_hash"]
+    assert reconcile(legacy, lost) == ["key_hash", "key_hist"]
 
 
 def test_rows_lost_outside_tolerance(legacy):
@@ -44,7 +44,7 @@ def test_rows_lost_outside_tolerance(legacy):
 
 def test_key_replaced_with_equal_count(legacy):
     swapped = legacy.withColumn("id", F.when(F.col("id") == 5, 99999).otherwise(F.col("id")))
-    assert reconcile(legacy, swapped) == ["key_hash"]
+    assert reconcile(legacy, swapped) == ["key_hash", "key_hist"]
 
 
 def test_type_changed_and_column_missing(legacy):
@@ -113,6 +113,66 @@ def test_diff_rows_does_not_multiply_a_hot_key(spark, rows):
         (1, "bad_key", "", 3000, 3000), (2, "only_legacy", "", 1, 0), (None, "bad_key", "", 1, 0)]
 
 
+def test_diff_reports_columns(spark, rows):
+    old = spark.createDataFrame([(1, "a", 1, 2.5), (2, "b", None, 1.0)], "id int, s string, n int, gone double")
+    new = spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 7, "y")], "id int, s string, n bigint, more string")
+    assert rows(r.diff_rows(old, new, KEY)) == sorted([
+        (2, "changed", "n", 1, 1), (None, "column_added", "more", 0, 0),
+        (None, "column_dropped", "gone", 0, 0), (None, "column_retyped", "n", 0, 0)], key=repr)
+
+
+def test_diff_with_a_retyped_key(spark, rows):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    new = spark.createDataFrame([("1", "a"), ("x", "b")], "id string, s string")
+    assert rows(r.diff_rows(old, new, KEY)) == sorted([
+        ("2", "only_legacy", "", 1, 0), ("x", "only_new", "", 0, 1), (None, "column_retyped", "id", 0, 0)], key=repr)
+
+
+def test_equal_tables_move_only_digests(spark, legacy, tmp_path):
+    for side in "ab":
+        legacy.repartition(3).write.parquet(str(tmp_path / side))
+    a, b = (spark.read.parquet(str(tmp_path / side)) for side in "ab")
+    same = r.diff_rows(a, b, KEY, report_repeated=False)
+    assert same.count() == 0
+    assert "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("per_bucket", [1, 64])
+def test_only_rows_of_differing_buckets_are_compared(spark, rows, per_bucket, monkeypatch):
+    monkeypatch.setattr(digest, "ROWS_PER_BUCKET", per_bucket)
+    a = spark.range(20_000).select("id", (F.col("id") * 3).alias("v"), F.lit(None).cast("string").alias("s"))
+    b = a.withColumn("v", F.when(F.col("id") == 777, -1).otherwise(F.col("v"))).filter("id <> 5")
+    left, right = digest.differing_rows(a, b, KEY, ["v", "s"])
+    assert left.count() <= (2 * 20 * 2 if per_bucket == 64 else 20)
+    assert {r.id for r in left.collect()} >= {5, 777}
+    assert rows(r.diff_rows(a, b, KEY)) == [(5, "only_legacy", "", 1, 0), (777, "changed", "v", 1, 1)]
+
+
+def test_digest_tells_nulls_and_nested_values_apart(spark):
+    schema = "id int, a string, b string, m map<string,int>, x array<double>"
+    base = [(1, None, "q", {"k": 1}, [1.0])]
+    old = spark.createDataFrame(base, schema)
+    assert digest.differing_rows(old, old, KEY, ["a", "b", "m", "x"]) is None
+    for other in [(1, "q", None, {"k": 1}, [1.0]), (1, None, "q", {"k": 2}, [1.0]),
+                  (1, None, "q", {"k": 1}, [1.0, 2.0]), (1, None, "q", None, [1.0])]:
+        new = spark.createDataFrame([other], schema)
+        assert digest.differing_rows(old, new, KEY, ["a", "b", "m", "x"]) is not None
+
+
+def test_distribution_is_part_of_the_verdict(legacy):
+    checks = r.reconcile(legacy, legacy.filter("id <> 1"), KEY, METRICS)
+    row = checks.filter("check_name = 'key_hist'").first()
+    assert (row.delta, row.passed) == (1.0, False)
+
+
+def test_dropped_or_text_metric_fails(legacy):
+    for new in (legacy.drop("amount"), legacy.withColumn("amount", F.lit("many"))):
+        checks = r.reconcile(legacy, new, KEY, METRICS)
+        bad = checks.filter("check_name like 'metric%' and not passed").collect()
+        assert {x.check_name for x in bad} >= {"metric_sum", "metric_avg"}
+        assert not r.verdict(checks).first().passed
+
+
 def days(spark, *numbers, passed=True):
     rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=n), passed, False) for n in numbers]
     return spark.createDataFrame(rows, "day date, passed boolean, explained boolean")
