@@ -58,11 +58,14 @@ def rule_regex(pattern: str) -> str:
 
 
 def coverage_regex(pattern: str) -> str:
-    """The stricter variant used for coverage: compared as `/path/`, case-sensitive, with prefixes."""
+    """The stricter variant used for coverage: compared as `/path/`, case-sensitive, with prefixes.
+
+    Besides, path and glob may agree without the last character of either.
+    """
     glob = pattern if pattern.startswith("/") else "/" + pattern
     if not glob.endswith("/") and "*" not in glob.split("/")[-1]:
         glob += "/"
-    ways = [_unanchored(glob), _unanchored(glob + "*")]
+    ways = [_unanchored(glob), _unanchored(glob + "*"), _unanchored(glob[:-1]) + "/"]
     return "(?s)^(?:" + "|".join(ways) + ")$"
 
 

@@ -2,7 +2,8 @@
 
 Rules are (ord, pattern, owners). Up to `MAX_INLINE` of them become one CASE
 expression, evaluated where the paths are scanned: no join, no shuffle. Longer
-rule tables are joined on what patterns literally begin with.
+rule tables are joined on what patterns literally begin with, end with or contain.
+Of rules with one `ord`, as in merged files, the greater pattern counts as the later.
 """
 
 from __future__ import annotations
@@ -11,19 +12,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewarden.context import cut_lineage, lookup_join, small_or_shuffled
-from tablewarden.functions.patterns import (
-    coverage_head,
-    coverage_regex,
-    matches,
-    rule_head,
-    rule_regex,
-)
+from tablewarden.functions.containment import contained_words
+from tablewarden.functions.globs import coverage_ways, rule_ways
+from tablewarden.functions.patterns import coverage_regex, matches, rule_regex
 from tablewarden.functions.text import extract_all, strip
 from tablewarden.operators.ordered import first_n
 
@@ -75,7 +70,7 @@ def flatten_distinct(rules: DataFrame) -> DataFrame:
 
 def collect_rules(rules: DataFrame, max_rules: int = MAX_INLINE) -> list[Rule] | None:
     """The rules in order, or None when there are too many to inline."""
-    rows = rules.orderBy("ord").limit(max_rules + 1).collect()
+    rows = rules.orderBy("ord", "pattern", "owners").limit(max_rules + 1).collect()
     if len(rows) > max_rules:
         return None
     return [Rule(r["pattern"], tuple(r["owners"])) for r in rows]
@@ -121,107 +116,94 @@ def last_match(
             )
             .drop("_rule")
         )
-    winners = covering_rule(df, path, rules)
-    named = lookup_join(winners, rules.select("ord", "pattern", "owners"), ["ord"], "left")
-    return lookup_join(df, named.drop("ord"), [path], "left").select(
+    winners = covering_rule(df, path, rules).drop("ord")
+    return lookup_join(df, winners, [path], "left").select(
         *df.columns,
         F.coalesce("pattern", F.lit(CATCH_ALL)).alias("pattern"),
         F.coalesce("owners", F.array(F.lit(default))).alias("owners"),
     )
 
 
-@F.pandas_udf(T.StringType())
-def _rule_heads(patterns: pd.Series) -> pd.Series:
-    return patterns.map(rule_head)
-
-
-@F.pandas_udf(T.StringType())
-def _rule_regexes(patterns: pd.Series) -> pd.Series:
-    return patterns.map(rule_regex)
-
-
-@F.pandas_udf(T.StringType())
-def _coverage_heads(patterns: pd.Series) -> pd.Series:
-    return patterns.map(coverage_head)
-
-
-@F.pandas_udf(T.StringType())
-def _coverage_regexes(patterns: pd.Series) -> pd.Series:
-    return patterns.map(coverage_regex)
-
-
 @dataclass(frozen=True)
 class Matcher:
-    """How a pattern is compared with a path: inline, or compiled for a rule table.
-
-    The table functions run once per rule; paths never pass through Python.
-    """
+    """How a pattern is compared with a path: inline, or by the ways of a pattern in a table."""
 
     subject: Callable[[Column], Column]
     regex: Callable[[str], str]
-    heads: Callable[[str], Column]
-    regexes: Callable[[str], Column]
+    ways: Callable[[Column], Column]
 
 
-LENIENT = Matcher(lambda path: path, rule_regex, _rule_heads, _rule_regexes)
+LENIENT = Matcher(lambda path: path, rule_regex, rule_ways)
 STRICT = Matcher(
     lambda path: F.concat(F.lit("/"), F.regexp_replace(path, "^/+|/+$", ""), F.lit("/")),
     coverage_regex,
-    _coverage_heads,
-    _coverage_regexes,
+    coverage_ways,
 )
 
 
+def _sizes(ways: DataFrame, side: str) -> list[int]:
+    """Lengths of the factors of one side: at most as many as the longest has characters."""
+    sized = ways.filter(F.col("side") == side).select(F.length("factor").alias("n")).distinct()
+    return sorted(r["n"] for r in sized.collect())
+
+
 def covering_rule(
     paths: DataFrame, path: str, rules: DataFrame, matcher: Matcher = LENIENT
 ) -> DataFrame:
-    """(path, ord) of the last covering rule of each distinct path, for rule tables of any length.
+    """(path, ord, pattern, owners) of the last covering rule of each distinct path, for rule
+    tables of any length; one row a path, also where rules share an `ord`.
 
-    Of rules with the same pattern only the last can win. A covered path begins
-    with the pattern's literal head, so the two sides are equi-joined on path
-    beginnings of the lengths that heads have, and only those pairs are matched.
-    Patterns without a head meet every path; both sides carry a salt for them.
+    Each way of a pattern is found by its longest literal factor: paths are equi-joined on
+    their beginnings and on their reversed endings, of the lengths that factors have, and
+    factors from the middle are looked up by what paths contain. Only such pairs are
+    matched. Patterns without any literal meet every path; both sides carry a salt for them.
     """
-    compiled = cut_lineage(
-        rules.groupBy("pattern")
-        .agg(F.max("ord").alias("ord"))
-        .select(
-            "ord",
-            matcher.heads("pattern").alias("head"),
-            matcher.regexes("pattern").alias("regex"),
+    last = rules.groupBy("pattern").agg(F.max(F.struct("ord", "owners")).alias("rule"))
+    way = F.col("way")
+    longest = F.greatest(F.length(way.head), F.length(way.tail), F.length(way.middle))
+    ways = cut_lineage(
+        last.select("pattern", "rule", F.explode(matcher.ways(F.col("pattern"))).alias("way")).select(
+            F.struct("rule.ord", "pattern", "rule.owners").alias("rule"),
+            way.regex.alias("regex"),
+            F.when(longest == 0, "any").when(F.length(way.head) == longest, "head")
+            .when(F.length(way.tail) == longest, "tail").otherwise("middle").alias("side"),
+            F.when(F.length(way.head) == longest, way.head)
+            .when(F.length(way.tail) == longest, F.reverse(way.tail))
+            .otherwise(way.middle).alias("factor"),
         )
     )
-    # Lengths of path beginnings: at most as many as the longest path has characters.
-    sizes = sorted(
-        r["n"] for r in compiled.select(F.length("head").alias("n")).distinct().collect()
-    )
-    bare = F.col("head") == ""
-    salted = compiled.withColumn(
+    subject = F.col("_subject")
+    asked = paths.select(path).distinct().withColumn("_subject", matcher.subject(F.col(path)))
+
+    def cuts(text: Column, side: str) -> Column:
+        sizes = _sizes(ways, side)
+        taken = [F.when(F.length(text) >= n, F.struct(F.lit(side).alias("side"), F.left(text, F.lit(n)).alias("factor")))
+                 for n in sizes]
+        return F.array_compact(F.array(*taken)) if taken else F.array()
+
+    nothing = F.array(F.struct(F.lit("any").alias("side"), F.lit("").alias("factor")))
+    factors = F.concat(nothing, cuts(subject, "head"), cuts(F.reverse(subject), "tail"))
+    probes = asked.select(path, "_subject", F.explode(factors).alias("_f")).select(path, "_subject", "_f.*")
+    middles = ways.filter("side = 'middle'").select("factor").distinct()
+    holding = contained_words(asked.withColumn("_text", subject), "_text", middles, "factor")
+    probes = probes.unionByName(holding.select(path, "_subject", F.lit("middle").alias("side"), "factor"))
+    bare = F.col("side") == "any"
+    salted = ways.withColumn(
         "salt",
         F.explode(
             F.when(bare, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         ),
     )
-    subject = F.col("_subject")
-    heads = F.filter(
-        F.array(
-            *[F.when(F.length(subject) >= n, F.left(subject, F.lit(n))) for n in sizes]
-        ),
-        lambda h: h.isNotNull(),
-    )
     return (
-        paths.select(path)
-        .distinct()
-        .withColumn("_subject", matcher.subject(F.col(path)))
-        .withColumn("head", F.explode(heads))
-        .withColumn(
+        probes.withColumn(
             "salt",
             F.when(bare, F.pmod(F.xxhash64(path), F.lit(SALTS)).cast("int")).otherwise(0),
         )
-        .join(small_or_shuffled(salted), ["head", "salt"])
+        .join(small_or_shuffled(salted), ["side", "factor", "salt"])
         .filter(F.rlike(subject, F.col("regex")))
         .groupBy(path)
-        .agg(F.max("ord").alias("ord"))
+        .agg(F.max("rule").alias("rule"))
+        .select(path, "rule.ord", "rule.pattern", "rule.owners")
     )
 
 

@@ -194,7 +194,8 @@ _HIT = """({p} GLOB r.pattern OR ({p} || '/') GLOB r.pattern
     OR (r.pattern LIKE '%*' AND starts_with({p}, rtrim(r.pattern, '/*'))))"""
 _GLOB = """CASE WHEN r.pattern LIKE '%/' OR contains(split_part('/' || r.pattern, '/', -1), '*')
     THEN '/' || r.pattern ELSE '/' || r.pattern || '/' END"""
-_STRICT = f"(('/' || f.path || '/') GLOB ({_GLOB}) OR ('/' || f.path || '/') GLOB ({_GLOB} || '*'))"
+_STRICT = f"""(('/' || f.path || '/') GLOB ({_GLOB}) OR ('/' || f.path || '/') GLOB ({_GLOB} || '*')
+    OR ('/' || f.path) GLOB left({_GLOB}, length({_GLOB}) - 1))"""
 _F = with_inputs("folders")
 _LINES = """parsed AS (
     SELECT ord, string_split_regex(trim(split_part(line, '#', 1)), '[ ]+') AS words

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +77,30 @@ def test_contained_words_inline_and_joined_agree(spark, rows, limit):
     assert containment.contained_words(texts, "text", words.filter("false"), "lib").count() == 0
 
 
+def test_many_words_by_their_rarest_run(spark, rows, monkeypatch):
+    """Short and long words, other scripts, repeated rows, texts over several blocks."""
+    monkeypatch.setattr(containment, "BLOCK", 64)
+    pick = random.Random(3)
+    alphabet = "abcdé -ß漢"
+    texts = ["".join(pick.choice(alphabet) for _ in range(pick.randrange(0, 400))) for _ in range(60)]
+    words = {"".join(pick.choice(alphabet) for _ in range(pick.randrange(1, 9))) for _ in range(300)}
+    words |= {t[i : i + 40] for t in texts for i in (0, 60) if t[i : i + 40]} | {"never seen here", ""}
+    df = spark.createDataFrame([(i % 50, t) for i, t in enumerate(texts)] + [(99, None)], "k int, text string")
+    asked = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
+    want = sorted(((i % 50, w) for i, t in enumerate(texts) for w in words if w and w in t), key=repr)
+    assert rows(containment.contained_words(df, "text", asked, "w", max_literals=10)) == want
+
+
+def test_many_words_in_long_texts_take_seconds(spark):
+    texts = spark.range(20).select("id", F.expr(
+        "concat_ws(' ', transform(sequence(1, 2500), i -> concat('w', hash(i, id) % 9999)))").alias("text"))
+    words = spark.range(600).select(F.concat(F.lit("library-name-"), F.col("id")).alias("w")).unionByName(
+        texts.limit(3).select(F.substring("text", 100, 30).alias("w")))
+    begun = time.time()
+    assert containment.contained_words(texts, "text", words, "w").count() == 3
+    assert time.time() - begun < 30
+
+
 def test_affected(spark, rows):
     def run(*values):
         changed = spark.createDataFrame([(v,) for v in values], "path string")

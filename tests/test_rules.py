@@ -7,6 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from tablewarden.functions.globs import coverage_ways, rule_ways
 from tablewarden.functions.patterns import coverage_head, coverage_regex, glob_to_regex, rule_head, rule_regex
 from tablewarden.operators import rules
 from tablewarden.operators.rules import Rule
@@ -83,6 +86,56 @@ def test_uncovered_inline_and_joined_agree(spark, rows, matcher):
     assert (8, "README.md") in inline and (0, "apps/fin-a") not in inline
 
 
+MANY = ["*", "**", "?", "[ab]*", "*.py", "*/tests/*", "a/*/b", "/x/", "x/", "x/*", "*[!a]z", "[x", "a]b", "[]]q", "a.b+c",
+        "apps/fin-*/", "docs", "/docs/**/guide.md", "", "/", "*a*b*c*", "q?", "é*", "[a-c]/x", "a^b", "[^a]b", "[a&&b]x"]
+ODD = ["a", "b", "x.py", "x/y.py", "a/tests/b", "a/q/b", "x", "x/y", "bz", "az", "[x", "a]b", "]q", "a.b+c", "apps/fin-1",
+       "apps/fin-1/src/m.py", "docs", "docs/a/guide.md", "docs/x", "aabbcc", "qz", "été", "b/x", "d/x", "a^b", "^b", "&x",
+       "x.p", "*.py/z", "apps", "*", ""]
+
+
+def test_ways_of_a_pattern_are_its_regex(spark):
+    """Built natively for rule tables, by Python for inlined rules; and factors are necessary."""
+    table = spark.createDataFrame([(p,) for p in MANY], "pattern string")
+    for ways, regex, subject in (
+        (rule_ways, rule_regex, lambda p: p), (coverage_ways, coverage_regex, lambda p: f"/{p.strip('/')}/")):
+        for row in table.select("pattern", ways(F.col("pattern")).alias("ways")).collect():
+            for path in map(subject, ODD):
+                hits = [w for w in row.ways if re.search(w.regex, path)]
+                assert bool(hits) == bool(re.search(regex(row.pattern), path)), (row.pattern, path)
+                for w in hits:
+                    assert path.startswith(w.head) and path.endswith(w.tail) and w.middle in path
+
+
+@pytest.mark.parametrize("matcher", [rules.LENIENT, rules.STRICT])
+def test_rule_table_equals_every_pair(spark, rows, matcher):
+    listed = spark.createDataFrame([(i // 2, p, [f"@{i}"]) for i, p in enumerate(MANY)],
+                                   "ord int, pattern string, owners array<string>")
+    found = rows(rules.covering_rule(paths(spark, ODD), "path", listed, matcher))
+    want = []
+    for path in ODD:
+        subject = path if matcher is rules.LENIENT else f"/{path.strip('/')}/"
+        hits = [(i // 2, p, [f"@{i}"]) for i, p in enumerate(MANY) if re.search(matcher.regex(p), subject)]
+        want += [(path, *max(hits))] if hits else []
+    assert found == sorted(want, key=repr)
+
+
+def test_rules_that_share_a_place_give_one_row(spark, rows):
+    """Two files merged: their lines have the same numbers."""
+    listed = spark.createDataFrame(
+        [(1, "a/", ["@one"]), (1, "a/b/", ["@two"]), (2, "*.py", ["@py"]), (2, "a/b/", ["@three"]), (2, "a/b/", ["@zed"])],
+        "ord int, pattern string, owners array<string>")
+    for limit in (1, 200):
+        found = rules.last_match(paths(spark, ["a/x", "a/b/c", "m.py", "q"]), "path", listed, "@d", limit)
+        assert rows(found.select("path", "pattern", "owners")) == sorted([
+            ("a/x", "a/", ["@one"]), ("a/b/c", "a/b/", ["@zed"]), ("m.py", "*.py", ["@py"]), ("q", "*", ["@d"])], key=repr)
+
+
+def test_rule_tables_need_no_python(spark):
+    found = rules.last_match(paths(spark), "path", as_table(spark, RULES), max_inline=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def lines(spark, text):
     return spark.createDataFrame(list(enumerate(text.split("\n"))), "ord bigint, line string")
 
