@@ -139,23 +139,40 @@ def _violations(c) -> Column:
 
 
 def contract_violations(contract: DataFrame) -> DataFrame:
-    """One row per broken rule, numbered in report order. Map-only."""
+    """One row per broken rule, numbered in report order, with the file if rows carry it. Map-only."""
     return contract.select(
+        *_file_of(contract),
         F.coalesce("model", F.lit("<unnamed>")).alias("model"),
         F.coalesce("column", F.lit("<unnamed>")).alias("column"),
         F.posexplode(_violations(F.col)).alias("position", "violation"),
     )
 
 
+def _file_of(df: DataFrame) -> list[str]:
+    return ["file"] if "file" in df.columns else []
+
+
+def _has_filter() -> Column:
+    """A row filter that names neither a function nor columns is none."""
+    declared = F.col("row_filter")
+    named = declared.getField("function")
+    columns = declared.getField("on_columns")
+    return F.coalesce(named != "", F.lit(False)) | F.coalesce(F.size(columns) > 0, F.lit(False))
+
+
 def contract_warnings(contract: DataFrame, models: DataFrame) -> DataFrame:
-    """Models that hold a column in need of masking but declare no row filter."""
+    """Models that hold a column in need of masking but declare no row filter.
+
+    Models of different files are told apart where both frames carry the file.
+    """
+    keys = [*(_file_of(contract) and _file_of(models)), "model"]
     sensitive = (
         contract.filter(in_vocabulary(F.col("classification"), NEEDS_MASK))
-        .groupBy("model")
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_columns"))
     )
-    filtered = models.filter(F.col("row_filter").isNotNull()).select("model")
-    return sensitive.join(filtered, "model", "left_anti")
+    filtered = models.filter(_has_filter()).select(*keys)
+    return sensitive.join(filtered, keys, "left_anti")
 
 
 def list_masks(contract: DataFrame) -> DataFrame:
@@ -165,7 +182,7 @@ def list_masks(contract: DataFrame) -> DataFrame:
 
 
 def list_row_filters(models: DataFrame) -> DataFrame:
-    return models.filter(F.col("row_filter").isNotNull()).select(
+    return models.filter(_has_filter()).select(
         "model",
         F.col("row_filter.function").alias("function"),
         F.array_join("row_filter.on_columns", ", ").alias("on_columns"),

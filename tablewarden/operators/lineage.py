@@ -17,6 +17,7 @@ from tablewarden.functions.text import (
     source_label,
     strip,
 )
+from tablewarden.sources.documents import parse_nodes, parse_readers
 
 NOTHING = "—"
 
@@ -32,12 +33,23 @@ GLOBAL_FOLDERS = (".github", "infra", "tools")
 SCOPES = {"apps": "app", "libs": "lib", "dbt": "model_project"}
 
 
+#: What a manifest says about a model, beside where it lies: relation and column.
+ATTRIBUTES = {
+    "project": "package_name",
+    "access": "access",
+    "materialized": "materialized",
+    "contract_enforced": "contract_enforced",
+    "classification": "classification",
+    "pii": "pii",
+}
+
+
 def where_is(nodes: DataFrame, edges: DataFrame, name: str, strict: bool = False) -> DataFrame:
-    """Where a model lives, what it reads and who reads it, one row per relation.
+    """Where a model lives, what is said of it, what it reads and who reads it, one row per relation.
 
-    `nodes(node_id, name, ..., depends_on)`, `edges(node_id, child_id)`. Rows
-    instead of arrays keep a model with very many readers from filling one
-    record. With `strict` an unknown name is an error.
+    `nodes(node_id, name, ..., depends_on)` with any of the columns of `ATTRIBUTES`,
+    `edges(node_id, child_id)`. Rows instead of arrays keep a model with very many
+    readers from filling one record. With `strict` an unknown name is an error.
     """
     hits = nodes.filter(F.col("name") == name)
     if strict and hits.isEmpty():
@@ -50,9 +62,28 @@ def where_is(nodes: DataFrame, edges: DataFrame, name: str, strict: bool = False
     read_by = lookup_join(edges, ids, ["node_id"], "left_semi").select(
         "node_id", F.lit("consumed_by").alias("relation"), F.col("child_id").alias("other")
     )
+    said = {relation: column for relation, column in ATTRIBUTES.items() if column in nodes.columns}
+    if said:
+        facts = F.array(*[F.struct(F.lit(r).alias("relation"), F.col(c).cast("string").alias("other"))
+                          for r, c in said.items()])
+        told = hits.select("node_id", F.inline(facts)).filter(F.col("other").isNotNull())
+        about = about.unionByName(told)
     return about.unionByName(reads).unionByName(read_by).distinct()
 
 
+def where_is_in_manifests(
+    manifests: DataFrame, name: str, text: str = "text", file: str | None = None, strict: bool = False
+) -> DataFrame:
+    """`where_is` over manifest files; a node's readers are those that its own file names."""
+    nodes = parse_nodes(manifests, text, file).filter(F.col("name") == name)
+    # Few nodes have one name; their files and ids decide which readers are kept.
+    at = cut_lineage(nodes)
+    readers = lookup_join(
+        parse_readers(manifests, text, file), at.select("file", "node_id").distinct(),
+        ["file", "node_id"], "left_semi")
+    return where_is(at, readers.select("node_id", "child_id"), name, strict)
+
+
 def file_hits(paths: DataFrame, name: str) -> DataFrame:
     """(project, path) of model files called `<name>.sql` below a project's models folder."""
     pattern = rf"^dbt/([^/]+)/models/(?:.*/)?{quote(name)}\.sql$"

@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.context import Caller, Env
+from tablewarden.context import Caller, Env, shared_dir
 from tablewarden.functions.masks import register_masks
 from tablewarden.jobs import TAGS
 from tablewarden.operators import access, contract
 from tablewarden.operators.marts import build_customer_360
 from tablewarden.plans.derived import frame, table, with_inputs
+from tablewarden.sources.tables import read_scope
 
 ENV = Env("prod")
 READER = Caller("grace", frozenset({"pii_readers_prod"}))
@@ -83,6 +84,29 @@ def governed_read_callers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def scope_seed(spark: SparkSession, d: str) -> DataFrame:
+    """The scope as a CSV seed: written out of customers, a row each, and read by its schema."""
+    path = f"{shared_dir(spark)}/scope"
+    seed = table(spark, d, "customer").select(
+        F.concat("c_name", F.lit("@corp.example")).alias("user_email"),
+        F.col("c_mktsegment").alias("cost_centre"))
+    seed.write.csv(path, header=True)
+    return read_scope(spark, path)
+
+
+def governed_seed_read(spark: SparkSession, d: str) -> DataFrame:
+    """The operator as a user calls it: grants, a row filter by its name, the scope from the seed."""
+    caller = Caller("alice", frozenset({"finance_team_prod"}))
+    path = f"{shared_dir(spark)}/scope"
+    user = F.when(F.startswith("c_mktsegment", F.lit("M")), "alice").otherwise("carol")
+    seed = table(spark, d, "customer").select(
+        user.alias("user_email"), F.col("c_mktsegment").alias("cost_centre")).distinct()
+    seed.write.csv(path, header=True)
+    return access.governed_read(
+        customer_360(spark, d), "lake.gold.customer_360", caller, ENV, grants(spark),
+        read_scope(spark, path), ("security.filter_by_cost_centre", ["segment"]))
+
+
 def mask_pii(spark: SparkSession, d: str) -> DataFrame:
     tagged = contract.apply_tags(table(spark, d, "customer"), {"c_name": TAGS["email"]})
     return access.apply_masks(tagged, STRANGER, ENV).select("c_custkey", "c_name", "c_mktsegment")
@@ -194,6 +218,8 @@ QUERIES = {
     "governed_read": governed_read,
     "sample_lookup": sample_lookup,
     "governed_read_callers": governed_read_callers,
+    "scope_seed": scope_seed,
+    "governed_seed_read": governed_seed_read,
     "mask_pii": mask_pii,
     "apply_masks": apply_masks,
     "masked_view": masked_view,
@@ -207,6 +233,11 @@ QUERIES = {
 }
 
 SQL = {
+    "scope_seed": """SELECT c_name || '@corp.example' AS user_email, c_mktsegment AS cost_centre
+        FROM customer""",
+    "governed_seed_read": f"""WITH {C360}
+        SELECT customer_id, 'REDACTED' AS email, segment, lifetime_value FROM c360
+        WHERE segment LIKE 'M%'""",
     "governed_read": f"""WITH {C360}
         SELECT customer_id, 'REDACTED' AS email, segment, lifetime_value
         FROM c360 WHERE segment IN ('BUILDING', 'MACHINERY')""",

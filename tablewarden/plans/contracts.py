@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.vocabulary import CLASSIFICATIONS, in_vocabulary
+from tablewarden.context import Caller, Env
+from tablewarden.jobs import TAGS
 from tablewarden.operators import contract, quality
+from tablewarden.operators.access import apply_masks
 from tablewarden.plans.derived import frame, table, with_inputs
-from tablewarden.sources.documents import contract_models, contract_table
+from tablewarden.sources.documents import contract_errors, contract_from_schema, contract_table
 from tablewarden.sources.tables import report_json
 
 
@@ -37,7 +40,7 @@ def contract_warnings(spark, d):
 
 
 def contract_source(spark, d):
-    """Contracts written out as JSON files' text, read back as rows, checked."""
+    """Contracts written out as JSON files' text, some of them broken off; read back and checked."""
     r = rows(spark, d)
 
     def entry(key: str, shown) -> Column:
@@ -63,10 +66,43 @@ def contract_source(spark, d):
         F.concat(
             F.lit('{"models": [{"name": "'), "model", F.lit('", "columns": [{"name": "'), "column",
             F.lit('", "meta": {'), F.array_join(tags, ", "), F.lit("}}]}]}"),
-        ).alias("text")
+        ).alias("text"),
+        F.concat(F.lit("contracts/"), "column", F.lit(".json")).alias("path"),
+        F.col("mask_function").isNotNull().alias("masked"),
     )
-    found = contract.contract_violations(contract_table(texts))
-    return found.groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
+    # For each contract with a mask there is a second file, the first half of it.
+    broken = texts.filter("masked").select(
+        F.expr("left(text, length(text) div 2)").alias("text"),
+        F.concat(F.lit("half/"), "path").alias("path"), "masked")
+    files = texts.unionByName(broken)
+    found = contract.contract_violations(contract_table(files, file="path"))
+    found = found.unionByName(contract_errors(files))
+    by_folder = F.split_part("file", F.lit("/"), F.lit(1)).alias("folder")
+    return found.groupBy(by_folder, "violation").agg(F.count(F.lit(1)).alias("n"))
+
+
+def derived_tags(spark, d):
+    """A mart whose columns are computed: each takes the strictest tags of its inputs, and is
+    masked by them for a caller outside the readers."""
+    customers = contract.apply_tags(table(spark, d, "customer"), {
+        "c_name": TAGS["email"], "c_mktsegment": TAGS["segment"]})
+    orders = contract.apply_tags(table(spark, d, "orders"), {
+        "o_totalprice": TAGS["lifetime_value"], "o_orderstatus": {"classification": "Official-Open"}})
+    mart = customers.join(orders, customers.c_custkey == orders.o_custkey).groupBy(
+        F.concat_ws("/", "c_mktsegment", "o_orderstatus").alias("cell")
+    ).agg(
+        F.max("c_name").alias("last_name"),
+        F.count(F.lit(1)).alias("n_orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("amount"),
+    )
+    tagged = contract.derive_tags(mart, [customers, orders], {
+        "cell": ["c_mktsegment", "o_orderstatus"], "last_name": ["c_name"],
+        "n_orders": ["o_orderstatus"], "amount": ["o_totalprice"]})
+    seen = apply_masks(tagged, Caller("bob"), Env("prod"))
+    said = contract_from_schema(tagged, "mart").select("column", "classification", "mask_function")
+    labels = said.agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat_ws(":", "column", "classification", "mask_function"))), ";").alias("tags"))
+    return seen.join(F.broadcast(labels))
 
 
 def list_masks(spark, d):
@@ -135,6 +171,7 @@ QUERIES = {
     "contract_violations": contract_violations,
     "contract_warnings": contract_warnings,
     "contract_source": contract_source,
+    "derived_tags": derived_tags,
     "list_masks": list_masks,
     "list_row_filters": list_row_filters,
     "mask_coverage": mask_coverage,
@@ -181,7 +218,16 @@ SQL = {
     "contract_warnings": f"""{with_inputs("contract_rows", "filtered_models")}, {_WARNED}
         SELECT model, n_columns FROM warned""",
     "contract_source": f"""{with_inputs("contract_rows")}, {_FOUND}
-        SELECT violation, COUNT(*) AS n FROM found GROUP BY violation""",
+        SELECT 'contracts' AS folder, violation, COUNT(*) AS n FROM found GROUP BY violation
+        UNION ALL SELECT 'half', 'cannot parse', COUNT(*) FROM contract_rows
+        WHERE mask_function IS NOT NULL HAVING COUNT(*) > 0""",
+    "derived_tags": """
+        SELECT c_mktsegment || '/' || o_orderstatus AS cell, 'REDACTED' AS last_name,
+               COUNT(*) AS n_orders,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount,
+               'amount:Official-Closed;cell:Restricted;last_name:Restricted:security.mask_pii;'
+               || 'n_orders:Official-Open' AS tags
+        FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_mktsegment, o_orderstatus""",
     "list_masks": with_inputs("contract_rows")
     + """ SELECT model, column_name AS "column", mask_function
         FROM contract_rows WHERE mask_function IS NOT NULL""",

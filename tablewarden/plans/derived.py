@@ -158,6 +158,8 @@ INPUTS = {
                CASE WHEN n_chars > 1000 THEN '"public"' ELSE 'null' END ||
                ', "config": {"materialized": "table"' ||
                CASE WHEN lang = 'en' THEN ', "contract": {"enforced": true}' ELSE '' END ||
+               '}, "meta": {"classification": "' || CASE WHEN lang = 'fr' THEN 'Restricted' ELSE 'Official-Open' END ||
+               '", "pii": ' || CASE WHEN lang = 'fr' THEN 'true' ELSE 'false' END ||
                '}, "depends_on": {"nodes": ["source.' || lang || '", "source.' || source || '"]}}}' ||
                CASE WHEN lang = 'de' THEN '' ELSE
                     ', "child_map": {"model.' || doc_id || '": ["mart.' || source || '"]}' END ||
@@ -187,22 +189,12 @@ INPUTS = {
 }
 
 
-# Tables whose rows are long texts, and what tells their rows apart.
-TEXTS = {"documents": "doc_id", "pages": "page_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return table(spark, sf_dir, name)
-
-
-def frame(
-    spark: SparkSession, sf_dir: str, name: str, spread_texts: bool = False
-) -> DataFrame:
-    """A given table, or a derived input; `spread_texts` is for heavy work on each text."""
+def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, or a derived input."""
     if name not in INPUTS:
         return table(spark, sf_dir, name)
     text = INPUTS[name]
@@ -210,8 +202,7 @@ def frame(
     views = {}
     for other in needed:
         views[other] = f"_{other}"
-        source = texts if spread_texts and other in TEXTS else frame
-        source(spark, sf_dir, other).createOrReplaceTempView(views[other])
+        frame(spark, sf_dir, other).createOrReplaceTempView(views[other])
     text = text.replace('"user"', "`user`").replace('"group"', "`group`")
     return spark.sql(_NAME.sub(lambda m: views[m.group(1)], text))
 

@@ -46,7 +46,7 @@ def file_hits(spark, d):
 
 
 def manifest_nodes(spark, d):
-    found = parse_manifests(frame(spark, d, "manifests", spread_texts=True))
+    found = parse_manifests(frame(spark, d, "manifests"))
     return found.select(
         "node_id", "name", "package_name", "path",
         F.coalesce("access", F.lit("-")).alias("access"), "materialized",
@@ -57,10 +57,15 @@ def manifest_nodes(spark, d):
 
 
 def manifest_readers(spark, d):
-    found = manifest_edges(parse_manifests(frame(spark, d, "manifests", spread_texts=True)))
+    found = manifest_edges(parse_manifests(frame(spark, d, "manifests")))
     return found.groupBy("child_id").agg(F.count(F.lit(1)).alias("n_models"))
 
 
+def where_is_manifest(spark, d):
+    """All that the manifests say about one model, its readers included."""
+    return lineage.where_is_in_manifests(frame(spark, d, "manifests"), "src5")
+
+
 def consumers_by_text(spark, d):
     catalogue = frame(spark, d, "sites").select(
         F.concat(
@@ -139,7 +144,7 @@ def map_lookup(spark, d):
 
 
 def markdown_sections(spark, d):
-    found = lineage.markdown_sections(frame(spark, d, "guides", spread_texts=True))
+    found = lineage.markdown_sections(frame(spark, d, "guides"))
     return found.select(
         "doc_id", "name", "owner", F.array_join("inputs", "; ").alias("inputs"),
         F.array_join("outputs", "; ").alias("outputs"), "schedule",
@@ -147,7 +152,7 @@ def markdown_sections(spark, d):
 
 
 def library_cards(spark, d):
-    cards = lineage.library_cards(frame(spark, d, "guides", spread_texts=True))
+    cards = lineage.library_cards(frame(spark, d, "guides"))
     found = lineage.keyword_search(cards, "SRC1", ["description"], ["provides"])
     return found.select(
         "doc_id", "owner", "description", F.array_join("provides", "; ").alias("provides")
@@ -159,6 +164,7 @@ QUERIES = {
     "file_hits": file_hits,
     "manifest_nodes": manifest_nodes,
     "manifest_readers": manifest_readers,
+    "where_is_manifest": where_is_manifest,
     "consumers_by_text": consumers_by_text,
     "expand_consumers": expand_consumers,
     "affected": affected,
@@ -205,6 +211,18 @@ SQL = {
     "manifest_readers": """
         SELECT 'mart.' || source AS child_id, COUNT(*) AS n_models FROM documents
         WHERE lang NOT IN ('de', 'es') GROUP BY source""",
+    "where_is_manifest": """WITH hits AS (
+            SELECT *, 'model.' || doc_id AS node_id FROM documents WHERE source = 'src5' AND lang <> 'es')
+        SELECT node_id, 'located_at' AS relation, 'models/' || doc_id || '.sql' AS other FROM hits
+        UNION SELECT node_id, 'project', lang FROM hits
+        UNION SELECT node_id, 'access', 'public' FROM hits WHERE n_chars > 1000
+        UNION SELECT node_id, 'materialized', 'table' FROM hits
+        UNION SELECT node_id, 'contract_enforced', 'true' FROM hits WHERE lang = 'en'
+        UNION SELECT node_id, 'classification', CASE lang WHEN 'fr' THEN 'Restricted' ELSE 'Official-Open' END
+              FROM hits
+        UNION SELECT node_id, 'pii', CASE lang WHEN 'fr' THEN 'true' ELSE 'false' END FROM hits
+        UNION SELECT node_id, 'depends_on', unnest(['source.' || lang, 'source.' || source]) FROM hits
+        UNION SELECT node_id, 'consumed_by', 'mart.' || source FROM hits WHERE lang <> 'de'""",
     "consumers_by_text": f"""{_S}
         SELECT DISTINCT 'apps/' || label || '-' || lang AS consumer FROM sites
         WHERE contains(label || host, 'blog')

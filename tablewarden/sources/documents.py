@@ -5,16 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.functions.text import lookup
+from tablewarden.functions.text import strip
 from tablewarden.operators.contract import COLUMNS_SCHEMA
 
-NODE = (
-    "struct<name: string, package_name: string, path: string, access: string, "
-    "config: struct<materialized: string, contract: struct<enforced: boolean>>, "
-    "meta: struct<classification: string, pii: boolean>, "
-    "depends_on: struct<nodes: array<string>>>"
-)
-MANIFEST = f"nodes map<string, {NODE}>, child_map map<string, array<string>>"
 CONTRACT_FILE = (
     "models array<struct<name: string, columns: array<struct<name: string, data_type: string, "
     "meta: variant>>, "
@@ -36,27 +29,66 @@ def read_corpus(spark: SparkSession, globs: list[str], exclude: list[str] = ())
     return files
 
 
-def parse_manifests(df: DataFrame, text: str = "text") -> DataFrame:
+def _named(text: str, file: str | None) -> Column:
+    """What tells files apart: their name, or else what is in them."""
+    return (F.col(file) if file else F.sha2(F.col(text), 256)).alias("file")
+
+
+def _entries(df: DataFrame, text: str, file: str | None, part: str) -> DataFrame:
+    """(file, key, value) of one object of every manifest, one row an entry."""
+    tvf = df.sparkSession.tvf
+    objects = df.select(
+        _named(text, file), F.try_variant_get(F.try_parse_json(text), f"$.{part}", "variant").alias("_part")
+    ).filter(F.col("_part").isNotNull())
+    entries = objects.lateralJoin(tvf.variant_explode(F.col("_part").outer()))
+    return entries.filter(F.col("key").isNotNull()).select("file", "key", "value")
+
+
+def parse_nodes(df: DataFrame, text: str = "text", file: str | None = None) -> DataFrame:
     """One row per node of every manifest; a manifest that does not parse gives nothing."""
-    parsed = df.select(F.from_json(F.col(text), MANIFEST).alias("m"))
-    no_ids = F.array().cast("array<string>")
-    return parsed.select("m.child_map", F.explode("m.nodes").alias("node_id", "n")).select(
-        "node_id",
-        F.col("n.name").alias("name"),
-        F.col("n.package_name").alias("package_name"),
-        F.col("n.path").alias("path"),
-        F.col("n.access").alias("access"),
-        F.col("n.config.materialized").alias("materialized"),
-        F.col("n.config.contract.enforced").alias("contract_enforced"),
-        F.col("n.meta.classification").alias("classification"),
-        F.col("n.meta.pii").alias("pii"),
-        F.coalesce("n.depends_on.nodes", no_ids).alias("depends_on"),
-        lookup(F.col("child_map"), F.col("node_id"), no_ids).alias("consumed_by"),
+
+    def value(path: str, kind: str) -> Column:
+        return F.try_variant_get("value", f"$.{path}", kind)
+
+    reads = value("depends_on.nodes", "array<string>")
+    return _entries(df, text, file, "nodes").select(
+        "file",
+        F.col("key").alias("node_id"),
+        value("name", "string").alias("name"),
+        value("package_name", "string").alias("package_name"),
+        value("path", "string").alias("path"),
+        value("access", "string").alias("access"),
+        value("config.materialized", "string").alias("materialized"),
+        value("config.contract.enforced", "boolean").alias("contract_enforced"),
+        value("meta.classification", "string").alias("classification"),
+        value("meta.pii", "boolean").alias("pii"),
+        F.coalesce(reads, F.array().cast("array<string>")).alias("depends_on"),
     )
 
 
+def parse_readers(df: DataFrame, text: str = "text", file: str | None = None) -> DataFrame:
+    """(file, node_id, child_id): who reads a node, out of every manifest's `child_map`."""
+    children = F.try_variant_get("value", "$", "array<string>")
+    return _entries(df, text, file, "child_map").select(
+        "file", F.col("key").alias("node_id"), F.explode(children).alias("child_id")
+    ).distinct()
+
+
+def parse_manifests(df: DataFrame, text: str = "text", file: str | None = None) -> DataFrame:
+    """The nodes with their readers as `consumed_by`. Nodes and readers are parsed apart and
+    joined by file and node, so that no row holds a whole `child_map`."""
+    readers = _entries(df, text, file, "child_map").select(
+        "file", F.col("key").alias("node_id"),
+        F.try_variant_get("value", "$", "array<string>").alias("consumed_by"),
+    ).dropDuplicates(["file", "node_id"])
+    none = F.array().cast("array<string>")
+    return parse_nodes(df, text, file).join(readers, ["file", "node_id"], "left").withColumn(
+        "consumed_by", F.coalesce("consumed_by", none)
+    ).drop("file")
+
+
 def manifest_nodes(spark: SparkSession, globs: list[str]) -> DataFrame:
-    return parse_manifests(read_corpus(spark, globs))
+    return parse_manifests(read_corpus(spark, globs), file="path")
 
 
 def manifest_edges(nodes: DataFrame) -> DataFrame:
@@ -64,16 +96,34 @@ def manifest_edges(nodes: DataFrame) -> DataFrame:
     return nodes.select("node_id", F.explode("consumed_by").alias("child_id"))
 
 
-def contract_table(df: DataFrame, text: str = "text") -> DataFrame:
+def contract_errors(df: DataFrame, text: str = "text", file: str = "path") -> DataFrame:
+    """(file, model, column, position, violation): one row for each file that does not parse.
+
+    A file that was read as null counts too; a blank one declares nothing and is no error.
+    """
+    body = F.col(text)
+    broken = F.isnull(body) | ((strip(body) != "") & F.isnull(F.try_parse_json(body)))
+    none = F.lit(None).cast("string")
+    return df.filter(broken).select(
+        F.col(file).alias("file"), none.alias("model"), none.alias("column"),
+        F.lit(0).alias("position"), F.lit("cannot parse").alias("violation"),
+    )
+
+
+def contract_table(df: DataFrame, text: str = "text", file: str | None = None) -> DataFrame:
     """Exported contracts (JSON, one file per row) to one row per model and column.
 
     Tags are read as variants, which tell a missing key from a null, and a
-    number from a text that looks like one.
+    number from a text that looks like one. With `file`, the column that names the file,
+    rows carry it, and equal model names of different files stay apart. Files that do not
+    parse have no row here but one in `contract_errors`.
     """
-    models = df.select(F.from_json(F.col(text), CONTRACT_FILE).alias("f")).select(
-        F.explode("f.models").alias("m")
+    carried = [F.col(file).alias("file")] if file else []
+    models = df.select(*carried, F.from_json(F.col(text), CONTRACT_FILE).alias("f")).select(
+        *(["file"] if file else []), F.explode("f.models").alias("m")
     )
-    columns = models.select(F.col("m.name").alias("model"), F.explode("m.columns").alias("c"))
+    columns = models.select(
+        *(["file"] if file else []), F.col("m.name").alias("model"), F.explode("m.columns").alias("c"))
     meta = F.col("c.meta")
 
     def declared(key: str) -> Column:
@@ -91,6 +141,7 @@ def contract_table(df: DataFrame, text: str = "text") -> DataFrame:
         .otherwise(F.coalesce(value("no_mask_required", "double") != 0, F.lit(False)))
     )
     return columns.select(
+        *(["file"] if file else []),
         "model",
         F.col("c.name").alias("column"),
         F.col("c.data_type").alias("data_type"),
@@ -109,10 +160,12 @@ def contract_table(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def contract_models(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.select(F.from_json(F.col(text), CONTRACT_FILE).alias("f")).select(
-        F.explode("f.models").alias("m")
+def contract_models(df: DataFrame, text: str = "text", file: str | None = None) -> DataFrame:
+    carried = [F.col(file).alias("file")] if file else []
+    return df.select(*carried, F.from_json(F.col(text), CONTRACT_FILE).alias("f")).select(
+        *(["file"] if file else []), F.explode("f.models").alias("m")
     ).select(
+        *(["file"] if file else []),
         F.col("m.name").alias("model"),
         F.col("m.config.contract.enforced").alias("contract_enforced"),
         F.col("m.config.row_filter").alias("row_filter"),

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tablewarden.context import SyncSpec, cut_lineage, lookup_join, small_or_shuffled
+from tablewarden.context import SyncSpec, cut_lineage, lookup_join, shared_dir, small_or_shuffled
 from tablewarden.operators.ordered import latest_by_key
 from tablewarden.sources import listed
 from tablewarden.sources.listed import Entry
@@ -247,7 +247,10 @@ def ingest_stream(
     delay: str = "1 hour",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """A file stream with repeated ids dropped; state is kept only for the watermark delay."""
+    """A file stream with repeated ids dropped; state is kept only for the watermark delay.
+
+    Rows later than the watermark are dropped with it; `ingest` keeps them.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -259,6 +262,85 @@ def ingest_stream(
     )
 
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    same = F.lit(True)
+    for c in columns:
+        same = same & left[c].eqNullSafe(right[c])
+    return same
+
+
+def _unseen(
+    batch: DataFrame, target: str, ids: list[str], ts: str, horizon: dt.timedelta | None
+) -> DataFrame:
+    """The rows of a materialised batch, one for each id, whose id the table does not have."""
+    spark = batch.sparkSession
+    fresh = batch.dropDuplicates(ids)
+    parts = listed.paths_of(target, listed.live_entries(spark, target))
+    if not parts:
+        return fresh
+    known = spark.read.schema(batch.schema).parquet(*parts)
+    first, last = batch.agg(F.min(ts), F.max(ts)).first()
+    if horizon is not None and first is not None:
+        # Reaches the scan: files and row groups far from the batch are not opened.
+        near = F.col(ts).between(F.lit(first - horizon), F.lit(last + horizon))
+        known = known.filter(near | F.isnull(ts))
+    asked = small_or_shuffled(batch.select(*ids).distinct())
+    # The table is read by its id columns alone; what comes back is no larger than the batch.
+    seen = known.select(*ids).join(asked, _same(known, asked, ids), "left_semi").distinct()
+    return fresh.join(seen, _same(fresh, seen, ids), "left_anti")
+
+
+def ingest(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    ids: tuple[str, ...] = ("event_id",),
+    ts: str = "ts",
+    horizon: dt.timedelta | None = None,
+    fold_after: int = COMPACT_AFTER,
+) -> None:
+    """Bring the listed table at `target` up to date with a stream, each id once, and stop.
+
+    No row is too late: a batch is compared with the table itself, not with state that a
+    watermark clears, so a backlog gives the same rows however it is cut into batches.
+    Rows that share their ids must be alike (a message delivered again). With `horizon`,
+    event times of repeats are at most so far apart, and only that part of the table is
+    looked at. Null ids are equal to each other.
+    """
+    schema = stream.schema
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = f"{_query_id(batch) or uuid.uuid4()}-{batch_id}"
+        if listed.is_committed(spark, target, name):
+            return
+        scratch = shared_dir(spark)
+        try:
+            batch.write.parquet(scratch)
+            rows = _unseen(spark.read.schema(schema).parquet(scratch), target, list(ids), ts, horizon)
+            part = listed.new_part(CHANGES, name)
+            rows.write.parquet(f"{target}/{part}")
+            listed.commit(spark, target, Entry(name, (part,)))
+        finally:
+            listed.delete(spark, scratch)
+        small = [e for e in listed.live_entries(spark, target) if not e.snapshot]
+        if len(small) >= fold_after:
+            # Small parts become one; what is folded once is not written again.
+            part = listed.new_part(SNAPSHOTS)
+            spark.read.schema(schema).parquet(*listed.paths_of(target, small)).coalesce(
+                max(1, len(small) // 4)).write.parquet(f"{target}/{part}")
+            listed.commit(spark, target, Entry(
+                f"folded-{uuid.uuid4()}", (part,), True, tuple(e.name for e in small)))
+
+    stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
+
+
+def read_ingested(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    parts = listed.paths_of(target, listed.live_entries(spark, target))
+    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+
+
 def merge_bidirectional(
     a: DataFrame, b: DataFrame, keys: list[str], ts: str, policy: str = "last_writer"
 ) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewarden.operators import contract as c
-from tablewarden.sources.documents import contract_from_schema, contract_models, contract_table
+from tablewarden.sources.documents import contract_errors, contract_from_schema, contract_models, contract_table
 
 BARE = dict(
     model="m", column="c", data_type="string", has_pii=False, pii=None, classification=None,
@@ -126,6 +126,23 @@ def test_contract_files_tell_null_from_absent(spark, rows):
     assert rows(c.list_row_filters(contract_models(files))) == [("m", "f", "a")]
 
 
+def test_broken_files_are_reported_and_files_kept_apart(spark, rows):
+    good = '{"models": [{"name": "m", "config": {"row_filter": %s}, "columns": [{"name": "a", "meta": ' \
+           '{"pii": true, "classification": "Restricted", "sensitivity": "NA", "retention_days": 1, "mask_function": "f"}}]}]}'
+    filtered = '{"function": "f", "on_columns": ["a"]}'
+    files = spark.createDataFrame(
+        [("one", good % filtered), ("two", good % "{}"), ("three", good % "null"), ("half", good[:40]),
+         ("blank", " \n"), ("list", "[1]"), ("unread", None)], "path string, text string")
+    assert rows(contract_errors(files).select("file", "violation")) == [
+        ("half", "cannot parse"), ("unread", "cannot parse")]
+    found, models = contract_table(files, file="path"), contract_models(files, file="path")
+    assert rows(found.select("file", "model")) == [("one", "m"), ("three", "m"), ("two", "m")]
+    # A filter that is empty is none.
+    assert rows(c.contract_warnings(found, models)) == [("three", "m", 1), ("two", "m", 1)]
+    assert rows(c.list_row_filters(models)) == [("m", "f", "a")]
+    assert c.contract_violations(found.withColumn("has_pii", F.lit(False))).columns[0] == "file"
+
+
 def test_mask_coverage(spark, rows):
     contract = frame(spark, [
         {"column": "a"}, {"column": "b"}, {"column": "w", "no_mask_required": True},

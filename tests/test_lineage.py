@@ -46,9 +46,17 @@ def test_manifests(spark, rows):
     assert (b.materialized, b.depends_on, b.consumed_by) == (None, [], [])
     assert nodes.count() == 2
     edges = manifest_edges(nodes)
-    assert rows(lineage.where_is(nodes, edges, "a")) == [
+    told = {"project", "access", "materialized", "contract_enforced", "classification", "pii"}
+    found = lineage.where_is(nodes, edges, "a")
+    assert rows(found.filter(~F.col("relation").isin(*told))) == [
         ("model.a", "consumed_by", "exp.c"), ("model.a", "consumed_by", "model.b"),
         ("model.a", "depends_on", "s.x"), ("model.a", "located_at", "m/a.sql")]
+    said = {r.relation: r.other for r in found.collect()}
+    assert (said["materialized"], said["contract_enforced"], said["classification"], said["pii"]) == (
+        "table", "true", "Restricted", "true")
+    assert rows(lineage.where_is_in_manifests(df, "a")) == rows(found)
+    plan = parse_manifests(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant_explode" in plan.lower() or "VariantExplode" in plan
     with pytest.raises(LookupError):
         lineage.where_is(nodes, edges, "zzz", strict=True)
 
@@ -60,6 +68,22 @@ def test_file_hits(spark, rows):
     assert rows(lineage.file_hits(df, "b")) == [("core", paths[0]), ("core", paths[1])]
 
 
+def test_readers_of_a_node_are_those_of_its_file(spark, rows):
+    def manifest(package, child):
+        node = f'{{"name": "m", "package_name": "{package}", "path": "m.sql"}}'
+        return f'{{"nodes": {{"model.m": {node}}}, "child_map": {{"model.m": ["{child}"]}}}}'
+
+    files = spark.createDataFrame(
+        [("one", manifest("p", "x")), ("two", manifest("q", "y")), ("three", '{"nodes": []}'), ("four", None),
+         ("five", '{"child_map": {"model.m": ["z"]}}')], "path string, text string")
+    nodes = parse_manifests(files, file="path").select("package_name", "consumed_by")
+    assert rows(nodes) == [("p", ["x"]), ("q", ["y"])]
+    found = lineage.where_is_in_manifests(files, "m", file="path")
+    assert {r.other for r in found.filter("relation = 'consumed_by'").collect()} == {"x", "y"}
+    with pytest.raises(LookupError):
+        lineage.where_is_in_manifests(files, "none", file="path", strict=True)
+
+
 def test_consumers_by_text(spark, rows):
     text = "| p | `apps/one` | reads fct | `apps/two` |\n| q | `apps/three` | none |\nfct without"
     df = spark.createDataFrame([(text,)], "text string")
