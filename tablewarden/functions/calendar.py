@@ -34,21 +34,25 @@ def business_days(start: Column, end: Column, holidays: list[dt.date] | None = N
 def add_business_days(start: Column, days: int, holidays: list[dt.date] | None = None) -> Column:
     """The date on which `days` business days after `start` have passed."""
     days_off = sorted({h for h in holidays or [] if h.weekday() < 5})
-    if days_off:
-        reach = days * 2 + 7 + len(days_off) * 3
-        if days == 0:  # the last open day up to `start`, as without holidays
-            open_days = F.filter(
-                F.sequence(F.date_sub(start, reach), start),
-                lambda d: (F.weekday(d) < 5) & ~d.isin(days_off),
-            )
-            return F.element_at(open_days, -1)
-        ahead = F.sequence(F.date_add(start, 1), F.date_add(start, reach))
-        closed = F.array(*[F.lit(h) for h in days_off])
-        open_days = F.filter(
-            ahead, lambda d: (F.weekday(d) < 5) & ~F.array_contains(closed, d)
+    if not days_off:
+        return _add_weekdays(start, F.lit(days))
+    if days == 0:  # the last open day up to `start`, as without holidays
+        late_first = F.array(*[F.lit(h) for h in reversed(days_off)])
+        return F.aggregate(
+            late_first, _add_weekdays(start, F.lit(0)),
+            lambda day, h: F.when(h == day, _add_weekdays(F.date_sub(h, 1), F.lit(0))).otherwise(day),
         )
-        return F.get(open_days, F.lit(days - 1))
-    ordinal = _weekdays_until(start) + F.lit(days) - 1
+    # In ascending order each holiday up to the day reached so far moves it by one.
+    moved = F.aggregate(
+        F.array(*[F.lit(h) for h in days_off]), F.lit(0),
+        lambda n, h: n + F.when(
+            (h > start) & (h <= _add_weekdays(start, F.lit(days) + n)), 1).otherwise(0),
+    )
+    return _add_weekdays(start, F.lit(days) + moved)
+
+
+def _add_weekdays(start: Column, days: Column) -> Column:
+    ordinal = _weekdays_until(start) + days - 1
     offset = F.floor(ordinal / 5) * 7 + F.pmod(ordinal, F.lit(5))
     return F.date_add(F.lit(MONDAY), offset.cast("int"))
 

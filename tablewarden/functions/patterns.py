@@ -69,16 +69,5 @@ def coverage_regex(pattern: str) -> str:
     return "(?s)^(?:" + "|".join(ways) + ")$"
 
 
-def rule_head(pattern: str) -> str:
-    """What every path covered by `rule_regex(pattern)` begins with, wildcards excluded."""
-    return re.split(r"[*?\[]", pattern.rstrip("/*"), maxsplit=1)[0]
-
-
-def coverage_head(pattern: str) -> str:
-    """The same for `coverage_regex`, whose subject is `/path/`."""
-    rooted = "/" + pattern.lstrip("/")
-    return re.split(r"[*?\[]", rooted.rstrip("/*"), maxsplit=1)[0]
-
-
 def matches(path: Column, regex: str) -> Column:
     return path.rlike(regex)

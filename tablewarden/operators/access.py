@@ -146,7 +146,6 @@ def authorise(requests: DataFrame, memberships: DataFrame, grants: DataFrame) ->
         ).distinct()
     )
     granted = small_or_shuffled(held.select("principal").distinct())
-    held = small_or_shuffled(held)
     # Only principals that hold anything matter.
     principals = (
         memberships.select("user", F.col("group").alias("principal"))
@@ -154,11 +153,15 @@ def authorise(requests: DataFrame, memberships: DataFrame, grants: DataFrame) ->
         .join(granted, "principal", "left_semi")
         .distinct()
     )
+    # Containers first: a request meets the grants of its own containers, never all
+    # groups of its user.
     allowed = (
         asked.select("user", "securable", "privilege")
-        .join(principals, "user")
         .withColumn("container", F.explode(_enclosing(F.col("securable"))))
-        .join(held, ["container", "principal", "privilege"], "left_semi")
+        .join(small_or_shuffled(held), ["container", "privilege"])
+        .select("user", "securable", "privilege", "principal")
+        .distinct()
+        .join(principals, ["user", "principal"], "left_semi")
         .select("user", "securable", "privilege")
         .distinct()
         .withColumn("allowed", F.lit(True))

@@ -119,6 +119,7 @@ class Rewrite:
     when: str | None = None
 
 
+# The fields, patterns and replacements below.
 def job_rewrites(catalogs: tuple[str, ...]) -> list[Rewrite]:
     """Make an exported job definition portable; `catalogs` are the environment catalogs."""
     suffix = "|".join(NOTEBOOK_SUFFIXES)

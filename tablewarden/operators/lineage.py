@@ -302,7 +302,12 @@ def markdown_sections(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def library_cards(df: DataFrame, text: str = "text", default_owner: str = "@platform-team"):
-    """Library guides to owner, description, provides, consumers; one row per document."""
+    """Library guides to owner, description, provides, consumers; one row per document.
+
+    Lines count without the spaces around them, so a heading may be indented.
+    """
+    flush = F.array_join(F.transform(lines(F.col(text)), lambda s: strip(s)), "\n")
+    df = df.withColumn(text, flush)
     cut = df.withColumn("_sections", _sections(F.col(text)))
     s = F.col("_sections")
 

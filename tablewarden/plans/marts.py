@@ -18,12 +18,11 @@ def customer_360(spark, d):
 def budget_variance(spark, d):
     """Shipped value against ordered value, by priority and month."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    # Items are summed per order before the join.
-    items = (
-        table(spark, d, "lineitem")
-        .withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
-        .groupBy("l_orderkey", "period")
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount"))
+    # Joined first: items are exchanged once, and sums by month are partial on the spot.
+    items = table(spark, d, "lineitem").select(
+        "l_orderkey",
+        F.date_format("l_shipdate", "yyyy-MM").alias("period"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
     )
     actuals = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderpriority").alias("cost_centre"), "period", "amount"

@@ -54,24 +54,24 @@ def rewrite_refs(spark, d):
 
 
 def corpus_files(spark, d):
-    """Texts written one per file name part, read back whole, one source left out."""
+    """Whole texts written as files, a folder a source, and read back. The sources of one
+    language are packed, and left out by what their names end in."""
     root = shared_dir(spark) + "/corpus"
-    by_source = table(spark, d, "documents").select(
-        "source", F.concat("doc_id", F.lit(" "), F.length("text")).alias("value")
+    docs = table(spark, d, "documents").filter("text IS NOT NULL")
+    for packed in (False, True):
+        part = docs.filter((F.col("lang") == "es") == F.lit(packed)).select(
+            "source", F.col("text").alias("value"))
+        part.write.mode("append").option("compression", "gzip" if packed else "none").partitionBy(
+            "source").text(root)
+    files = read_corpus(spark, [f"{root}/source=*/*"], exclude=[".txt.gz"])
+    each = files.select(
+        F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"),
+        F.explode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("line"),
     )
-    by_source.write.partitionBy("source").text(root)
-    files = read_corpus(spark, [f"{root}/source=*/*.txt"])
-    return (
-        files.select(
-            F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"),
-            F.explode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("line"),
-        )
-        .filter("source <> 'src3'")
-        .groupBy("source")
-        .agg(
-            F.count(F.lit(1)).alias("n_texts"),
-            F.sum(F.get(F.split("line", " "), F.lit(1)).cast("bigint")).alias("n_chars"),
-        )
+    return each.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.length("line")).alias("n_chars"),
+        F.sum(F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")).alias("digest"),
     )
 
 
@@ -145,8 +145,12 @@ SQL = {
                '/Workspace/Users/u' || o_custkey || '/load_' || o_orderkey ||
                CASE WHEN o_totalprice > 200000 THEN '.sql' ELSE '' END AS notebooks
         FROM orders""",
-    "corpus_files": """SELECT source, COUNT(*) AS n_texts, CAST(SUM(length(text)) AS BIGINT) AS n_chars
-        FROM documents WHERE source <> 'src3' GROUP BY source""",
+    "corpus_files": """WITH each AS (
+            SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents
+            WHERE lang IS DISTINCT FROM 'es' AND text IS NOT NULL)
+        SELECT source, COUNT(*) AS n_lines, CAST(SUM(length(line)) AS BIGINT) AS n_chars,
+               CAST(SUM(CAST('0x' || substr(md5(line), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+        FROM each GROUP BY source""",
     "export_header": """SELECT 'row' AS kind, COUNT(*) AS n FROM part
         UNION ALL SELECT 'header', 3 UNION ALL SELECT 'columns', 3""",
 }

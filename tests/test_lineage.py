@@ -84,6 +84,12 @@ def test_readers_of_a_node_are_those_of_its_file(spark, rows):
         lineage.where_is_in_manifests(files, "none", file="path", strict=True)
 
 
+def test_indented_headings_of_a_library_guide(spark):
+    text = "# lib\n  What it does.\n\n  ## Owner\n   @team/a\n \n\t## Provides\n  - one\n- two\n## Consumers\n - app"
+    row = lineage.library_cards(spark.createDataFrame([(text,)], "text string")).first()
+    assert (row.owner, row.provides, row.consumers) == ("@team/a", ["one", "two"], ["app"])
+
+
 def test_consumers_by_text(spark, rows):
     text = "| p | `apps/one` | reads fct | `apps/two` |\n| q | `apps/three` | none |\nfct without"
     df = spark.createDataFrame([(text,)], "text string")

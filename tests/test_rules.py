@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablewarden.functions.globs import coverage_ways, rule_ways
-from tablewarden.functions.patterns import coverage_head, coverage_regex, glob_to_regex, rule_head, rule_regex
+from tablewarden.functions.patterns import coverage_regex, glob_to_regex, rule_regex
 from tablewarden.operators import rules
 from tablewarden.operators.rules import Rule
 
@@ -42,16 +42,6 @@ def test_glob_sets(glob):
         assert bool(re.search(glob_to_regex(glob), path)) == fnmatch.fnmatchcase(path, glob), path
 
 
-@given(glob_text, path_text)
-@settings(max_examples=400, deadline=None)
-def test_head_is_necessary(pattern, path):
-    if re.search(rule_regex(pattern), path):
-        assert path.startswith(rule_head(pattern))
-    subject = f"/{path.strip('/')}/"
-    if re.search(coverage_regex(pattern), subject):
-        assert subject.startswith(coverage_head(pattern))
-
-
 def as_table(spark, listed):
     return spark.createDataFrame(
         [(i, r.pattern, list(r.owners)) for i, r in enumerate(listed)],

@@ -294,11 +294,11 @@ def test_ingest_drops_repeats_across_files(spark, tmp_path):
 def test_ingest_keeps_late_rows_in_any_slicing(spark, tmp_path, horizon):
     """The backlog in one batch, in batches in order, and newest first."""
     start, schema = dt.datetime(2024, 1, 1), "event_id int, ts timestamp, body string"
-    days = [[(d * 10 + i % 6, start + dt.timedelta(days=d, minutes=i % 6), "x") for i in range(9)] for d in range(5)]
+    days = [[(d * 10 + i % 6, start + dt.timedelta(days=d, minutes=i % 6), "x") for i in range(9)] for d in range(3)]
     days[1].append((None, start, "no id"))
-    days[3].append((None, start, "no id"))
+    days[2].append((None, start, "no id"))
     want = sorted({r[0] for day in days for r in day}, key=repr)
-    slicings = {"one": [sum(days, [])], "rising": days, "falling": days[::-1], "twice": days + days[::-1]}
+    slicings = {"one": [sum(days, [])], "twice": days[::-1] + days[1:]}
     for name, batches in slicings.items():
         target, source = str(tmp_path / name), str(tmp_path / f"{name}-in")
         for rows_ in batches:
@@ -307,7 +307,7 @@ def test_ingest_keeps_late_rows_in_any_slicing(spark, tmp_path, horizon):
         sync.ingest(stream, target, str(tmp_path / f"{name}-cp"), horizon=horizon, fold_after=3)
         got = sync.read_ingested(spark, target, stream.schema)
         assert sorted((r.event_id for r in got.collect()), key=repr) == want
-        assert len(listed.live_entries(spark, target)) <= 5
+        assert len(listed.live_entries(spark, target)) <= 4
         # Again with a fresh checkpoint: nothing new.
         sync.ingest(stream, target, str(tmp_path / f"{name}-cp2"), horizon=horizon)
         assert sync.read_ingested(spark, target, stream.schema).count() == len(want)
