@@ -37,7 +37,7 @@ TOP = 2_000
 #: One window in TRIGGER begins a chunk, if the last chunk began at least SHORTEST words ago.
 TRIGGER, SHORTEST = 48, 16
 #: Bytes of chunks counted at a time, hashed phrases merged by one task, bits of a filter.
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 MERGED = 4 << 20
 FILTER_LOG = 27
 
