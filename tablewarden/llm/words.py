@@ -1,7 +1,9 @@
 """Words of many texts at once: where they begin and end, and a 64-bit hash of each.
 
 A word is a run of bytes other than ASCII white space. All arithmetic is done on
-arrays that hold a few megabytes of text, never per word.
+arrays that hold a few megabytes of text, never per word. Only words of over LONG bytes are
+hashed one by one, by xxh3: the sum of products that serves for the others gives some
+long words of a regular build the same hash.
 """
 
 from __future__ import annotations
@@ -10,9 +12,11 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 
 GROUP_BYTES = 8 << 20
 _WORDS_AT_ONCE = 200_000
+LONG = 128
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 SPACE = np.zeros(256, dtype=bool)
@@ -90,6 +94,9 @@ def scan(
         value = table[raw[low:high]] * power[np.minimum(position, longest)]
         sums = np.add.reduceat(value, s - low)
         hashes[i : i + len(s)] = mix(sums + (e - s).astype(np.uint64) * _MULTIPLIER)
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        word = data[starts[i] : ends[i]]
+        hashes[i] = xxhash.xxh3_64_intdigest(word.lower() if fold else word)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     offsets = np.concatenate([[1], 1 + np.cumsum(lengths + 1)])
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets), offsets)
@@ -126,6 +133,4 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
 
 def sequence_hash(values: np.ndarray) -> int:
     """One 64-bit hash of a sequence of 64-bit values."""
-    n = len(values)
-    total = (mix(values) * powers(n + 1)[1 : n + 1]).sum(dtype=np.uint64)
-    return int(mix(np.array([total + np.uint64(n)], dtype=np.uint64))[0])
+    return xxhash.xxh3_64_intdigest(np.ascontiguousarray(values, dtype="<u8").tobytes())
