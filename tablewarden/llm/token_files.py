@@ -27,6 +27,7 @@ from tablewarden.context import shared_dir, ship_package, small_or_shuffled
 from tablewarden.llm.bpe import Encoder, WordEncoder, tokenizer
 from tablewarden.llm.order import pieces_of, split_points
 from tablewarden.llm.tables import map_batches, pa_schema, texts_of
+from tablewarden.llm.words import groups
 
 #: The dictionary is trained on so many documents at most (least hash of the id), of so many bytes.
 TRAINING_ROWS = 1_000
@@ -97,13 +98,17 @@ def write_tokens(docs: DataFrame, target: str, path: str, end_id: int) -> None:
         encode, (compressor, _) = WordEncoder(path), _codec(dictionary)
 
         def step(batch):
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            arrays = _with_end(encode, texts_of(batch), end_id)
-            return {
-                "piece": pieces_of(ids, points), "doc_id": ids,
-                "n": [len(a) // 4 for a in arrays],
-                "frame": [compressor.compress(_packed(a, width)) for a in arrays],
-            }
+            texts = texts_of(batch)
+            every = batch.column(batch.schema.get_field_index("doc_id"))
+            # Ids of a few megabytes of text at a time, for they are larger than their frames.
+            for low, high in groups(texts):
+                ids = every.slice(low, high - low)
+                arrays = _with_end(encode, texts[low:high], end_id)
+                yield {
+                    "piece": pieces_of(ids, points), "doc_id": ids,
+                    "n": [len(a) // 4 for a in arrays],
+                    "frame": [compressor.compress(_packed(a, width)) for a in arrays],
+                }
         return step
 
     frames = map_batches(
