@@ -112,10 +112,10 @@ def _postings(docs: DataFrame, frequent: np.ndarray, copies: DataFrame) -> DataF
     rows = map_batches(
         docs.select("doc_id", "text"), "doc_id long, node long, n long, first array<long>", make
     )
-    return (
+    return cut_lineage(
         rows.join(copies, rows.doc_id.eqNullSafe(copies.copy) & (rows.node == copies.key), "left_anti")
-        .select(F.explode("first").alias("g"), "node", "n")
-    )
+        .select("first", "node", "n")
+    ).select(F.explode("first").alias("g"), "node", "n")
 
 
 def _items_of(docs: DataFrame, holders: DataFrame):

@@ -20,9 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tablewarden.context import cut_lineage, ship_package
+from tablewarden.context import cut_lineage, lookup_join, ship_package, small_or_shuffled
 from tablewarden.llm.components import connected_components
 from tablewarden.llm.tables import map_batches
 
@@ -30,6 +29,8 @@ SHORT_LIST = 64
 BLOCK_SETS = 256
 #: How many long lists a query sets aside grows as this weight shrinks.
 PROBE_WEIGHT = 0.05
+#: Lists that several sets share are broadcast up to this number (24 MB), else joined by a shuffle.
+MAX_BROADCAST_LISTS = 1_000_000
 
 #: nodes -> (node, items): the sorted items of each node as little-endian 64-bit integers.
 ItemsOf = Callable[[DataFrame], DataFrame]
@@ -162,35 +163,85 @@ def _shared_enough(n: Column, m: Column, c: Column, percent: int) -> Column:
     return c + F.greatest(rest(n), rest(m)) >= least
 
 
-def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75, prefixes: bool = False,
-               short_list: int = SHORT_LIST) -> DataFrame:
-    """(g, node, n) memberships in inverted lists -> (node, component) by links.
+def _rarest_first(nodes: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(g, node, n): the first items of each node's set, those in the fewest of these sets first.
 
-    With `prefixes`, the lists hold the first items of each set in a common order,
-    and candidates must share as many as similar sets do (T-occurrence).
+    An item of one set only takes its place in the order, but needs no list.
+    """
 
-    Two nodes are linked when they share a list and their sets have a Jaccard of
-    `percent` or more; n is the size of a node's set. Repeated memberships do no
-    harm. The components are exact for all pairs that share a list.
+    def make():
+        def step(batch):
+            found = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
+            return {"node": batch.column(0), "items": found}
+        return step
+
+    asked = items.join(small_or_shuffled(nodes.select("node")), "node", "left_semi")
+    rows = cut_lineage(
+        map_batches(asked.dropDuplicates(["node"]).select("node", "items"),
+                    "node long, items array<long>", make)
+        .select("node", F.size("items").cast("long").alias("n"), F.explode("items").alias("g"))
+    )
+    often = rows.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = lookup_join(rows, often, ["g"], "inner").groupBy("node").agg(
+        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "g"))).alias("x")
+    )
+    length = (F.size("x") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    return (
+        ordered.withColumn("length", length).where("length > 0")
+        .select("node", "n", F.explode(F.slice("x", F.lit(1), F.col("length"))).alias("y"))
+        .select("y.g", "node", "n")
+    )
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not in one component."""
+    x = labels.select(F.col("node").alias("a"), F.col("component").alias("ac"))
+    y = labels.select(F.col("node").alias("b"), F.col("component").alias("bc"))
+    return (
+        pairs.join(x, "a", "left").join(y, "b", "left")
+        .where(F.coalesce("ac", "a") != F.coalesce("bc", "b")).select("a", "b")
+    )
+
+
+def _links(members: DataFrame, items_of: ItemsOf, percent: int, prefixes: bool, short_list: int,
+           known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) that connect what shares a list and is similar, the known ones included.
+
+    Without known links this is the first pass, which leaves long lists to a second.
     """
-    ship_package(members.sparkSession)
-    whole = Window.partitionBy("g")
+    lists = cut_lineage(
+        members.groupBy("g").agg(
+            F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n"),
+            F.max("node").alias("high"),
+        ).where("pivot < high").drop("high")
+    )
     shared = cut_lineage(
-        members.select(
-            "g", "node", "n", F.count("*").over(whole).alias("df"),
-            F.min(F.struct("node", "n")).over(whole).alias("pivot"),
-        ).where("df > 1")
+        members.join(small_or_shuffled(lists, MAX_BROADCAST_LISTS), "g")
+        .select("g", "node", "n", "pivot", "pivot_n").distinct()
     )
-    stars = (
-        shared.where("node <> pivot.node").where(_sizes_allow(F.col("n"), F.col("pivot.n"), percent))
-        .groupBy(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-        .agg(F.first("pivot.n").alias("an"), F.first("n").alias("bn"), F.count("*").alias("common"))
+
+    def enough(pairs: DataFrame) -> DataFrame:
+        counted = pairs.groupBy("a", "b").agg(
+            F.first("an").alias("an"), F.first("bn").alias("bn"), F.count("*").alias("common")
+        )
+        if prefixes:
+            counted = counted.where(
+                _shared_enough(F.col("an"), F.col("bn"), F.col("common"), percent)
+            )
+        return counted.select("a", "b")
+
+    stars = enough(
+        shared.where("node <> pivot")
+        .where(_sizes_allow(F.col("n"), F.col("pivot_n"), percent))
+        .select(F.col("pivot").alias("a"), F.col("node").alias("b"),
+                F.col("pivot_n").alias("an"), F.col("n").alias("bn"))
     )
-    if prefixes:
-        stars = stars.where(_shared_enough(F.col("an"), F.col("bn"), F.col("common"), percent))
-    stars = cut_lineage(stars.select("a", "b"))
+    if known is not None:
+        stars = _across(stars, connected_components(known))
+    stars = cut_lineage(stars)
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    links = cut_lineage(verified(stars, cut_lineage(items_of(cut_lineage(ends))), percent))
+    links = verified(stars, cut_lineage(items_of(cut_lineage(ends))), percent)
+    links = cut_lineage(links if known is None else links.unionByName(known))
     labels = connected_components(links)
 
     # Lists whose members are not yet all connected, beyond the pairs tried above.
@@ -199,39 +250,58 @@ def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75, prefixe
         .withColumn("c", F.coalesce("component", "node")).drop("component")
     )
     open_lists = (
-        open_members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-        .where("low < high").select("g")
+        open_members.groupBy("g")
+        .agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("df"))
+        .where("low < high").select("g", "df")
     )
-    rest = cut_lineage(open_members.join(open_lists, "g", "left_semi"))
+    rest = cut_lineage(open_members.join(open_lists, "g"))
 
-    # A pair that also meets in a long list is left to the blocks, which see whole sets.
+    # A pair that also meets in a long list is found there too.
     short = rest.where(F.col("df") <= short_list)
     x = short.select("g", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
     y = short.select("g", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
-    pairs = (
+    pairs = enough(
         x.join(y, "g").where("a < b and ac <> bc")
         .where(_sizes_allow(F.col("an"), F.col("bn"), percent))
-        .groupBy("a", "b")
-        .agg(F.first("an").alias("an"), F.first("bn").alias("bn"), F.count("*").alias("common"))
     )
-    if prefixes:
-        pairs = pairs.where(_shared_enough(F.col("an"), F.col("bn"), F.col("common"), percent))
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = cut_lineage(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))
+    pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"))
 
     long = rest.where(F.col("df") > short_list)
-    pool_of = connected_components(
-        long.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
-    )
-    pools = cut_lineage(
-        long.select("node", "c").distinct().join(pool_of, "node")
-        .select(F.col("component").alias("pool"), "node", "c")
-    )
+    nodes = cut_lineage(long.select("node", "c").distinct())
     ends = (
-        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(pools.select("node"))
+        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(nodes.select("node"))
     ).distinct()
     items = cut_lineage(items_of(cut_lineage(ends)))
-    more = cut_lineage(
-        verified(pairs, items, percent).unionByName(_block_links(pools, items, percent))
+    links = links.unionByName(cut_lineage(verified(pairs, items, percent)))
+    if nodes.isEmpty():
+        return links
+    if known is None:
+        return _links(
+            cut_lineage(_rarest_first(nodes, items, percent)),
+            lambda asked: items.join(small_or_shuffled(asked), "node", "left_semi"),
+            percent, True, max(short_list, SHORT_LIST), links,
+        )
+    pool_of = connected_components(
+        long.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    )
+    pools = cut_lineage(
+        nodes.join(pool_of, "node").select(F.col("component").alias("pool"), "node", "c")
     )
-    return connected_components(links.unionByName(more))
+    return links.unionByName(cut_lineage(_block_links(pools, items, percent)))
+
+
+def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75, prefixes: bool = False,
+               short_list: int = SHORT_LIST) -> DataFrame:
+    """(g, node, n) memberships in inverted lists -> (node, component) by links.
+
+    With `prefixes`, the lists hold the first items of each set in a common order,
+    and candidates must share as many as similar sets do (T-occurrence).
+
+    Two nodes are linked when they share a list and their sets have a Jaccard of
+    `percent` or more; n is the size of a node's set. Repeated memberships do no
+    harm. The components are exact for all pairs that share a list. `members` is
+    read twice, so it should be cheap to make from a saved table.
+    """
+    ship_package(members.sparkSession)
+    return connected_components(_links(members, items_of, percent, prefixes, short_list))

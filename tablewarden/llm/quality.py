@@ -110,10 +110,12 @@ def measured(docs: DataFrame) -> DataFrame:
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     """host, rule, n, failed and the shrunk rate. Null is a host of its own.
 
-    The prior of a rule is a beta distribution with the mean and variance of the
-    hosts' rates (method of moments). A host with few documents stays near the
-    mean; a large one is judged by its own rate. With fewer than two hosts, or
-    rates that vary more than a beta allows, the prior weighs one document.
+    The prior of a rule is a beta distribution with the mean of the hosts' rates and
+    the variance between hosts (method of moments): of the variance of the rates, what
+    counting failures in so few documents adds by chance is taken away. A host with few
+    documents stays near the mean; a large one is judged by its own rate. Where hosts
+    differ by no more than chance, the prior weighs as much as all documents. With fewer
+    than two hosts, or rates that vary more than a beta allows, it weighs one.
     """
     counts = measured.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n"),
@@ -129,12 +131,18 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     )
     rate = F.col("failed") / F.col("n")
     prior = tall.groupBy("rule").agg(
-        F.avg(rate).alias("mean"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("var")
+        F.avg(rate).alias("mean"), F.var_samp(rate).alias("var"),
+        F.avg(1 / F.col("n")).alias("per_document"), F.sum("n").alias("total"),
     )
+    # A rate of n documents varies by E[p (1 - p)] / n beside the variance of p itself.
     spread = F.col("mean") * (1 - F.col("mean"))
-    weight = F.when(
-        (F.col("var") > 0) & (F.col("var") < spread), spread / F.col("var") - 1
-    ).otherwise(F.lit(1.0))
+    between = (F.col("var") - spread * F.col("per_document")) / (1 - F.col("per_document"))
+    weight = (
+        F.when(F.col("var").isNull(), 1.0)
+        .when(F.coalesce(between, F.lit(0.0)) <= 0, F.col("total").cast("double"))
+        .when(between >= spread, 1.0)
+        .otherwise(F.least(spread / between - 1, F.col("total").cast("double")))
+    )
     return tall.join(F.broadcast(prior), "rule").select(
         "host", "rule", "n", "failed",
         ((F.col("failed") + F.col("mean") * weight) / (F.col("n") + weight)).alias("rate"),
@@ -171,7 +179,11 @@ def with_verdicts(facts: DataFrame, host: str = "source", limit: float = HOST_LI
 
 
 def score_quality(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """Counts and verdict of each document. Only the counts are written between the two passes."""
+    """Counts and verdict of each document. Only the counts are written between the two passes.
+
+    A null or empty text has no words and fails as short. Each row is judged by itself, so
+    repeated rows have one row each. Rows without a source are one host.
+    """
     facts = cut_lineage(
         measured(docs).select("doc_id", "source", "q", *(f"f_{rule}" for rule in RULES))
     )

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -51,6 +52,23 @@ def test_verdict_joins_hosts_back(spark):
     assert rates["tiny", "short"] < 1  # one failure out of one is shrunk
 
 
+def test_hosts_that_differ_by_chance_stay(spark):
+    """Small hosts of one true rate: none is rejected, and a bad host among them is."""
+    rng = random.Random(4)
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+    rows = [(f"h{h}", bad if rng.random() < 0.1 else good) for h in range(1500) for _ in range(1 + h % 3)]
+    docs = spark.createDataFrame([(i, t, s) for i, (s, t) in enumerate(rows)],
+                                 "doc_id long, text string, source string")
+    by_host = Counter(s for s, t in rows if t == bad)
+    assert max(by_host.values()) > 1
+    assert not any(r.host_rejected for r in quality.host_verdicts(quality.measured(docs)).collect())
+    worse = docs.unionByName(
+        spark.createDataFrame([(10_000 + i, bad, "junk") for i in range(200)], docs.schema)
+    )
+    got = quality.host_verdicts(quality.measured(worse)).where("host_rejected").collect()
+    assert [r.host for r in got] == ["junk"]
+
+
 def test_failing_documents_go_where_hosts_fail_too(spark):
     good = " ".join(f"w{i}" for i in range(60))
     symbols = " ".join(f"#{i}$" for i in range(60))

@@ -59,6 +59,50 @@ def test_join_equals_brute_force(spark, awkward, monkeypatch, block, short):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("per_task", [7, 10**6])
+def test_components_of_any_split(spark, monkeypatch, per_task):
+    from tablewarden.llm import components
+
+    monkeypatch.setattr(components, "LINKS_PER_TASK", per_task)
+    chain = [(i, i + 1) for i in range(40, 79)] + [(5, 5), (3, 9), (9, -4), (100, 101), (101, 100)]
+    found = components.connected_components(
+        spark.createDataFrame(chain, "a long, b long").repartition(5)
+    ).collect()
+    want = {i: 40 for i in range(40, 80)} | {3: -4, 9: -4, -4: -4, 100: 100, 101: 100}
+    assert len(found) == len(want) and {r.node: r.component for r in found} == want
+    none = spark.createDataFrame([], "a long, b long")
+    assert components.connected_components(none).count() == 0
+
+
+def test_long_lists_meet_by_their_rarest_items(spark, monkeypatch):
+    """Sets of frequent items alone, of which some are similar: all links are found."""
+    rng = random.Random(8)
+    common = rng.sample(range(10**9), 60)
+    sets = {}
+    for i in range(60):
+        sets[i] = sorted(rng.sample(common, 40) + rng.sample(range(10**9), rng.randrange(12)))
+    for i in range(60, 90):
+        sets[i] = sorted(set(sets[i - 60][rng.randrange(1, 4):]) | {rng.randrange(10**9)})
+    sets = {i: sorted(set(s)) for i, s in sets.items()}
+    rows = [(i, np.array(s, "<i8").tobytes(), len(s)) for i, s in sets.items()]
+    items = spark.createDataFrame(rows + rows[:5], "node long, items binary, n long")
+    members = spark.createDataFrame([(7, i, len(s)) for i, s in sets.items()], "g long, node long, n long")
+    monkeypatch.setattr(overlap, "SHORT_LIST", 4)
+    monkeypatch.setattr(overlap, "BLOCK_SETS", 16)
+    found = overlap.link_lists(
+        members, lambda nodes: items.select("node", "items").join(nodes, "node", "left_semi"), 75, False, 4
+    )
+    label = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            x, y = set(sets[i]), set(sets[j])
+            if 100 * len(x & y) >= 75 * len(x | y):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = {k: new if v == old else v for k, v in label.items()}
+    got = {r.node: r.component for r in found.collect()}
+    assert {i: got.get(i, i) for i in sets} == label and len(set(label.values())) < 70
+
+
 def test_join_on_given_tables(small):
     rows = [tuple(r) for r in small.select("doc_id", "text").collect()]
     got = sorted(map(tuple, ngram_join.join_documents(small).collect()), key=str)
@@ -109,6 +153,34 @@ def test_passages_are_cut_wherever_they_stand(spark, no_rows):
     assert passages.find_repeats(no_rows).count() == passages.remove_repeats(no_rows).count() == 0
 
 
+def test_bands_find_near_paragraphs(spark):
+    """Of paragraphs of 60 words with one to three changed, those whose sets are similar collide,
+    against a brute-force count of all pairs."""
+    rng = np.random.default_rng(9)
+    hashes, starts, sizes = [], [], []
+    for k in range(150):
+        own = rng.integers(0, 2**63, 60, dtype=np.uint64)
+        near = own.copy()
+        near[rng.choice(60, 1 + k % 3, replace=False)] = rng.integers(0, 2**63, 1 + k % 3, dtype=np.uint64)
+        hashes += [own, near]
+    starts, sizes = np.arange(300) * 60, np.full(300, 60)
+    whole = np.concatenate(hashes)
+    bands = passages.band_values(whole, starts, sizes)
+    alone = [passages.band_values(h, np.zeros(1, int), np.full(1, 60))[0] for h in hashes]
+    assert np.array_equal(bands, np.array(alone))
+    sets = [set(passages.shingles_of(whole, s, 60).tolist()) for s in starts]
+    similar = met = strangers = 0
+    for i in range(300):
+        for j in range(i):
+            meet = bool((bands[i] == bands[j]).any())
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                similar += 1
+                met += meet
+            elif not sets[i] & sets[j]:
+                strangers += meet
+    assert similar >= 50 and met >= 0.97 * similar and strangers == 0
+
+
 def test_near_paragraphs_collide(spark):
     rng = np.random.default_rng(2)
     hashes = rng.integers(0, 2**63, 400, dtype=np.uint64)
