@@ -110,12 +110,12 @@ def measured(docs: DataFrame) -> DataFrame:
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     """host, rule, n, failed and the shrunk rate. Null is a host of its own.
 
-    The prior of a rule is a beta distribution with the mean of the hosts' rates and
-    the variance between hosts (method of moments): of the variance of the rates, what
-    counting failures in so few documents adds by chance is taken away. A host with few
-    documents stays near the mean; a large one is judged by its own rate. Where hosts
-    differ by no more than chance, the prior weighs as much as all documents. With fewer
-    than two hosts, or rates that vary more than a beta allows, it weighs one.
+    The prior of a rule is a beta distribution fitted to the hosts' failures by moments,
+    hosts weighted by their documents: its mean is the share of all documents that fail,
+    its spread what hosts differ by beyond the chance of counting in few documents. A host
+    with few documents stays near the mean; a large one is judged by its own rate. Where
+    hosts differ by no more than chance, the prior weighs as much as all documents. With
+    fewer than two hosts, or rates that differ more than a beta allows, it weighs one.
     """
     counts = measured.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n"),
@@ -129,19 +129,21 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
             ).alias("x"),
         ).select("host", "n", "x.*")
     )
-    rate = F.col("failed") / F.col("n")
+    n, failed = F.col("n"), F.col("failed")
     prior = tall.groupBy("rule").agg(
-        F.avg(rate).alias("mean"), F.var_samp(rate).alias("var"),
-        F.avg(1 / F.col("n")).alias("per_document"), F.sum("n").alias("total"),
+        (F.sum("failed") / F.sum("n")).alias("mean"), F.sum("n").cast("double").alias("total"),
+        (F.count("*") - 1).alias("others"), F.sum(n * n / 1.0).alias("squares"),
+        F.sum(failed * failed / n).alias("rates"),
     )
-    # A rate of n documents varies by E[p (1 - p)] / n beside the variance of p itself.
-    spread = F.col("mean") * (1 - F.col("mean"))
-    between = (F.col("var") - spread * F.col("per_document")) / (1 - F.col("per_document"))
+    # How alike two documents of a host are, from the weighted sum of squares between hosts.
+    mean, total, others = F.col("mean"), F.col("total"), F.col("others")
+    between = F.col("rates") - total * mean * mean
+    room = total - F.col("squares") / total - others
+    alike = F.when((mean > 0) & (mean < 1) & (room > 0),
+                   (between / (mean * (1 - mean)) - others) / room).otherwise(0.0)
     weight = (
-        F.when(F.col("var").isNull(), 1.0)
-        .when(F.coalesce(between, F.lit(0.0)) <= 0, F.col("total").cast("double"))
-        .when(between >= spread, 1.0)
-        .otherwise(F.least(spread / between - 1, F.col("total").cast("double")))
+        F.when((others == 0) | (alike >= 1), 1.0).when(alike <= 0, total)
+        .otherwise(F.least(1 / alike - 1, total))
     )
     return tall.join(F.broadcast(prior), "rule").select(
         "host", "rule", "n", "failed",
