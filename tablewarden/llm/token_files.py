@@ -52,7 +52,9 @@ def _with_end(encode: Encoder, texts: Sequence[bytes], end_id: int) -> list[byte
     return [ids + end for ids in encode(texts)]
 
 
-def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:
+def train_dictionary(
+    docs: DataFrame, width: int, encode: Callable[[Sequence[bytes]], list[bytes]]
+) -> bytes:
     """A dictionary from a bounded sample of whole documents; empty if they are too few or too short."""
     usable = docs.where(F.octet_length("text") <= TRAINING_TEXT_BYTES).select("doc_id", "text")
     # Ids are chosen without the texts, so that no task sends a thousand texts to the driver.
@@ -64,8 +66,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> byt
         usable.join(F.broadcast(chosen), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(TRAINING_ROWS).collect()
     )
-    encoded = _with_end(WordEncoder(path), [r.text.encode() for r in sample], end_id)
-    arrays = [_packed(ids, width) for ids in encoded]
+    arrays = [_packed(ids, width) for ids in encode([r.text.encode() for r in sample])]
     size = min(DICTIONARY_BYTES, sum(map(len, arrays)) // 10)
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes() if size >= 1024 else b""
@@ -87,7 +88,7 @@ def write_tokens(docs: DataFrame, target: str, path: str, end_id: int) -> None:
     """
     spark = docs.sparkSession
     width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
-    dictionary = train_dictionary(docs, path, end_id, width)
+    dictionary = train_dictionary(docs, width, lambda texts: _with_end(WordEncoder(path), texts, end_id))
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame(
         [(digest, bytearray(dictionary), width)], "hash string, dictionary binary, width int"

@@ -1,11 +1,13 @@
 """BPE with a table of distinct words: each is encoded once, and ids are joined back by position.
 
-Words are split and counted on the executors. The table of distinct words gets
-its ids in one pass over distinct words. The most frequent words, of bounded
-number and size, are broadcast and looked up where the text is. The other words
+Words are split and counted on the executors. The table of words that occur twice
+or more gets its ids in one pass over distinct words. The most frequent words, of
+bounded number and size, are broadcast and looked up where the text is. A word that
+occurs once needs no table: a filter of bounded size, which never misses a word of the
+table, tells it apart, and it is encoded where it stands. The other words
 leave gaps in a document's ids; each is asked for once a document, joined with the
 table by word, and put back by position. So frequent words are never shuffled, and
-no word is a hot key. Decoding joins ids with the table of pieces, which is as
+no word is a hot key. Decoding looks ids up in an array of pieces, which is as
 large as the vocabulary.
 
 Among the words of one batch, and in the broadcast part of the table, words are told
@@ -33,6 +35,7 @@ from tablewarden.llm.bpe import (
     tokenizer,
 )
 from tablewarden.llm.tables import map_batches, texts_of
+from tablewarden.llm.token_files import train_dictionary
 from tablewarden.llm.words import groups, scan
 
 #: Words that are broadcast: so many at most, each of so many bytes at most (16 MB together).
@@ -41,6 +44,10 @@ HEAD_WORD_BYTES = 32
 #: Bytes of text whose words are counted together, and looked up together.
 COUNT_BYTES = 8 << 20
 LOOKUP_BYTES = 2 << 20
+#: Bits of the filter of words in the table, by logarithm; with more words than bits more are asked for.
+FILTER_LOG = 26
+#: Ids on their way are compressed with a dictionary fitted on a bounded sample (see `token_files`).
+LEVEL = 9
 
 
 def word_keys(words: Sequence[str]) -> np.ndarray:
@@ -93,8 +100,8 @@ class Splitter:
                      lambda at: [words[i] for i in order[at].tolist()], every, bounds)
 
 
-def distinct_words(docs: DataFrame, path: str) -> DataFrame:
-    """word, n and ids of every distinct word of the texts; an id has `id_bytes(path)` bytes."""
+def distinct_words(docs: DataFrame, path: str, least: int = 1) -> DataFrame:
+    """word, n and ids of every word found `least` times or more; an id has `id_bytes(path)` bytes."""
     width = id_bytes(path)
 
     def count():
@@ -118,7 +125,7 @@ def distinct_words(docs: DataFrame, path: str) -> DataFrame:
         return step
 
     counted = map_batches(docs.select("text"), "word string, n long", count)
-    once = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    once = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return cut_lineage(map_batches(once, "word string, n long, ids binary", encode))
 
 
@@ -149,37 +156,75 @@ class Head:
         return at, hit
 
 
+@dataclass
+class Filter:
+    """One bit for each range of hashes in which some word of a table lies; 64 bits in an item."""
+
+    log: int
+    bits: np.ndarray
+
+    @classmethod
+    def of(cls, table: DataFrame, log: int) -> Filter:
+        def make():
+            def step(batch):
+                slots = np.unique(_slots(word_keys([w.decode() for w in texts_of(batch, "word")]), log))
+                at, first = np.unique(slots >> np.uint64(6), return_index=True)
+                bits = np.left_shift(np.uint64(1), slots & np.uint64(63))
+                return {"at": at.astype(np.int64),
+                        "bits": np.bitwise_or.reduceat(bits, first).view(np.int64) if len(at) else []}
+            return step
+
+        parts = map_batches(table.select("word"), "at long, bits long", make)
+        # At most 2**log / 64 rows, whatever the table holds.
+        found = parts.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+        bits = np.zeros(1 << (log - 6), dtype=np.uint64)
+        bits[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+        return cls(log, bits)
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        """False only for keys of no word of the table."""
+        slots = _slots(keys, self.log)
+        return (self.bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _slots(keys: np.ndarray, log: int) -> np.ndarray:
+    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - log)
+
+
 def id_bytes(path: str) -> int:
     """Two bytes hold an id of a vocabulary of up to 65,536 pieces."""
     return 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
 
 
-def encode_with_gaps(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, known, gaps, n_rare and found of every document, for `_assembler`.
+def encode_with_gaps(docs: DataFrame, path: str) -> tuple[DataFrame, bytes]:
+    """doc_id, known, gaps, n_rare and found of every document, for `_assembler`; the dictionary of `known`.
 
-    `known` are the ids of frequent words. `gaps` holds the steps between the places
-    in it where rarer words belong and then, for each place, which word it is;
-    `found` are the ids of the `n_rare` different ones.
+    `known` are the ids of frequent words and of those that occur once. `gaps` holds the
+    steps between the places in it where other words belong and then, for each place, which
+    word it is; `found` are the ids of the `n_rare` different ones. A word that the
+    filter could not tell from those of the table, and that occurs once, is spelled there.
     """
     width = id_bytes(path)
-    table = distinct_words(docs, path)
+    table = distinct_words(docs, path, least=2)
     # Bounded by HEAD_WORDS and HEAD_WORD_BYTES, whatever the corpus holds.
     head = Head.of(
         table.where(F.octet_length("word") <= HEAD_WORD_BYTES)
         .orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word", "ids").toArrow(),
         width,
     )
-    shared = docs.sparkSession.sparkContext.broadcast(head)
+    dictionary = train_dictionary(docs, width, ByteLevelEncoder(path))
+    shared = docs.sparkSession.sparkContext.broadcast((head, Filter.of(table, FILTER_LOG)))
     del head
 
     def make(asking: bool):
         def begin():
-            splitter, head = Splitter(path), shared.value
-            compress = zstandard.ZstdCompressor(level=3).compress
+            splitter, (head, repeated) = Splitter(path), shared.value
+            compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
 
             def look_up(keys: list[bytes], doc_ids: list, split: Split) -> dict:
                 at, hit = head.find(split.hashes)
-                gaps = np.flatnonzero(~hit[split.order])
+                rare = ~hit & repeated.may_hold(split.hashes)
+                gaps = np.flatnonzero(rare[split.order])
                 gap_bounds = np.searchsorted(gaps, split.bounds)
                 document = np.repeat(np.arange(len(keys)), np.diff(gap_bounds))
                 # The different rare words of each document.
@@ -193,7 +238,11 @@ def encode_with_gaps(docs: DataFrame, path: str) -> DataFrame:
                     return {"key": [k for k, _ in asked], "rare": [w for _, w in asked]}
                 starts, sizes = (np.zeros(len(hit), dtype=np.int64) for _ in range(2))
                 starts[hit], sizes[hit] = head.starts[at[hit]], head.sizes[at[hit]]
-                ids, stops = take_runs(head.ids, starts[split.order], sizes[split.order])
+                once = np.flatnonzero(~hit & ~rare)
+                sizes[once], added = encode_words(path, split.words_at(once))
+                starts[once] = len(head.ids) + np.cumsum(sizes[once]) - sizes[once]
+                values = np.concatenate([head.ids, added.astype(head.ids.dtype)])
+                ids, stops = take_runs(values, starts[split.order], sizes[split.order])
                 ends = stops[split.bounds]
                 places, which = stops[gaps] - ends[document], which - firsts[document]
                 return {
@@ -221,13 +270,18 @@ def encode_with_gaps(docs: DataFrame, path: str) -> DataFrame:
     asked = map_batches(source, "key binary, rare array<string>", make(True))
     found = (
         asked.select("key", F.posexplode("rare").alias("k", "word"))
-        .join(table.select("word", "ids"), "word")
-        .groupBy("key").agg(F.collect_set(F.struct("k", "ids")).alias("found"))
+        .join(table.select("word", "ids"), "word", "left")
+        .withColumn("word", F.when(F.col("ids").isNull(), F.col("word")))
+        .groupBy("key").agg(F.collect_set(F.struct("k", "ids", "word")).alias("found"))
     )
     known = map_batches(
         source, "key binary, doc_id long, n_rare int, known binary, gaps binary", make(False)
     )
-    return known.join(found, "key", "left").drop("key")
+    return known.join(found, "key", "left").drop("key"), dictionary
+
+
+def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(data) if data else None
 
 
 def _key(doc_id: int | None, text: bytes) -> bytes:
@@ -235,14 +289,24 @@ def _key(doc_id: int | None, text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(name + b"\0" + text)
 
 
-def _assembler(path: str):
+def _assembler(path: str, dictionary: bytes):
     """Rows of `encode_with_gaps` -> ids of the document."""
     width = id_bytes(path)
-    expand = zstandard.ZstdDecompressor().decompress
-
-    def assemble(known: bytes, gaps: bytes, n_rare: int, found: list[dict] | None) -> np.ndarray:
+    expand = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary)).decompress
+
+    def spelled(lists: list[list[dict] | None]) -> dict[str, bytes]:
+        """Ids of the words that are in no table."""
+        words = list(dict.fromkeys(f["word"] for found in lists for f in found or [] if f["ids"] is None))
+        sizes, ids = encode_words(path, words)
+        ids = ids.astype(f"<u{width}")
+        return {w: ids[i:j].tobytes() for w, (i, j) in zip(words, _spans(np.cumsum(sizes)))}
+
+    def assemble(
+        known: bytes, gaps: bytes, n_rare: int, found: list[dict] | None, others: dict[str, bytes]
+    ) -> np.ndarray:
         ids = np.frombuffer(expand(known), f"<u{width}").astype("<u4")
-        parts = [f["ids"] for f in sorted(found or [], key=lambda f: f["k"])]
+        parts = [others[f["word"]] if f["ids"] is None else f["ids"]
+                 for f in sorted(found or [], key=lambda f: f["k"])]
         if len(parts) != n_rare:
             raise ValueError("the table lacks words of a document")
         if not parts:
@@ -253,26 +317,28 @@ def _assembler(path: str):
         filled, _ = take_runs(rare, (np.cumsum(sizes) - sizes)[which], sizes[which])
         return np.insert(ids, np.repeat(np.cumsum(steps), sizes[which]), filled)
 
-    return lambda batch: (
-        assemble(*row) for row in zip(*(
-            batch.column(batch.schema.get_field_index(c)).to_pylist()
-            for c in ("known", "gaps", "n_rare", "found")
-        ))
-    )
+    def rows(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist()
+                   for c in ("known", "gaps", "n_rare", "found")]
+        others = spelled(columns[-1])
+        return (assemble(*row, others) for row in zip(*columns))
+
+    return rows
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit integers) of every document."""
+    encoded, dictionary = encode_with_gaps(docs, path)
 
     def make():
-        assembled = _assembler(path)
+        assembled = _assembler(path, dictionary)
 
         def step(batch):
             return {"doc_id": batch.column(batch.schema.get_field_index("doc_id")),
                     "ids": [ids.tobytes() for ids in assembled(batch)]}
         return step
 
-    return map_batches(encode_with_gaps(docs, path), "doc_id long, ids binary", make)
+    return map_batches(encoded, "doc_id long, ids binary", make)
 
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
@@ -281,9 +347,10 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     Null and empty texts have no tokens. Rows with the same id and text get equal
     results of their own.
     """
+    encoded, dictionary = encode_with_gaps(docs, path)
 
     def make():
-        assembled = _assembler(path)
+        assembled = _assembler(path, dictionary)
         pieces = byte_pieces(path)
         sizes = np.array([len(p) for p in pieces], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -302,8 +369,7 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
         return step
 
     return map_batches(
-        encode_with_gaps(docs, path),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make,
+        encoded, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make
     )
 
 

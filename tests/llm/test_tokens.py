@@ -158,9 +158,11 @@ def test_schedule_places_every_token_once():
 
 
 @FRAMES
-@pytest.mark.parametrize("head", [0, 50, 500_000])
-def test_word_table(request, frame, head, monkeypatch):
+@pytest.mark.parametrize(("head", "log"), [(0, 26), (50, 6), (500_000, 26)])
+def test_word_table(request, frame, head, log, monkeypatch):
+    """A filter of 64 bits tells hardly any word that occurs once from the others."""
     monkeypatch.setattr(word_table, "HEAD_WORDS", head)
+    monkeypatch.setattr(word_table, "FILTER_LOG", log)
     docs = request.getfixturevalue(frame)
     got = sorted(map(tuple, word_table.encode_and_decode(docs, BYTES).collect()), key=str)
     found = Tokenizer.from_file(BYTES)
