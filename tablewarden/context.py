@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 from functools import cache
 from pathlib import Path
@@ -12,6 +14,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewarden.sources import listed
+
 ENVIRONMENTS = ("dev", "staging", "prod")
 
 
@@ -112,17 +116,43 @@ def ship_package(spark: SparkSession) -> None:
         _sent.add(application)
 
 
+#: The folders of the frames cut on the way to a result that will be `settled`.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` as a table in the shared folder and read it back.
 
     It survives the loss of executors. Columns can be pruned when it is read,
     and its rows are counted from file footers.
     """
-    path = f"{shared_dir(df.sparkSession)}/frame"
+    folder = shared_dir(df.sparkSession)
+    passing = _passing.get()
+    if passing is not None:
+        passing.append(folder)
+    path = f"{folder}/frame"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """`cut_lineage` of the frame that `make` gives; those it has cut on the way are removed.
+
+    Nothing else that is made inside may be read afterwards.
+    """
+    folders: list[str] = []
+    try:
+        token = _passing.set(folders)
+        try:
+            made = make()
+        finally:
+            _passing.reset(token)
+        return cut_lineage(made)
+    finally:
+        for folder in folders:
+            listed.delete(spark, folder)
+
+
 def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
     """Whether the frame has at most `max_rows` rows. A plain count, so no task sees them all."""
     return df.count() <= max_rows

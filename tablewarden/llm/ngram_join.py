@@ -8,14 +8,17 @@ right; which shingles count as frequent only decides how long the lists become.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.context import cut_lineage, lookup_join, small_or_shuffled
+from tablewarden.context import cut_lineage, lookup_join, settled, small_or_shuffled
 from tablewarden.llm.overlap import link_lists, prefix_length
-from tablewarden.llm.tables import map_batches, texts_of
-from tablewarden.llm.words import groups, scan, sequence_hash, shingle_hashes, shingle_set
+from tablewarden.llm.tables import map_batches, text_slices, texts_of
+from tablewarden.llm.words import scan, sequence_hash, shingle_set
 
 WIDTH = 5
 PERCENT = 75
@@ -23,16 +26,26 @@ PERCENT = 75
 FREQUENT = 8
 #: So many frequent shingles at most are set apart, the most frequent (8 MB).
 MAX_FREQUENT = 1_000_000
+#: Bytes of text whose sets are made together, and shingles that are counted together.
+SET_BYTES = 2 << 20
+COUNT_SHINGLES = 4_000_000
 #: Ids of copies are broadcast up to this number (16 MB), else joined by a shuffle.
 MAX_BROADCAST_IDS = 1_000_000
 
 
-def _sets(texts: list[bytes]):
-    """The shingle set of each text."""
-    for begin, end in groups(texts):
-        words = scan(texts[begin:end], fold=True)
-        for i, j in words.slices():
-            yield shingle_set(words.hashes[i:j], WIDTH)
+def _sets(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Some rows of a batch after others, and the shingle set of each text."""
+    for part in text_slices(batch, SET_BYTES):
+        words = scan(texts_of(part), fold=True)
+        yield part, [shingle_set(words.hashes[i:j], WIDTH) for i, j in words.slices()]
+
+
+def _repeated(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles in two or more of the sets, and in how many."""
+    values = np.concatenate(sets)
+    values.sort()
+    again, more = np.unique(values[1:][values[1:] == values[:-1]], return_counts=True)
+    return again, more + 1
 
 
 def _key(items: np.ndarray) -> int:
@@ -50,36 +63,28 @@ def _described(docs: DataFrame) -> DataFrame:
 
     def make():
         def step(batch):
-            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            n, keys, seen = [], [], []
-            many, counts = [], []
-            size = 0
-
-            def flush():
-                values, number = np.unique(np.concatenate(seen), return_counts=True)
-                often = number > 1
-                many.append(values[often])
-                counts.append(number[often])
-                seen.clear()
+            seen, size = [], 0
 
-            for items in _sets(texts_of(batch)):
-                n.append(len(items))
-                keys.append(_key(items))
-                seen.append(items)
-                size += len(items)
-                if size > 4_000_000:
-                    flush()
+            def counted():
+                hot, number = _repeated(seen)
+                seen.clear()
+                return {"doc_id": pa.nulls(len(hot), pa.int64()), "n": number, "key": _signed(hot),
+                        "hot": np.ones(len(hot), dtype=bool)}
+
+            for part, sets in _sets(batch):
+                yield {
+                    "doc_id": part.column(part.schema.get_field_index("doc_id")),
+                    "n": [len(items) for items in sets],
+                    "key": [_key(items) for items in sets],
+                    "hot": np.zeros(len(sets), dtype=bool),
+                }
+                seen += sets
+                size += sum(map(len, sets))
+                if size > COUNT_SHINGLES:
+                    yield counted()
                     size = 0
             if seen:
-                flush()
-            hot = np.concatenate(many) if many else np.zeros(0, np.uint64)
-            number = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            return {
-                "doc_id": ids + [None] * len(hot),
-                "n": n + number.tolist(),
-                "key": keys + _signed(hot).tolist(),
-                "hot": [False] * len(ids) + [True] * len(hot),
-            }
+                yield counted()
         return step
 
     return cut_lineage(
@@ -92,21 +97,22 @@ def _postings(docs: DataFrame, frequent: np.ndarray, copies: DataFrame) -> DataF
 
     def make():
         def step(batch):
-            out = {"doc_id": batch.column(batch.schema.get_field_index("doc_id")),
-                   "node": [], "n": [], "first": []}
-            for items in _sets(texts_of(batch)):
-                if len(items) and len(frequent):
-                    at = np.searchsorted(frequent, items)
-                    at[at == len(frequent)] = 0
-                    often = frequent[at] == items
-                    items_in_order = np.concatenate([items[~often], items[often]])
-                else:
-                    items_in_order = items
-                length = prefix_length(len(items), PERCENT) if len(items) else 0
-                out["node"].append(_key(items))
-                out["n"].append(len(items))
-                out["first"].append(_signed(items_in_order[:length]))
-            return out
+            for part, sets in _sets(batch):
+                out = {"doc_id": part.column(part.schema.get_field_index("doc_id")),
+                       "node": [], "n": [], "first": []}
+                for items in sets:
+                    if len(items) and len(frequent):
+                        at = np.searchsorted(frequent, items)
+                        at[at == len(frequent)] = 0
+                        often = frequent[at] == items
+                        items_in_order = np.concatenate([items[~often], items[often]])
+                    else:
+                        items_in_order = items
+                    length = prefix_length(len(items), PERCENT) if len(items) else 0
+                    out["node"].append(_key(items))
+                    out["n"].append(len(items))
+                    out["first"].append(_signed(items_in_order[:length]))
+                yield out
         return step
 
     rows = map_batches(
@@ -123,11 +129,9 @@ def _items_of(docs: DataFrame, holders: DataFrame):
 
     def make():
         def step(batch):
-            keys, items = [], []
-            for found in _sets(texts_of(batch)):
-                keys.append(_key(found))
-                items.append(found.astype("<u8").tobytes())
-            return {"node": keys, "items": items}
+            for _, sets in _sets(batch):
+                yield {"node": [_key(items) for items in sets],
+                       "items": [items.astype("<u8").tobytes() for items in sets]}
         return step
 
     def items_of(nodes: DataFrame) -> DataFrame:
@@ -169,9 +173,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
         ),
         MAX_BROADCAST_IDS,
     )
-    linked = link_lists(
+    linked = settled(docs.sparkSession, lambda: link_lists(
         _postings(docs, frequent, copies), _items_of(docs, holders), PERCENT, prefixes=True
-    )
+    ))
     grouped = cut_lineage(
         holders.join(linked, holders.key == linked.node, "left")
         .select("key", "holder", F.coalesce("component", "key").alias("c"))
@@ -191,7 +195,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
     Repeated rows of one id are one document, of which one row stays.
     """
-    verdicts = cut_lineage(join_documents(docs))
+    verdicts = settled(docs.sparkSession, lambda: join_documents(docs))
     stay = verdicts.where("doc_id is not null and doc_id = component_id").select("doc_id")
     gone = verdicts.where("doc_id is not null").select("doc_id").distinct().join(
         stay.distinct(), "doc_id", "left_anti"

@@ -27,6 +27,8 @@ from tablewarden.llm.tables import map_batches
 
 SHORT_LIST = 64
 BLOCK_SETS = 256
+#: Pairs, or sets, that a task holds as Python objects at once.
+PAIRS_AT_ONCE = 500
 #: How many long lists a query sets aside grows as this weight shrinks.
 PROBE_WEIGHT = 0.05
 #: Lists that several sets share are broadcast up to this number (24 MB), else joined by a shuffle.
@@ -67,12 +69,14 @@ def verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     def make():
         def step(batch):
             out: dict[str, list] = {"a": [], "b": []}
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                u, v = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                common = probe(u, v)
-                if common and 100 * common >= percent * (len(u) + len(v) - common):
-                    out["a"].append(a)
-                    out["b"].append(b)
+            for begin in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                part = batch.slice(begin, PAIRS_AT_ONCE)
+                for a, b, x, y in zip(*(c.to_pylist() for c in part.columns)):
+                    u, v = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                    common = probe(u, v)
+                    if common and 100 * common >= percent * (len(u) + len(v) - common):
+                        out["a"].append(a)
+                        out["b"].append(b)
             return out
         return step
 
@@ -171,8 +175,10 @@ def _rarest_first(nodes: DataFrame, items: DataFrame, percent: int) -> DataFrame
 
     def make():
         def step(batch):
-            found = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
-            return {"node": batch.column(0), "items": found}
+            for begin in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                part = batch.slice(begin, PAIRS_AT_ONCE)
+                found = [np.frombuffer(x, "<i8") for x in part.column(1).to_pylist()]
+                yield {"node": part.column(0), "items": found}
         return step
 
     asked = items.join(small_or_shuffled(nodes.select("node")), "node", "left_semi")

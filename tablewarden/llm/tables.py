@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,7 @@ def map_batches(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
                 )
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -54,6 +56,19 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [v or b"" for v in values.to_pylist()]
 
 
+def text_slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows with about `limit` bytes of text; a longer text stands alone."""
+    lengths = pc.binary_length(batch.column(batch.schema.get_field_index("text")))
+    begin = size = 0
+    for i, length in enumerate(pc.fill_null(lengths, 0).to_pylist()):
+        if size and size + length > limit:
+            yield batch.slice(begin, i - begin)
+            begin, size = i, 0
+        size += length
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows never learned from: crc32 of the id as text leaves no remainder by five."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
