@@ -86,16 +86,17 @@ def sync_continuous(spark, d):
 
 
 def ingest_dedup(spark, d):
-    """Events to a bronze table, a file a batch: the newer half, then older ones, late by any
+    """Events to a bronze table in three batches: the newer half, then older ones, late by any
     watermark, then everything once more. Event type, user and value together are the id."""
     root = shared_dir(spark)
     events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     middle = events.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
     for part in (events.filter(F.col("ts") >= middle), events.filter(F.col("ts") < middle), events):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    sync.ingest(stream, f"{root}/bronze", f"{root}/checkpoint", ("user_id", "event_type", "value"),
-                fold_after=3)
+        part.write.mode("append").parquet(f"{root}/in")
+        # What has come since the last run is one batch, however many files it has.
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        sync.ingest(stream, f"{root}/bronze", f"{root}/checkpoint", ("user_id", "event_type", "value"),
+                    fold_after=3)
     bronze = sync.read_ingested(spark, f"{root}/bronze", events.schema)
     return bronze.select("user_id", "event_type", "value")
 

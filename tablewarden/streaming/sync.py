@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tablewarden.context import SyncSpec, cut_lineage, lookup_join, shared_dir, small_or_shuffled
+from tablewarden.context import (
+    SyncSpec, cut_lineage, is_small, lookup_join, shared_dir, small_or_shuffled,
+)
 from tablewarden.operators.ordered import latest_by_key
 from tablewarden.sources import listed
 from tablewarden.sources.listed import Entry
@@ -284,9 +286,13 @@ def _unseen(
         # Reaches the scan: files and row groups far from the batch are not opened.
         near = F.col(ts).between(F.lit(first - horizon), F.lit(last + horizon))
         known = known.filter(near | F.isnull(ts))
-    asked = small_or_shuffled(batch.select(*ids).distinct())
-    # The table is read by its id columns alone; what comes back is no larger than the batch.
-    seen = known.select(*ids).join(asked, _same(known, asked, ids), "left_semi").distinct()
+    asked = batch.select(*ids).distinct()
+    # The table is read by its id columns alone. By a small batch it is filtered where it is
+    # read; beside a large one it is moved once.
+    seen = known.select(*ids)
+    if is_small(asked):
+        asked = F.broadcast(asked)
+        seen = seen.join(asked, _same(seen, asked, ids), "left_semi").distinct()
     return fresh.join(seen, _same(fresh, seen, ids), "left_anti")
 
 

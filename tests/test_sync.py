@@ -311,3 +311,20 @@ def test_ingest_keeps_late_rows_in_any_slicing(spark, tmp_path, horizon):
         # Again with a fresh checkpoint: nothing new.
         sync.ingest(stream, target, str(tmp_path / f"{name}-cp2"), horizon=horizon)
         assert sync.read_ingested(spark, target, stream.schema).count() == len(want)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_ingest_writes_and_reads_by_many_tasks(spark, tmp_path, monkeypatch, small):
+    """Three batches of as many files as there are tasks; null ids are equal, large batches as well."""
+    from tablewarden.plans import copies
+
+    rows = [(i, None if i % 7 == 0 else i % 50, "ab"[i % 2], float(i % 3), f"2024-01-{1 + i % 28:02d} 00:00:00")
+            for i in range(400)]
+    events = spark.createDataFrame(rows, "event_id long, user_id int, event_type string, value double, ts string")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(copies, "shared_dir", lambda spark: str(tmp_path / "run"))
+    monkeypatch.setattr(sync, "is_small", lambda df: small)
+    got = sorted(map(tuple, copies.ingest_dedup(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted({(u, e, v) for _, u, e, v, _ in rows}, key=str)
+    assert len(list((tmp_path / "run/in").glob("*.parquet"))) > 3
+    assert len(list((tmp_path / "run/checkpoint/commits").glob("[0-9]*"))) == 3
