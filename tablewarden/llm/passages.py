@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewarden.context import cut_lineage, is_small
+from tablewarden.context import cut_lineage, is_small, settled
 from tablewarden.llm.overlap import link_lists
 from tablewarden.llm.tables import map_batches, texts_of
 from tablewarden.llm.words import groups, mix, powers, scan, shingle_hashes
@@ -381,8 +381,8 @@ def _cut(text: bytes, starts: np.ndarray, ends: np.ndarray,
     return b"".join(kept), spans
 
 
-def _with_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` as a struct, with what an earlier document holds too; seeds are null if nothing."""
+def _marks(docs: DataFrame) -> DataFrame:
+    """doc_id and a seed, a paragraph or the end of a run of seeds that an earlier document holds."""
     pieces = _pieces(docs)
     seeds = cut_lineage(repeated_fragments(pieces))
     ends = cut_lineage(_run_ends(seeds))
@@ -396,10 +396,13 @@ def _with_repeats(docs: DataFrame) -> DataFrame:
         return rows.select("doc_id", *(F.col(value).alias(n) if n == name else v.alias(n)
                                        for n, v in nothing.items()))
 
-    marks = cut_lineage(
-        only(seeds, "seed", "key").unionByName(only(near, "near", "key"))
+    return only(seeds, "seed", "key").unionByName(only(near, "near", "key")) \
         .unionByName(only(beside, "end", "end"))
-    )
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """`docs` as a struct, with what an earlier document holds too; seeds are null if nothing."""
+    marks = settled(docs.sparkSession, lambda: _marks(docs))
     found = marks.groupBy(F.col("doc_id").alias("i")).agg(
         F.collect_set("seed").alias("seeds"), F.collect_set("near").alias("near"),
         F.collect_list("end").alias("ends"),

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablewarden.context import cut_lineage
+from tablewarden.context import cut_lineage, settled
 from tablewarden.llm import langid, ngram_join, overlap, passages, toxicity
 
 
@@ -283,3 +284,44 @@ def test_pipeline(spark, awkward, small):
         assert docs.columns == small.columns and 0 < docs.count() <= before
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
+
+
+def frames_left(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    return set(folder.iterdir()) if folder.exists() else set()
+
+
+def test_stages_leave_little_behind(spark):
+    """What a stage has cut on the way is removed; what it returns can be read after that."""
+    rows = near_copies(60) + [(1000 + i, " ".join(f"v{i}x{k}" for k in range(200))) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    for stage, most in ((ngram_join.drop_near_copies, 3), (passages.remove_repeats, 1)):
+        before = frames_left(spark)
+        left = stage(docs)
+        assert left.count() == left.select("doc_id").distinct().count() > 60
+        assert len(frames_left(spark) - before) <= most
+
+
+def test_settled_keeps_only_its_result(spark):
+    before = frames_left(spark)
+    inner = settled(spark, lambda: cut_lineage(spark.range(5)).where("id > 1"))
+    outer = settled(spark, lambda: settled(spark, lambda: cut_lineage(inner).where("id > 2")))
+    with pytest.raises(ZeroDivisionError):
+        settled(spark, lambda: cut_lineage(inner).limit(1 // 0))
+    assert inner.count() == 3 and outer.count() == 2
+    assert len(frames_left(spark) - before) == 2
+
+
+def test_sets_are_made_for_few_texts_at_a_time(monkeypatch):
+    """However many texts a batch holds, and however the counting is cut."""
+    import pyarrow as pa
+
+    texts = [None, "", "a b c d e f", "A b c d e g", "x " * 400, None, "a b c d e f"]
+    batch = pa.record_batch({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())})
+    whole = [s.tolist() for _, sets in ngram_join._sets(batch) for s in sets]
+    monkeypatch.setattr(ngram_join, "SET_BYTES", 10)
+    parts = list(ngram_join._sets(batch))
+    assert [s.tolist() for _, sets in parts for s in sets] == whole and len(parts) > 2
+    assert [i for part, _ in parts for i in part.column(0).to_pylist()] == list(range(len(texts)))
+    again, number = ngram_join._repeated([s for _, sets in parts for s in sets])
+    assert sorted(number.tolist()) == [2, 3] and len(again) == 2
