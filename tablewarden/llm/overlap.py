@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablewarden.context import cut_lineage, lookup_join, ship_package, small_or_shuffled
 from tablewarden.llm.components import connected_components
@@ -31,8 +32,6 @@ BLOCK_SETS = 256
 PAIRS_AT_ONCE = 500
 #: How many long lists a query sets aside grows as this weight shrinks.
 PROBE_WEIGHT = 0.05
-#: Lists that several sets share are broadcast up to this number (24 MB), else joined by a shuffle.
-MAX_BROADCAST_LISTS = 1_000_000
 
 #: nodes -> (node, items): the sorted items of each node as little-endian 64-bit integers.
 ItemsOf = Callable[[DataFrame], DataFrame]
@@ -209,22 +208,31 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _met(members: DataFrame) -> DataFrame:
+    """The members (g, node, n) of lists of two nodes or more, with the least node of the list.
+
+    Members are moved once, whatever their number, and nothing is broadcast: most lists
+    have one node, so the others could not be looked up without moving all members again.
+    """
+    whole = Window.partitionBy("g")
+    return (
+        members.select(
+            "g", "node", "n", F.min(F.struct("node", "n")).over(whole).alias("low"),
+            F.max("node").over(whole).alias("high"),
+        )
+        .where(F.col("low.node") < F.col("high"))
+        .select("g", "node", "n", F.col("low.node").alias("pivot"), F.col("low.n").alias("pivot_n"))
+        .distinct()
+    )
+
+
 def _links(members: DataFrame, items_of: ItemsOf, percent: int, prefixes: bool, short_list: int,
            known: DataFrame | None = None) -> DataFrame:
     """Links (a, b) that connect what shares a list and is similar, the known ones included.
 
     Without known links this is the first pass, which leaves long lists to a second.
     """
-    lists = cut_lineage(
-        members.groupBy("g").agg(
-            F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n"),
-            F.max("node").alias("high"),
-        ).where("pivot < high").drop("high")
-    )
-    shared = cut_lineage(
-        members.join(small_or_shuffled(lists, MAX_BROADCAST_LISTS), "g")
-        .select("g", "node", "n", "pivot", "pivot_n").distinct()
-    )
+    shared = cut_lineage(_met(members))
 
     def enough(pairs: DataFrame) -> DataFrame:
         counted = pairs.groupBy("a", "b").agg(
@@ -307,7 +315,7 @@ def link_lists(members: DataFrame, items_of: ItemsOf, percent: int = 75, prefixe
     Two nodes are linked when they share a list and their sets have a Jaccard of
     `percent` or more; n is the size of a node's set. Repeated memberships do no
     harm. The components are exact for all pairs that share a list. `members` is
-    read twice, so it should be cheap to make from a saved table.
+    read once.
     """
     ship_package(members.sparkSession)
     return connected_components(_links(members, items_of, percent, prefixes, short_list))

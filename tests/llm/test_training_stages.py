@@ -104,6 +104,17 @@ def test_long_lists_meet_by_their_rarest_items(spark, monkeypatch):
     assert {i: got.get(i, i) for i in sets} == label and len(set(label.values())) < 70
 
 
+def test_members_of_lists_are_moved_once(spark, tmp_path):
+    """Lists of one node go, repeated memberships do no harm, and no join moves the members again."""
+    rows = [(1, 5, 9), (1, 3, 8), (1, 5, 9), (2, 4, 7), (2, 4, 7), (3, 6, 1), (4, -2, 6), (4, 7, 5)]
+    spark.createDataFrame(rows, "g long, node long, n long").write.parquet(f"{tmp_path}/members")
+    met = overlap._met(spark.read.parquet(f"{tmp_path}/members"))
+    want = [(1, 3, 8, 3, 8), (1, 5, 9, 3, 8), (4, -2, 6, -2, 6), (4, 7, 5, -2, 6)]
+    assert sorted(map(tuple, met.collect())) == want
+    plan = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_join_on_given_tables(small):
     rows = [tuple(r) for r in small.select("doc_id", "text").collect()]
     got = sorted(map(tuple, ngram_join.join_documents(small).collect()), key=str)
