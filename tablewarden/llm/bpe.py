@@ -2,8 +2,8 @@
 
 Both tokenizers cut a text into pieces that never depend on what stands beyond a
 space, so a text may be encoded word by word. Words are remembered up to a bound, by a
-64-bit hash; two words of one hash in one task would be confused (one chance in 10**7 for
-a task of a million distinct words).
+64-bit hash, and from one task of a Python worker to the next; two words of one hash held at
+one time would be confused (one chance in 10**7 for a million distinct words).
 Texts in which this does not hold (special tokens spelled out, white space other
 than single ASCII characters around words) are given to the tokenizer whole.
 """
@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
+from threading import get_ident
 
 import numpy as np
 
@@ -56,18 +57,36 @@ def encode_many(path: str, texts: Sequence[str]) -> list[bytes]:
 
 
 @lru_cache(maxsize=4)
-def _plain_tokenizer(path: str):
-    """The same model for single lower-case Latin words, which need no normalising or splitting."""
+def _plain_tokenizer(path: str, line: bool):
+    """The same model for Latin words, one a line, which need no normalising or further splitting.
+
+    With `line` a line feed has an id, else none.
+    """
     from tokenizers import Tokenizer, pre_tokenizers
 
     found = Tokenizer.from_file(path)
     found.no_truncation()
     found.no_padding()
     found.normalizer = None
-    found.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    found.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.Split("\n", "isolated" if line else "removed"),
+        pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+    ])
     return found
 
 
+@lru_cache(maxsize=4)
+def _last_ids(path: str) -> np.ndarray:
+    """By id, whether its piece ends a word; no piece does if the model does not mark ends."""
+    found = tokenizer(path)
+    suffix = found.model.end_of_word_suffix
+    vocabulary = found.get_vocab(with_added_tokens=False)
+    ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+    if suffix:
+        ends[[number for piece, number in vocabulary.items() if piece.endswith(suffix)]] = True
+    return ends
+
+
 def take_runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of `values` at `starts`, in a row, and where each begins there; the last is the end."""
     stops = np.concatenate([[0], np.cumsum(sizes)])
@@ -80,29 +99,36 @@ def _apart(found, words: list[str]) -> tuple[list[int], list[int]]:
     return [len(i) for i in ids], list(chain.from_iterable(ids))
 
 
-def _by_lines(found, words: list[str], line: int) -> tuple[list[int], list[int]]:
-    """The same for words of letters, many in one text: a line feed between them is one id."""
-    if not words:
-        return [], []
+def _by_lines(found, words: list[str]) -> np.ndarray:
+    """The ids of words of letters, many in one text, with a line feed after each."""
     texts = ["\n".join(words[k : k + 500]) + "\n" for k in range(0, len(words), 500)]
     encoded = found.encode_batch_fast(texts, add_special_tokens=False)
-    ids = np.concatenate([np.array(e.ids, dtype=np.int64) for e in encoded])
-    return (np.diff(np.flatnonzero(ids == line), prepend=-1) - 1).tolist(), ids[ids != line].tolist()
+    return np.concatenate([np.zeros(0, np.int64), *(np.array(e.ids, dtype=np.int64) for e in encoded)])
+
+
+def _letters(path: str, words: list[str], line: int | None) -> tuple[list[int], list[int]]:
+    """The numbers of ids of words of letters, and their ids."""
+    ids = _by_lines(_plain_tokenizer(path, line is not None), words)
+    if line is not None:  # a line feed between words is one id
+        ends = ids == line
+        sizes, ids = np.diff(np.flatnonzero(ends), prepend=-1) - 1, ids[~ends]
+    else:
+        sizes = np.diff(np.flatnonzero(_last_ids(path)[ids]), prepend=-1)
+    if len(sizes) != len(words) or sizes.sum() != len(ids):
+        return _apart(tokenizer(path), words)
+    return sizes.tolist(), ids.tolist()
 
 
 def encode_words(path: str, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of ids of single words, perhaps after a space, and all ids in a row."""
     found = tokenizer(path)
     line = found.encode("\n", add_special_tokens=False).ids
+    letters = _PLAIN if len(line) == 1 else _LETTERS
     # A Latin word and its closing mark are encoded apart.
     split = [[p for p in m.groups() if p] if (m := _PLAIN.fullmatch(w)) else [w] for w in words]
     parts = list(dict.fromkeys(chain.from_iterable(split)))
-    if len(line) == 1:
-        plain = [p for p in parts if (m := _PLAIN.fullmatch(p)) and not m[2]]
-        done = _by_lines(found, plain, line[0])
-    else:
-        plain = [p for p in parts if _LETTERS.fullmatch(p)]
-        done = _apart(_plain_tokenizer(path), plain)
+    plain = [p for p in parts if (m := letters.fullmatch(p)) and (letters is _LETTERS or not m[2])]
+    done = _letters(path, plain, line[0] if len(line) == 1 else None)
     known = set(plain)
     other = [p for p in parts if p not in known]
     sizes, ids = (np.array(a + b, dtype=np.int64) for a, b in zip(done, _apart(found, other)))
@@ -118,25 +144,41 @@ def special_tokens(path: str) -> list[str]:
 
 
 class Remembered:
-    """Hashes of words -> ids, held in arrays: some forty bytes a word."""
+    """Hashes of words -> ids, held in arrays: some forty bytes a word.
+
+    When they are too many, those stay that were met again since the last time, unless
+    these are more than half of what may be held.
+    """
 
     def __init__(self, path: str):
         self.path = path
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hashes = np.zeros(0, dtype=np.uint64)
-        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype="<u4")
+        self._keep(np.zeros(0, dtype=np.int64))
+
+    def _keep(self, at: np.ndarray) -> None:
+        """Forget all words but those at the places `at`, ascending."""
+        if len(at):
+            self.ids, stops = take_runs(self.ids, self.starts[at], self.sizes[at])
+            self.hashes, self.starts, self.sizes = self.hashes[at], stops[:-1], self.sizes[at]
+        else:
+            self.hashes = np.zeros(0, dtype=np.uint64)
+            self.starts = self.sizes = np.zeros(0, dtype=np.int64)
+            self.ids = np.zeros(0, dtype="<u4")
+        self.again = np.zeros(len(at), dtype=bool)
+
+    def _make_room(self) -> None:
+        if len(self.hashes) > MAX_REMEMBERED or len(self.ids) > 8 * MAX_REMEMBERED:
+            again = np.flatnonzero(self.again)
+            many = 2 * len(again) > MAX_REMEMBERED or self.sizes[again].sum() > 4 * MAX_REMEMBERED
+            self._keep(again[:0] if many else again)
 
     def places(self, hashes: np.ndarray, words_at: Callable[[np.ndarray], list[str]]) -> np.ndarray:
         """Where each of the distinct `hashes`, ascending, stands; `words_at` spells those not yet known."""
-        if len(self.hashes) > MAX_REMEMBERED or len(self.ids) > 8 * MAX_REMEMBERED:
-            self._forget()
+        self._make_room()
         at = np.searchsorted(self.hashes, hashes)
         known = np.zeros(len(hashes), dtype=bool)
         inside = at < len(self.hashes)
         known[inside] = self.hashes[at[inside]] == hashes[inside]
+        self.again[at[known]] = True
         missing = np.flatnonzero(~known)
         if len(missing):
             sizes, ids = encode_words(self.path, words_at(missing))
@@ -145,10 +187,17 @@ class Remembered:
             self.hashes = np.insert(self.hashes, at[missing], hashes[missing])
             self.starts = np.insert(self.starts, at[missing], starts)
             self.sizes = np.insert(self.sizes, at[missing], sizes)
+            self.again = np.insert(self.again, at[missing], False)
             at = np.searchsorted(self.hashes, hashes)
         return at
 
 
+@lru_cache(maxsize=1)
+def remembered(path: str, kind: type, thread: int) -> Remembered:
+    """Words met by the encoders of a kind in this thread, kept from one task to the next."""
+    return Remembered(path)
+
+
 @dataclass
 class Split:
     """Words of a group of texts."""
@@ -169,7 +218,7 @@ class _Encoder:
     def __init__(self, path: str):
         self.path = path
         self.special = special_tokens(path)
-        self.known = Remembered(path)
+        self.known = remembered(path, type(self), get_ident())
 
     def _whole(self, texts: Sequence[bytes], words: Words) -> np.ndarray:
         """Which texts cannot be encoded word by word."""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import defaultdict
+from threading import get_ident
 
 import numpy as np
 import public_tokenizers
@@ -12,8 +13,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tablewarden.context import shared_dir
-from tablewarden.llm import packing, token_files, word_table
-from tablewarden.llm.bpe import ByteLevelEncoder, WordEncoder, byte_pieces, tokenizer
+from tablewarden.llm import bpe, packing, token_files, word_table
+from tablewarden.llm.bpe import ByteLevelEncoder, WordEncoder, byte_pieces, encode_words, tokenizer
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +71,54 @@ def test_forgetting_words_changes_nothing(monkeypatch):
             assert encoder([t]) == [want]
 
 
+ENCODERS = pytest.mark.parametrize(("path", "kind"), [(BYTES, ByteLevelEncoder), (WORDS, WordEncoder)])
+
+
+def words_asked(monkeypatch):
+    """Lists of the words that encoders spell from here on, one for each group of texts."""
+    asked = []
+
+    def spy(path, words):
+        asked.append(list(words))
+        return encode_words(path, words)
+
+    monkeypatch.setattr(bpe, "encode_words", spy)
+    bpe.remembered.cache_clear()
+    return asked
+
+
+@ENCODERS
+def test_the_next_task_knows_the_words_of_the_last(monkeypatch, path, kind):
+    asked = words_asked(monkeypatch)
+    first, second = ([f"some wörds {k} zebra{k}".encode()] for k in "ab")
+    assert kind(path)(first) == [raw(ids_of(path, first[0].decode()))]
+    assert kind(path)(second) == [raw(ids_of(path, second[0].decode()))]
+    assert len(asked) == 2 and [w.strip() for w in sorted(asked[1])] == ["b", "zebrab"]
+
+
+@ENCODERS
+def test_words_met_again_are_kept_when_others_are_forgotten(monkeypatch, path, kind):
+    monkeypatch.setattr(bpe, "MAX_REMEMBERED", 20)
+    asked = words_asked(monkeypatch)
+    rare = [[f"start common again {' '.join(k + i for i in 'abcdefghi')}"] for k in 'jklmnpqrstuv']
+    for (text,) in rare:
+        assert kind(path)([text.encode()]) == [raw(ids_of(path, text))]
+    assert sum(w.strip() == "common" for words in asked for w in words) == 1
+    assert len(bpe.remembered(path, kind, get_ident()).hashes) <= 20 + 12
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_of_letters_are_encoded_many_at_once(monkeypatch, path):
+    """One encoding for hundreds of words, with the ids that each has by itself."""
+    words = [f"{a}{b}{c}" for a in ("th", "é", "ß", "wörd", "zz") for b in ("", "ing", "ÿ") for c in ("", "s", "ed")]
+    apart = []
+    monkeypatch.setattr(bpe, "_apart", lambda found, some: apart.extend(some) or ([], []))
+    sizes, ids = encode_words(path, words)
+    want = [ids_of(path, w) for w in words]
+    assert apart == [] and sizes.tolist() == [len(i) for i in want]
+    assert ids.tolist() == [i for one in want for i in one]
+
+
 def test_pieces_decode_as_the_tokenizer():
     found, pieces = tokenizer(BYTES), byte_pieces(BYTES)
     for ids in ([50256, 0, 220, 447], [447, 247, 198], list(range(256))):
