@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,19 +56,24 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [v or b"" for v in values.to_pylist()]
 
 
-def text_slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
-    """Runs of a batch's rows with about `limit` bytes of text; a longer text stands alone."""
-    lengths = pc.binary_length(batch.column(batch.schema.get_field_index("text")))
+def slices(batch: pa.RecordBatch, sizes: Iterable[int], limit: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows whose `sizes` make about `limit` together; a larger row stands alone."""
     begin = size = 0
-    for i, length in enumerate(pc.fill_null(lengths, 0).to_pylist()):
-        if size and size + length > limit:
+    for i, own in enumerate(sizes):
+        if size and size + own > limit:
             yield batch.slice(begin, i - begin)
             begin, size = i, 0
-        size += length
+        size += own
     if begin < batch.num_rows:
         yield batch.slice(begin)
 
 
+def text_slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows with about `limit` bytes of text; a longer text stands alone."""
+    lengths = pc.binary_length(batch.column(batch.schema.get_field_index("text")))
+    return slices(batch, pc.fill_null(lengths, 0).to_pylist(), limit)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows never learned from: crc32 of the id as text leaves no remainder by five."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import defaultdict
 from threading import get_ident
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -240,3 +242,50 @@ def test_asked_words_grow_with_the_texts(spark, monkeypatch):
         encoded, _ = word_table.encode_with_gaps(spark.createDataFrame(texts, "doc_id long, text string"), path)
         asked.append(encoded.agg({"n_rare": "sum"}).first()[0])
     assert asked[0] >= 3 * 30 and asked[1] <= 3 * asked[0]
+
+
+@pytest.fixture
+def steps_of_word_table(spark, monkeypatch):
+    """What runs on each Arrow batch, by the columns it makes; the table holds words of a few texts."""
+    real, makes = word_table.map_batches, {}
+
+    def spy(df, ddl, make):
+        makes[ddl] = make
+        return real(df, ddl, make)
+
+    monkeypatch.setattr(word_table, "map_batches", spy)
+    texts = [(i, "some words of a few texts " * 3 + " ".join(f"q{k}" for k in range(500))) for i in range(4)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    encoded, dictionary = word_table.encode_with_gaps(frame, BYTES)
+    return makes, encoded.toArrow().combine_chunks().to_batches()[0], dictionary
+
+
+def test_memory_of_a_batch_is_bounded(steps_of_word_table):
+    """Counting and looking up take a few megabytes of a batch's text at a time."""
+    makes, _, _ = steps_of_word_table
+    texts = [" ".join(f"w{(i * 977 + k * k) % 30_000}" for k in range(1_000)) for i in range(1_600)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(1_600), pa.int64()), "text": texts})
+    assert batch.nbytes > 10 << 20
+    for ddl in ("word string, n long", "key binary, rare array<string>",
+                "key binary, doc_id long, n_rare int, known binary, gaps binary"):
+        step = makes[ddl]()
+        tracemalloc.start()
+        try:
+            parts = sum(1 for _ in step(batch))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert parts >= 5, ddl
+        assert peak < 130 << 20, (ddl, peak >> 20)
+
+
+def test_ids_are_put_together_some_rows_at_a_time(steps_of_word_table, monkeypatch):
+    _, batch, dictionary = steps_of_word_table
+    whole = [(doc_id, raw(ids)) for ids_, every in word_table._assembler(BYTES, dictionary)(batch)
+             for doc_id, ids in zip(ids_.to_pylist(), every)]
+    assert len(whole) == batch.num_rows
+    monkeypatch.setattr(word_table, "ASSEMBLE_BYTES", 1)
+    parts = [(ids_.to_pylist(), [raw(i) for i in every])
+             for ids_, every in word_table._assembler(BYTES, dictionary)(batch)]
+    assert len(parts) == batch.num_rows
+    assert [(d, i) for ds, every in parts for d, i in zip(ds, every)] == whole
